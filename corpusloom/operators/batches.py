@@ -62,4 +62,4 @@ def dense_batches(
     """
     size = batch_size_of(batch_size)
     placed = dense_positions(df, order_by)
-    return placed.withColumn("batch_id", F.floor(F.col("position") / size).cast("long"))
+    return placed.withColumn("batch_id", F.expr(f"position div {size}"))

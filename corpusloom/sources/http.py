@@ -284,7 +284,7 @@ def batch_bodies(
     """
     needed = list(dict.fromkeys([*order_by, payload_col]))
     numbered = dense_batches(df.select(*needed), order_by, batch_size)
-    members = F.array_sort(
+    members = F.sort_array(
         F.collect_list(F.struct("position", F.col(f"`{payload_col}`").alias("payload")))
     )
     return numbered.groupBy("batch_id").agg(
