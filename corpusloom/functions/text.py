@@ -226,6 +226,15 @@ _SQL_REPLACEMENT = (
 
 _SQL_LINES = r"regexp_replace(replace(text, '\r\n', '\n'), r'\n\z', '')"
 
+_SQL_MODES = " ".join(
+    f"WHEN lower(mode) IN ({', '.join(repr(alias) for alias in aliases)}) THEN {body}"
+    for (name, aliases), body in zip(
+        [item for item in MODE_NAMES.items() if item[0] != "strip_newlines"],
+        ["trim_text(text)", "lower(text)", "upper(text)", "text"],
+        strict=True,
+    )
+)
+
 SQL_FUNCTIONS = {
     "strip_newlines": ("text STRING", "STRING", r"translate(text, '\n\r', ' ')"),
     "trim_text": (
@@ -235,6 +244,11 @@ SQL_FUNCTIONS = {
             "".join(f"\\u{ord(c):04x}" for c in WHITE_SPACE)
         ),
     ),
+    "text_mode": (
+        "text STRING, mode STRING",
+        "STRING",
+        f"CASE {_SQL_MODES} ELSE strip_newlines(text) END",
+    ),
     "regex_replace": (
         "text STRING, pattern STRING, replacement STRING",
         "STRING",

@@ -34,19 +34,12 @@ def fake_client(dim: int) -> ClientFactory:
     return make
 
 
-def embed(
-    text: Column | str,
+def embed_udf(
     client: ClientFactory,
     retry: RetryPolicy = EMBED_RETRY,
     max_in_flight: int = EMBED_IN_FLIGHT,
     call_size: int = CALL_SIZE,
-    null_compat: bool = False,
-) -> Column:
-    """One vector per text. Equal texts in an Arrow batch are sent once; no shuffle.
-
-    An error that the retries do not cure fails the query.
-    """
-
+):
     @F.arrow_udf(ArrayType(DoubleType()))
     def vectors(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         ask = client()
@@ -59,7 +52,18 @@ def embed(
                 found = dict(zip(distinct, (v for answer in answers for v in answer)))
                 yield pa.array([found.get(t) for t in texts], pa.list_(pa.float64()))
 
-    result = vectors.asNondeterministic()(as_column(text))
+    return vectors.asNondeterministic()
+
+
+def embed(
+    text: Column | str, client: ClientFactory, null_compat: bool = False, **options
+) -> Column:
+    """One vector per text. Equal texts in an Arrow batch are sent once; no shuffle.
+
+    An error that the retries do not cure fails the query. ``options`` are those of
+    :func:`embed_udf`.
+    """
+    result = embed_udf(client, **options)(as_column(text))
     return fill_nulls(result, F.array().cast("array<double>"), null_compat)
 
 

@@ -11,9 +11,9 @@ import json
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 from typing import Any
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import (
@@ -144,6 +144,12 @@ def html_elements(html: Column | str) -> Column:
     return scan(as_column(html))
 
 
+def skips_class(classes: str, skip_classes: Sequence[str]) -> bool:
+    """Whether a class token contains a skip word, ignoring case."""
+    tokens = classes.lower().split()
+    return any(skip.lower() in token for token in tokens for skip in skip_classes)
+
+
 def _has_skipped_class(classes: Column, skip_classes: Sequence[str]) -> Column:
     """True where a class token contains a skip word. Tokens hold no white space, so a word
     without white space is looked for in the whole attribute, one with any never matches."""
@@ -164,10 +170,10 @@ def is_kept(element: Column, config: ExtractConfig) -> Column:
     )
 
 
-def _bounds(counts: np.ndarray, min_words: int, max_words: int) -> list[tuple[int, int, int]]:
+def chunk_bounds(counts: list[int], min_words: int, max_words: int) -> list[tuple[int, int, int]]:
     """(start, size, words) of greedily filled chunks; a wordless tail is no chunk."""
     bounds, start, words = [], 0, 0
-    for index, count in enumerate(counts.tolist()):
+    for index, count in enumerate(counts):
         if words + count > max_words and words >= min_words:
             bounds.append((start, index - start, words))
             start, words = index, 0
@@ -190,7 +196,9 @@ def pack_bounds(word_counts: Column, min_words: int, max_words: int) -> Column:
         flat = lists.values.to_numpy(zero_copy_only=False)
         starts = lists.offsets.to_numpy()
         packed = [
-            None if not lists[i].is_valid else _bounds(flat[starts[i] : starts[i + 1]], min_words, max_words)
+            None if not lists[i].is_valid else chunk_bounds(
+                flat[starts[i] : starts[i + 1]].tolist(), min_words, max_words
+            )
             for i in range(len(lists))
         ]
         kind = pa.list_(pa.struct([(f.name, pa.int32()) for f in BOUND]))
@@ -202,19 +210,28 @@ def pack_bounds(word_counts: Column, min_words: int, max_words: int) -> Column:
     return pack(word_counts)
 
 
+URL_STARTS = ("s3://", "http://", "https://")
+URL_ERROR = "extract_html expects HTML content, not URL. Fetch the object first."
+
+
+def size_error(size: str, max_bytes: int) -> str:
+    return f"Document too large: {size} bytes (max {max_bytes}). Split into chapters."
+
+
+def input_error(html: str, max_bytes: int = MAX_HTML_BYTES) -> str | None:
+    """Why a page must not be parsed, for one page at hand."""
+    if len(html) * 4 > max_bytes and (size := len(html.encode())) > max_bytes:
+        return size_error(str(size), max_bytes)
+    return URL_ERROR if html.startswith(URL_STARTS) else None
+
+
 def _guard(html: Column, max_bytes: int) -> Column:
     """A message for input that must not be parsed, else NULL."""
     size = F.octet_length(html)
+    is_url = reduce(Column.__or__, [html.startswith(start) for start in URL_STARTS])
     return F.when(
-        size > max_bytes,
-        F.concat(
-            F.lit("Document too large: "), size.cast("string"),
-            F.lit(f" bytes (max {max_bytes}). Split into chapters."),
-        ),
-    ).when(
-        html.startswith("s3://") | html.startswith("http://") | html.startswith("https://"),
-        F.lit("extract_html expects HTML content, not URL. Fetch the object first."),
-    )
+        size > max_bytes, F.format_string(size_error("%d", max_bytes), size)
+    ).when(is_url, F.lit(URL_ERROR))
 
 
 def _row(**values: Column) -> Column:

@@ -117,18 +117,16 @@ def _profile_rows(profiles: DataFrame) -> list[tuple[str, str, int]]:
     return [tuple(row) for row in rows]
 
 
-def language_of(text: Column | str, profiles: DataFrame) -> Column:
-    """struct(lang, confidence, reliable) per text; NULL for NULL.
-
-    ``profiles`` (300 rows per language, checked) is read once and travels with the function,
-    so the text is neither shuffled nor exploded.
-    """
+def language_judge(profiles: DataFrame):
+    """The Arrow function behind :func:`language_of`, for texts of letters and single spaces."""
     rows = _profile_rows(profiles)
 
     @F.arrow_udf(RESULT)
     def detect(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known = _Profiles(rows)
-        kind = pa.struct([("lang", pa.string()), ("confidence", pa.float64()), ("reliable", pa.bool_())])
+        kind = pa.struct(
+            [("lang", pa.string()), ("confidence", pa.float64()), ("reliable", pa.bool_())]
+        )
         names = kind.names
         for batch in batches:
             judged = [
@@ -137,7 +135,16 @@ def language_of(text: Column | str, profiles: DataFrame) -> Column:
             ]
             yield pa.array(judged, kind)
 
-    return detect(letters_only(as_column(text)))
+    return detect
+
+
+def language_of(text: Column | str, profiles: DataFrame) -> Column:
+    """struct(lang, confidence, reliable) per text; NULL for NULL.
+
+    ``profiles`` (300 rows per language, checked) is read once and travels with the function,
+    so the text is neither shuffled nor exploded.
+    """
+    return language_judge(profiles)(letters_only(as_column(text)))
 
 
 def detect_language(df: DataFrame, text_col: str, profiles: DataFrame) -> DataFrame:
@@ -156,9 +163,6 @@ def is_english(
 ) -> Column:
     """True where the text is reliably English, NULL for NULL."""
     judged = language_of(text, profiles)
-    return F.when(
-        as_column(text).isNotNull(),
-        F.coalesce((judged.lang == english) & judged.reliable, F.lit(False)),
-    ) if not null_compat else fill_nulls(
-        (judged.lang == english) & judged.reliable, F.lit(False), True
-    )
+    found = (judged.lang == english) & judged.reliable
+    known = F.when(judged.isNotNull(), F.coalesce(found, F.lit(False)))
+    return fill_nulls(known, False, null_compat)

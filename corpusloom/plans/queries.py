@@ -16,7 +16,7 @@ from corpusloom.operators.embedding import embed_column, fake_client
 from corpusloom.operators.html import extract_html
 from corpusloom.operators.language import detect_language, is_english, train_language_profiles
 from corpusloom.operators.scripts import transform_text, transform_text_per_row
-from corpusloom.session import new_folder
+from corpusloom.session import new_folder, spread
 from corpusloom.sources.http import (
     Request,
     Response,
@@ -56,6 +56,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def spread_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For the costly operators."""
+    return spread(documents(spark, sf_dir).select("doc_id", "lang", "text"))
+
+
 def _by_document(spark: SparkSession, sf_dir: str, **columns: Column) -> DataFrame:
     named = [column.alias(name) for name, column in columns.items()]
     return documents(spark, sf_dir).select("doc_id", *named)
@@ -144,7 +149,7 @@ def script_pipeline(spark, sf_dir):
         "regex_replace(text, '[0-9]+', 'NUM')",
         "truncate(lower(text), 300)",
     ]
-    docs = documents(spark, sf_dir).select("doc_id", "text")
+    docs = spread_documents(spark, sf_dir).select("doc_id", "text")
     return transform_text(docs, "text", steps, "out").select("doc_id", "out")
 
 
@@ -176,19 +181,19 @@ def _vector_rows(df: DataFrame, column: str | Column) -> DataFrame:
 
 @query
 def embed_fake_vectors(spark, sf_dir):
-    return _vector_rows(documents(spark, sf_dir), embed_fake("text", 8))
+    return _vector_rows(spread_documents(spark, sf_dir), embed_fake("text", 8))
 
 
 @query
 def embed_dedup_join(spark, sf_dir):
-    docs = documents(spark, sf_dir).select("doc_id", "text")
+    docs = spread_documents(spark, sf_dir).select("doc_id", "text")
     embedded = embed_column(docs, "text", fake_client(4), "vector", dedupe="global")
     return _vector_rows(embedded, "vector")
 
 
 @query
 def embed_in_place(spark, sf_dir):
-    docs = documents(spark, sf_dir).select("doc_id", "text")
+    docs = spread_documents(spark, sf_dir).select("doc_id", "text")
     return _vector_rows(embed_column(docs, "text", fake_client(4), "vector"), "vector")
 
 
@@ -213,12 +218,12 @@ def _count_characters(texts: list[str]) -> list[int]:
 
 @query
 def document_chunks(spark, sf_dir):
-    return chunk_documents(documents(spark, sf_dir), "text", ["doc_id"], 100)
+    return chunk_documents(spread_documents(spark, sf_dir), "text", ["doc_id"], 100)
 
 
 @query
 def conversation_chunks(spark, sf_dir):
-    turns = table(spark, sf_dir, "conversations")
+    turns = spread(table(spark, sf_dir, "conversations"))
     return chunk_documents(turns, "text", ["conv_id", "turn"], 20)
 
 
@@ -226,7 +231,7 @@ def conversation_chunks(spark, sf_dir):
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages")
+    return spread(table(spark, sf_dir, "pages"))
 
 
 @query
@@ -271,7 +276,7 @@ def html_class_filter(spark, sf_dir):
 
 @query
 def html_guards(spark, sf_dir):
-    return extract_html(pages(spark, sf_dir), "url", ["page_id"], "paragraph")
+    return extract_html(table(spark, sf_dir, "pages"), "url", ["page_id"], "paragraph")
 
 
 # --- language -----------------------------------------------------------------------------
@@ -279,12 +284,12 @@ def html_guards(spark, sf_dir):
 
 @query
 def language_profiles(spark, sf_dir):
-    return train_language_profiles(documents(spark, sf_dir), "text", "lang")
+    return train_language_profiles(spread_documents(spark, sf_dir), "text", "lang")
 
 
 @query
 def detected_languages(spark, sf_dir):
-    docs = documents(spark, sf_dir)
+    docs = spread_documents(spark, sf_dir)
     profiles = train_language_profiles(docs, "text", "lang")
     found = detect_language(docs.select("doc_id", "lang", "text"), "text", profiles)
     return found.select(
@@ -294,8 +299,8 @@ def detected_languages(spark, sf_dir):
 
 @query
 def english_turns(spark, sf_dir):
-    profiles = train_language_profiles(documents(spark, sf_dir), "text", "lang")
-    turns = table(spark, sf_dir, "conversations")
+    profiles = train_language_profiles(spread_documents(spark, sf_dir), "text", "lang")
+    turns = spread(table(spark, sf_dir, "conversations"))
     return turns.select("conv_id", "turn", is_english("text", profiles).alias("english"))
 
 
@@ -343,7 +348,7 @@ def _answer_row(request: Request) -> Response:
 
 @query
 def post_outcomes(spark, sf_dir):
-    bodies = table(spark, sf_dir, "events").select(
+    bodies = spread(table(spark, sf_dir, "events")).select(
         "event_id", F.col("event_id").cast("string").alias("body")
     )
     posted = post_rows(
@@ -360,7 +365,7 @@ def post_outcomes(spark, sf_dir):
 
 @query
 def post_scripted(spark, sf_dir):
-    events = table(spark, sf_dir, "events").select("event_id", "event_type", "props")
+    events = spread(table(spark, sf_dir, "events").select("event_id", "event_type"))
     scripted = transform_text(events, "event_type", "upper(text)", "body")
     headers = F.to_json(F.struct(F.col("event_type").alias("X-Type")))
     posted = post_rows(scripted, SERVICE, "body", headers=headers, transport=_echo)
@@ -384,7 +389,7 @@ def _stored(spark: SparkSession, sf_dir: str, content: str, root: str | None = N
     """(doc_id, path) after every document was written as one object below ``root``."""
     root = root or _object_root(spark)
     path = F.concat(F.lit(root + "/"), "doc_id", F.lit(".txt"))
-    docs = documents(spark, sf_dir).select("doc_id", path.alias("path"), F.col(content).alias("content"))
+    docs = spread_documents(spark, sf_dir).select("doc_id", path.alias("path"), F.col(content).alias("content"))
     write_objects(docs, "path", "content").write.format("noop").mode("overwrite").save()
     return docs.select("doc_id", "path")
 
@@ -399,7 +404,7 @@ def objects_roundtrip(spark, sf_dir):
 def objects_scan(spark, sf_dir):
     root = _object_root(spark)
     _stored(spark, sf_dir, "text", root)
-    found = read_objects(spark, f"{root}/*.txt")
+    found = read_objects(spark, root, "*.txt")
     doc_id = F.regexp_extract("path", r"([0-9]+)\.txt$", 1).cast("long")
     return found.select(doc_id.alias("doc_id"), F.col("content").alias("text"))
 
@@ -430,13 +435,13 @@ def objects_scripted(spark, sf_dir):
 
 @query
 def object_paths(spark, sf_dir):
-    parsed = pages(spark, sf_dir).select("page_id", parse_path("url").alias("p"))
+    parsed = table(spark, sf_dir, "pages").select("page_id", parse_path("url").alias("p"))
     return parsed.select("page_id", "p.scheme", "p.bucket", "p.key")
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages to heading-aware chunks with their token counts and stand-in vectors."""
-    chunks = extract_html(pages(spark, sf_dir), "html", ["page_id"])
+    chunks = extract_html(table(spark, sf_dir, "pages"), "html", ["page_id"])
     return chunks.withColumn("tokens", token_count("text")).withColumn(
         "vector", embed_fake("text", 16)
     )

@@ -58,3 +58,13 @@ def pinned(df: DataFrame, label: str) -> DataFrame:
     folder = new_folder(df.sparkSession, label)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """One part per core for a table that Spark reads in fewer parts than there are cores.
+
+    For costly row functions over a file with few row groups. A table with as many parts as
+    cores, so any large one, passes unchanged and is not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

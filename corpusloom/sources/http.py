@@ -144,7 +144,7 @@ def post_once(
     raise AssertionError("unreachable")
 
 
-def _post_udf(transport, retry, max_in_flight, on_error, constant_headers):
+def _post_functions(transport, retry, max_in_flight, on_error, constant_headers=None):
     def outcome(url, body, headers):
         if url is None or body is None:
             return None
@@ -186,6 +186,12 @@ def _post_udf(transport, retry, max_in_flight, on_error, constant_headers):
     return post_plain, post_headers
 
 
+def post_udf(transport: Transport, retry: RetryPolicy, max_in_flight: int, on_error: str):
+    """The Arrow function of (url, body, headers JSON)."""
+    _, post_headers = _post_functions(transport, retry, max_in_flight, on_error)
+    return F.arrow_udf(post_headers, RESPONSE).asNondeterministic()
+
+
 def post_column(
     url: Column | str,
     body: Column,
@@ -208,16 +214,13 @@ def post_column(
     per_row = isinstance(headers, Column)
     if not per_row:
         request_headers(headers, "")  # wrong headers fail here, before any request
-    post_plain, post_headers = _post_udf(
-        transport or UrlTransport(), retry, max_in_flight, on_error, None if per_row else headers
-    )
+    transport = transport or UrlTransport()
     address = url if isinstance(url, Column) else F.lit(url)
     if per_row:
-        call = F.arrow_udf(post_headers, RESPONSE).asNondeterministic()
-        result = call(address, body, headers)
+        result = post_udf(transport, retry, max_in_flight, on_error)(address, body, headers)
     else:
-        call = F.arrow_udf(post_plain, RESPONSE).asNondeterministic()
-        result = call(address, body)
+        post_plain, _ = _post_functions(transport, retry, max_in_flight, on_error, headers)
+        result = F.arrow_udf(post_plain, RESPONSE).asNondeterministic()(address, body)
     empty = F.struct(
         F.lit(0).alias("status_code"), F.lit("").alias("body"), F.lit("").alias("headers")
     )

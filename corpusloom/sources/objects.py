@@ -160,16 +160,8 @@ def _settle(call: Callable, on_error: str) -> Callable:
     return lenient
 
 
-def fetch_text(
-    path: Column | str,
-    resolver: Resolver | None = None,
-    max_in_flight: int = DEFAULT_IN_FLIGHT,
-    on_error: str = "fail",
-    null_compat: bool = False,
-) -> Column:
-    """The whole object as UTF-8 text."""
+def fetch_udf(resolver: Resolver, max_in_flight: int, on_error: str):
     read = _settle(_read, on_error)
-    resolver = resolver or DefaultResolver()
 
     @F.arrow_udf(StringType())
     def fetch(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -187,24 +179,23 @@ def fetch_text(
                             recent.put(p, text)
                     yield pa.array([texts.get(p) for p in paths], pa.string())
 
-    return fill_nulls(fetch.asNondeterministic()(as_column(path)), "", null_compat)
+    return fetch.asNondeterministic()
 
 
-def put_text(
+def fetch_text(
     path: Column | str,
-    content: Column | str,
     resolver: Resolver | None = None,
     max_in_flight: int = DEFAULT_IN_FLIGHT,
     on_error: str = "fail",
     null_compat: bool = False,
 ) -> Column:
-    """Write one object per row and give its address; NULL path or content writes nothing.
+    """The whole object as UTF-8 text."""
+    fetch = fetch_udf(resolver or DefaultResolver(), max_in_flight, on_error)
+    return fill_nulls(fetch(as_column(path)), "", null_compat)
 
-    An object that exists is replaced, so running a task again does no harm. Rows that share
-    an address overwrite each other in no given order.
-    """
+
+def put_udf(resolver: Resolver, max_in_flight: int, on_error: str):
     write = _settle(_write, on_error)
-    resolver = resolver or DefaultResolver()
 
     @F.arrow_udf(StringType())
     def put(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
@@ -216,19 +207,28 @@ def put_text(
                 written = pool.map(one, paths.to_pylist(), texts.to_pylist())
                 yield pa.array(list(written), pa.string())
 
-    return fill_nulls(put.asNondeterministic()(as_column(path), as_column(content)), "", null_compat)
+    return put.asNondeterministic()
 
 
-def object_exists(
+def put_text(
     path: Column | str,
+    content: Column | str,
     resolver: Resolver | None = None,
     max_in_flight: int = DEFAULT_IN_FLIGHT,
     on_error: str = "fail",
     null_compat: bool = False,
 ) -> Column:
-    """Whether an object is there; asks for its entry, not its content."""
+    """Write one object per row and give its address; NULL path or content writes nothing.
+
+    An object that exists is replaced, so running a task again does no harm. Rows that share
+    an address overwrite each other in no given order.
+    """
+    put = put_udf(resolver or DefaultResolver(), max_in_flight, on_error)
+    return fill_nulls(put(as_column(path), as_column(content)), "", null_compat)
+
+
+def exists_udf(resolver: Resolver, max_in_flight: int, on_error: str):
     probe = _settle(_exists, on_error)
-    resolver = resolver or DefaultResolver()
 
     @F.arrow_udf(BooleanType())
     def exists(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -239,16 +239,34 @@ def object_exists(
                 found = dict(zip(wanted, pool.map(lambda p: probe(resolver, p), wanted)))
                 yield pa.array([found.get(p) for p in paths], pa.bool_())
 
-    return fill_nulls(exists.asNondeterministic()(as_column(path)), False, null_compat)
+    return exists.asNondeterministic()
+
+
+def object_exists(
+    path: Column | str,
+    resolver: Resolver | None = None,
+    max_in_flight: int = DEFAULT_IN_FLIGHT,
+    on_error: str = "fail",
+    null_compat: bool = False,
+) -> Column:
+    """Whether an object is there; asks for its entry, not its content."""
+    exists = exists_udf(resolver or DefaultResolver(), max_in_flight, on_error)
+    return fill_nulls(exists(as_column(path)), False, null_compat)
 
 
 # --- operators over tables -------------------------------------------------------------------
 
 
-def read_objects(spark: SparkSession, glob: str) -> DataFrame:
-    """(path, content) of all objects under a glob: the scan form, listed and split by Spark."""
-    files = spark.read.format("binaryFile").load(glob)
-    return files.select("path", F.decode("content", "UTF-8").alias("content"))
+def read_objects(spark: SparkSession, folder: str, pattern: str | None = None) -> DataFrame:
+    """(path, content) of all objects below a folder, by name pattern if given.
+
+    The scan form: Spark lists the folder once and splits the objects over its tasks. Content
+    that is not UTF-8 fails the query.
+    """
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
+    return reader.load(folder).select("path", F.decode("content", "UTF-8").alias("content"))
 
 
 def fetch_objects(df: DataFrame, path_col: str, out: str = "content", **options) -> DataFrame:

@@ -13,6 +13,14 @@ TABLES = (
     "benchmark labels conversations"
 ).split()
 
+TYPE_NAMES = {
+    "VARCHAR": "string",
+    "BIGINT": "bigint",
+    "INTEGER": "int",
+    "DOUBLE": "double",
+    "BOOLEAN": "boolean",
+}
+
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     connection = duckdb.connect()
@@ -43,6 +51,9 @@ def compare(spark, connection, query, sql: str, sf_dir: str) -> str | None:
     names = [d[0] for d in cursor.description]
     if sorted(names) != sorted(frame.columns):
         return f"columns {sorted(frame.columns)} against {sorted(names)}"
+    types = {d[0]: TYPE_NAMES.get(str(d[1]), str(d[1])) for d in cursor.description}
+    if types != dict(frame.dtypes):
+        return f"types {dict(frame.dtypes)} against {types}"
     wanted = rows_of(names, cursor.fetchall())
     if got == wanted:
         return None
