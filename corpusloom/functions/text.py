@@ -7,6 +7,7 @@ The same functions are offered to SQL text (and so to scripts) by :func:`registe
 from __future__ import annotations
 
 import re
+import weakref
 
 from pyspark.sql import Column, SparkSession, functions as F
 
@@ -49,14 +50,17 @@ def trim_text(text: Column | str) -> Column:
 
 
 def lowercase(text: Column | str) -> Column:
+    """Full Unicode lower case."""
     return F.lower(as_column(text))
 
 
 def uppercase(text: Column | str) -> Column:
+    """Full Unicode upper case."""
     return F.upper(as_column(text))
 
 
 def identity(text: Column | str) -> Column:
+    """The text as it is."""
     return as_column(text)
 
 
@@ -294,10 +298,16 @@ SQL_FUNCTIONS = {
 }
 
 
+_registered: weakref.WeakSet[SparkSession] = weakref.WeakSet()
+
+
 def register_sql(spark: SparkSession) -> None:
     """Make the text functions callable from SQL text; Catalyst inlines their bodies."""
+    if spark in _registered:
+        return
     for name, (parameters, result, body) in SQL_FUNCTIONS.items():
         spark.sql(
             f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({parameters}) "
             f"RETURNS {result} RETURN {body}"
         )
+    _registered.add(spark)

@@ -22,8 +22,27 @@ def batch_size_of(value: int | str) -> int:
     return size
 
 
+# a row id holds the number of its part above the bits of the place in it
+_PLACE_BITS = 33
+
+
+def _numbered_parts(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
+    """The rows pinned in order, with ``__part`` and ``__place`` in it."""
+    names = [F.col(f"`{c}`") for c in df.columns]
+    row_id = F.monotonically_increasing_id().alias("__row")
+    rows = pinned(df.select(*names, row_id), "rows")
+    if order_by:
+        ordered = rows.orderBy(*[F.col(f"`{c}`") for c in order_by], "__row")
+        rows = pinned(ordered.select(*names, row_id), "ordered")
+    return rows.select(
+        *names,
+        F.shiftright("__row", _PLACE_BITS).cast("int").alias("__part"),
+        F.col("__row").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)).alias("__place"),
+    )
+
+
 def dense_positions(df: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
-    """Add ``position``: 0, 1, 2 … without gaps, in the order of ``order_by``.
+    """Add ``position``: 0, 1, 2, ... without gaps, in the order of ``order_by``.
 
     The rows are pinned with a row id, range-sorted over all tasks with that id as the last
     sort key, and pinned again. The id makes the sort deterministic when a task is repeated,
@@ -34,23 +53,17 @@ def dense_positions(df: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
 
     Without ``order_by`` the rows keep the order in which they were read and nothing is sorted.
     """
-    names = [F.col(f"`{c}`") for c in df.columns]
-    row_id = F.monotonically_increasing_id()
-    rows = pinned(df.select(*names, row_id.alias("__row")), "rows")
-    if order_by:
-        ordered = rows.orderBy(*[F.col(f"`{c}`") for c in order_by], "__row")
-        rows = pinned(ordered.select(*names, row_id.alias("__row")), "ordered")
-    # a row id holds the number of its part above the 33 bits of the place in it
-    parts = rows.withColumn("__part", F.shiftright("__row", 33).cast("int"))
-
-    sizes = parts.groupBy("__part").agg(F.count(F.lit(1)).alias("__size"))
+    rows = _numbered_parts(df, order_by)
+    sizes = rows.groupBy("__part").agg(F.count(F.lit(1)).alias("__size"))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(
         "__part", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__start")
     )
-    placed = parts.join(F.broadcast(starts), "__part")
-    place = F.col("__row").bitwiseAND(F.lit((1 << 33) - 1))
-    return placed.select(*names, (F.col("__start") + place).alias("position"))
+    placed = rows.join(F.broadcast(starts), "__part")
+    return placed.select(
+        *[F.col(f"`{c}`") for c in df.columns],
+        (F.col("__start") + F.col("__place")).alias("position"),
+    )
 
 
 def dense_batches(

@@ -20,6 +20,9 @@ DOCUMENT_SIZE = 600
 RELIABLE_ABOVE = 0.9
 # 300 rows per language: the table handed to every task stays below a few megabytes
 MAX_PROFILE_ROWS = PROFILE_SIZE * 500
+# characters whose trigrams a task sorts together
+COUNTED_AT_ONCE = 1 << 21
+_POINT = (1 << 21) - 1
 
 RESULT = StructType(
     [
@@ -36,21 +39,85 @@ def letters_only(text: Column) -> Column:
     return F.concat(F.lit(" "), F.btrim(spaced), F.lit(" "))
 
 
+def _codes(points: np.ndarray) -> np.ndarray:
+    """One integer per trigram, in the order of the trigrams as text."""
+    points = points.astype(np.int64)
+    return (points[:-2] << 42) | (points[1:-1] << 21) | points[2:]
+
+
+def _code_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
+
+
+def _counted(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct trigrams of a text, sorted, and their counts.
+
+    A long text is counted in parts that overlap by two characters.
+    """
+    parts = [
+        np.unique(_codes(points[at : at + COUNTED_AT_ONCE + 2]), return_counts=True)
+        for at in range(0, len(points) - 2, COUNTED_AT_ONCE)
+    ]
+    if len(parts) == 1:
+        return parts[0]
+    codes, place = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
+    counts = np.zeros(len(codes), dtype=np.int64)
+    np.add.at(counts, place, np.concatenate([n for _, n in parts]))
+    return codes, counts
+
+
+def _trigram_counts(lang: str, texts: list[str]) -> pa.RecordBatch:
+    """Trigrams of several texts of one language with their counts.
+
+    The texts are counted as one: where they meet there are two spaces, which no text has
+    inside, so trigrams over a border are known by them.
+    """
+    codes, counts = _counted(_code_points("".join(texts)))
+    first, second, third = codes >> 42, (codes >> 21) & _POINT, codes & _POINT
+    space = ord(" ")
+    inside = (second != space) | ((first != space) & (third != space))
+    trigrams = [
+        chr(a) + chr(b) + chr(c)
+        for a, b, c in zip(*(part[inside].tolist() for part in (first, second, third)))
+    ]
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([lang] * len(trigrams), pa.string()),
+            pa.array(trigrams, pa.string()),
+            pa.array(counts[inside].astype(np.int64)),
+        ],
+        names=["lang", "trigram", "n"],
+    )
+
+
+def _count_in_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts per (lang, trigram) of some millions of characters at a time."""
+    waiting: dict[str, list[str]] = {}
+    size = 0
+    for batch in batches:
+        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            if len(text) < 3:
+                continue
+            waiting.setdefault(lang, []).append(text)
+            size += len(text)
+            if size >= COUNTED_AT_ONCE:
+                yield from (_trigram_counts(*item) for item in waiting.items())
+                waiting, size = {}, 0
+    yield from (_trigram_counts(*item) for item in waiting.items())
+
+
 def train_language_profiles(df: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     """(lang, trigram, rank): the 300 most frequent trigrams of every language, rank from 0.
 
     Trigrams are counted where they are read; only counts per (lang, trigram) are shuffled,
     and each task passes on no more than its first 300 per language to the ranking.
     """
-    trigrams = F.regexp_extract_all(
-        letters_only(F.col(f"`{text_col}`")), F.lit("(?s)(?=(...))"), F.lit(1)
-    )
-    counts = (
-        df.where(F.col(lang_col).isNotNull())
-        .select(F.col(f"`{lang_col}`").alias("lang"), F.explode(trigrams).alias("trigram"))
-        .groupBy("lang", "trigram")
-        .agg(F.count(F.lit(1)).alias("n"))
+    lang, text = F.col(f"`{lang_col}`"), F.col(f"`{text_col}`")
+    texts = df.where(lang.isNotNull() & text.isNotNull()).select(
+        lang.alias("lang"), letters_only(text).alias("text")
     )
+    counted = texts.mapInArrow(_count_in_task, "lang string, trigram string, n long")
+    counts = counted.groupBy("lang", "trigram").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "trigram")
     return (
         counts.withColumn("place", F.row_number().over(order))
@@ -59,16 +126,6 @@ def train_language_profiles(df: DataFrame, text_col: str, lang_col: str) -> Data
     )
 
 
-def _codes(points: np.ndarray) -> np.ndarray:
-    """One integer per trigram, in the order of the trigrams as text."""
-    points = points.astype(np.int64)
-    return (points[:-2] << 42) | (points[1:-1] << 21) | points[2:]
-
-
-def _code_points(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
-
-
 class _Profiles:
     """Profile trigrams sorted by code, for lookup of a document's ranked trigrams."""
 
@@ -86,7 +143,7 @@ class _Profiles:
         points = _code_points(text)
         if len(points) < 3 or not len(self.codes):
             return None, 0.0, False
-        trigrams, counts = np.unique(_codes(points), return_counts=True)
+        trigrams, counts = _counted(points)
         ranked = trigrams[np.argsort(-counts, kind="stable")[:DOCUMENT_SIZE]]
         # where each profile trigram stands in the document, if it does
         by_code = np.argsort(ranked)

@@ -36,7 +36,7 @@ def _hidden(df: DataFrame, name: str) -> str:
 def _apply(df: DataFrame, text_col: str, build, out: str) -> DataFrame:
     """Evaluate ``build()`` where ``text`` is ``text_col`` and the columns go by hidden names.
 
-    Two plain projections, which the optimizer merges.
+    Plain projections, which the optimizer merges.
     """
     register_sql(df.sparkSession)
     bound = df.select(
@@ -45,15 +45,15 @@ def _apply(df: DataFrame, text_col: str, build, out: str) -> DataFrame:
     )
     kept = [F.col(_hidden(df, c)).alias(c) for c in df.columns if c != out]
     try:
-        result = bound.select(*kept, build().alias(out))
-        data_type = result.schema[out].dataType
+        evaluated = bound.select("*", build().alias("__out"))
+        data_type = evaluated.schema["__out"].dataType
     except (ParseException, AnalysisException) as error:
         raise ScriptError(f"Script compilation error: {error}") from error
     if not isinstance(data_type, StringType):
         raise ScriptError(
             f"Script execution error: the result is {data_type.simpleString()}, not a string"
         )
-    return result
+    return evaluated.select(*kept, F.col("__out").alias(out))
 
 
 def transform_text(

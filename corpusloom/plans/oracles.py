@@ -51,7 +51,7 @@ FROM documents"""
 
 ORACLES["text_regex_replace"] = r"""
 SELECT doc_id,
-       regexp_replace(text, '([\pL\pN_\pM]+)@([\pL\pN_\pM]+)|[0-9]+', '<\2>', 'g') AS out
+       regexp_replace(text, '([0-9])([0-9]*)', '<\2>', 'g') AS out
 FROM documents"""
 
 ORACLES["text_regex_match"] = r"""

@@ -63,7 +63,7 @@ def spread_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _by_document(spark: SparkSession, sf_dir: str, **columns: Column) -> DataFrame:
     named = [column.alias(name) for name, column in columns.items()]
-    return documents(spark, sf_dir).select("doc_id", *named)
+    return spread_documents(spark, sf_dir).select("doc_id", *named)
 
 
 # --- text ---------------------------------------------------------------------------------
@@ -106,7 +106,7 @@ def text_squeeze(spark, sf_dir):
 
 @query
 def text_regex_replace(spark, sf_dir):
-    return _by_document(spark, sf_dir, out=T.regex_replace("text", r"(\w+)@(\w+)|[0-9]+", "<$2>"))
+    return _by_document(spark, sf_dir, out=T.regex_replace("text", "([0-9])([0-9]*)", "<$2>"))
 
 
 @query
@@ -118,7 +118,7 @@ def text_regex_match(spark, sf_dir):
 
 @query
 def text_lines(spark, sf_dir):
-    docs = documents(spark, sf_dir)
+    docs = spread_documents(spark, sf_dir)
     return docs.select("doc_id", F.posexplode(T.lines("text")).alias("line_no", "line"))
 
 
@@ -158,14 +158,14 @@ def script_per_row(spark, sf_dir):
     scripts = ["lower(text)", "skip_lines(text, 1)", "truncate(squeeze_whitespace(text), 50)"]
     # every fourth document has no script
     chosen = F.get(F.array(*map(F.lit, scripts)), (F.col("doc_id") % 4).cast("int"))
-    docs = documents(spark, sf_dir).select("doc_id", "text", chosen.alias("script"))
+    docs = spread_documents(spark, sf_dir).select("doc_id", "text", chosen.alias("script"))
     return transform_text_per_row(docs, "text", "script", "out").select("doc_id", "out")
 
 
 @query
 def cleaned_words_by_language(spark, sf_dir):
     cleaned = T.regex_replace(T.squeeze_whitespace("text"), "[0-9]+", "#")
-    words = documents(spark, sf_dir).select("lang", T.word_count(cleaned).alias("words"))
+    words = spread_documents(spark, sf_dir).select("lang", T.word_count(cleaned).alias("words"))
     return words.groupBy("lang").agg(
         F.count(F.lit(1)).alias("documents"), F.sum("words").alias("words")
     )

@@ -2,8 +2,12 @@
 
 Requests are made inside the tasks that hold the rows, up to ``max_in_flight`` at a time per
 task, so the load on a service is that number times the tasks running at once (``tasks``
-lowers the latter). Spark may run a task again after a failure: every request carries an
-``Idempotency-Key`` made of its address and body.
+lowers the latter).
+
+Spark computes a column again whenever a later step reads it twice (a sort samples its input
+first) and runs a task again after a failure. So the operators on tables post at once and pin
+the outcomes (``once``), and every request carries an ``Idempotency-Key`` made of its address
+and body.
 """
 
 from __future__ import annotations
@@ -25,6 +29,7 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 from corpusloom.functions.retry import CONNECT_ERRORS, DEFAULT_IN_FLIGHT, RetryPolicy
 from corpusloom.functions.text import as_column, fill_nulls
 from corpusloom.operators.batches import batch_size_of, dense_batches
+from corpusloom.session import pinned
 
 RESPONSE = StructType(
     [
@@ -233,15 +238,20 @@ def post_rows(
     body_col: str,
     out: str = "response",
     tasks: int | None = None,
+    once: bool = True,
     **options,
 ) -> DataFrame:
-    """Add ``out`` = the response to one POST per row; see :func:`post_column`.
+    """Add ``out`` = the response to one POST per row; options as for :func:`post_column`.
 
-    To post a transformed text, apply :func:`corpusloom.operators.scripts.transform_text` first.
+    With ``once`` the requests are made now and the rows come from the shared folder;
+    without it they are made whenever the result is computed. Select the columns to keep
+    before. To post a transformed text, apply
+    :func:`corpusloom.operators.scripts.transform_text` first.
     """
     if tasks:
         df = df.coalesce(tasks)
-    return df.withColumn(out, post_column(url, as_column(body_col), **options))
+    posted = df.withColumn(out, post_column(url, as_column(body_col), **options))
+    return pinned(posted, "posted") if once else posted
 
 
 def response_headers(headers: Column | str) -> Column:
@@ -257,6 +267,7 @@ def post_batches(
     batch_size: int | str,
     headers: dict[str, str] | str | None = None,
     tasks: int | None = None,
+    once: bool = True,
     **options,
 ) -> DataFrame:
     """POST ``batch_size`` payloads at a time as one JSON array of strings.
@@ -268,14 +279,15 @@ def post_batches(
     request_headers(headers, "")
     bodies = batch_bodies(df, payload_col, order_by, size)
     posted = post_rows(
-        bodies, url, "body", headers=headers, on_error="row", tasks=tasks, **options
+        bodies, url, "body", headers=headers, on_error="row", tasks=tasks, once=False, **options
     )
-    return posted.select(
+    outcomes = posted.select(
         "batch_id",
         "row_count",
         F.col("response.status_code").alias("status_code"),
         F.col("response.body").alias("response_body"),
     )
+    return pinned(outcomes, "outcomes") if once else outcomes
 
 
 def batch_bodies(
