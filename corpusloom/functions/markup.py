@@ -22,8 +22,8 @@ _TOKEN = re.compile(
     r"((?:[^>=]++|=\s*(?:\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))?)*+)(>|\Z)",
     re.S,
 )
-_CLASS = re.compile(
-    r"(?:^|[\s\"'/])class\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*))", re.I | re.S
+_ATTRIBUTE = re.compile(
+    r"([^\s=/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?", re.S
 )
 _STANDARD_DOCTYPE = re.compile(r"\s*(?:<!--.*?-->\s*)*<!doctype\s+html\b", re.I | re.S)
 
@@ -124,6 +124,14 @@ class _OpenElements:
         return True
 
 
+def _class_attribute(attributes: str) -> str:
+    """The value of the first class attribute, '' if there is none."""
+    for match in _ATTRIBUTE.finditer(attributes):
+        if match[1].lower() == "class":
+            return html.unescape(match[2] or match[3] or match[4] or "")
+    return ""
+
+
 def page_elements(page: str) -> list[tuple[str, str, str]]:
     """(tag, class attribute, text) of all headings and paragraphs in document order."""
     page = page.replace("\r\n", "\n").replace("\r", "\n").replace("\0", "")
@@ -140,9 +148,7 @@ def page_elements(page: str) -> list[tuple[str, str, str]]:
                 sink.append(piece)
 
     def record(name: str, attributes: str) -> tuple[str, str, list[str]]:
-        match = _CLASS.search(attributes) if attributes else None
-        classes = html.unescape(next((g for g in match.groups() if g is not None), "")) if match else ""
-        entry = (name, classes, [])
+        entry = (name, _class_attribute(attributes), [])
         found.append(entry)
         return entry
 

@@ -33,7 +33,7 @@ def _numbered_parts(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
     rows = pinned(df.select(*names, row_id), "rows")
     if order_by:
         ordered = rows.orderBy(*[F.col(f"`{c}`") for c in order_by], "__row")
-        rows = pinned(ordered.select(*names, row_id), "ordered")
+        rows = pinned(ordered.select(*names, row_id), "ordered", source=rows)
     return rows.select(
         *names,
         F.shiftright("__row", _PLACE_BITS).cast("int").alias("__part"),

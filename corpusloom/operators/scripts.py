@@ -13,7 +13,7 @@ from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType
 
-from corpusloom.functions.text import register_sql
+from corpusloom.functions.text import fill_nulls, register_sql
 
 IDENTITY = "text"
 
@@ -57,7 +57,11 @@ def _apply(df: DataFrame, text_col: str, build, out: str) -> DataFrame:
 
 
 def transform_text(
-    df: DataFrame, text_col: str, script: str | Sequence[str] | None, out: str | None = None
+    df: DataFrame,
+    text_col: str,
+    script: str | Sequence[str] | None,
+    out: str | None = None,
+    null_compat: bool = False,
 ) -> DataFrame:
     """Add ``out`` = the script applied to ``text_col``; a list of scripts runs left to right.
 
@@ -69,7 +73,7 @@ def transform_text(
     for step in steps:
         df = _apply(df, source, lambda step=step: _compile(step), out)
         source = out
-    return df
+    return df.withColumn(out, fill_nulls(F.col(f"`{out}`"), "", null_compat))
 
 
 def transform_text_per_row(
@@ -79,6 +83,7 @@ def transform_text_per_row(
     out: str | None = None,
     scripts: Sequence[str] | None = None,
     max_scripts: int = 1000,
+    null_compat: bool = False,
 ) -> DataFrame:
     """Apply to each row the script that ``script_col`` holds (NULL: the text as it is).
 
@@ -107,7 +112,8 @@ def transform_text_per_row(
             F.raise_error(F.concat(F.lit("script not listed: "), chosen)).cast("string")
         )
 
-    return _apply(df, text_col, build, out)
+    done = _apply(df, text_col, build, out)
+    return done.withColumn(out, fill_nulls(F.col(f"`{out}`"), "", null_compat))
 
 
 __all__ = ["ScriptError", "transform_text", "transform_text_per_row"]

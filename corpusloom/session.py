@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,20 +45,48 @@ def shared_dir(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_folders: weakref.WeakKeyDictionary[SparkSession, set[str]] = weakref.WeakKeyDictionary()
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    folder = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _folders.setdefault(spark, set()).add(folder)
+    return folder
+
+
+def drop_folders(spark: SparkSession, *folders: str) -> None:
+    """Delete folders that :func:`new_folder` named for this session, by default all of them.
+
+    Call it when the results that read from them are written elsewhere.
+    """
+    known = _folders.get(spark, set())
+    for folder in folders or tuple(known):
+        if folder not in known:
+            raise ValueError(f"not a folder of this session: {folder}")
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        known.discard(folder)
 
 
-def pinned(df: DataFrame, label: str) -> DataFrame:
+def pinned(df: DataFrame, label: str, source: DataFrame | None = None) -> DataFrame:
     """The rows of ``df`` written to the shared folder and read back.
 
     Cuts the lineage: what was computed once stays as it is when executors are lost, and later
-    steps read only the columns they need.
+    steps read only the columns they need. ``source`` is a pinned table that only ``df`` reads;
+    its folder is dropped.
     """
-    folder = new_folder(df.sparkSession, label)
+    spark = df.sparkSession
+    folder = new_folder(spark, label)
     df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    frame = spark.read.schema(df.schema).parquet(folder)
+    _pinned_at[frame] = folder
+    if source is not None:
+        drop_folders(spark, _pinned_at.pop(source))
+    return frame
+
+
+_pinned_at: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -1,7 +1,8 @@
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
-from corpusloom.session import new_folder, shared_dir, spread
+from corpusloom.session import drop_folders, new_folder, pinned, shared_dir, spread
 from oracle import compare, connect
 
 
@@ -33,6 +34,21 @@ def test_shared_folder(spark):
     assert new_folder(spark, "x").startswith(shared_dir(spark) + "/x-")
 
 
+def test_folders_can_be_dropped(spark):
+    first = pinned(spark.range(5), "first")
+    second = pinned(first.select((F.col("id") + 1).alias("id")), "second", source=first)
+    assert sorted(r.id for r in second.collect()) == [1, 2, 3, 4, 5]
+    with pytest.raises(Exception, match="(?i)not.exist|path"):
+        first.collect()
+    kept = new_folder(spark, "kept")
+    spark.range(3).write.parquet(kept)
+    drop_folders(spark, kept)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(kept)
+    with pytest.raises(ValueError, match="not a folder of this session"):
+        drop_folders(spark, "/tmp")
+
+
 def test_spread_leaves_large_tables_alone(spark):
     many = spark.range(0, 100, numPartitions=50)
     assert spread(many) is many

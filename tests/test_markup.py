@@ -68,6 +68,8 @@ def test_nested_paragraph_counts_in_both():
         ('<p class="a b">', "a b"), ("<p class='a'>", "a"), ("<p class=a>", "a"),
         ("<p CLASS = 'A'>", "A"), ("<p data-class='x'>", ""), ("<p id=x class=y>", "y"),
         ('<p class="a&amp;b">', "a&b"), ("<p>", ""), ("<p class>", ""),
+        ("""<p title=" class=no" class='b'>""", "b"), ("<p class=a class=b>", "a"),
+        ("<p/class=a>", "a"),
     ],
 )
 def test_classes(tag, classes):

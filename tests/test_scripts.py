@@ -31,6 +31,7 @@ def test_golden_values(df, script, expected):
 
 def test_null_text_gives_null(df):
     assert values(transform_text(df, "body", "upper(text)", "out"))[2] is None
+    assert values(transform_text(df, "body", "upper(text)", "out", null_compat=True))[2] == ""
 
 
 def test_replaces_the_column_and_keeps_the_others(df):
