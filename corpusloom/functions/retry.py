@@ -1,4 +1,4 @@
-"""Retry rules shared by the clients of outside services."""
+"""Clients of outside services: where they are, how often to ask, when to ask again."""
 
 from __future__ import annotations
 
@@ -6,7 +6,9 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
+# Requests in flight per task, the address of a service that names none.
 DEFAULT_IN_FLIGHT = 32
+DEFAULT_ENDPOINT = "http://localhost:50051"
 
 
 class TransientError(Exception):
@@ -40,6 +42,29 @@ class RetryPolicy:
                 sleep(self.wait(attempt))
 
 
+class Clients:
+    """The clients a task has made, one per endpoint; NULL stands for the default endpoint."""
+
+    def __init__(self, factory: Callable[[str], Callable]) -> None:
+        self._factory = factory
+        self._made: dict[str, Callable] = {}
+
+    def __getitem__(self, endpoint: str | None) -> Callable:
+        endpoint = endpoint or DEFAULT_ENDPOINT
+        if endpoint not in self._made:
+            self._made[endpoint] = self._factory(endpoint)
+        return self._made[endpoint]
+
+
+def rows_by_endpoint(texts: list, endpoints: list) -> dict[str | None, list[int]]:
+    """The numbers of the rows that have a text, by endpoint."""
+    groups: dict[str | None, list[int]] = {}
+    for row, (text, endpoint) in enumerate(zip(texts, endpoints)):
+        if text is not None:
+            groups.setdefault(endpoint, []).append(row)
+    return groups
+
+
 # Three attempts, waits of 1 and 2 seconds; counting fails at once without a connection.
 EMBED_RETRY = RetryPolicy(retries=2, first_wait=1.0)
 TOKEN_RETRY = RetryPolicy(retries=2, first_wait=1.0, retry_connect=False)

@@ -10,13 +10,19 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from corpusloom.functions.markup import words_in
-from corpusloom.functions.retry import NO_RETRY, TOKEN_RETRY, RetryPolicy
+from corpusloom.functions.retry import (
+    NO_RETRY,
+    TOKEN_RETRY,
+    Clients,
+    RetryPolicy,
+    rows_by_endpoint,
+)
 from corpusloom.functions.text import as_column, fill_nulls, java_pattern, word_count
 
 # A counter takes a list of texts and returns their token counts in the same order.
 Counter = Callable[[list[str]], list[int]]
-# A factory makes a counter inside the Python worker, once per task.
-CounterFactory = Callable[[], Counter]
+# A factory makes a counter for an endpoint inside the Python worker, once per task.
+CounterFactory = Callable[[str], Counter]
 Tokenizer = str | CounterFactory
 
 _SENTENCE_END = re.compile(rb"[.!?]")
@@ -27,23 +33,48 @@ def _local_counter(tokenizer: Tokenizer) -> tuple[CounterFactory, bool]:
     if callable(tokenizer):
         return tokenizer, False
     if tokenizer == "words":
-        return lambda: lambda texts: [words_in(t) for t in texts], True
+        return lambda _: lambda texts: [words_in(t) for t in texts], True
     if tokenizer.startswith("regex:"):
         pattern = re.compile(tokenizer[len("regex:") :])
-        return lambda: lambda texts: [sum(1 for _ in pattern.finditer(t)) for t in texts], True
+        return lambda _: lambda texts: [sum(1 for _ in pattern.finditer(t)) for t in texts], True
     raise ValueError(f"unknown tokenizer {tokenizer!r}")
 
 
+def endpoint_column(endpoint: Column | str | None) -> Column:
+    return endpoint if isinstance(endpoint, Column) else F.lit(endpoint).cast("string")
+
+
+def counter_udf(factory: CounterFactory, retry: RetryPolicy = NO_RETRY):
+    """The Arrow function of (text, endpoint) that asks a counter."""
+
+    @F.arrow_udf(LongType())
+    def count(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        clients = Clients(factory)
+        for batch in batches:
+            texts, endpoints = (column.to_pylist() for column in batch)
+            counts: list[int | None] = [None] * len(texts)
+            for endpoint, rows in rows_by_endpoint(texts, endpoints).items():
+                distinct = list(dict.fromkeys(texts[row] for row in rows))
+                found = dict(zip(distinct, retry.call(clients[endpoint], distinct)))
+                for row in rows:
+                    counts[row] = found[texts[row]]
+            yield pa.array(counts, pa.int64())
+
+    return count.asNondeterministic()
+
+
 def token_count(
     text: Column | str,
     tokenizer: Tokenizer = "words",
+    endpoint: Column | str | None = None,
     retry: RetryPolicy = NO_RETRY,
     null_compat: bool = False,
 ) -> Column:
     """Tokens per text as a long.
 
     ``"words"`` and ``"regex:<pattern>"`` are built-in expressions. Any other tokenizer is a
-    factory called once per task; its counter gets a whole Arrow batch of distinct texts.
+    factory called once per task and endpoint; its counter gets the distinct texts of a whole
+    Arrow batch.
     """
     column = as_column(text)
     if tokenizer == "words":
@@ -54,16 +85,7 @@ def token_count(
     else:
         factory, _ = _local_counter(tokenizer)
 
-        @F.arrow_udf(LongType())
-        def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            counter = factory()
-            for batch in batches:
-                texts = batch.to_pylist()
-                distinct = list(dict.fromkeys(t for t in texts if t is not None))
-                found = dict(zip(distinct, retry.call(counter, distinct))) if distinct else {}
-                yield pa.array([found.get(t) for t in texts], pa.int64())
-
-        counted = count.asNondeterministic()(column)
+        counted = counter_udf(factory, retry)(column, endpoint_column(endpoint))
     return fill_nulls(counted, F.lit(0).cast("long"), null_compat)
 
 
@@ -106,26 +128,37 @@ def _strict_halves(data: bytes) -> tuple[bytes, bytes]:
 
 
 def split_to_budget(
-    texts: list[str | None], max_tokens: int, counter: Counter, strict: bool = False
+    texts: list[str | None],
+    max_tokens: int | list[int],
+    counter: Counter,
+    strict: bool = False,
 ) -> list[list[tuple[str, int]] | None]:
     """Halve every text until its pieces are within ``max_tokens``; pieces with their counts.
 
+    The budget is one for all texts or one per text; a negative one reads as a very large
+    unsigned one, so it never splits.
+
     All pieces still to be judged are counted in one call per level, so a remote counter is
     asked as often as the deepest text has levels, not once per piece.
     """
     split = _strict_halves if strict else halves
     # a piece that is split gives way to the pair of its halves; leaves are read off in order
+    budgets = max_tokens if isinstance(max_tokens, list) else [max_tokens] * len(texts)
     roots = [None if t is None else [t.encode()] for t in texts]
-    open_nodes = [(root, 0) for root in roots if root is not None]
+    open_nodes = [
+        (root, 0, budget if budget >= 0 else budget + 2**32)
+        for root, budget in zip(roots, budgets)
+        if root is not None
+    ]
     while open_nodes:
-        counts = counter([node[at].decode() for node, at in open_nodes])
+        counts = counter([node[at].decode() for node, at, _ in open_nodes])
         following = []
-        for (node, at), tokens in zip(open_nodes, counts):
+        for (node, at, budget), tokens in zip(open_nodes, counts):
             data = node[at]
-            left, right = split(data) if tokens > max_tokens else (data, b"")
+            left, right = split(data) if tokens > budget else (data, b"")
             if left and right:
                 node[at] = [left, right]
-                following += [(node[at], 0), (node[at], 1)]
+                following += [(node[at], 0, budget), (node[at], 1, budget)]
             else:
                 node[at] = (data.decode(), tokens)
         open_nodes = following
@@ -146,44 +179,54 @@ def split_to_budget(
 CHUNK = StructType([StructField("text", StringType()), StructField("n_tokens", LongType())])
 
 
-def _chunks(
-    text: Column,
-    max_tokens: int,
-    tokenizer: Tokenizer,
-    retry: RetryPolicy,
-    strict_budget: bool,
-    counted: bool,
-) -> Column:
+def chunks_udf(
+    tokenizer: Tokenizer = "words",
+    retry: RetryPolicy = TOKEN_RETRY,
+    strict_budget: bool = False,
+    counted: bool = False,
+):
+    """The Arrow function of (text, max_tokens, endpoint), with token counts if ``counted``."""
     factory, local = _local_counter(tokenizer)
-    # a negative budget reads as a very large unsigned one: no limit in practice
-    budget = max_tokens if max_tokens >= 0 else max_tokens + 2**32
 
     @F.arrow_udf(ArrayType(CHUNK if counted else StringType()))
-    def chunks(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        counter = factory()
+    def chunks(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        clients = Clients(factory)
         plain = pa.list_(pa.string())
         pairs = pa.list_(pa.struct([("text", pa.string()), ("n_tokens", pa.int64())]))
-
-        def count(texts: list[str]) -> list[int]:
-            return retry.call(counter, texts)
-
         for batch in batches:
-            parts = split_to_budget(batch.to_pylist(), budget, count, strict_budget)
+            texts, budgets, endpoints = (column.to_pylist() for column in batch)
+            texts = [None if budget is None else text for text, budget in zip(texts, budgets)]
+            parts: list = [None] * len(texts)
+            for endpoint, rows in rows_by_endpoint(texts, endpoints).items():
+                client = clients[endpoint]
+                split = split_to_budget(
+                    [texts[row] for row in rows],
+                    [budgets[row] for row in rows],
+                    lambda pieces: retry.call(client, pieces),
+                    strict_budget,
+                )
+                for row, pieces in zip(rows, split):
+                    parts[row] = pieces
             if counted:
-                rows = [
+                rows_out = [
                     p and [{"text": piece, "n_tokens": tokens} for piece, tokens in p] for p in parts
                 ]
-                yield pa.array(rows, pairs)
+                yield pa.array(rows_out, pairs)
             else:
                 yield pa.array([p and [piece for piece, _ in p] for p in parts], plain)
 
-    return (chunks if local else chunks.asNondeterministic())(text)
+    return chunks if local else chunks.asNondeterministic()
+
+
+def _budget(max_tokens: Column | int) -> Column:
+    return (max_tokens if isinstance(max_tokens, Column) else F.lit(max_tokens)).cast("int")
 
 
 def chunk_text(
     text: Column | str,
-    max_tokens: int,
+    max_tokens: Column | int,
     tokenizer: Tokenizer = "words",
+    endpoint: Column | str | None = None,
     retry: RetryPolicy = TOKEN_RETRY,
     strict_budget: bool = False,
     null_compat: bool = False,
@@ -192,7 +235,8 @@ def chunk_text(
 
     A piece that the rule cannot split stays whole over the budget unless ``strict_budget``.
     """
-    result = _chunks(as_column(text), max_tokens, tokenizer, retry, strict_budget, counted=False)
+    split = chunks_udf(tokenizer, retry, strict_budget)
+    result = split(as_column(text), _budget(max_tokens), endpoint_column(endpoint))
     return fill_nulls(result, F.array().cast("array<string>"), null_compat)
 
 
@@ -200,13 +244,14 @@ def chunk_documents(
     df: DataFrame,
     text_col: str,
     keys: list[str],
-    max_tokens: int,
+    max_tokens: Column | int,
     tokenizer: Tokenizer = "words",
+    endpoint: Column | str | None = None,
     retry: RetryPolicy = TOKEN_RETRY,
     strict_budget: bool = False,
 ) -> DataFrame:
     """One row per chunk: ``keys``, chunk_id, text and n_tokens. No shuffle."""
-    column = F.col(f"`{text_col}`")
-    pieces = _chunks(column, max_tokens, tokenizer, retry, strict_budget, counted=True)
+    split = chunks_udf(tokenizer, retry, strict_budget, counted=True)
+    pieces = split(F.col(f"`{text_col}`"), _budget(max_tokens), endpoint_column(endpoint))
     rows = df.select(*keys, F.posexplode(pieces).alias("chunk_id", "__chunk"))
     return rows.select(*keys, "chunk_id", "__chunk.text", "__chunk.n_tokens")

@@ -9,14 +9,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
-from corpusloom.functions.retry import EMBED_RETRY, RetryPolicy
+from corpusloom.functions.retry import EMBED_RETRY, Clients, RetryPolicy, rows_by_endpoint
 from corpusloom.functions.text import as_column, fill_nulls
+from corpusloom.functions.tokens import endpoint_column
 from corpusloom.functions.vectors import vectors_of
 from corpusloom.session import pinned
 
-# A client turns a list of texts into as many vectors; a factory makes one inside each task.
+# A client turns a list of texts into as many vectors; a factory makes one for an endpoint
+# inside each task.
 Client = Callable[[list[str]], list[list[float]]]
-ClientFactory = Callable[[], Client]
+ClientFactory = Callable[[str], Client]
 
 # Fixed value: embedding calls in flight at once.
 EMBED_IN_FLIGHT = 4
@@ -28,7 +30,7 @@ HOT_SHARE = 0.001
 def fake_client(dim: int) -> ClientFactory:
     """A client that answers with the deterministic stand-in vectors."""
 
-    def make() -> Client:
+    def make(endpoint: str) -> Client:
         return lambda texts: vectors_of(pa.array(texts, pa.string()), dim).to_pylist()
 
     return make
@@ -40,30 +42,41 @@ def embed_udf(
     max_in_flight: int = EMBED_IN_FLIGHT,
     call_size: int = CALL_SIZE,
 ):
+    """The Arrow function of (text, endpoint)."""
+
     @F.arrow_udf(ArrayType(DoubleType()))
-    def vectors(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        ask = client()
+    def vectors(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        clients = Clients(client)
         with ThreadPoolExecutor(max_in_flight) as pool:
             for batch in batches:
-                texts = batch.to_pylist()
-                distinct = list(dict.fromkeys(t for t in texts if t is not None))
-                calls = [distinct[i : i + call_size] for i in range(0, len(distinct), call_size)]
-                answers = pool.map(lambda part: retry.call(ask, part), calls)
-                found = dict(zip(distinct, (v for answer in answers for v in answer)))
-                yield pa.array([found.get(t) for t in texts], pa.list_(pa.float64()))
+                texts, endpoints = (column.to_pylist() for column in batch)
+                result: list[list[float] | None] = [None] * len(texts)
+                for endpoint, rows in rows_by_endpoint(texts, endpoints).items():
+                    ask = clients[endpoint]
+                    distinct = list(dict.fromkeys(texts[row] for row in rows))
+                    calls = [distinct[i : i + call_size] for i in range(0, len(distinct), call_size)]
+                    answers = pool.map(retry.call, [ask] * len(calls), calls)
+                    found = dict(zip(distinct, (v for answer in answers for v in answer)))
+                    for row in rows:
+                        result[row] = found[texts[row]]
+                yield pa.array(result, pa.list_(pa.float64()))
 
     return vectors.asNondeterministic()
 
 
 def embed(
-    text: Column | str, client: ClientFactory, null_compat: bool = False, **options
+    text: Column | str,
+    client: ClientFactory,
+    endpoint: Column | str | None = None,
+    null_compat: bool = False,
+    **options,
 ) -> Column:
     """One vector per text. Equal texts in an Arrow batch are sent once; no shuffle.
 
     An error that the retries do not cure fails the query. ``options`` are those of
     :func:`embed_udf`.
     """
-    result = embed_udf(client, **options)(as_column(text))
+    result = embed_udf(client, **options)(as_column(text), endpoint_column(endpoint))
     return fill_nulls(result, F.array().cast("array<double>"), null_compat)
 
 

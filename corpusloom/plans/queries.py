@@ -209,7 +209,7 @@ def token_count_regex(spark, sf_dir):
 
 @query
 def token_count_service(spark, sf_dir):
-    return _by_document(spark, sf_dir, tokens=token_count("text", lambda: _count_characters))
+    return _by_document(spark, sf_dir, tokens=token_count("text", lambda endpoint: _count_characters))
 
 
 def _count_characters(texts: list[str]) -> list[int]:

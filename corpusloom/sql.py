@@ -6,11 +6,8 @@ operators remain the way for large jobs: they take keys, options and clients.
 
 from __future__ import annotations
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import (
-    ArrayType,
-    DoubleType,
     IntegerType,
     StringType,
     StructField,
@@ -19,10 +16,10 @@ from pyspark.sql.types import (
 from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult
 
 from corpusloom.functions.retry import DEFAULT_IN_FLIGHT, RetryPolicy
-from corpusloom.functions.markup import page_elements, with_headings, words_in
+from corpusloom.functions.markup import page_elements, with_headings
 from corpusloom.functions.text import WHITE_SPACE, register_sql
-from corpusloom.functions.tokens import split_to_budget
-from corpusloom.functions.vectors import vectors_of
+from corpusloom.functions.tokens import Tokenizer, chunks_udf, counter_udf
+from corpusloom.functions.vectors import fake_udf
 from corpusloom.operators.embedding import ClientFactory, embed_udf
 from corpusloom.operators.html import (
     ELEMENT,
@@ -43,33 +40,6 @@ from corpusloom.sources.objects import (
 )
 
 
-@F.arrow_udf(ArrayType(DoubleType()))
-def _embed_fake(texts: pa.Array, dims: pa.Array) -> pa.Array:
-    wanted = set(dims.to_pylist())
-    if len(wanted) == 1 and None not in wanted:
-        return vectors_of(texts, wanted.pop())
-    rows = [
-        None if dim is None else vectors_of(texts[i : i + 1], dim).to_pylist()[0]
-        for i, dim in enumerate(dims.to_pylist())
-    ]
-    return pa.array(rows, pa.list_(pa.float64()))
-
-
-@F.arrow_udf(ArrayType(StringType()))
-def _chunk_text(texts: pa.Array, budgets: pa.Array) -> pa.Array:
-    def count(pieces: list[str]) -> list[int]:
-        return [words_in(piece) for piece in pieces]
-
-    rows = []
-    for text, budget in zip(texts.to_pylist(), budgets.to_pylist()):
-        if text is None or budget is None:
-            rows.append(None)
-            continue
-        (pieces,) = split_to_budget([text], budget if budget >= 0 else budget + 2**32, count)
-        rows.append([piece for piece, _ in pieces])
-    return pa.array(rows, pa.list_(pa.string()))
-
-
 _HEADINGS = [StructField(h, StringType()) for h in HEADINGS]
 _ERROR = StructField("error", StringType())
 _RAW_COLUMNS = StructType([StructField("position", IntegerType()), *ELEMENT, _ERROR])
@@ -137,7 +107,11 @@ _SCALAR_SQL = {
     "s3_transform_with": (
         "path STRING, mode STRING", "STRING", "text_mode(s3_fetch(path), mode)",
     ),
-    "token_count": ("text STRING", "BIGINT", "cast(word_count(text) AS BIGINT)"),
+    "chunk_text": (
+        "text STRING, max_tokens INT, endpoint STRING DEFAULT NULL",
+        "ARRAY<STRING>",
+        "chunks_at_endpoint(text, max_tokens, endpoint)",
+    ),
     "http_post": (
         "url STRING, body STRING, headers STRING DEFAULT NULL",
         RESPONSE.simpleString(),
@@ -178,6 +152,7 @@ def register_functions(
     profiles: DataFrame | None = None,
     english: str = "en",
     embedder: ClientFactory | None = None,
+    tokenizer: Tokenizer = "words",
     resolver: Resolver | None = None,
     transport: Transport | None = None,
     retry: RetryPolicy = HTTP_RETRY,
@@ -186,13 +161,14 @@ def register_functions(
     """Register all SQL names for this session and return them.
 
     ``is_english`` needs language profiles and ``embed`` a client; without them these two names
-    are left out.
+    are left out. ``embed``, ``token_count`` and ``chunk_text`` take an endpoint as last
+    argument, which goes to the client's factory; counting words needs none.
     """
     register_sql(spark)
     resolver, transport = resolver or DefaultResolver(), transport or UrlTransport()
     arrow = {
-        "embed_fake": _embed_fake,
-        "chunk_text": _chunk_text,
+        "embed_fake": fake_udf(),
+        "chunks_at_endpoint": chunks_udf(tokenizer),
         "s3_fetch": fetch_udf(resolver, max_in_flight, "fail"),
         "s3_put": put_udf(resolver, max_in_flight, "fail"),
         "s3_exists": exists_udf(resolver, max_in_flight, "fail"),
@@ -200,12 +176,24 @@ def register_functions(
         "http_post_or_row": post_udf(transport, retry, max_in_flight, "row"),
     }
     if embedder is not None:
-        arrow["embed"] = embed_udf(embedder)
+        arrow["embed_at_endpoint"] = embed_udf(embedder)
     if profiles is not None:
         arrow["language_of_letters"] = language_judge(profiles)
-    for name, function in arrow.items():
-        spark.udf.register(name, function)
     scalar = dict(_SCALAR_SQL)
+    if callable(tokenizer):
+        arrow["count_at_endpoint"] = counter_udf(tokenizer)
+        counted = "count_at_endpoint(text, endpoint)"
+    elif tokenizer == "words":
+        counted = "cast(word_count(text) AS BIGINT)"
+    else:
+        raise ValueError("the tokenizer is 'words' or a factory")
+    scalar["token_count"] = ("text STRING, endpoint STRING DEFAULT NULL", "BIGINT", counted)
+    if embedder is not None:
+        scalar["embed"] = (
+            "text STRING, endpoint STRING DEFAULT NULL",
+            "ARRAY<DOUBLE>",
+            "embed_at_endpoint(text, endpoint)",
+        )
     if profiles is not None:
         found = f"language_of_letters({_LETTERS_SQL})"
         scalar["is_english"] = (
@@ -214,6 +202,8 @@ def register_functions(
             f"CASE WHEN text IS NOT NULL "
             f"THEN coalesce({found}.lang = '{english}' AND {found}.reliable, false) END",
         )
+    for name, function in arrow.items():
+        spark.udf.register(name, function)
     for name, (parameters, result, body) in scalar.items():
         spark.sql(
             f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({parameters}) "

@@ -5,7 +5,7 @@ from corpusloom.functions.retry import RetryPolicy, TransientError
 from corpusloom.operators.embedding import embed, embed_column, fake_client
 
 
-def lengths_client():
+def lengths_client(endpoint):
     def ask(texts):
         assert len(texts) == len(set(texts)) and len(texts) <= 64
         return [[float(len(t))] for t in texts]
@@ -46,7 +46,7 @@ def test_a_service_is_asked_once_per_text(spark, tmp_path):
     log = tmp_path / "asked"
     log.mkdir()
 
-    def client():
+    def client(endpoint):
         import os
         import uuid
 
@@ -75,7 +75,7 @@ def test_null_and_errors(spark):
     df = spark.createDataFrame([("x",), (None,)], "text string")
     assert df.where("text is null").select(embed("text", fake_client(2), null_compat=True)).first()[0] == []
 
-    def unreachable():
+    def unreachable(endpoint):
         def ask(texts):
             raise ConnectionError("Failed to connect")
 
@@ -85,7 +85,7 @@ def test_null_and_errors(spark):
     with pytest.raises(Exception, match="Failed to connect"):
         df.select(embed("text", unreachable, retry=quick)).collect()
 
-    def recovering():
+    def recovering(endpoint):
         left = [TransientError("busy"), TransientError("busy")]
 
         def ask(texts):
@@ -98,3 +98,13 @@ def test_null_and_errors(spark):
     assert df.select(embed("text", recovering, retry=quick)).first()[0] == [0.5]
     with pytest.raises(ValueError):
         embed_column(df, "text", unreachable, dedupe="other")
+
+
+def test_endpoint_per_row(spark):
+    def client(endpoint):
+        return lambda texts: [[float(len(endpoint))] for _ in texts]
+
+    df = spark.createDataFrame([("a", "x"), ("a", "yy"), (None, "x")], "text string, e string")
+    assert [r[0] for r in df.select(embed("text", client, F.col("e"))).collect()] == [[1.0], [2.0], None]
+    named = embed_column(df, "text", client, "v", endpoint="four").collect()
+    assert [r.v for r in named] == [[4.0], [4.0], None]

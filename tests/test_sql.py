@@ -33,6 +33,9 @@ def test_scalars(sql):
     assert sql("SELECT embed_fake('a', 2) = slice(embed('a'), 1, 2)") == [(True,)]
     sizes = sql("SELECT size(embed_fake(t, n)) FROM VALUES ('a', 1), ('b', 3) AS v(t, n)")
     assert sizes == [(1,), (3,)]
+    assert sql("SELECT embed('a', 'http://e') = embed('a'), chunk_text('a b', 1, 'http://e')") == [
+        (True, ["a", "b"])
+    ]
     assert sql("SELECT embed(NULL), chunk_text(NULL, 5), token_count(NULL)") == [(None, None, None)]
     assert sql("SELECT token_count('a b c'), chunk_text('One two. Three.', 2)") == [
         (3, ["One two.", "Three."])

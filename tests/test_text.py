@@ -27,7 +27,7 @@ def column(spark, texts, expression):
     return [r["x"] for r in apply(spark, texts, x=expression)]
 
 
-def rust_like_lines(text):
+def plain_lines(text):
     """Lines end at \\n or \\r\\n, a final line end opens no line."""
     if text is None:
         return None
@@ -53,7 +53,7 @@ def test_lines_and_their_parts(spark):
         many=T.take_lines("text", 9), past=T.skip_lines("text", 9),
     )
     for text, row in zip(TEXTS, rows):
-        lines = rust_like_lines(text)
+        lines = plain_lines(text)
         assert row["lines"] == lines
         if text is None:
             assert row["first"] is None and row["rest"] is None

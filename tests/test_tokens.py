@@ -1,7 +1,8 @@
 import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
-from corpusloom.functions.retry import NO_RETRY, RetryPolicy, TransientError
+from corpusloom.functions.retry import NO_RETRY, Clients, RetryPolicy, TransientError
 from corpusloom.functions.tokens import (
     chunk_documents,
     chunk_text,
@@ -97,7 +98,7 @@ def test_token_counts(spark):
     assert [r[0] for r in df.select(token_count("text")).collect()] == [2, None, 0]
     assert [r[0] for r in df.select(token_count("text", "regex:o")).collect()] == [2, None, 0]
     assert [r[0] for r in df.select(token_count("text", null_compat=True)).collect()] == [2, 0, 0]
-    by_client = token_count("text", lambda: lambda texts: [len(t) for t in texts])
+    by_client = token_count("text", lambda endpoint: lambda texts: [len(t) for t in texts])
     assert [r[0] for r in df.select(by_client).collect()] == [9, None, 0]
     assert df.select(token_count("text")).dtypes[0][1] == "bigint"
     with pytest.raises(ValueError, match="unknown tokenizer"):
@@ -132,4 +133,23 @@ def test_a_failing_counter_fails_the_query(spark):
 
     df = spark.createDataFrame([("a",)], "text string")
     with pytest.raises(Exception, match="Failed to connect"):
-        df.select(chunk_text("text", 5, lambda: unreachable)).collect()
+        df.select(chunk_text("text", 5, lambda endpoint: unreachable)).collect()
+
+
+def test_endpoints_and_budgets_per_row(spark):
+    def counter(endpoint):
+        # one service counts words, the other characters
+        return count_words if endpoint == "words" else lambda texts: [len(t) for t in texts]
+
+    rows = [(1, "One two. Three.", "words", 2), (2, "One two. Three.", "other", 7), (3, "a b", None, 9)]
+    df = spark.createDataFrame(rows + [(4, "a b", "words", None)], "k int, text string, e string, n int")
+    counts = df.select("k", token_count("text", counter, F.col("e")).alias("x")).orderBy("k")
+    assert [r.x for r in counts.collect()] == [3, 15, 3, 2]
+    chunks = chunk_text("text", F.col("n"), counter, F.col("e"))
+    assert [r.x for r in df.select("k", chunks.alias("x")).orderBy("k").collect()] == [
+        ["One two.", "Three."], ["One two.", "Three."], ["a b"], None,
+    ]
+    asked = []
+    clients = Clients(lambda endpoint: asked.append(endpoint))
+    clients[None], clients["x"], clients[None]
+    assert asked == ["http://localhost:50051", "x"]
