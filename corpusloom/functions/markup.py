@@ -40,6 +40,7 @@ _SCOPE_LIMITS = frozenset(
 )
 _TABLE_SECTIONS = frozenset("tbody thead tfoot".split())
 _ENDS_WITH_TAG = _BLOCKS | frozenset("applet button marquee object template".split())
+_ENDS_PARAGRAPH = _BLOCKS | _HEADINGS | frozenset("dd dt hr li p plaintext xmp".split())
 # What may stay open below a new table part.
 _TABLE_PARENTS = {
     "caption": {"table"},
@@ -54,7 +55,8 @@ _TRACKED = (
     _BLOCKS | _HEADINGS | _SCOPE_LIMITS | _TABLE_SECTIONS
     | frozenset("button dd dt hr li p plaintext tr".split())
 )
-_WATCHED = _TRACKED | _LITERAL_TEXT | _DECODED_TEXT
+_PLAIN_TEXT = _LITERAL_TEXT | _DECODED_TEXT | {"plaintext"}
+_WATCHED = _TRACKED | _PLAIN_TEXT
 
 
 def words_in(text: str) -> int:
@@ -132,52 +134,59 @@ def _class_attribute(attributes: str) -> str:
     return ""
 
 
+def _end_of_text(page: str, name: str, start: int) -> int:
+    """Where the text of an element ends that holds no tags."""
+    if name == "plaintext":
+        return len(page)
+    end = re.compile(rf"</{name}(?=[\s/>])", re.I).search(page, start)
+    return end.start() if end else len(page)
+
+
 def page_elements(page: str) -> list[tuple[str, str, str]]:
     """(tag, class attribute, text) of all headings and paragraphs in document order."""
     page = page.replace("\r\n", "\n").replace("\r", "\n").replace("\0", "")
     table_ends_paragraph = _STANDARD_DOCTYPE.match(page) is not None
     found: list[tuple[str, str, list[str]]] = []
     opened = _OpenElements()
-
-    def text(start: int, end: int, decode: bool = True) -> None:
-        if end > start and opened.sinks:
-            piece = page[start:end]
-            if decode and "&" in piece:
-                piece = html.unescape(piece)
-            for sink in opened.sinks:
-                sink.append(piece)
+    sinks = opened.sinks
+    search = _TOKEN.search
 
     def record(name: str, attributes: str) -> tuple[str, str, list[str]]:
-        entry = (name, _class_attribute(attributes), [])
+        entry = (name, _class_attribute(attributes) if attributes else "", [])
         found.append(entry)
         return entry
 
     position, size = 0, len(page)
     while position < size:
-        token = _TOKEN.search(page, position)
+        token = search(page, position)
+        start, end = token.span() if token else (size, size)
+        if sinks and start > position:
+            piece = page[position:start]
+            if "&" in piece:
+                piece = html.unescape(piece)
+            for sink in sinks:
+                sink.append(piece)
+        position = end
         if token is None:
-            text(position, size)
             break
-        text(position, token.start())
-        position = token.end()
         closing, name, attributes, ended = token.groups()
-        if name is None or not ended:
-            continue
-        name = name.lower()
-        if name not in _WATCHED:
+        if not ended:
+            continue  # no tag, or one cut off by the end of the page
+        if name not in _WATCHED and (name := name.lower()) not in _WATCHED:
             continue
         if closing:
             _end_tag(opened, name, record)
             continue
         _start_tag(opened, name, attributes, record, table_ends_paragraph)
-        if name in _LITERAL_TEXT or name in _DECODED_TEXT:
-            end = re.compile(rf"</{name}(?=[\s/>])", re.I).search(page, position)
-            stop = end.start() if end else size
-            text(position, stop, name in _DECODED_TEXT)
+        if name in _PLAIN_TEXT:
+            stop = _end_of_text(page, name, position)
+            piece = page[position:stop]
+            if sinks and piece:
+                if name in _DECODED_TEXT:
+                    piece = html.unescape(piece)
+                for sink in sinks:
+                    sink.append(piece)
             position = stop
-        elif name == "plaintext":
-            text(position, size, False)
-            position = size
     return [(name, classes, "".join(parts).strip(WHITE_SPACE)) for name, classes, parts in found]
 
 
@@ -197,11 +206,7 @@ def _start_tag(opened, name, attributes, record, table_ends_paragraph) -> None:
         opened.close_to(depth)
         opened.push(name)
         return
-    ends_paragraph = (
-        name in _BLOCKS or name in _HEADINGS or name in ("p", "li", "dd", "dt", "hr", "xmp", "plaintext")
-        or (name == "table" and table_ends_paragraph)
-    )
-    if ends_paragraph:
+    if name in _ENDS_PARAGRAPH or (name == "table" and table_ends_paragraph):
         opened.close("p", "#button")
     if name in _HEADINGS and opened.names and opened.names[-1] in _HEADINGS:
         opened.close_to(len(opened.names) - 1)
