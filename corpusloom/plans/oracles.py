@@ -76,7 +76,7 @@ ORACLES["text_truncate"] = "SELECT doc_id, left(text, 100) AS out, text AS whole
 
 ORACLES["text_word_count"] = f"SELECT doc_id, {words('text')} AS words FROM documents"
 
-ORACLES["script_pipeline"] = r"""
+ORACLES["script_steps"] = r"""
 SELECT doc_id,
        left(lower(regexp_replace(regexp_replace(text, '\s+', ' ', 'g'), '[0-9]+', 'NUM', 'g')), 300)
          AS out

@@ -143,7 +143,7 @@ def text_word_count(spark, sf_dir):
 
 
 @query
-def script_pipeline(spark, sf_dir):
+def script_steps(spark, sf_dir):
     steps = [
         "squeeze_whitespace(text)",
         "regex_replace(text, '[0-9]+', 'NUM')",

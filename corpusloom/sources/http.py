@@ -20,7 +20,7 @@ import time
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from urllib.parse import urlsplit
+from urllib.parse import urljoin, urlsplit
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -70,23 +70,43 @@ class PostError(Exception):
     """No response: the request could not be sent."""
 
 
+MAX_REDIRECTS = 10
+_SAME_REQUEST = (307, 308)
+_AS_GET = (301, 302, 303)
+
+
 class UrlTransport:
-    """The standard library's HTTP client, one kept connection per thread and host."""
+    """The standard library's HTTP client: kept connections per thread, redirects followed."""
 
     def __init__(self, timeout: float = 30.0) -> None:
         self.timeout = timeout
+        self._local = threading.local()
 
     def __call__(self, request: Request) -> Response:
-        local = self.__dict__.setdefault("_local", threading.local())
-        pool = local.__dict__.setdefault("pool", {})
-        parts = urlsplit(request.url)
-        kind = http.client.HTTPSConnection if parts.scheme == "https" else http.client.HTTPConnection
+        method, url, body = "POST", request.url, request.body.encode()
+        for _ in range(MAX_REDIRECTS + 1):
+            response = self._send(method, url, body, request.headers)
+            target = next((v for n, v in response.headers if n.lower() == "location"), None)
+            if target is None or response.status_code not in _SAME_REQUEST + _AS_GET:
+                return response
+            url = urljoin(url, target)
+            if response.status_code in _AS_GET:
+                method, body = "GET", b""
+        raise PostError(f"error sending request for url ({request.url}): too many redirects")
+
+    def _send(self, method: str, url: str, body: bytes, headers: dict[str, str]) -> Response:
+        pool = self._local.__dict__.setdefault("pool", {})
+        parts = urlsplit(url)
+        if parts.scheme not in ("http", "https") or not parts.hostname:
+            raise ValueError("not an HTTP address")
+        secure = parts.scheme == "https"
+        kind = http.client.HTTPSConnection if secure else http.client.HTTPConnection
         key = (parts.scheme, parts.netloc)
-        connection = pool.get(key) or kind(parts.netloc, timeout=self.timeout)
+        connection = pool.get(key) or kind(parts.hostname, parts.port, timeout=self.timeout)
         pool[key] = connection
         target = (parts.path or "/") + (f"?{parts.query}" if parts.query else "")
         try:
-            connection.request("POST", target, request.body.encode(), request.headers)
+            connection.request(method, target, body if method == "POST" else None, headers)
             answer = connection.getresponse()
             text = answer.read().decode("utf-8", "replace")
         except Exception as error:
@@ -99,6 +119,9 @@ class UrlTransport:
     def __getstate__(self) -> dict:
         return {"timeout": self.timeout}
 
+    def __setstate__(self, state: dict) -> None:
+        self.__init__(**state)
+
 
 def request_headers(headers: dict[str, str] | str | None, key: str) -> dict[str, str]:
     """The headers to send: a JSON object's string values, plus defaults the user left out."""

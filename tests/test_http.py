@@ -157,3 +157,60 @@ def test_the_standard_transport_without_a_service():
     # nothing listens here, so the request fails before it is sent
     with pytest.raises(PostError, match="error sending request"):
         post_once(UrlTransport(timeout=2), "http://127.0.0.1:59999/post", "{}", None, NO_WAIT)
+
+
+class FakeConnection:
+    """Stands in for the standard library's connection; no port is opened."""
+
+    sent: list = []
+    answers: list = []
+
+    def __init__(self, host, port=None, timeout=None):
+        self.place = (host, port)
+
+    def request(self, method, target, body, headers):
+        self.sent.append((self.place, method, target, body))
+
+    def getresponse(self):
+        status, headers, text = self.answers.pop(0)
+
+        class Answer:
+            def read(self):
+                return text.encode()
+
+            def getheaders(self):
+                return headers
+
+        answer = Answer()
+        answer.status = status
+        return answer
+
+    def close(self):
+        pass
+
+
+@pytest.mark.parametrize(
+    "status, method, body", [(307, "POST", b"x"), (308, "POST", b"x"), (302, "GET", None)]
+)
+def test_redirects(monkeypatch, status, method, body):
+    monkeypatch.setattr("corpusloom.sources.http.http.client.HTTPConnection", FakeConnection)
+    FakeConnection.sent, FakeConnection.answers = [], [
+        (status, [("Location", "/new?a=1")], ""), (200, [("X", "1")], "done"),
+    ]
+    answer = UrlTransport()(Request("http://host:81/old", "x"))
+    assert (answer.status_code, answer.body, answer.headers) == (200, "done", (("X", "1"),))
+    assert FakeConnection.sent == [
+        (("host", 81), "POST", "/old", b"x"), (("host", 81), method, "/new?a=1", body),
+    ]
+
+
+def test_endless_redirects(monkeypatch):
+    monkeypatch.setattr("corpusloom.sources.http.http.client.HTTPConnection", FakeConnection)
+    FakeConnection.sent, FakeConnection.answers = [], [(307, [("Location", "/")], "")] * 20
+    with pytest.raises(PostError, match="too many redirects"):
+        UrlTransport()(Request("http://host/", "x"))
+
+
+def test_an_address_that_is_none():
+    with pytest.raises(PostError, match="error sending request"):
+        post_once(UrlTransport(), "not-a-url", "{}", None, NO_WAIT)
