@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
@@ -127,6 +128,11 @@ def _strict_halves(data: bytes) -> tuple[bytes, bytes]:
     return data[:middle], data[middle:]
 
 
+def _limit(budget: int) -> int:
+    """A negative budget reads as a very large unsigned one, so it never splits."""
+    return budget if budget >= 0 else budget + 2**32
+
+
 def split_to_budget(
     texts: list[str | None],
     max_tokens: int | list[int],
@@ -135,8 +141,7 @@ def split_to_budget(
 ) -> list[list[tuple[str, int]] | None]:
     """Halve every text until its pieces are within ``max_tokens``; pieces with their counts.
 
-    The budget is one for all texts or one per text; a negative one reads as a very large
-    unsigned one, so it never splits.
+    The budget is one for all texts or one per text.
 
     All pieces still to be judged are counted in one call per level, so a remote counter is
     asked as often as the deepest text has levels, not once per piece.
@@ -146,7 +151,7 @@ def split_to_budget(
     budgets = max_tokens if isinstance(max_tokens, list) else [max_tokens] * len(texts)
     roots = [None if t is None else [t.encode()] for t in texts]
     open_nodes = [
-        (root, 0, budget if budget >= 0 else budget + 2**32)
+        (root, 0, _limit(budget))
         for root, budget in zip(roots, budgets)
         if root is not None
     ]
@@ -176,6 +181,51 @@ def split_to_budget(
     return [None if root is None else leaves(root) for root in roots]
 
 
+# The white space beyond ASCII in UTF-8.
+_WIDE_SPACE = re.compile(
+    rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80"
+)
+
+
+class _WordCounts:
+    """Words in any span of a text, after one pass over it."""
+
+    def __init__(self, data: bytes) -> None:
+        if not data.isascii():
+            data = _WIDE_SPACE.sub(lambda m: b" " * len(m[0]), data)
+        values = np.frombuffer(data, dtype=np.uint8)
+        inside = (values != 32) & ((values < 9) | (values > 13))
+        self.inside = inside
+        self.starts = inside.copy()
+        self.starts[1:] &= ~inside[:-1]
+        self.before = np.concatenate(([0], np.cumsum(self.starts)))
+
+    def __call__(self, start: int, end: int) -> int:
+        # a span that starts within a word has the rest of it as its first word
+        cut_word = start < end and self.inside[start] and not self.starts[start]
+        return int(self.before[end] - self.before[start]) + int(cut_word)
+
+
+def split_words(text: str, max_words: int, strict: bool = False) -> list[tuple[str, int]]:
+    """As :func:`split_to_budget` for one text and words as tokens, without counting again."""
+    whole = words_in(text)
+    if whole <= max_words:
+        return [(text, whole)]
+    split = _strict_halves if strict else halves
+    data = text.encode()
+    count = _WordCounts(data)
+    pieces, stack = [], [(0, len(data))]
+    while stack:
+        start, end = stack.pop()
+        words = count(start, end)
+        left, right = split(data[start:end]) if words > max_words else (b"", b"")
+        if left and right:
+            stack += [(end - len(right), end), (start, start + len(left))]
+        else:
+            pieces.append((data[start:end].decode(), words))
+    return pieces
+
+
 CHUNK = StructType([StructField("text", StringType()), StructField("n_tokens", LongType())])
 
 
@@ -188,15 +238,29 @@ def chunks_udf(
     """The Arrow function of (text, max_tokens, endpoint), with token counts if ``counted``."""
     factory, local = _local_counter(tokenizer)
 
+    def arrow(parts: list[list[tuple[str, int]] | None]) -> pa.Array:
+        if not counted:
+            pieces = [p and [piece for piece, _ in p] for p in parts]
+            return pa.array(pieces, pa.list_(pa.string()))
+        pairs = [p and [{"text": piece, "n_tokens": n} for piece, n in p] for p in parts]
+        return pa.array(
+            pairs, pa.list_(pa.struct([("text", pa.string()), ("n_tokens", pa.int64())]))
+        )
+
     @F.arrow_udf(ArrayType(CHUNK if counted else StringType()))
     def chunks(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         clients = Clients(factory)
-        plain = pa.list_(pa.string())
-        pairs = pa.list_(pa.struct([("text", pa.string()), ("n_tokens", pa.int64())]))
         for batch in batches:
             texts, budgets, endpoints = (column.to_pylist() for column in batch)
             texts = [None if budget is None else text for text, budget in zip(texts, budgets)]
-            parts: list = [None] * len(texts)
+            if tokenizer == "words":
+                parts = [
+                    text if text is None else split_words(text, _limit(budget), strict_budget)
+                    for text, budget in zip(texts, budgets)
+                ]
+                yield arrow(parts)
+                continue
+            parts = [None] * len(texts)
             for endpoint, rows in rows_by_endpoint(texts, endpoints).items():
                 client = clients[endpoint]
                 split = split_to_budget(
@@ -207,13 +271,7 @@ def chunks_udf(
                 )
                 for row, pieces in zip(rows, split):
                     parts[row] = pieces
-            if counted:
-                rows_out = [
-                    p and [{"text": piece, "n_tokens": tokens} for piece, tokens in p] for p in parts
-                ]
-                yield pa.array(rows_out, pairs)
-            else:
-                yield pa.array([p and [piece for piece, _ in p] for p in parts], plain)
+            yield arrow(parts)
 
     return chunks if local else chunks.asNondeterministic()
 

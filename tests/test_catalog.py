@@ -10,7 +10,7 @@ from corpusloom.sources import http, objects
 INTERNAL = {
     "as_column", "fill_nulls", "identity", "java_pattern", "java_replacement", "register_sql",
     "vectors_of", "vectors_of_dims", "fake_udf", "counter_udf", "chunks_udf", "endpoint_column",
-    "halves", "split_to_budget", "batch_size_of", "dense_positions", "batch_bodies",
+    "halves", "split_to_budget", "split_words", "batch_size_of", "dense_positions", "batch_bodies",
     "embed_udf", "fake_client", "html_elements", "is_kept", "pack_bounds", "chunk_bounds",
     "skips_class", "size_error", "input_error", "mode_named", "letters_only", "language_of",
     "language_judge", "request_headers", "retryable_status", "post_once", "post_udf",

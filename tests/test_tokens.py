@@ -2,12 +2,14 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from corpusloom.functions.markup import words_in
 from corpusloom.functions.retry import NO_RETRY, Clients, RetryPolicy, TransientError
 from corpusloom.functions.tokens import (
     chunk_documents,
     chunk_text,
     halves,
     split_to_budget,
+    split_words,
     token_count,
 )
 
@@ -80,6 +82,17 @@ def test_pieces_make_up_the_text(text, budget, strict):
     assert text[position:] in ("", " ")
 
 
+@settings(max_examples=300, deadline=None)
+@given(
+    st.text(alphabet="ab .!?é日\n\t\u00a0\u3000\u2009\x1c\x85", max_size=150),
+    st.integers(0, 12),
+    st.booleans(),
+)
+def test_words_are_split_like_any_tokens(text, budget, strict):
+    (expected,) = split_to_budget([text], budget, lambda texts: [words_in(t) for t in texts], strict)
+    assert split_words(text, budget, strict) == expected
+
+
 def test_chunks_in_spark(spark):
     df = spark.createDataFrame([(1, "One two. Three four. Five six."), (2, None), (3, "")], "k int, text string")
     rows = chunk_documents(df, "text", ["k"], 2).orderBy("k", "chunk_id").collect()
