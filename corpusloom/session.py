@@ -5,6 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 import weakref
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,16 +55,15 @@ def new_folder(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that no other run uses."""
     folder = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     _folders.setdefault(spark, set()).add(folder)
+    if (made := _made.get()) is not None:
+        made.append(folder)
     return folder
 
 
 def drop_folders(spark: SparkSession, *folders: str) -> None:
-    """Delete folders that :func:`new_folder` named for this session, by default all of them.
-
-    Call it when the results that read from them are written elsewhere.
-    """
+    """Delete folders that :func:`new_folder` named for this session."""
     known = _folders.get(spark, set())
-    for folder in folders or tuple(known):
+    for folder in folders:
         if folder not in known:
             raise ValueError(f"not a folder of this session: {folder}")
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)
@@ -69,6 +71,30 @@ def drop_folders(spark: SparkSession, *folders: str) -> None:
         known.discard(folder)
 
 
+def drop_all_folders(spark: SparkSession) -> None:
+    """Delete all of them; call it when what reads from them is written elsewhere."""
+    drop_folders(spark, *_folders.get(spark, ()))
+
+
+# the folders made inside the innermost open scratch block of this thread
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], None]]:
+    """Drop the folders made inside the block when it ends, but those of kept tables."""
+    made: list[str] = []
+    kept: set[str] = set()
+    token = _made.set(made)
+    try:
+        yield lambda frame: kept.add(_pinned_at[frame])
+    finally:
+        _made.reset(token)
+        drop_folders(spark, *[f for f in made if f not in kept and f in _folders[spark]])
+        if (outer := _made.get()) is not None:
+            outer.extend(kept)
+
+
 def pinned(df: DataFrame, label: str, source: DataFrame | None = None) -> DataFrame:
     """The rows of ``df`` written to the shared folder and read back.
 

@@ -29,7 +29,7 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 from corpusloom.functions.retry import CONNECT_ERRORS, DEFAULT_IN_FLIGHT, RetryPolicy
 from corpusloom.functions.text import as_column, fill_nulls
 from corpusloom.operators.batches import batch_size_of, dense_batches
-from corpusloom.session import pinned
+from corpusloom.session import pinned, scratch
 
 RESPONSE = StructType(
     [
@@ -290,27 +290,31 @@ def post_batches(
     batch_size: int | str,
     headers: dict[str, str] | str | None = None,
     tasks: int | None = None,
-    once: bool = True,
     **options,
 ) -> DataFrame:
-    """POST ``batch_size`` payloads at a time as one JSON array of strings.
+    """POST ``batch_size`` payloads at a time as one JSON array of strings, now.
 
     (batch_id, row_count, status_code, response_body), one row per batch in the order given by
     ``order_by``; a batch that got no answer is a row with status -1 and the reason.
     """
     size = batch_size_of(batch_size)
     request_headers(headers, "")
-    bodies = batch_bodies(df, payload_col, order_by, size)
-    posted = post_rows(
-        bodies, url, "body", headers=headers, on_error="row", tasks=tasks, once=False, **options
-    )
-    outcomes = posted.select(
-        "batch_id",
-        "row_count",
-        F.col("response.status_code").alias("status_code"),
-        F.col("response.body").alias("response_body"),
-    )
-    return pinned(outcomes, "outcomes") if once else outcomes
+    with scratch(df.sparkSession) as keep:
+        bodies = batch_bodies(df, payload_col, order_by, size)
+        posted = post_rows(
+            bodies, url, "body", headers=headers, on_error="row", tasks=tasks, once=False, **options
+        )
+        outcomes = pinned(
+            posted.select(
+                "batch_id",
+                "row_count",
+                F.col("response.status_code").alias("status_code"),
+                F.col("response.body").alias("response_body"),
+            ),
+            "outcomes",
+        )
+        keep(outcomes)
+    return outcomes
 
 
 def batch_bodies(

@@ -210,5 +210,5 @@ def register_functions(
             f"RETURNS {result} RETURN {body}"
         )
     spark.sql(_POST_BATCH_SQL)
-    spark.udtf.register("html_extract", F.udtf(HtmlExtract))
+    spark.udtf.register("html_extract", F.udtf(HtmlExtract, useArrow=True))
     return sorted([*arrow, *scalar, "http_post_batch", "html_extract"])

@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter
 
+from corpusloom.session import scratch
 from corpusloom.sources.http import post_batches, post_rows
 from corpusloom.sources.objects import write_objects
 
@@ -26,7 +27,8 @@ def per_batch(
     """A writer that stores ``step`` of every micro-batch in ``outcomes``, one folder each."""
 
     def store(rows: DataFrame, number: int) -> None:
-        step(rows).write.mode("overwrite").parquet(f"{outcomes}/micro_batch={number}")
+        with scratch(rows.sparkSession):
+            step(rows).write.mode("overwrite").parquet(f"{outcomes}/micro_batch={number}")
 
     return stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
 
@@ -53,9 +55,7 @@ def post_batches_stream(
     """POST batches of payloads; batch numbers start at 0 in every micro-batch."""
     return per_batch(
         stream,
-        lambda rows: post_batches(
-            rows, payload_col, order_by, url, batch_size, once=False, **options
-        ),
+        lambda rows: post_batches(rows, payload_col, order_by, url, batch_size, **options),
         outcomes,
         checkpoint,
     )

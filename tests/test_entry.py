@@ -2,7 +2,14 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
-from corpusloom.session import drop_folders, new_folder, pinned, shared_dir, spread
+from corpusloom.session import (
+    drop_folders,
+    new_folder,
+    pinned,
+    scratch,
+    shared_dir,
+    spread,
+)
 from oracle import compare, connect
 
 
@@ -49,6 +56,22 @@ def test_folders_can_be_dropped(spark):
         drop_folders(spark, "/tmp")
 
 
+def test_scratch_keeps_what_it_is_told(spark):
+    with scratch(spark) as outer_keep:
+        with scratch(spark) as keep:
+            gone = pinned(spark.range(2), "gone")
+            kept = pinned(spark.range(3), "kept")
+            keep(kept)
+        assert kept.count() == 3
+        with pytest.raises(Exception):
+            gone.collect()
+        last = pinned(kept, "last")
+        outer_keep(last)
+    assert last.count() == 3
+    with pytest.raises(Exception):
+        kept.collect()
+
+
 def test_spread_leaves_large_tables_alone(spark):
     many = spark.range(0, 100, numPartitions=50)
     assert spread(many) is many

@@ -2,6 +2,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import text as T
 from corpusloom.operators.html import extract_html
+from corpusloom.session import shared_dir
 from corpusloom.sources.http import Response
 from corpusloom.streaming.sinks import post_batches_stream, post_stream, write_objects_stream
 
@@ -48,7 +49,14 @@ def test_posting_a_stream(spark, sf_dir, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/out").count() == 1000
 
 
+def folders(spark):
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return {str(entry.getPath()) for entry in system.listStatus(path)}
+
+
 def test_posting_batches_of_a_stream(spark, sf_dir, tmp_path):
+    before = folders(spark)
     events = stream_of(spark, sf_dir, "events").select("event_id", "props")
     run(
         post_batches_stream(
@@ -58,6 +66,8 @@ def test_posting_batches_of_a_stream(spark, sf_dir, tmp_path):
     )
     out = spark.read.parquet(f"{tmp_path}/out").orderBy("batch_id")
     assert [r.row_count for r in out.collect()] == [300, 300, 300, 100]
+    # nothing is left of the micro-batches in the shared folder
+    assert folders(spark) <= before
 
 
 def test_writing_objects_of_a_stream(spark, sf_dir, tmp_path):
