@@ -186,6 +186,7 @@ def html_elements(html: str = "html", skip: str = "FALSE", min_words: int = 10)
     """CTEs up to ``kept`` (page_id, pos, tag, text, words, classes, h1), pos from 1.
 
     The pages hold h1 and p only, a p ends at the next p or at an end tag of p, h1 or article.
+    A character reference may lack its semicolon, where a heading was cut off in it.
     """
     return rf"""
 WITH bare AS (
@@ -206,9 +207,13 @@ WITH bare AS (
 ), plain AS (
     SELECT page_id, i, tag, classes,
            regexp_replace(regexp_replace(
-             replace(replace(replace(replace(replace(replace(
-               regexp_replace(body, '<[^>]*>', '', 'g'),
-               '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'),
+             regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(body, '<[^>]*>', '', 'g'),
+               '&quot;?', '"', 'g'),
+               '&copy;?', '©', 'g'),
+               '&middot;?', '·', 'g'),
+               '&lt;?', '<', 'g'),
+               '&gt;?', '>', 'g'),
+               '&amp;?', '&', 'g'),
              '^\s+', ''), '\s+$', '') AS text
     FROM cut
 ), counted AS (
@@ -418,3 +423,15 @@ SELECT page_id, regexp_extract(url, '^([a-z0-9]+)://([^/]*)/(.*)$', 1) AS scheme
        regexp_extract(url, '^([a-z0-9]+)://([^/]*)/(.*)$', 2) AS bucket,
        regexp_extract(url, '^([a-z0-9]+)://([^/]*)/(.*)$', 3) AS key
 FROM pages"""
+
+# --- SQL names ----------------------------------------------------------------------------
+
+ORACLES["sql_html_paragraph"] = ORACLES["html_paragraph"]
+ORACLES["sql_text_functions"] = f"""
+SELECT doc_id, squeezed, lowered, rest, tokens, value
+FROM (SELECT doc_id, regexp_replace(regexp_replace(text, '[0-9]+', 'NUM', 'g'), '\\s+', ' ', 'g') AS squeezed,
+             lower(text) AS lowered
+      FROM documents)
+JOIN (SELECT doc_id, out AS rest FROM ({ORACLES["text_skip_lines"]})) USING (doc_id)
+JOIN ({ORACLES["token_count_words"]}) USING (doc_id)
+JOIN (SELECT doc_id, value FROM ({vector_rows(2)}) WHERE place = 1) USING (doc_id)"""

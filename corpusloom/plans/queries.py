@@ -25,6 +25,7 @@ from corpusloom.sources.http import (
     post_rows,
     response_headers,
 )
+from corpusloom.sql import register_functions
 from corpusloom.sources.objects import (
     fetch_objects,
     fetch_stripped,
@@ -439,6 +440,29 @@ def object_paths(spark, sf_dir):
     return parsed.select("page_id", "p.scheme", "p.bucket", "p.key")
 
 
+# --- SQL names ----------------------------------------------------------------------------
+
+
+@query
+def sql_html_paragraph(spark, sf_dir):
+    register_functions(spark)
+    return spark.sql(
+        "SELECT page_id, e.* FROM {pages}, LATERAL html_extract(html, 'paragraph') AS e",
+        pages=pages(spark, sf_dir),
+    )
+
+
+@query
+def sql_text_functions(spark, sf_dir):
+    register_functions(spark)
+    return spark.sql(
+        "SELECT doc_id, squeeze_whitespace(regex_replace(text, '[0-9]+', 'NUM')) AS squeezed, "
+        "text_mode(text, 'lower') AS lowered, skip_lines(text, 2) AS rest, "
+        "token_count(text) AS tokens, round(embed_fake(text, 2)[1], 6) AS value FROM {documents}",
+        documents=spread_documents(spark, sf_dir),
+    )
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages to heading-aware chunks with their token counts and stand-in vectors."""
     chunks = extract_html(table(spark, sf_dir, "pages"), "html", ["page_id"])

@@ -71,7 +71,9 @@ class HtmlExtract:
     def eval(self, html: str, config: str | None = None):
         if html is None:
             return
-        parsed = self._configs.setdefault(config, ExtractConfig.from_any(config))
+        if config not in self._configs:
+            self._configs[config] = ExtractConfig.from_any(config)
+        parsed = self._configs[config]
         blank = ("",) * len(HEADINGS)
         error = input_error(html)
         if error:
