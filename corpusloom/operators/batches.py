@@ -24,6 +24,8 @@ def batch_size_of(value: int | str) -> int:
 
 # a row id holds the number of its part above the bits of the place in it
 _PLACE_BITS = 33
+# 16 bytes each
+MAX_BROADCAST_PARTS = 1 << 20
 
 
 def _numbered_parts(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
@@ -48,8 +50,8 @@ def dense_positions(df: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
     sort key, and pinned again. The id makes the sort deterministic when a task is repeated,
     keeps rows of equal order in the order they were read, and lets a value that many rows
     share be split over several sorted parts. Then the parts are counted, which reads one
-    column, and the place of a row in its part is moved by the sizes of the parts before it:
-    one row per sort task, so that table can be joined by broadcast.
+    column, and the place of a row in its part is moved by the sizes of the parts before it.
+    That table has one row per sort task and is joined by broadcast, after a check of its size.
 
     Without ``order_by`` the rows keep the order in which they were read and nothing is sorted.
     """
@@ -59,7 +61,9 @@ def dense_positions(df: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
     starts = sizes.select(
         "__part", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__start")
     )
-    placed = rows.join(F.broadcast(starts), "__part")
+    if sizes.count() <= MAX_BROADCAST_PARTS:
+        starts = F.broadcast(starts)
+    placed = rows.join(starts, "__part")
     return placed.select(
         *[F.col(f"`{c}`") for c in df.columns],
         (F.col("__start") + F.col("__place")).alias("position"),

@@ -23,8 +23,10 @@ ClientFactory = Callable[[str], Client]
 # Fixed value: embedding calls in flight at once.
 EMBED_IN_FLIGHT = 4
 CALL_SIZE = 64
-# a text is hot when it makes up more than this share of the rows
+# a text is hot when it makes up more than this share of the rows, or a larger one where
+# vectors are so long that the hot ones could exceed the bytes to broadcast
 HOT_SHARE = 0.001
+BROADCAST_BYTES = 64 << 20
 
 
 def fake_client(dim: int) -> ClientFactory:
@@ -119,9 +121,10 @@ def _embed_distinct(
         ),
         "vectors",
     )
-    total = vectors.agg(F.sum("__n")).first()[0] or 0
-    is_hot = F.col("__n") > total * HOT_SHARE
-    # fewer than 1 / HOT_SHARE texts can each hold more than that share of the rows
+    total, longest = vectors.agg(F.sum("__n"), F.max(F.size(out))).first()
+    # fewer than 1 / share texts can each hold more than that share of the rows
+    share = max(HOT_SHARE, (longest or 0) * 8 / BROADCAST_BYTES)
+    is_hot = F.col("__n") > (total or 0) * share
     hot = F.broadcast(vectors.where(is_hot).drop("__n"))
     rest = vectors.where(~is_hot).drop("__n")
 

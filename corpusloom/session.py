@@ -90,7 +90,7 @@ def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], None]]:
         yield lambda frame: kept.add(_pinned_at[frame])
     finally:
         _made.reset(token)
-        drop_folders(spark, *[f for f in made if f not in kept and f in _folders[spark]])
+        drop_folders(spark, *[f for f in made if f not in kept and f in _folders.get(spark, ())])
         if (outer := _made.get()) is not None:
             outer.extend(kept)
 

@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from corpusloom.operators import batches
 from corpusloom.operators.batches import (
     _numbered_parts,
     batch_size_of,
@@ -53,9 +54,18 @@ def test_batches(spark):
     assert dense_batches(df.where("id < 0"), ["id"], 10).collect() == []
 
 
+def test_many_parts_are_joined_without_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(batches, "MAX_BROADCAST_PARTS", 1)
+    df = spark.range(0, 100, numPartitions=4).select((99 - F.col("id")).alias("k"))
+    assert all(r.position == r.k for r in dense_positions(df, ["k"]).collect())
+
+
 @pytest.mark.parametrize(
     "value, message",
-    [("0", "must be greater than 0"), (0, "must be greater than 0"), ("not_a_number", "Invalid batch_size"), (-1, "Invalid batch_size")],
+    [
+        ("0", "must be greater than 0"), (0, "must be greater than 0"),
+        ("not_a_number", "Invalid batch_size"), (-1, "Invalid batch_size"),
+    ],
 )
 def test_batch_size(value, message):
     with pytest.raises(ValueError, match=message):

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.functions.retry import RetryPolicy, TransientError
+from corpusloom.operators import embedding
 from corpusloom.operators.embedding import embed, embed_column, fake_client
 
 
@@ -42,6 +43,14 @@ def test_the_hot_text_is_not_shuffled(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_long_vectors_raise_the_share(spark, monkeypatch):
+    # room for one vector of one double: no text may be broadcast unless it holds all rows
+    monkeypatch.setattr(embedding, "BROADCAST_BYTES", 8)
+    rows = embed_column(table(spark), "text", lengths_client, "v", "global").collect()
+    assert len(rows) == 3000
+    assert all(r.v == (None if r.text is None else [float(len(r.text))]) for r in rows)
+
+
 def test_a_service_is_asked_once_per_text(spark, tmp_path):
     log = tmp_path / "asked"
     log.mkdir()
