@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -9,6 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.operators.batches import dense_positions
 from corpusloom.session import drop_folders, new_folder, scratch  # noqa: F401 - part of this module's surface
 
 SLICE_BYTES = 8 << 20
@@ -26,6 +28,24 @@ def saved(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     return df.sparkSession.read.schema(df.schema).parquet(folder), folder
 
 
+def release(spark: SparkSession) -> None:
+    """Let the cleaner delete shuffle files of finished steps; else they stay until the driver collects garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
+def keyed(df: DataFrame, *columns: str) -> DataFrame:
+    """``df`` with ``rid``, a number that no other row has and that orders rows as doc_id does.
+
+    That is doc_id itself unless ids are missing or repeated; then the rows are numbered in the
+    order of doc_id (null first) and ``columns``, in the shared folder.
+    """
+    ids = df.groupBy("doc_id").agg(F.count("*").alias("n"))
+    if ids.where("doc_id IS NULL OR n > 1").limit(1).count() == 0:
+        return df.withColumn("rid", F.col("doc_id"))
+    return dense_positions(df, ["doc_id", *columns]).withColumnRenamed("position", "rid")
+
+
 def texts_of(column: pa.Array) -> pa.LargeStringArray:
     """The column as large strings without nulls (null: empty)."""
     return pc.fill_null(column.cast(pa.large_string()), "")

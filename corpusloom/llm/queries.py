@@ -5,9 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from corpusloom.llm.common import table
 from corpusloom.llm.near_dedup import near_duplicates
+from corpusloom.llm.suffix_dedup import remove_repeats
+
+
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeats(table(spark, sf_dir, "documents"))
+    n_removed = F.col("n_bytes") - F.octet_length("kept")
+    return found.select("doc_id", "n_bytes", n_removed.cast("long").alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +23,7 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op10_near_duplicates": op10_near_duplicates,
 }
 ORACLES: dict[str, str] = {}
