@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import table
+from corpusloom.llm.decontamination import benchmark_overlaps
+from corpusloom.llm.lm_scoring import score_documents
 from corpusloom.llm.near_dedup import near_duplicates
 from corpusloom.llm.packing import pack_documents
 from corpusloom.llm.suffix_dedup import remove_repeats
@@ -29,6 +31,15 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", n_removed.cast("long").alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good = table(spark, sf_dir, "labels").where("quality = 1")
+    return score_documents(table(spark, sf_dir, "documents"), good)
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return benchmark_overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
 
@@ -37,6 +48,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_token_counts": op2_token_counts,
     "op4_suffix_dedup": op4_suffix_dedup,
+    "op5_lm_scoring": op5_lm_scoring,
+    "op6_decontamination": op6_decontamination,
     "op10_near_duplicates": op10_near_duplicates,
 }
 ORACLES: dict[str, str] = {}
