@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.common import table
 from corpusloom.llm.decontamination import benchmark_overlaps
+from corpusloom.llm.language_id import held_out, identify, train_languages
 from corpusloom.llm.lm_scoring import score_documents
 from corpusloom.llm.near_dedup import near_duplicates
 from corpusloom.llm.packing import pack_documents
@@ -25,6 +26,13 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", held_out().alias("held_out"))
+    model = train_languages(rows.where("NOT held_out"))
+    found = identify(rows.select("doc_id", "text", "held_out"), model)
+    return found.select("doc_id", "held_out", "lang_pred", F.col("lang_score").alias("score"))
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = remove_repeats(table(spark, sf_dir, "documents"))
     n_removed = F.col("n_bytes") - F.octet_length("kept")
@@ -47,6 +55,7 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_token_counts": op2_token_counts,
+    "op3_language_id": op3_language_id,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_lm_scoring": op5_lm_scoring,
     "op6_decontamination": op6_decontamination,
