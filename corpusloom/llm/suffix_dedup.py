@@ -9,8 +9,9 @@ smaller id, or earlier in the same one. Sorting the suffixes of all positions wo
    about forty positions. Runs, with the hash of the anchor and of the run's whole string, are first
    reduced within a task, then grouped by anchor. An anchor that occurs once ends there. A run whose
    whole string occurred before is removed.
-2. What is left are the first of unequal runs around one anchor: the edges of repeats. Their strings
-   are dealt by sampled splitters into ranges of the suffixes that start at the anchor (its leading
+2. What is left are the first of unequal runs around one anchor: the edges of repeats. They are cut
+   into windows that lie alike around the anchor, 20 and then 5 at a time; a part goes if the bytes
+   that all its windows share occur once. The strings of the others are dealt by sampled splitters into ranges of the suffixes that start at the anchor (its leading
    bytes, then the place, so that one frequent anchor may span many ranges). In its range every
    window is a suffix that is cut at ``length``; a multikey quicksort, eight bytes a step, puts equal
    ones side by side, and all but the first are removed.
@@ -152,6 +153,26 @@ def _contexts(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
     return run
 
 
+def _narrowed(contexts: DataFrame, length: int, width: int) -> DataFrame:
+    """The rows cut into parts of ``width`` windows; of those, the ones whose shared bytes others have too.
+
+    Parts are counted from the anchor, so that equal windows of different rows lie in equal parts.
+    """
+    many, distance = F.shiftright("place", 10).bitwiseAND(F.lit(1023)), F.col("place").bitwiseAND(F.lit(1023))
+    rows = contexts.select("head", "string", "rid", F.shiftright("place", 20).alias("first"), many.alias("many"), distance.alias("distance"))
+    rows = rows.select("*", F.expr(f"explode(sequence((distance - many + 1) div {width}, distance div {width}))").alias("part"))
+    rows = rows.withColumn("far", F.least("distance", F.col("part") * width + width - 1)).withColumn("near", F.greatest(F.expr("distance - many + 1"), F.col("part") * width))
+    cut = rows.selectExpr(
+        "head",
+        f"substring(string, int(distance - far + 1), int(far - near + {length})) AS string",
+        "rid",
+        "shiftleft(first + distance - far, 20) + shiftleft(far - near + 1, 10) + far AS place",
+        f"xxhash64(part, substring(string, int(distance - part * {width} + 1), {length - width + 1})) AS core",
+    )
+    again = cut.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core")
+    return cut.join(again.hint(LARGE_JOIN), "core", "left_semi").drop("core")
+
+
 def equal_suffixes(raw: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Rows of ``starts`` whose ``length`` bytes are not alone, and the group of equal ones of each.
 
@@ -273,9 +294,11 @@ def remove_repeats(df: DataFrame, length: int = 100) -> DataFrame:
         release(spark)
         undecided = marks.where("kind = 2").groupBy("rid").agg(F.collect_list("place").alias("places"))
         found = rows.select("rid", "text").join(undecided.hint(LARGE_JOIN), "rid")
-        contexts, folder = saved(found.mapInArrow(_contexts(length), "head binary, string binary, rid long, place long"), "contexts")
-        folders.append(folder)
-        release(spark)
+        contexts = found.mapInArrow(_contexts(length), "head binary, string binary, rid long, place long")
+        for width in (None, 20, 5):
+            contexts, folder = saved(_narrowed(contexts, length, width) if width else contexts, "contexts")
+            folders.append(folder)
+            release(spark)
         windows = contexts.agg(F.sum(F.shiftright("place", 10).bitwiseAND(F.lit(1023)))).first()[0] or 0
         ranges = contexts.repartitionByRange(windows // RANGE_WINDOWS + 1, "head", "rid", "place")
         resolved, resolved_folder = saved(ranges.mapInArrow(_resolve(length), "rid long, start long, stop long, string binary"), "resolved")
