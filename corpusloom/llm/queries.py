@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.common import table
 from corpusloom.llm.decontamination import benchmark_overlaps
+from corpusloom.llm.fingerprints import compare_with_next
 from corpusloom.llm.language_id import held_out, identify, train_languages
 from corpusloom.llm.lm_scoring import score_documents
 from corpusloom.llm.near_dedup import near_duplicates
@@ -48,6 +49,12 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return benchmark_overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = compare_with_next(table(spark, sf_dir, "documents"))
+    edited = F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256")
+    return found.select("doc_id", "n_chars", edited, "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
 
@@ -59,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_lm_scoring": op5_lm_scoring,
     "op6_decontamination": op6_decontamination,
+    "op9_fingerprints": op9_fingerprints,
     "op10_near_duplicates": op10_near_duplicates,
 }
 ORACLES: dict[str, str] = {}
