@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import table
+from corpusloom.llm.common import drop_folders, new_folder, saved, table
 from corpusloom.llm.decontamination import benchmark_overlaps
 from corpusloom.llm.fingerprints import compare_with_next
 from corpusloom.llm.language_id import held_out, identify, train_languages
@@ -17,6 +17,7 @@ from corpusloom.llm.near_dedup import near_duplicates
 from corpusloom.llm.packing import pack_documents
 from corpusloom.llm.suffix_dedup import remove_repeats
 from corpusloom.llm.token_counts import count_tokens
+from corpusloom.llm.warc import page_of, read_warc, write_warc
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,6 +50,25 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return benchmark_overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "warc")
+    write_warc(table(spark, sf_dir, "pages"), folder)
+    records = read_warc(spark, folder).select(
+        "record_id", "record_type", "refers_to", "payload_digest", F.octet_length("payload").cast("long").alias("n"), F.sha1("payload").alias("digest")
+    )
+    records, _ = saved(records, "records")
+    drop_folders(spark, folder)
+    responses = records.where("record_type = 'response'").select(F.col("record_id").alias("refers_to"), F.col("n").alias("other")).distinct()
+    found = records.join(responses, "refers_to", "left")
+    return found.select(
+        page_of(F.col("record_id")).alias("page_id"),
+        F.coalesce("n", "other").alias("payload_bytes"),
+        F.coalesce("digest", "payload_digest").alias("payload_digest"),
+        "record_type",
+        page_of(F.col("refers_to")).alias("refers_to"),
+    )
+
+
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = compare_with_next(table(spark, sf_dir, "documents"))
     edited = F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256")
@@ -66,7 +86,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_lm_scoring": op5_lm_scoring,
     "op6_decontamination": op6_decontamination,
+    "op7_warc": op7_warc,
     "op9_fingerprints": op9_fingerprints,
     "op10_near_duplicates": op10_near_duplicates,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op7_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+        d AS (SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest FROM p),
+        t AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS top FROM d)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> top THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> top THEN top END AS refers_to
+        FROM t
+    """,
+}
