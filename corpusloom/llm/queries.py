@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from corpusloom.llm.common import drop_folders, new_folder, saved, table
 from corpusloom.llm.decontamination import benchmark_overlaps
 from corpusloom.llm.fingerprints import compare_with_next
+from corpusloom.llm.html_content import extract_main_text
 from corpusloom.llm.language_id import held_out, identify, train_languages
 from corpusloom.llm.lm_scoring import score_documents
 from corpusloom.llm.near_dedup import near_duplicates
@@ -69,6 +70,10 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = compare_with_next(table(spark, sf_dir, "documents"))
     edited = F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256")
@@ -87,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_lm_scoring": op5_lm_scoring,
     "op6_decontamination": op6_decontamination,
     "op7_warc": op7_warc,
+    "op8_html_extraction": op8_html_extraction,
     "op9_fingerprints": op9_fingerprints,
     "op10_near_duplicates": op10_near_duplicates,
 }
