@@ -4,29 +4,73 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from corpusloom.llm.common import saved
+from corpusloom.llm.common import LARGE_JOIN, drop_folders, saved
+from corpusloom.llm.decontamination import decontaminate
+from corpusloom.llm.language_id import UNKNOWN, held_out, identify, train_languages
 from corpusloom.llm.near_dedup import near_duplicates
+from corpusloom.llm.packing import pack_documents
+from corpusloom.llm.suffix_dedup import remove_repeats
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which a language is recognised stay; those without letters, or without text, go."""
+    model = train_languages(docs.where(~held_out()))
+    return identify(docs, model).where(F.col("lang_pred") != UNKNOWN).select(docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of near duplicates, the document with the smallest doc_id stays."""
     kept = near_duplicates(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    return docs.join(kept.hint(LARGE_JOIN), docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Strings of 100 bytes that occurred before are cut out; documents of which nothing is left go.
+
+    Bytes of a character that a cut divides go with it, and n_chars follows the text.
+    """
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    cut = remove_repeats(docs, carry=others, as_text=True)
+    rows = cut.where((F.size("removed") == 0) | (F.col("kept") != ""))
+    rows = rows.select("doc_id", F.col("kept").alias("text"), *(F.col(f"carried.`{c}`") for c in others))
+    if "n_chars" in others:
+        rows = rows.withColumn("n_chars", F.char_length("text").cast("long"))
+    return rows.select(docs.columns)
+
+
+def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that repeat a passage of the benchmark go."""
+    return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of token ids whose lengths are powers of two."""
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language identification", known_language),
     ("near duplicates", one_of_each_group),
+    ("suffix-array deduplication", without_repeats),
+    ("benchmark decontamination", without_benchmarks),
+    ("packing", packed),
 ]
 
-# near duplicates and the language model have no SQL form
+# the language model, near duplicates and tokenizers have no SQL form
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in order over ``documents``; each reads what the one before wrote."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    folder = None
     for name, stage in STAGES[:-1]:
-        docs, _ = saved(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs, written = saved(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        if folder:
+            drop_folders(spark, folder)
+        folder = written
     return STAGES[-1][1](spark, docs, sf_dir)

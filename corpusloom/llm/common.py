@@ -40,7 +40,7 @@ def keyed(df: DataFrame, *columns: str) -> DataFrame:
     That is doc_id itself unless ids are missing or repeated; then the rows are numbered in the
     order of doc_id (null first) and ``columns``, in the shared folder.
     """
-    ids = df.groupBy("doc_id").agg(F.count("*").alias("n"))
+    ids = df.select("doc_id").groupBy("doc_id").agg(F.count("*").alias("n"))
     if ids.where("doc_id IS NULL OR n > 1").limit(1).count() == 0:
         return df.withColumn("rid", F.col("doc_id"))
     return dense_positions(df, ["doc_id", *columns]).withColumnRenamed("position", "rid")

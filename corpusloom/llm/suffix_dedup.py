@@ -23,7 +23,7 @@ Nothing is gathered beyond one document's spans, or one range, whose size the sp
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -238,37 +238,43 @@ def _resolve(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
     return run
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cut(as_text: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Join the spans of each row and take them out of its text."""
-    for batch in batches:
-        for part in slices(batch, "text"):
-            kept, merged, sizes = [], [], []
-            for text, spans in zip(part.column("text").to_pylist(), part.column("spans").to_pylist(), strict=True):
-                raw = (text or "").encode()
-                runs: list[list[int]] = []
-                for span in sorted((s["start"], s["stop"]) for s in spans or ()):
-                    if runs and span[0] <= runs[-1][1]:
-                        runs[-1][1] = max(runs[-1][1], span[1])
-                    else:
-                        runs.append(list(span))
-                last, pieces = 0, []
-                for start, stop in runs:
-                    pieces.append(raw[last:start])
-                    last = stop
-                kept.append(b"".join([*pieces, raw[last:]]))
-                merged.append([{"start": a, "stop": b} for a, b in runs])
-                sizes.append(len(raw))
-            span = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
-            columns = [part.column("rid"), part.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(merged, span), pa.array(kept, pa.binary())]
-            yield pa.record_batch(columns, names=["rid", "doc_id", "n_bytes", "removed", "kept"])
-
-
-def remove_repeats(df: DataFrame, length: int = 100) -> DataFrame:
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                kept, merged, sizes = [], [], []
+                for text, spans in zip(part.column("text").to_pylist(), part.column("spans").to_pylist(), strict=True):
+                    raw = (text or "").encode()
+                    runs: list[list[int]] = []
+                    for span in sorted((s["start"], s["stop"]) for s in spans or ()):
+                        if runs and span[0] <= runs[-1][1]:
+                            runs[-1][1] = max(runs[-1][1], span[1])
+                        else:
+                            runs.append(list(span))
+                    last, pieces = 0, []
+                    for start, stop in runs:
+                        pieces.append(raw[last:start])
+                        last = stop
+                    left = b"".join([*pieces, raw[last:]])
+                    kept.append(left.decode("utf-8", "ignore") if as_text else left)
+                    merged.append([{"start": a, "stop": b} for a, b in runs])
+                    sizes.append(len(raw))
+                span = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
+                columns = [part.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(merged, span), pa.array(kept, pa.string() if as_text else pa.binary())]
+                yield pa.record_batch([*columns, part.column("carried")], names=["doc_id", "n_bytes", "removed", "kept", "carried"])
+
+    return run
+
+
+def remove_repeats(df: DataFrame, length: int = 100, carry: Sequence[str] = (), as_text: bool = False) -> DataFrame:
     """Take out of the texts of (doc_id, text) every byte that an earlier string of ``length`` bytes covers.
 
     Returns doc_id, n_bytes (UTF-8), removed (the maximal spans that went, ``start`` and ``stop`` in
-    bytes) and kept (the other bytes, joined; a cut may fall inside a character). Strings are judged
-    on the texts as they came and never cross documents.
+    bytes), kept (the other bytes, joined; a cut may fall inside a character, whose bytes go too if
+    ``as_text`` makes kept a string) and carried, a struct of the columns named by ``carry``. Strings
+    are judged on the texts as they came and never cross documents.
 
     A null text is empty; shorter texts than ``length`` lose nothing. Equal rows are documents of
     their own: missing or repeated ids are ordered by (doc_id, text), null first. An empty table
@@ -277,7 +283,9 @@ def remove_repeats(df: DataFrame, length: int = 100) -> DataFrame:
     if not 40 <= length <= 1000:
         raise ValueError("length must be from 40 to 1000")
     spark = df.sparkSession
-    rows = keyed(df.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")), "text")
+    carried = F.struct(*(F.col(f"`{c}`") for c in carry), F.lit(None).cast("string").alias("__none")).alias("carried")
+    text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
+    rows = keyed(df.select(F.col("doc_id").cast("long").alias("doc_id"), text, carried), "text")
     runs = rows.select("rid", "text").mapInArrow(_runs(length), _RUNS)
     folders: list[str] = []
     try:
@@ -313,6 +321,9 @@ def remove_repeats(df: DataFrame, length: int = 100) -> DataFrame:
     spans = marks.where("kind < 2").select("rid", first_byte.alias("start"), (first_byte + whole).alias("stop"))
     spans = spans.unionByName(resolved.where("string IS NULL").select("rid", "start", "stop")).unionByName(across.select("rid", "start", "stop"))
     spans = spans.groupBy("rid").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
-    joined = rows.join(spans.hint(LARGE_JOIN), "rid", "left").select("rid", "doc_id", "text", "spans")
+    joined = rows.join(spans.hint(LARGE_JOIN), "rid", "left").select("doc_id", "text", "spans", "carried")
     removed = "array<struct<start: bigint, stop: bigint>>"
-    return joined.mapInArrow(_cut, f"rid long, doc_id long, n_bytes long, removed {removed}, kept binary").drop("rid")
+    kept = "string" if as_text else "binary"
+    schema = f"doc_id long, n_bytes long, removed {removed}, kept {kept}, carried {joined.schema['carried'].dataType.simpleString()}"
+    cut = joined.mapInArrow(_cut(as_text), schema)
+    return cut.withColumn("carried", F.col("carried").dropFields("__none")) if carry else cut.drop("carried")
