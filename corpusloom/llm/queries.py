@@ -15,6 +15,7 @@ from corpusloom.llm.html_content import extract_main_text
 from corpusloom.llm.language_id import held_out, identify, train_languages
 from corpusloom.llm.lm_scoring import score_documents
 from corpusloom.llm.near_dedup import near_duplicates
+from corpusloom.llm.oracles import ORACLES  # noqa: F401 - part of this module's surface
 from corpusloom.llm.packing import pack_documents
 from corpusloom.llm.suffix_dedup import remove_repeats
 from corpusloom.llm.token_counts import count_tokens
@@ -96,14 +97,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_fingerprints": op9_fingerprints,
     "op10_near_duplicates": op10_near_duplicates,
 }
-ORACLES: dict[str, str] = {
-    "op7_warc": """
-        WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
-        d AS (SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest FROM p),
-        t AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS top FROM d)
-        SELECT page_id, payload_bytes, payload_digest,
-               CASE WHEN payload_bytes >= 1000 AND page_id <> top THEN 'revisit' ELSE 'response' END AS record_type,
-               CASE WHEN payload_bytes >= 1000 AND page_id <> top THEN top END AS refers_to
-        FROM t
-    """,
-}

@@ -1,0 +1,407 @@
+"""Each operator against a brute-force version of itself, on the smallest tables."""
+
+import hashlib
+import itertools
+import math
+import random
+import re
+import struct
+import zlib
+from collections import Counter
+
+import duckdb
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import __spark_entry__ as contract
+import corpus_pipeline
+from corpusloom.llm import bytewords, decontamination, html_content, lm_scoring, near_dedup, queries, suffix_dedup, warc
+from corpusloom.llm.common import texts_of
+from corpusloom.llm.packing import encoder, piece_lengths
+from corpusloom.llm.token_counts import whole_words
+from oracle import compare, connect
+
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
+
+
+@pytest.fixture(scope="module")
+def documents(sf_dir):
+    rows = duckdb.sql(f"SELECT doc_id, coalesce(text, '') FROM '{sf_dir}/documents.parquet' ORDER BY doc_id").fetchall()
+    return dict(rows)
+
+
+def plain_words(text):
+    return [w.translate(LOWER) for w in re.findall(rb"[^\x20\x09-\x0d]+", text.encode())]
+
+
+def shingle_set(words, size):
+    if not words:
+        return frozenset()
+    return frozenset(tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1)))
+
+
+def test_all_ten_and_the_pipeline_are_registered():
+    names = set(contract.queries())
+    assert {n.split("_")[0] for n in names if re.match(r"op\d+_", n)} == {f"op{n}" for n in range(1, 11)}
+    assert "pipeline" in names
+    assert set(queries.ORACLES) <= set(queries.QUERIES)
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_query_gives_the_rows_of_its_sql(spark, sf_dir, name):
+    difference = compare(spark, connect(sf_dir), queries.QUERIES[name], queries.ORACLES[name], sf_dir)
+    assert difference is None, difference
+
+
+def test_words_do_not_depend_on_blocks(monkeypatch):
+    texts = ["", "a  B\tc", " x ", "é" * 90, "long" * 40 + " tail", "z"]
+    whole = bytewords.words(texts_of(pa.array(texts)))
+    monkeypatch.setattr(bytewords, "BLOCK_BYTES", 16)
+    cut = bytewords.words(texts_of(pa.array(texts)))
+    assert (whole.hashes == cut.hashes).all() and (whole.first == cut.first).all()
+    assert list(np.diff(whole.first)) == [len(plain_words(t)) for t in texts]
+
+
+ODD_TEXTS = [
+    "", " ", "a  b", "a \n b  ", "<|endoftext|>", "hi<|endoftext|> there <|endoftext|><|endo", "é ½ ²x 日本語 don't I'LL we've", "\x1c a\x85\x85b",
+    "İstanbul ΣΑΣ ŉ ſt", "  lead", "trail  ", "a\r\n\r\nb", "😀😀 a", "<|startoftext|>x</w>", "x'sy 'S 'd''d 12 3a_b__c ​",
+]
+
+
+def test_packing(spark, sf_dir, documents):
+    library = Tokenizer.from_file(BYTE_BPE)
+    encode = encoder(BYTE_BPE)
+    for text in ODD_TEXTS:
+        assert encode(text) == library.encode(text, add_special_tokens=False).ids, text
+    rows = queries.op1_packing(spark, sf_dir).collect()
+    assert len({r.sequence_id for r in rows}) == len(rows)
+    pieces = {}
+    for r in rows:
+        assert r.offset == 0 and r.length & (r.length - 1) == 0 and r.length <= 1024
+        pieces.setdefault(r.doc_id, []).append(r)
+    assert set(pieces) == set(documents)
+    for doc, own in pieces.items():
+        ids = library.encode(documents[doc], add_special_tokens=False).ids + [0]
+        own.sort(key=lambda r: r.start)
+        assert [r.start for r in own] == [0, *itertools.accumulate(r.length for r in own)][:-1]
+        for r in own:
+            assert r.doc_tokens == len(ids)
+            assert r.ids_crc32 == zlib.crc32(struct.pack(f"<{r.length}I", *ids[r.start : r.start + r.length]))
+        assert sum(r.length for r in own) == len(ids)
+
+
+def test_piece_lengths():
+    assert piece_lengths(2048 + 5, 1024) == [1024, 1024, 4, 1]
+    assert piece_lengths(1, 1024) == [1]
+
+
+def test_long_texts_are_encoded_in_parts(monkeypatch):
+    import corpusloom.llm.packing as packing
+
+    text = " ".join(random.Random(1).choices(["the", "of", "bleand,", "x  y", "é"], k=900))
+    whole = encoder(BYTE_BPE)(text)
+    monkeypatch.setattr(packing, "PART_CHARS", 50)
+    assert encoder(BYTE_BPE)(text) == whole
+
+
+def test_token_counts(spark, sf_dir, documents):
+    library = Tokenizer.from_file(WORD_BPE)
+    assert len(whole_words(WORD_BPE)) > 20_000
+    for r in queries.op2_token_counts(spark, sf_dir).collect():
+        n = len(library.encode(documents[r.doc_id], add_special_tokens=False).ids)
+        assert (r.n_tokens, r.n_bytes, r.over_limit) == (n, len(documents[r.doc_id].encode()), n > 2048)
+    odd = spark.createDataFrame(list(enumerate(ODD_TEXTS)), "doc_id long, text string")
+    from corpusloom.llm.token_counts import count_tokens
+
+    for r in count_tokens(odd, WORD_BPE).collect():
+        assert r.n_tokens == len(library.encode(ODD_TEXTS[r.doc_id], add_special_tokens=False).ids)
+
+
+def test_token_counts_of_other_files(spark):
+    import sentencepiece
+
+    from corpusloom.llm.token_counts import count_tokens
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    library = sentencepiece.SentencePieceProcessor(model_file=model)
+    odd = spark.createDataFrame(list(enumerate(ODD_TEXTS)), "doc_id long, text string")
+    for r in count_tokens(odd, model).collect():
+        assert r.n_tokens == len(library.encode(ODD_TEXTS[r.doc_id]))
+
+
+def test_languages_on_held_out_documents(spark):
+    found = queries.op3_language_id(spark, "/root/testdata/sf0.01")
+    labels = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang")
+    rows = found.join(labels, "doc_id").where("held_out").collect()
+    assert len(rows) > 200 and all(0 <= r.score <= 1 for r in rows)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in found.collect())
+    assert sum(r.lang_pred == r.lang for r in rows) >= 0.98 * len(rows)
+
+
+@pytest.mark.parametrize("windows", [150, 1 << 19])
+def test_repeats_across_ranges(spark, monkeypatch, windows):
+    monkeypatch.setattr(suffix_dedup, "RANGE_WINDOWS", windows)
+    rng = random.Random(windows)
+    words = ["the", "bleand", "of", "erst", "tion", "whor"]
+    shared = [" ".join(rng.choices(words, k=40)) for _ in range(3)]
+    rows = []
+    for i in range(60):
+        own = " ".join("%x" % rng.getrandbits(40) for _ in range(8))
+        rows.append((i, f"{own[: rng.randrange(60)]}{rng.choice(shared)}{own}é{rng.choice(shared)[: rng.randrange(50, 200)]}"))
+    rows += [(70, "ab" * 150), (71, "ab" * 150), (72, "x" * 99), (73, "x" * 101)]
+    found = {r.doc_id: r for r in suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    seen = set()
+    for doc, text in rows:
+        raw = text.encode()
+        gone = bytearray(len(raw))
+        for p in range(len(raw) - 99):
+            if raw[p : p + 100] in seen:
+                gone[p : p + 100] = b"\1" * 100
+            seen.add(raw[p : p + 100])
+        assert found[doc].kept == bytes(b for b, g in zip(raw, gone, strict=True) if not g), doc
+        assert len(found[doc].removed) == len([x for x in bytes(gone).split(b"\0") if x])
+
+
+def test_language_model_scores(spark, sf_dir, documents):
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where("quality = 1")
+    targets = {r.doc_id for r in labels.collect()}
+    words = {d: plain_words(t) for d, t in documents.items()}
+    count = Counter(w for ws in words.values() for w in ws)
+    known = list(count)
+    hashes = bytewords.words(texts_of(pa.array([w.decode() for w in known]))).hashes.view(np.int64).tolist()
+    ranked = sorted(zip(known, hashes, strict=True), key=lambda x: (-count[x[0]], x[1]))
+    top = {w for w, _ in ranked[: lm_scoring.VOCABULARY]}
+
+    def token(w):
+        return w if w in top else (min(len(w), 32), any(not (97 <= (b | 32) <= 122 or b >= 128) for b in w))
+
+    tokens = {d: [token(w) for w in ws] for d, ws in words.items()}
+
+    def model(docs):
+        pairs = Counter(p for d in docs for p in zip(["<s>", *tokens[d]], tokens[d], strict=False))
+        single, before = Counter(), Counter()
+        for (a, b), n in pairs.items():
+            single[b] += n
+            before[a] += n
+        size = sum(single.values()) + len(top) + lm_scoring.CLASSES
+        return lambda a, b: -math.log((pairs[a, b] + lm_scoring.PRIOR * (single[b] + 1) / size) / (before[a] + lm_scoring.PRIOR))
+
+    target, background = model([d for d in documents if d in targets]), model(list(documents))
+    for r in lm_scoring.score_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"), labels).collect():
+        pairs = list(zip(["<s>", *tokens[r.doc_id]], tokens[r.doc_id], strict=False))
+        assert r.n_tokens == len(pairs)
+        if pairs:
+            wanted = sum(target(*p) - background(*p) for p in pairs) / len(pairs)
+            assert r.score == pytest.approx(wanted, abs=1e-4)
+
+
+def test_masks_meet_any_two_substitutions():
+    for bad in itertools.combinations(range(13), 2):
+        places = ((m, p) for m in decontamination.MASKS for p in range(13 - len(m) + 1))
+        assert any(all(p + k not in bad for k, bit in enumerate(m) if bit == "1") for m, p in places)
+
+
+def test_longest_stretch():
+    rng = random.Random(3)
+    for _ in range(500):
+        same = np.array([rng.random() < 0.75 for _ in range(rng.randint(1, 20))], float)
+        start, stop = decontamination.longest_stretch(same, 0.8)
+        spans = [(i, j) for i in range(len(same) + 1) for j in range(i, len(same) + 1) if same[i:j].sum() >= 0.8 * (j - i) - 1e-9]
+        assert stop - start == max(j - i for i, j in spans)
+
+
+def test_benchmark_overlaps(spark, sf_dir, documents):
+    items = dict(duckdb.sql(f"SELECT item_id, text FROM '{sf_dir}/benchmark.parquet'").fetchall())
+    own = {d: plain_words(t) for d, t in documents.items()}
+    wanted = set()
+    for item, text in items.items():
+        test = plain_words(text)
+        grams = {tuple(test[i : i + 5]): i for i in range(len(test) - 4)}
+        for doc, words in own.items():
+            for at in range(len(words) - 4):
+                place = grams.get(tuple(words[at : at + 5]))
+                if place is not None:
+                    shift = at - place
+                    low, high = max(0, -shift), min(len(test), len(words) - shift)
+                    same = np.array([test[k] == words[shift + k] for k in range(low, high)], float)
+                    start, stop = decontamination.longest_stretch(same, 0.8)
+                    if stop - start >= min(13, len(test)):
+                        wanted.add((doc, item))
+    rows = queries.op6_decontamination(spark, sf_dir).collect()
+    assert {(r.doc_id, r.item_id) for r in rows} == wanted and wanted
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    clean = decontamination.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    assert {r.doc_id for r in clean.collect()} == set(documents) - {d for d, _ in wanted}
+
+
+def test_benchmark_blocks_and_substitutions(spark, monkeypatch):
+    monkeypatch.setattr(decontamination, "BLOCK_BYTES", 200)
+    rng = random.Random(5)
+    items = [(i, " ".join("w%d" % rng.randrange(900) for _ in range(rng.choice((4, 20, 40))))) for i in range(12)]
+    docs, wanted = [], set()
+    for i in range(60):
+        item, text = rng.choice(items)
+        words = text.split()
+        changed = words[:]
+        for k in rng.sample(range(len(words)), len(words) // 10):
+            changed[k] = "other"
+        docs.append((i, " ".join(["pre"] * rng.randrange(30) + changed + ["post"] * rng.randrange(30))))
+        wanted.add((i, item))
+    docs.append((99, " ".join("v%d" % k for k in range(200))))
+    found = decontamination.benchmark_overlaps(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert wanted <= {(r.doc_id, r.item_id) for r in found.collect()}
+    assert 99 not in {r.doc_id for r in found.collect()}
+
+
+def test_warc_segments_and_revisits(spark, tmp_path):
+    long = "".join(f"<p>é{k} {'x' * (k % 7)}</p>\r\n\r\nWARC/1.1\r\n" for k in range(400))
+    rows = [(1, "http://a/ b", long), (2, None, long), (3, "u", ""), (4, "u", None), (5, "u", "short"), (6, "u", "short"), (7, "u", long), (8, "v", long[:-1]), (8, "v", long[:-1])]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    folder = f"file://{tmp_path}/warc"
+    warc.write_warc(pages, folder, segment=300, chunk=64)
+    found = warc.read_warc(spark, folder).collect()
+    assert all(r.problem is None for r in found)
+    got = Counter((int(r.record_id.split(":")[2]), r.record_type, r.payload and r.payload.decode()) for r in found)
+    wanted = Counter((i, "revisit" if i < 3 else "response", None if i < 3 else (h or "")) for i, _, h in rows)
+    assert {k: v for k, v in got.items() if k[2]} == {k: v for k, v in wanted.items() if k[2]}
+    assert sum(got.values()) == len(rows)
+    assert {r.refers_to.split(":")[2] for r in found if r.record_type == "revisit"} == {"7"}
+
+
+def test_warc_reports_what_is_wrong(spark, tmp_path):
+    part = lambda n, block, **more: warc.record_bytes([("WARC-Type", "response" if n == 1 else "continuation"), ("WARC-Record-ID" if n == 1 else "WARC-Segment-Origin-ID", "<o>"), ("WARC-Segment-Number", str(n)), *more.items()], block)
+    block = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n" + warc.framed(b"hello world", 4)
+    total = {"WARC-Segment-Total-Length": str(len(block))}
+    cases = {
+        "whole": ([part(1, block[:20]), part(2, block[20:40]), part(3, block[40:], **total)], None),
+        "missing": ([part(1, block[:20]), part(3, block[40:], **total)], "a segment is missing"),
+        "length": ([part(1, block[:20]), part(2, block[20:], **{"WARC-Segment-Total-Length": "7"})], "the total length differs"),
+        "framing": ([part(1, block[:20]), part(2, block[20:-9], **{"WARC-Segment-Total-Length": str(len(block) - 9)})], "chunk"),
+    }
+    for name, (records, problem) in cases.items():
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "a.warc").write_bytes(b"".join(r + b"\r\n\r\n" for r in reversed(records)))
+        (row,) = warc.read_warc(spark, f"file://{tmp_path}/{name}").collect()
+        assert (row.problem or "").startswith(problem or "") and (row.payload == b"hello world") == (problem is None)
+    with pytest.raises(ValueError):
+        list(warc.parse_records(b"WARC/1.1\r\nContent-Length: 9\r\n\r\nabc"))
+
+
+def test_main_text(spark, sf_dir):
+    import html
+
+    for r in queries.op8_html_extraction(spark, sf_dir).join(spark.read.parquet(f"{sf_dir}/pages.parquet"), "page_id").collect():
+        inner = r.html[r.html.index("<article>") + 9 : r.html.index("</article>")]
+        blocks = (" ".join(html.unescape(re.sub(r"<[^>]*>", "", b)).split()) for b in re.split(r"</?(?:p|h1|br)>", inner))
+        wanted = "\n".join(b for b in blocks if b)
+        assert (r.text, r.n_chars) == (wanted, len(wanted))
+
+
+def test_main_text_without_article():
+    page = """<html><head><title>T</title></head><body class="has-sidebar"><header><h1>Site</h1></header>
+    <div class="cookie-notice">We use cookies, accept them please, all of you, today.</div><div id="menu"><a href=x>A</a></div>
+    <div class="content"><h2>Title &amp; more</h2><p>First paragraph, long enough to be content, yes it is long enough.<p>Second   one with
+    <a href=y>a link</a> and <b>bold</b> text, and quite long too.<div class="share">Share this</div><blockquote>A quote that
+    belongs to it, and is also long.</blockquote><p>Short.</div><aside>Side text that is rather long and not part of it at all.</aside>
+    <section class="comments"><p>I like this, says a reader, and goes on for a while.</section><form><p>Sign up</form><footer>f</footer></body></html>"""
+    wanted = ["Title & more", "First paragraph, long enough to be content, yes it is long enough.", "Second one with a link and bold text, and quite long too."]
+    assert html_content.main_text(page) == "\n".join([*wanted, "A quote that belongs to it, and is also long.", "Short."])
+    assert html_content.main_text("plain") == "plain" and html_content.main_text("") == ""
+    assert html_content.main_text("<script>bad(") == "" and html_content.main_text("<p>a<p>b") == "a\nb"
+
+
+def test_fingerprints(spark, documents, sf_dir):
+    rows = {r.doc_id: r for r in queries.op9_fingerprints(spark, sf_dir).collect()}
+    ids = sorted(documents)
+    error = []
+    words = lambda t: [w for w in re.split(r"[\x20\x09-\x0d]+", t.lower()) if w]
+    for k, doc in enumerate(ids):
+        text, after = documents[doc], documents[ids[(k + 1) % len(ids)]]
+        cut = len(text) // 4
+        edited = text[: len(text) - cut] + after[:cut]
+        r = rows[doc]
+        assert (r.n_chars, r.edited_sha256) == (len(text), hashlib.sha256(edited.encode()).hexdigest())
+        a, b = shingle_set(words(text), 5), shingle_set(words(edited), 5)
+        error.append(r.near_edited - (len(a & b) / len(a | b) if a | b else 1))
+        assert 0 <= r.near_next <= 1
+    assert abs(np.mean(error)) < 0.02 and np.std(error) < 0.06
+    same = {}
+    for doc, text in documents.items():
+        assert same.setdefault(text, rows[doc].fingerprint) == rows[doc].fingerprint
+
+
+@pytest.mark.parametrize("size", [2, 5])
+def test_near_duplicates_with_large_groups(spark, monkeypatch, size):
+    # small limits, so that nodes stay large, groups are dealt into blocks and loose ends meet all blocks
+    monkeypatch.setattr(near_dedup, "BLOCK_CLASSES", 16)
+    monkeypatch.setattr(near_dedup, "SMALL", 4)
+    rng = random.Random(size)
+    base = [f"w{k}" for k in range(120)]
+    docs = [(k, " ".join(f"v{rng.randrange(10**6)}" for _ in range(60))) for k in range(40)]
+    for k in range(40, 140):
+        words = base[:]
+        for _ in range(rng.randrange(1, 8)):
+            words[rng.randrange(120)] = f"n{rng.randrange(10**6)}"
+        docs.append((k, " ".join(words)))
+    docs += [(200, docs[50][1]), (201, docs[50][1].upper()), (202, "one"), (203, "one"), (204, ""), (205, None), (206, " ")]
+    sets = {d: shingle_set(plain_words(t or ""), size) for d, t in docs}
+    root = {d: d for d, _ in docs}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in itertools.combinations(sets, 2):
+        if sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+            root[max(find(a), find(b))] = min(find(a), find(b))
+    found = near_dedup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), size).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in found} == {d: (len(s), find(d), d == find(d)) for d, s in sets.items()}
+
+
+def test_pipeline_stages(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    assert [n for n, _ in corpus_pipeline.STAGES][-1] == "packing" and len(corpus_pipeline.STAGES) == 5
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    kept = {r.doc_id: r.text for r in corpus_pipeline.known_language(spark, documents, sf_dir).collect()}
+    assert set(kept) == {r.doc_id for r in documents.collect() if any(c.isalpha() for c in r.text or "")}
+    groups = {}
+    for doc, text in sorted(kept.items()):
+        own = shingle_set(plain_words(text), 5)
+        groups[doc] = own
+    links = [(a, b) for a, b in itertools.combinations(groups, 2) if groups[a] and 100 * len(groups[a] & groups[b]) >= 80 * len(groups[a] | groups[b])]
+    root = {d: d for d in groups}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        root[max(find(a), find(b))] = min(find(a), find(b))
+    stay = {d: kept[d] for d in kept if find(d) == d}
+    seen, left = set(), {}
+    for doc, text in sorted(stay.items()):
+        raw = text.encode()
+        gone = bytearray(len(raw))
+        for p in range(len(raw) - 99):
+            if raw[p : p + 100] in seen:
+                gone[p : p + 100] = b"\1" * 100
+            seen.add(raw[p : p + 100])
+        cut = bytes(b for b, g in zip(raw, gone, strict=True) if not g).decode("utf-8", "ignore")
+        if cut or not any(gone):
+            left[doc] = cut
+    tests = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    hits = decontamination.benchmark_overlaps(spark.createDataFrame(list(left.items()), "doc_id long, text string"), tests)
+    hit = {r.doc_id for r in hits.collect()}
+    tokens = Counter()
+    for r in corpus_pipeline.run(spark, sf_dir).collect():
+        tokens[r.doc_id] += len(r.ids)
+    encode = encoder(BYTE_BPE)
+    assert tokens == Counter({d: len(encode(t)) + 1 for d, t in left.items() if d not in hit})
