@@ -99,7 +99,7 @@ def text_mode(text: Column | str, mode: Column | str | None) -> Column:
 
 # Java flags for Unicode classes and for "\n is the only line end".
 _JAVA_FLAGS = "(?dU)"
-_PATTERN_PIECE = re.compile(r"\\.|\[\^?\]?(?:\\.|\[:\w+:\]|[^\]\\])*\]|\$", re.S)
+_PATTERN_PIECE = re.compile(r"\\.|\[\^?\]?(?:\\.|\[:\^?\w+:\]|[^\]\\])*\]|\$", re.S)
 _REPLACEMENT_PIECE = re.compile(r"\$\$|\$\{(\w+)\}|\$(\w+)|[\\$]")
 _GROUP_OPEN = re.compile(r"\\.|\[\^?\]?(?:\\.|[^\]\\])*\]|\((?!\?)|\(\?P?<(?![=!])(\w+)>", re.S)
 
@@ -113,9 +113,53 @@ def java_pattern(pattern: str) -> str:
     body = pattern.replace("(?P<", "(?<")
     if not re.search(r"\(\?[a-zA-Z]*m", body):
         body = _PATTERN_PIECE.sub(lambda m: r"\z" if m[0] == "$" else m[0], body)
+    body = _PATTERN_PIECE.sub(lambda m: _spelled_out(m[0]) if m[0][0] == "[" else m[0], body)
     return _JAVA_FLAGS + body
 
 
+# The classes that POSIX names, ASCII only.
+POSIX_CLASSES = {
+    "alnum": "0-9A-Za-z",
+    "alpha": "A-Za-z",
+    "ascii": r"\x00-\x7F",
+    "blank": r"\t ",
+    "cntrl": r"\x00-\x1F\x7F",
+    "digit": "0-9",
+    "graph": "!-~",
+    "lower": "a-z",
+    "print": " -~",
+    "punct": r"!-/:-@\[-`{-~",
+    "space": r"\t\n\x0B\f\r ",
+    "upper": "A-Z",
+    "word": "0-9A-Za-z_",
+    "xdigit": "0-9A-Fa-f",
+}
+_POSIX = re.compile(r"\[:(\^?)(\w+):\]")
+
+
+def _spelled_out(bracket: str) -> str:
+    """A bracket expression with its POSIX classes written as ranges."""
+
+    def ranges(piece: re.Match) -> str:
+        if piece[2] not in POSIX_CLASSES:
+            raise ValueError(f"unknown class {piece[0]} in a pattern")
+        return f"[^{POSIX_CLASSES[piece[2]]}]" if piece[1] else POSIX_CLASSES[piece[2]]
+
+    return _POSIX.sub(ranges, bracket)
+
+
+def library_pattern(pattern: str):
+    """The pattern compiled in Python with the reading that :func:`java_pattern` gives it."""
+    import regex
+
+    body = pattern
+    if not re.search(r"\(\?[a-zA-Z]*m", body):
+        body = _PATTERN_PIECE.sub(lambda m: r"\Z" if m[0] == "$" else m[0], body)
+    # the library knows POSIX classes, but as Unicode ones
+    body = _PATTERN_PIECE.sub(lambda m: _spelled_out(m[0]) if m[0][0] == "[" else m[0], body)
+    return regex.compile(body, regex.VERSION1)
+
+
 def java_replacement(pattern: str, replacement: str) -> str:
     """Translate ``$1``, ``${1}``, ``$name`` and ``$$``; a group the pattern lacks gives nothing."""
     names, count = set(), 0
@@ -180,9 +224,8 @@ def take_lines(text: Column | str, n: Column | int) -> Column:
     """The first ``n`` lines joined by ``\\n`` (none for a negative ``n``)."""
     count = n if isinstance(n, Column) else F.lit(n)
     joined = _joined_lines(as_column(text))
-    return F.call_function(
-        "substring_index", joined, F.lit("\n"), F.greatest(count, F.lit(0)).cast("int")
-    )
+    wanted = F.when(count < 0, 0).otherwise(count).cast("int")
+    return F.call_function("substring_index", joined, F.lit("\n"), wanted)
 
 
 def skip_lines(text: Column | str, n: Column | int) -> Column:
@@ -217,14 +260,38 @@ def word_count(text: Column | str) -> Column:
 
 # A "$" is preceded by whole escapes and classes only; \G walks from one "$" to the next.
 _SQL_DOLLAR = r"\G((?:\\.|\[(?:\\.|[^\]\\])*\]|[^$\\\[])*)\$"
+
+
+def _sql_classes() -> str:
+    """``pattern`` with Java's named groups and with POSIX classes written as ranges."""
+    spelled = "replace(pattern, '(?P<', '(?<')"
+    for name, ranges in POSIX_CLASSES.items():
+        spelled = f"replace({spelled}, '[:{name}:]', r'{ranges}')"
+        spelled = f"replace({spelled}, '[:^{name}:]', r'[^{ranges}]')"
+    return spelled
+
+
 _SQL_PATTERN = (
-    f"concat('{_JAVA_FLAGS}', CASE WHEN pattern RLIKE r'\\(\\?[a-zA-Z]*m' THEN pattern "
-    f"ELSE regexp_replace(pattern, r'{_SQL_DOLLAR}', r'$1\\\\z') END)"
+    "CASE WHEN pattern RLIKE r'\\[[^\\]]*\\[:\\^?\\w+:\\]' "
+    f"AND NOT pattern RLIKE r'\\[:\\^?({'|'.join(POSIX_CLASSES)}):\\]' "
+    "THEN raise_error(concat('unknown class in a pattern: ', pattern)) "
+    f"ELSE concat('{_JAVA_FLAGS}', CASE WHEN pattern RLIKE r'\\(\\?[a-zA-Z]*m' THEN {_sql_classes()} "
+    f"ELSE regexp_replace({_sql_classes()}, r'{_SQL_DOLLAR}', r'$1\\\\z') END) END"
+)
+# Groups that never take part, so that a group the pattern lacks gives nothing: nine more numbers,
+# and the names in the replacement that the pattern does not have.
+_SQL_ABSENT = (
+    "concat('(?:(?!)()()()()()()()()()', array_join(transform(filter(array_distinct("
+    "regexp_extract_all(replacement, r'\\$\\{?([A-Za-z][A-Za-z0-9]*)', 1)), "
+    "name -> instr(pattern, concat('<', name, '>')) = 0), "
+    "name -> concat('(?<', name, '>)')), ''), ')?')"
 )
-# "$$" is set aside as a control character while "${1}" and "$name" get Java's spelling.
+# "$$" is set aside as a control character while "${1}" and "$name" get Java's spelling; a digit
+# after "${1}" is escaped.
 _SQL_REPLACEMENT = (
-    r"replace(regexp_replace(regexp_replace(replace(replace(replacement, r'\', r'\\'), "
-    r"'$$', '\u0001'), r'\$\{(\d+)\}', r'\$$1'), r'\$([A-Za-z_]\w*)', r'\$\{$1\}'), "
+    r"replace(regexp_replace(regexp_replace(regexp_replace(replace(replace(replacement, r'\', r'\\'), "
+    r"'$$', '\u0001'), r'\$\{(\d+)\}(\d)', r'\$$1\\$2'), r'\$\{(\d+)\}', r'\$$1'), "
+    r"r'\$([A-Za-z_]\w*)', r'\$\{$1\}'), "
     r"'\u0001', r'\$')"
 )
 
@@ -256,7 +323,7 @@ SQL_FUNCTIONS = {
     "regex_replace": (
         "text STRING, pattern STRING, replacement STRING",
         "STRING",
-        f"regexp_replace(text, {_SQL_PATTERN}, {_SQL_REPLACEMENT})",
+        f"regexp_replace(text, concat({_SQL_PATTERN}, {_SQL_ABSENT}), {_SQL_REPLACEMENT})",
     ),
     "regex_match": (
         "text STRING, pattern STRING",
@@ -272,7 +339,7 @@ SQL_FUNCTIONS = {
     "take_lines": (
         "text STRING, n INT",
         "STRING",
-        rf"substring_index({_SQL_LINES}, '\n', greatest(n, 0))",
+        rf"substring_index({_SQL_LINES}, '\n', CASE WHEN n < 0 THEN 0 ELSE n END)",
     ),
     "skip_lines": (
         "text STRING, n INT",

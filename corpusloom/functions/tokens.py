@@ -12,13 +12,23 @@ from pyspark.sql.types import ArrayType, LongType, StringType, StructField, Stru
 
 from corpusloom.functions.markup import words_in
 from corpusloom.functions.retry import (
+    CALL_TEXTS,
+    DEFAULT_IN_FLIGHT,
     NO_RETRY,
     TOKEN_RETRY,
     Clients,
+    InFlight,
     RetryPolicy,
+    ask_all,
     rows_by_endpoint,
 )
-from corpusloom.functions.text import as_column, fill_nulls, java_pattern, word_count
+from corpusloom.functions.text import (
+    as_column,
+    fill_nulls,
+    java_pattern,
+    library_pattern,
+    word_count,
+)
 
 # A counter takes a list of texts and returns their token counts in the same order.
 Counter = Callable[[list[str]], list[int]]
@@ -36,7 +46,7 @@ def _local_counter(tokenizer: Tokenizer) -> tuple[CounterFactory, bool]:
     if tokenizer == "words":
         return lambda _: lambda texts: [words_in(t) for t in texts], True
     if tokenizer.startswith("regex:"):
-        pattern = re.compile(tokenizer[len("regex:") :])
+        pattern = library_pattern(tokenizer[len("regex:") :])
         return lambda _: lambda texts: [sum(1 for _ in pattern.finditer(t)) for t in texts], True
     raise ValueError(f"unknown tokenizer {tokenizer!r}")
 
@@ -45,21 +55,28 @@ def endpoint_column(endpoint: Column | str | None) -> Column:
     return endpoint if isinstance(endpoint, Column) else F.lit(endpoint).cast("string")
 
 
-def counter_udf(factory: CounterFactory, retry: RetryPolicy = NO_RETRY):
+def counter_udf(
+    factory: CounterFactory,
+    retry: RetryPolicy = NO_RETRY,
+    max_in_flight: int = DEFAULT_IN_FLIGHT,
+    call_size: int = CALL_TEXTS,
+):
     """The Arrow function of (text, endpoint) that asks a counter."""
 
     @F.arrow_udf(LongType())
     def count(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         clients = Clients(factory)
-        for batch in batches:
-            texts, endpoints = (column.to_pylist() for column in batch)
-            counts: list[int | None] = [None] * len(texts)
-            for endpoint, rows in rows_by_endpoint(texts, endpoints).items():
-                distinct = list(dict.fromkeys(texts[row] for row in rows))
-                found = dict(zip(distinct, retry.call(clients[endpoint], distinct)))
-                for row in rows:
-                    counts[row] = found[texts[row]]
-            yield pa.array(counts, pa.int64())
+        with InFlight(max_in_flight) as flight:
+            for batch in batches:
+                texts, endpoints = (column.to_pylist() for column in batch)
+                counts: list[int | None] = [None] * len(texts)
+                for endpoint, rows in rows_by_endpoint(texts, endpoints).items():
+                    distinct = list(dict.fromkeys(texts[row] for row in rows))
+                    answers = ask_all(flight, clients[endpoint], distinct, retry, call_size)
+                    found = dict(zip(distinct, answers, strict=True))
+                    for row in rows:
+                        counts[row] = found[texts[row]]
+                yield pa.array(counts, pa.int64())
 
     return count.asNondeterministic()
 
@@ -70,12 +87,13 @@ def token_count(
     endpoint: Column | str | None = None,
     retry: RetryPolicy = NO_RETRY,
     null_compat: bool = False,
+    **options,
 ) -> Column:
     """Tokens per text as a long.
 
     ``"words"`` and ``"regex:<pattern>"`` are built-in expressions. Any other tokenizer is a
-    factory called once per task and endpoint; its counter gets the distinct texts of a whole
-    Arrow batch.
+    factory called once per task and endpoint; its counter gets the distinct texts of an Arrow
+    batch in calls of ``call_size`` texts, ``max_in_flight`` of them at a time.
     """
     column = as_column(text)
     if tokenizer == "words":
@@ -86,7 +104,7 @@ def token_count(
     else:
         factory, _ = _local_counter(tokenizer)
 
-        counted = counter_udf(factory, retry)(column, endpoint_column(endpoint))
+        counted = counter_udf(factory, retry, **options)(column, endpoint_column(endpoint))
     return fill_nulls(counted, F.lit(0).cast("long"), null_compat)
 
 
@@ -234,6 +252,8 @@ def chunks_udf(
     retry: RetryPolicy = TOKEN_RETRY,
     strict_budget: bool = False,
     counted: bool = False,
+    max_in_flight: int = DEFAULT_IN_FLIGHT,
+    call_size: int = CALL_TEXTS,
 ):
     """The Arrow function of (text, max_tokens, endpoint), with token counts if ``counted``."""
     factory, local = _local_counter(tokenizer)
@@ -250,28 +270,29 @@ def chunks_udf(
     @F.arrow_udf(ArrayType(CHUNK if counted else StringType()))
     def chunks(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         clients = Clients(factory)
-        for batch in batches:
-            texts, budgets, endpoints = (column.to_pylist() for column in batch)
-            texts = [None if budget is None else text for text, budget in zip(texts, budgets)]
-            if tokenizer == "words":
-                parts = [
-                    text if text is None else split_words(text, _limit(budget), strict_budget)
-                    for text, budget in zip(texts, budgets)
-                ]
+        with InFlight(max_in_flight) as flight:
+            for batch in batches:
+                texts, budgets, endpoints = (column.to_pylist() for column in batch)
+                texts = [None if budget is None else text for text, budget in zip(texts, budgets)]
+                if tokenizer == "words":
+                    parts = [
+                        text if text is None else split_words(text, _limit(budget), strict_budget)
+                        for text, budget in zip(texts, budgets)
+                    ]
+                    yield arrow(parts)
+                    continue
+                parts = [None] * len(texts)
+                for endpoint, rows in rows_by_endpoint(texts, endpoints).items():
+                    client = clients[endpoint]
+                    split = split_to_budget(
+                        [texts[row] for row in rows],
+                        [budgets[row] for row in rows],
+                        lambda pieces, client=client: ask_all(flight, client, pieces, retry, call_size),
+                        strict_budget,
+                    )
+                    for row, pieces in zip(rows, split):
+                        parts[row] = pieces
                 yield arrow(parts)
-                continue
-            parts = [None] * len(texts)
-            for endpoint, rows in rows_by_endpoint(texts, endpoints).items():
-                client = clients[endpoint]
-                split = split_to_budget(
-                    [texts[row] for row in rows],
-                    [budgets[row] for row in rows],
-                    lambda pieces: retry.call(client, pieces),
-                    strict_budget,
-                )
-                for row, pieces in zip(rows, split):
-                    parts[row] = pieces
-            yield arrow(parts)
 
     return chunks if local else chunks.asNondeterministic()
 

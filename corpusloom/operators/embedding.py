@@ -3,13 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
-from corpusloom.functions.retry import EMBED_RETRY, Clients, RetryPolicy, rows_by_endpoint
+from corpusloom.functions.retry import (
+    CALL_TEXTS,
+    EMBED_RETRY,
+    Clients,
+    InFlight,
+    RetryPolicy,
+    ask_all,
+    rows_by_endpoint,
+)
 from corpusloom.functions.text import as_column, fill_nulls
 from corpusloom.functions.tokens import endpoint_column
 from corpusloom.functions.vectors import vectors_of
@@ -22,10 +29,9 @@ ClientFactory = Callable[[str], Client]
 
 # Fixed value: embedding calls in flight at once.
 EMBED_IN_FLIGHT = 4
-CALL_SIZE = 64
-# a text is hot when it makes up more than this share of the rows, or a larger one where
-# vectors are so long that the hot ones could exceed the bytes to broadcast
-HOT_SHARE = 0.001
+CALL_SIZE = CALL_TEXTS
+# A text is hot when it has more rows than half a shuffle partition should, or than the bytes to
+# broadcast allow.
 BROADCAST_BYTES = 64 << 20
 
 
@@ -49,16 +55,14 @@ def embed_udf(
     @F.arrow_udf(ArrayType(DoubleType()))
     def vectors(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         clients = Clients(client)
-        with ThreadPoolExecutor(max_in_flight) as pool:
+        with InFlight(max_in_flight) as flight:
             for batch in batches:
                 texts, endpoints = (column.to_pylist() for column in batch)
                 result: list[list[float] | None] = [None] * len(texts)
                 for endpoint, rows in rows_by_endpoint(texts, endpoints).items():
-                    ask = clients[endpoint]
                     distinct = list(dict.fromkeys(texts[row] for row in rows))
-                    calls = [distinct[i : i + call_size] for i in range(0, len(distinct), call_size)]
-                    answers = pool.map(retry.call, [ask] * len(calls), calls)
-                    found = dict(zip(distinct, (v for answer in answers for v in answer)))
+                    answers = ask_all(flight, clients[endpoint], distinct, retry, call_size)
+                    found = dict(zip(distinct, answers, strict=True))
                     for row in rows:
                         result[row] = found[texts[row]]
                 yield pa.array(result, pa.list_(pa.float64()))
@@ -94,8 +98,9 @@ def embed_column(
 
     ``dedupe="batch"`` embeds where the rows are. ``dedupe="global"`` sends every distinct text
     of the whole table once and joins the vectors back on a digest, for services that cost more
-    than a shuffle. Texts with many copies (more than one row in a thousand, so under a
-    thousand texts) get their vectors by broadcast and are not shuffled at all.
+    than a shuffle. The rows are computed once and pinned, so a text that would come out otherwise
+    a second time keeps its row. Texts with so many copies that they would fill a shuffle
+    partition get their vectors by broadcast and are not shuffled at all.
     """
     if dedupe == "batch":
         return df.withColumn(out, embed(F.col(f"`{text_col}`"), client, **options))
@@ -108,29 +113,34 @@ def _embed_distinct(
     df: DataFrame, text_col: str, client: ClientFactory, out: str, **options
 ) -> DataFrame:
     text = F.col(f"`{text_col}`")
-    digest = F.sha2(text, 256)
-    copies = df.where(text.isNotNull()).groupBy(text.alias("__text")).agg(
-        F.count(F.lit(1)).alias("__n")
+    keyed = pinned(df.drop(out).withColumn("__digest", F.sha2(text, 256)), "texts")
+    copies = keyed.where("__digest IS NOT NULL").groupBy("__digest").agg(
+        F.first(text).alias("__text"), F.count(F.lit(1)).alias("__n")
     )
     # written once, so that no later step or repeated task asks the service again
     vectors = pinned(
         copies.select(
-            F.sha2("__text", 256).alias("__digest"),
+            "__digest",
             "__n",
             embed(F.col("__text"), client, **options).alias(out),
+            F.lit(True).alias("__found"),
         ),
         "vectors",
     )
     total, longest = vectors.agg(F.sum("__n"), F.max(F.size(out))).first()
     # fewer than 1 / share texts can each hold more than that share of the rows
-    share = max(HOT_SHARE, (longest or 0) * 8 / BROADCAST_BYTES)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = max(1 / (2 * parts), ((longest or 0) * 8 + 100) / BROADCAST_BYTES)
     is_hot = F.col("__n") > (total or 0) * share
     hot = F.broadcast(vectors.where(is_hot).drop("__n"))
     rest = vectors.where(~is_hot).drop("__n")
 
-    keyed = df.drop(out).withColumn("__digest", digest)
-    at_once = keyed.join(hot, "__digest", "left").where(
-        F.col("__digest").isNull() | F.col(out).isNotNull()
+    known = F.col("__found") | F.col("__digest").isNull()
+    at_once = keyed.join(hot, "__digest", "left").where(known)
+    others = keyed.where("__digest IS NOT NULL").join(hot.select("__digest"), "__digest", "left_anti")
+    joined = others.join(rest, "__digest", "left")
+    checked = F.when(F.col("__found"), F.col(out)).otherwise(
+        F.raise_error(F.lit("a text has no embedding")).cast("array<double>")
     )
-    shuffled = keyed.join(hot.select("__digest"), "__digest", "left_anti").join(rest, "__digest")
-    return at_once.unionByName(shuffled).drop("__digest")
+    result = at_once.unionByName(joined.withColumn(out, checked))
+    return result.drop("__digest", "__found")

@@ -117,3 +117,44 @@ def test_endpoint_per_row(spark):
     assert [r[0] for r in df.select(embed("text", client, F.col("e"))).collect()] == [[1.0], [2.0], None]
     named = embed_column(df, "text", client, "v", endpoint="four").collect()
     assert [r.v for r in named] == [[4.0], [4.0], None]
+
+
+def test_texts_that_change_keep_their_rows(spark):
+    df = spark.range(0, 300, numPartitions=3).select("id", F.expr("concat('t', cast(rand() * 1e9 AS STRING))").alias("text"))
+    rows = embed_column(df, "text", fake_client(2), "v", "global").collect()
+    assert len(rows) == 300 and all(len(r.v) == 2 for r in rows)
+
+
+def test_a_hot_text_without_vector_keeps_its_rows(spark):
+    df = spark.range(0, 1000).select("id", F.when(F.col("id") < 500, "hot").otherwise(F.concat(F.lit("t"), "id")).alias("text"))
+
+    def client(endpoint):
+        return lambda texts: [None if t == "hot" else [1.0] for t in texts]
+
+    rows = embed_column(df, "text", client, "v", "global").collect()
+    assert len(rows) == 1000 and sum(r.v is None for r in rows) == 500
+
+
+@pytest.mark.parametrize("more", [1, -1])
+@pytest.mark.parametrize("dedupe", ["batch", "global"])
+def test_wrong_numbers_of_answers_raise(spark, more, dedupe):
+    df = spark.range(0, 200).select(F.concat(F.lit("t"), "id").alias("text"))
+
+    def client(endpoint):
+        return lambda texts: [[1.0]] * (len(texts) + more)
+
+    with pytest.raises(Exception, match="answers to"):
+        embed_column(df, "text", client, "v", dedupe, call_size=64).collect()
+
+
+def test_the_input_of_global_dedupe_is_computed_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(0, 100).selectExpr("id", "concat('t', id % 7) AS text").mapInArrow(counted, "id long, text string")
+    assert embed_column(df, "text", fake_client(2), "v", "global").count() == 100
+    assert seen.value == 100

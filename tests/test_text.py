@@ -175,3 +175,25 @@ def test_text_functions_stay_in_the_jvm(spark):
         T.text_mode("text", F.col("text")), T.regex_replace("text", "a", "b"), T.word_count("text"),
     )._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan
+
+
+def test_posix_classes_and_absent_groups(spark):
+    cases = [
+        ("[[:digit:]]+", "<$0>", "abc DEF <12>: al"), ("[[:upper:]]{3}", "X", "abc X 12: al"), ("[[:^alpha:]]", "_", "abc_DEF_____al"),
+        ("(?P<x>[a-z]+)", "[$x|${x}]", "[abc|abc] DEF 12: [al|al]"), ("[a-c]+", "<$1$name>", "<> DEF 12: <>l"), ("(a)", "${1}0", "a0bc DEF 12: a0l"),
+    ]
+    T.register_sql(spark)
+    for pattern, replacement, wanted in cases:
+        df = spark.createDataFrame([("abc DEF 12: al", pattern, replacement)], "text string, p string, r string")
+        assert df.select(T.regex_replace("text", pattern, replacement)).first()[0] == wanted
+        assert df.selectExpr("regex_replace(text, p, r)").first()[0] == wanted
+    with pytest.raises(ValueError, match="unknown class"):
+        T.java_pattern("[[:nope:]]")
+    with pytest.raises(Exception, match="unknown class"):
+        spark.sql("SELECT regex_match('a', '[[:nope:]]')").collect()
+
+
+def test_no_number_of_lines(spark):
+    T.register_sql(spark)
+    row = spark.createDataFrame([("a\nb", None)], "text string, n int").select(T.take_lines("text", F.col("n")), F.expr("take_lines(text, n)"), T.skip_lines("text", F.col("n")))
+    assert tuple(row.first()) == (None, None, None)
