@@ -65,7 +65,7 @@ ENTRIES = (
     Entry(scripts.transform_text, "table", "Scripting", "transform_text(df, 'text', 'upper(text)')"),
     Entry(
         scripts.transform_text_per_row, "table", "Scripting",
-        "transform_text_per_row(df, 'text', 'script')",
+        "transform_text_per_row(df, 'text', 'script', scripts)",
     ),
     Entry(
         language.train_language_profiles, "table", "Language",
@@ -89,6 +89,7 @@ ENTRIES = (
     ),
     Entry(http.payloads_from_json, "table", "HTTP", "payloads_from_json(spark, '[\"a\", \"b\"]')"),
     Entry(http.payloads_from_file, "table", "HTTP", "payloads_from_file(spark, 'payloads.json')"),
+    Entry(http.payloads_from_lines, "table", "HTTP", "payloads_from_lines(spark, 'payloads')"),
     Entry(objects.parse_path, "scalar", "Objects", "df.select(parse_path('path'))"),
     Entry(objects.read_objects, "table", "Objects", f"read_objects(spark, 's3a://bucket/docs') {STORE}"),
     Entry(objects.fetch_objects, "table", "Objects", f"fetch_objects(df, 'path') {STORE}"),
@@ -102,12 +103,40 @@ ENTRIES = (
     ),
 )
 
+# The names that SQL text can call, and the operator each stands for.
+SQL_NAMES = {
+    "s3_fetch": objects.fetch_text,
+    "s3_put": objects.put_text,
+    "s3_exists": objects.object_exists,
+    "s3_transform": objects.fetch_stripped,
+    "s3_transform_with": objects.fetch_with_mode,
+    "http_post": http.post_column,
+    "http_post_batch": http.post_batches,
+    "html_extract": html.extract_html,
+}
+_SQL_EXAMPLES = {
+    "s3_fetch": f"SELECT s3_fetch(path) FROM files {STORE}",
+    "s3_put": f"SELECT s3_put(path, text) FROM files {STORE}",
+    "s3_exists": f"SELECT s3_exists(path) FROM files {STORE}",
+    "s3_transform": f"SELECT s3_transform(path) FROM files {STORE}",
+    "s3_transform_with": f"SELECT s3_transform_with(path, 'trim') FROM files {STORE}",
+    "http_post": f"SELECT http_post(url, body).status_code FROM rows {SERVICE}",
+    "http_post_batch": f"SELECT * FROM http_post_batch(url, 'payloads.json', '100', '') {SERVICE}",
+    "html_extract": "SELECT e.* FROM pages, LATERAL html_extract(html) AS e",
+}
+
+# The columns of the catalog.
 COLUMNS = ("name", "kind", "module", "category", "signature", "description", "example")
 
 
 def functions_catalog(spark: SparkSession, view: str | None = "corpus_functions") -> DataFrame:
     """The operators as a table of seven text columns, also as a temporary view."""
     rows = [tuple(getattr(entry, column) for column in COLUMNS) for entry in ENTRIES]
+    tables = ("http_post_batch", "html_extract")
+    for name, operator in SQL_NAMES.items():
+        entry = Entry(operator, "table" if name in tables else "scalar", "SQL", _SQL_EXAMPLES[name])
+        signature = entry.signature.replace(operator.__name__, name, 1)
+        rows.append((name, entry.kind, "sql", "SQL", signature, entry.description, entry.example))
     frame = spark.createDataFrame(rows, ", ".join(f"{column} string" for column in COLUMNS))
     if view:
         frame.createOrReplaceTempView(view)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
@@ -9,16 +10,18 @@ from pyspark.sql import DataFrame, Window, functions as F
 from corpusloom.session import pinned
 
 
+# Messages.
+INVALID_SIZE = "Invalid batch_size: "
+ZERO_SIZE = "batch_size must be greater than 0"
+
+
 def batch_size_of(value: int | str) -> int:
-    """A batch size given as a number or its text."""
-    try:
-        size = int(value)
-        if size < 0:
-            raise ValueError("it is negative")
-    except ValueError as error:
-        raise ValueError(f"Invalid batch_size: {error}") from error
+    """A batch size given as a whole number or its digits."""
+    if isinstance(value, bool) or not isinstance(value, (int, str)) or not re.fullmatch(r"\+?[0-9]+", str(value)):
+        raise ValueError(f"{INVALID_SIZE}{value!r} is not a whole number")
+    size = int(value)
     if size == 0:
-        raise ValueError("batch_size must be greater than 0")
+        raise ValueError(ZERO_SIZE)
     return size
 
 
@@ -28,12 +31,16 @@ _PLACE_BITS = 33
 MAX_BROADCAST_PARTS = 1 << 20
 
 
-def _numbered_parts(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
+def _numbered_parts(df: DataFrame, order_by: Sequence[str], unique: bool = False) -> DataFrame:
     """The rows pinned in order, with ``__part`` and ``__place`` in it."""
     names = [F.col(f"`{c}`") for c in df.columns]
     row_id = F.monotonically_increasing_id().alias("__row")
-    rows = pinned(df.select(*names, row_id), "rows")
-    if order_by:
+    if order_by and unique:
+        ordered = df.orderBy(*[F.col(f"`{c}`") for c in order_by])
+        rows = pinned(ordered.select(*names, row_id), "ordered")
+    else:
+        rows = pinned(df.select(*names, row_id), "rows")
+    if order_by and not unique:
         ordered = rows.orderBy(*[F.col(f"`{c}`") for c in order_by], "__row")
         rows = pinned(ordered.select(*names, row_id), "ordered", source=rows)
     return rows.select(
@@ -43,7 +50,7 @@ def _numbered_parts(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
     )
 
 
-def dense_positions(df: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
+def dense_positions(df: DataFrame, order_by: Sequence[str] = (), unique: bool = False) -> DataFrame:
     """Add ``position``: 0, 1, 2, ... without gaps, in the order of ``order_by``.
 
     The rows are pinned with a row id, range-sorted over all tasks with that id as the last
@@ -54,8 +61,10 @@ def dense_positions(df: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
     That table has one row per sort task and is joined by broadcast, after a check of its size.
 
     Without ``order_by`` the rows keep the order in which they were read and nothing is sorted.
+    With ``unique`` the caller says that no two rows are equal in ``order_by`` and that ``df``
+    gives the same rows each time; then they are sorted and pinned once, without the id.
     """
-    rows = _numbered_parts(df, order_by)
+    rows = _numbered_parts(df, order_by, unique)
     sizes = rows.groupBy("__part").agg(F.count(F.lit(1)).alias("__size"))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(
@@ -71,12 +80,12 @@ def dense_positions(df: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
 
 
 def dense_batches(
-    df: DataFrame, order_by: Sequence[str], batch_size: int | str
+    df: DataFrame, order_by: Sequence[str], batch_size: int | str, unique: bool = False
 ) -> DataFrame:
     """Add ``position`` and ``batch_id`` = position divided by the batch size.
 
     Only the last batch can be short.
     """
     size = batch_size_of(batch_size)
-    placed = dense_positions(df, order_by)
+    placed = dense_positions(df, order_by, unique)
     return placed.withColumn("batch_id", F.expr(f"position div {size}"))

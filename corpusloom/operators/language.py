@@ -14,7 +14,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
 from corpusloom.functions.text import as_column, fill_nulls
+from corpusloom.session import pinned
 
+# Fixed by the method: ranks from 600 on can earn nothing, so leaving them out loses nothing.
 PROFILE_SIZE = 300
 DOCUMENT_SIZE = 600
 RELIABLE_ABOVE = 0.9
@@ -170,7 +172,9 @@ class _Profiles:
 def _profile_rows(profiles: DataFrame) -> list[tuple[str, str, int]]:
     rows = profiles.select("lang", "trigram", "rank").limit(MAX_PROFILE_ROWS + 1).collect()
     if len(rows) > MAX_PROFILE_ROWS:
-        raise ValueError(f"language profiles exceed {MAX_PROFILE_ROWS} rows")
+        raise ValueError(
+            f"language profiles exceed {MAX_PROFILE_ROWS} rows; detect_language joins larger ones"
+        )
     return [tuple(row) for row in rows]
 
 
@@ -205,7 +209,12 @@ def language_of(text: Column | str, profiles: DataFrame) -> Column:
 
 
 def detect_language(df: DataFrame, text_col: str, profiles: DataFrame) -> DataFrame:
-    """Add detected_lang, confidence and reliable."""
+    """Add detected_lang, confidence and reliable.
+
+    Profiles of up to 500 languages travel to the rows; larger ones are joined on the trigram.
+    """
+    if profiles.limit(MAX_PROFILE_ROWS + 1).count() > MAX_PROFILE_ROWS:
+        return _detect_by_join(df, text_col, profiles)
     judged = df.withColumn("__language", language_of(F.col(f"`{text_col}`"), profiles))
     return judged.select(
         *[F.col(f"`{c}`") for c in df.columns],
@@ -215,6 +224,54 @@ def detect_language(df: DataFrame, text_col: str, profiles: DataFrame) -> DataFr
     )
 
 
+def _ranked_trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The ranked trigrams of each text, and how many different ones it has."""
+    for batch in batches:
+        rows, trigrams, places, sizes = [], [], [], []
+        for row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            points = _code_points(text or "")
+            if len(points) < 3:
+                continue
+            codes, counts = _counted(points)
+            ranked = codes[np.argsort(-counts, kind="stable")[:DOCUMENT_SIZE]].tolist()
+            trigrams += [chr(c >> 42) + chr((c >> 21) & _POINT) + chr(c & _POINT) for c in ranked]
+            rows += [row] * len(ranked)
+            places += range(len(ranked))
+            sizes += [len(codes)] * len(ranked)
+        arrays = [pa.array(rows, pa.int64()), pa.array(trigrams, pa.string()), pa.array(places, pa.int32()), pa.array(sizes, pa.int64())]
+        yield pa.RecordBatch.from_arrays(arrays, names=["row", "trigram", "place", "size"])
+
+
+def _detect_by_join(df: DataFrame, text_col: str, profiles: DataFrame) -> DataFrame:
+    """As :func:`detect_language`, with the profiles as a table of any size."""
+    rows = pinned(df.withColumn("__row", F.monotonically_increasing_id()), "texts")
+    texts = rows.select("__row", letters_only(F.col(f"`{text_col}`")).alias("text"))
+    ranked = texts.mapInArrow(_ranked_trigrams, "row long, trigram string, place int, size long")
+    gain = PROFILE_SIZE - F.least(F.abs(F.col("place") - F.col("rank")), F.lit(PROFILE_SIZE))
+    scores = ranked.join(profiles, "trigram").groupBy("row", "lang").agg(
+        F.sum(gain).alias("score"), F.first("size").alias("size")
+    )
+    # the best two of each row: a first by language, then the next
+    best = scores.groupBy("row").agg(
+        F.first("size").alias("size"),
+        F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("minus"), "lang"))).alias("found"),
+    )
+    first, second = -F.col("found")[0]["minus"], F.coalesce(-F.get("found", F.lit(1))["minus"], F.lit(0))
+    wanted = F.lit(12.0) / F.col("size") + 0.05
+    clear = F.when(second <= 0, 1.0).otherwise(F.least(F.lit(1.0), (first - second) / second / wanted))
+    judged = best.where(first > 0).select(
+        F.col("row").alias("__row"), F.col("found")[0]["lang"].alias("__lang"), clear.alias("__clear")
+    )
+    known = F.col(f"`{text_col}`").isNotNull()
+    confidence = F.when(known, F.coalesce("__clear", F.lit(0.0)))
+    return rows.join(judged, "__row", "left").select(
+        *[F.col(f"`{c}`") for c in df.columns],
+        F.col("__lang").alias("detected_lang"),
+        confidence.alias("confidence"),
+        (confidence > RELIABLE_ABOVE).alias("reliable"),
+    )
+
+
 def is_english(
     text: Column | str, profiles: DataFrame, english: str = "en", null_compat: bool = False
 ) -> Column:

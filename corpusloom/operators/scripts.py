@@ -17,6 +17,9 @@ from corpusloom.functions.text import fill_nulls, register_sql
 
 IDENTITY = "text"
 
+# Fixed value: how the message of a script that does not compile begins.
+COMPILATION_ERROR = "Script compilation error: "
+
 
 class ScriptError(ValueError):
     """A script does not compile or does not give a string."""
@@ -26,7 +29,7 @@ def _compile(script: str) -> Column:
     try:
         return F.expr(script)
     except ParseException as error:
-        raise ScriptError(f"Script compilation error: {error}") from error
+        raise ScriptError(f"{COMPILATION_ERROR}{error}") from error
 
 
 def _hidden(df: DataFrame, name: str) -> str:
@@ -48,7 +51,7 @@ def _apply(df: DataFrame, text_col: str, build, out: str) -> DataFrame:
         evaluated = bound.select("*", build().alias("__out"))
         data_type = evaluated.schema["__out"].dataType
     except (ParseException, AnalysisException) as error:
-        raise ScriptError(f"Script compilation error: {error}") from error
+        raise ScriptError(f"{COMPILATION_ERROR}{error}") from error
     if not isinstance(data_type, StringType):
         raise ScriptError(
             f"Script execution error: the result is {data_type.simpleString()}, not a string"
@@ -80,37 +83,34 @@ def transform_text_per_row(
     df: DataFrame,
     text_col: str,
     script_col: str,
+    scripts: Sequence[str] | DataFrame,
     out: str | None = None,
-    scripts: Sequence[str] | None = None,
-    max_scripts: int = 1000,
     null_compat: bool = False,
 ) -> DataFrame:
     """Apply to each row the script that ``script_col`` holds (NULL: the text as it is).
 
-    All distinct scripts become branches of one CASE. Pass ``scripts`` to name them up front;
-    otherwise they are gathered by a map-side combined ``distinct``. More than ``max_scripts``
-    raises, because scripts are code: no row is ever left out. Likewise a row whose script is
-    not among the given ``scripts`` raises.
+    Scripts are code, so they are declared: ``scripts`` lists them, or is a table with one column
+    of them. A row whose script is not among them raises. They become the leaves of a tree of
+    comparisons, so a row meets about as many as the logarithm of their number.
     """
     out = out or text_col
-    if scripts is None:
-        found = (
-            df.select(script_col).where(F.col(script_col).isNotNull()).distinct()
-            .limit(max_scripts + 1).collect()
-        )
-        scripts = sorted(row[0] for row in found)
-    if len(scripts) > max_scripts:
-        raise ScriptError(f"more than {max_scripts} distinct scripts")
-
+    if isinstance(scripts, DataFrame):
+        scripts = [row[0] for row in scripts.distinct().collect()]
+    # Spark compares strings by their bytes
+    declared = sorted({s for s in scripts if s is not None}, key=str.encode)
     chosen = F.col(_hidden(df, script_col))
+    unknown = F.raise_error(F.concat(F.lit("script not listed: "), chosen)).cast("string")
+
+    def tree(low: int, high: int) -> Column:
+        if high == low:
+            return unknown
+        if high - low == 1:
+            return F.when(chosen == F.lit(declared[low]), _compile(declared[low])).otherwise(unknown)
+        middle = (low + high) // 2
+        return F.when(chosen < F.lit(declared[middle]), tree(low, middle)).otherwise(tree(middle, high))
 
     def build() -> Column:
-        branch = F.when(chosen.isNull(), F.col("text"))
-        for script in scripts:
-            branch = branch.when(chosen == F.lit(script), _compile(script))
-        return branch.otherwise(
-            F.raise_error(F.concat(F.lit("script not listed: "), chosen)).cast("string")
-        )
+        return F.when(chosen.isNull(), F.col("text")).otherwise(tree(0, len(declared)))
 
     done = _apply(df, text_col, build, out)
     return done.withColumn(out, fill_nulls(F.col(f"`{out}`"), "", null_compat))

@@ -6,27 +6,27 @@ lowers the latter).
 
 Spark computes a column again whenever a later step reads it twice (a sort samples its input
 first) and runs a task again after a failure. So the operators on tables post at once and pin
-the outcomes (``once``), and every request carries an ``Idempotency-Key`` made of its address
-and body.
+the outcomes (``once``). A row's ``Idempotency-Key`` comes from a column that tells rows apart
+(``key_col``); a batch's from its run and number. Without a key column none is sent, since rows
+with equal bodies are different requests.
 """
 
 from __future__ import annotations
 
-import hashlib
 import http.client
 import json
 import threading
 import time
+import uuid
 from collections.abc import Callable, Iterator
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from urllib.parse import urljoin, urlsplit
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from corpusloom.functions.retry import CONNECT_ERRORS, DEFAULT_IN_FLIGHT, RetryPolicy
+from corpusloom.functions.retry import CONNECT_ERRORS, DEFAULT_IN_FLIGHT, InFlight, RetryPolicy
 from corpusloom.functions.text import as_column, fill_nulls
 from corpusloom.operators.batches import batch_size_of, dense_batches
 from corpusloom.session import pinned, scratch
@@ -73,25 +73,45 @@ class PostError(Exception):
 MAX_REDIRECTS = 10
 _SAME_REQUEST = (307, 308)
 _AS_GET = (301, 302, 303)
+# headers that another host must not see, and those that describe a body
+_PRIVATE = ("authorization", "cookie", "proxy-authorization")
+_OF_BODY = ("content-type", "content-length", "idempotency-key")
+
+
+def _place(url: str) -> tuple:
+    """Scheme, host and port of an address."""
+    parts = urlsplit(url)
+    return parts.scheme, parts.hostname, parts.port or {"http": 80, "https": 443}.get(parts.scheme)
+
+
+def _without(headers: dict[str, str], names: tuple[str, ...]) -> dict[str, str]:
+    return {name: value for name, value in headers.items() if name.lower() not in names}
 
 
 class UrlTransport:
-    """The standard library's HTTP client: kept connections per thread, redirects followed."""
+    """The standard library's HTTP client: kept connections per thread, redirects followed.
 
-    def __init__(self, timeout: float = 30.0) -> None:
+    A redirect to another scheme, host or port goes without credentials, one that becomes a GET
+    without what describes the body.
+    """
+
+    def __init__(self, timeout: float = 30.0, max_redirects: int = MAX_REDIRECTS) -> None:
         self.timeout = timeout
+        self.max_redirects = max_redirects
         self._local = threading.local()
 
     def __call__(self, request: Request) -> Response:
-        method, url, body = "POST", request.url, request.body.encode()
-        for _ in range(MAX_REDIRECTS + 1):
-            response = self._send(method, url, body, request.headers)
+        method, url, body, headers = "POST", request.url, request.body.encode(), request.headers
+        for _ in range(self.max_redirects + 1):
+            response = self._send(method, url, body, headers)
             target = next((v for n, v in response.headers if n.lower() == "location"), None)
             if target is None or response.status_code not in _SAME_REQUEST + _AS_GET:
                 return response
-            url = urljoin(url, target)
+            before, url = url, urljoin(url, target)
+            if _place(before) != _place(url):
+                headers = _without(headers, _PRIVATE)
             if response.status_code in _AS_GET:
-                method, body = "GET", b""
+                method, body, headers = "GET", b"", _without(headers, _OF_BODY)
         raise PostError(f"error sending request for url ({request.url}): too many redirects")
 
     def _send(self, method: str, url: str, body: bytes, headers: dict[str, str]) -> Response:
@@ -117,13 +137,13 @@ class UrlTransport:
         return Response(answer.status, text, tuple(answer.getheaders()))
 
     def __getstate__(self) -> dict:
-        return {"timeout": self.timeout}
+        return {"timeout": self.timeout, "max_redirects": self.max_redirects}
 
     def __setstate__(self, state: dict) -> None:
         self.__init__(**state)
 
 
-def request_headers(headers: dict[str, str] | str | None, key: str) -> dict[str, str]:
+def request_headers(headers: dict[str, str] | str | None, key: str | None = None) -> dict[str, str]:
     """The headers to send: a JSON object's string values, plus defaults the user left out."""
     sent = {}
     if isinstance(headers, str):
@@ -136,7 +156,7 @@ def request_headers(headers: dict[str, str] | str | None, key: str) -> dict[str,
     given = {name.lower() for name in sent}
     if "content-type" not in given:
         sent["Content-Type"] = "application/json"
-    if "idempotency-key" not in given:
+    if key is not None and "idempotency-key" not in given:
         sent["Idempotency-Key"] = key
     return sent
 
@@ -152,9 +172,9 @@ def post_once(
     headers: dict[str, str] | str | None,
     retry: RetryPolicy = HTTP_RETRY,
     sleep: Callable[[float], None] = time.sleep,
+    key: str | None = None,
 ) -> Response:
     """One POST with its retries: the last bad response is returned, the last error raised."""
-    key = hashlib.sha256(f"{url}\n{body}".encode()).hexdigest()
     sent = request_headers(headers, key)
     for attempt in range(retry.retries + 1):
         last = attempt == retry.retries
@@ -172,12 +192,19 @@ def post_once(
     raise AssertionError("unreachable")
 
 
-def _post_functions(transport, retry, max_in_flight, on_error, constant_headers=None):
-    def outcome(url, body, headers):
+# answers held before they go on as one array
+HELD_BYTES = 8 << 20
+
+
+def post_udf(transport: Transport, retry: RetryPolicy, max_in_flight: int, on_error: str):
+    """The Arrow function of (url, body, headers JSON, key)."""
+
+    def outcome(request: tuple[str | None, str | None, str | None, str | None]) -> dict | None:
+        url, body, headers, key = request
         if url is None or body is None:
             return None
         try:
-            answer = post_once(transport, url, body, headers, retry)
+            answer = post_once(transport, url, body, headers, retry, key=key)
         except (PostError, ValueError) as error:
             if on_error == "fail":
                 raise
@@ -190,34 +217,20 @@ def _post_functions(transport, retry, max_in_flight, on_error, constant_headers=
             "headers": "\n".join(f"{name}: {value}" for name, value in answer.headers),
         }
 
-    def post(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
-        with ThreadPoolExecutor(max_in_flight) as pool:
+    def post(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        with InFlight(max_in_flight) as flight:
             for columns in batches:
-                urls, bodies = columns[0], columns[1]
-                # whole answers are held for one slice of the batch at a time
-                for at in range(0, len(urls), max_in_flight * 8):
-                    part = slice(at, at + max_in_flight * 8)
-                    given = (
-                        columns[2][part].to_pylist()
-                        if len(columns) > 2
-                        else [constant_headers] * len(urls[part])
-                    )
-                    rows = pool.map(outcome, urls[part].to_pylist(), bodies[part].to_pylist(), given)
-                    yield pa.array(list(rows), _ARROW_RESPONSE)
-
-    def post_plain(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        yield from post(batches)
-
-    def post_headers(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        yield from post(batches)
+                rows, held = [], 0
+                for row in flight.map(outcome, zip(*(c.to_pylist() for c in columns))):
+                    rows.append(row)
+                    held += len(row["body"]) + len(row["headers"]) if row else 0
+                    if held > HELD_BYTES:
+                        yield pa.array(rows, _ARROW_RESPONSE)
+                        rows, held = [], 0
+                if rows or not len(columns[0]):
+                    yield pa.array(rows, _ARROW_RESPONSE)
 
-    return post_plain, post_headers
-
-
-def post_udf(transport: Transport, retry: RetryPolicy, max_in_flight: int, on_error: str):
-    """The Arrow function of (url, body, headers JSON)."""
-    _, post_headers = _post_functions(transport, retry, max_in_flight, on_error)
-    return F.arrow_udf(post_headers, RESPONSE).asNondeterministic()
+    return F.arrow_udf(post, RESPONSE).asNondeterministic()
 
 
 def post_column(
@@ -229,26 +242,24 @@ def post_column(
     max_in_flight: int = DEFAULT_IN_FLIGHT,
     on_error: str = "fail",
     null_compat: bool = False,
+    key: Column | None = None,
 ) -> Column:
     """struct(status_code, body, headers) of one POST per row.
 
     A ``str`` url is the address of all rows; ``headers`` is a dict or JSON text for all rows,
-    or a column of JSON texts. HTTP error statuses are data. Where no answer comes, the query
+    or a column of JSON texts; ``key`` becomes the row's Idempotency-Key. HTTP error statuses are data. Where no answer comes, the query
     fails (``on_error="fail"``), the row has status -1 and the reason (``"row"``) or NULL
     (``"null"``). NULL url or body sends nothing.
     """
     if on_error not in ("fail", "row", "null"):
         raise ValueError(f"on_error is fail, row or null, not {on_error!r}")
-    per_row = isinstance(headers, Column)
-    if not per_row:
-        request_headers(headers, "")  # wrong headers fail here, before any request
-    transport = transport or UrlTransport()
+    if not isinstance(headers, Column):
+        request_headers(headers)  # wrong headers fail here, before any request
+        headers = F.lit(json.dumps(headers) if isinstance(headers, dict) else headers).cast("string")
     address = url if isinstance(url, Column) else F.lit(url)
-    if per_row:
-        result = post_udf(transport, retry, max_in_flight, on_error)(address, body, headers)
-    else:
-        post_plain, _ = _post_functions(transport, retry, max_in_flight, on_error, headers)
-        result = F.arrow_udf(post_plain, RESPONSE).asNondeterministic()(address, body)
+    mark = F.lit(None).cast("string") if key is None else key.cast("string")
+    post = post_udf(transport or UrlTransport(), retry, max_in_flight, on_error)
+    result = post(address, body, headers, mark)
     empty = F.struct(
         F.lit(0).alias("status_code"), F.lit("").alias("body"), F.lit("").alias("headers")
     )
@@ -262,24 +273,50 @@ def post_rows(
     out: str = "response",
     tasks: int | None = None,
     once: bool = True,
+    key_col: str | None = None,
     **options,
 ) -> DataFrame:
     """Add ``out`` = the response to one POST per row; options as for :func:`post_column`.
 
+    ``key_col`` names a column that tells rows apart; it goes along as Idempotency-Key, so that
+    a service can see when a task is repeated. ``tasks`` deals the rows anew to so many tasks.
     With ``once`` the requests are made now and the rows come from the shared folder;
     without it they are made whenever the result is computed. Select the columns to keep
     before. To post a transformed text, apply
     :func:`corpusloom.operators.scripts.transform_text` first.
     """
     if tasks:
-        df = df.coalesce(tasks)
-    posted = df.withColumn(out, post_column(url, as_column(body_col), **options))
+        df = df.repartition(tasks)
+    key = F.col(f"`{key_col}`") if key_col else None
+    posted = df.withColumn(out, post_column(url, as_column(body_col), key=key, **options))
     return pinned(posted, "posted") if once else posted
 
 
 def response_headers(headers: Column | str) -> Column:
-    """The header text of a response as a map."""
-    return F.str_to_map(as_column(headers), F.lit("\n"), F.lit(": "))
+    """The header text of a response as a map of names in lower case; values of one name are joined by ``, ``."""
+    lines = F.filter(F.split(as_column(headers), "\n"), lambda line: line != "")
+    pairs = F.transform(
+        lines,
+        lambda line: F.struct(
+            F.lower(F.substring_index(line, ":", 1)).alias("name"),
+            F.trim(F.regexp_replace(line, "^[^:]*:", "")).alias("value"),
+        ),
+    )
+    return F.map_from_entries(
+        F.transform(
+            F.array_distinct(F.transform(pairs, lambda p: p.getField("name"))),
+            lambda name: F.struct(
+                name.alias("key"),
+                F.array_join(
+                    F.transform(
+                        F.filter(pairs, lambda p: p.getField("name") == name),
+                        lambda p: p.getField("value"),
+                    ),
+                    ", ",
+                ).alias("value"),
+            ),
+        )
+    )
 
 
 def post_batches(
@@ -290,19 +327,26 @@ def post_batches(
     batch_size: int | str,
     headers: dict[str, str] | str | None = None,
     tasks: int | None = None,
+    run_id: str | None = None,
+    unique: bool = False,
     **options,
 ) -> DataFrame:
     """POST ``batch_size`` payloads at a time as one JSON array of strings, now.
 
+    A batch's Idempotency-Key is ``run_id`` (by default a new one) and its number.
+
     (batch_id, row_count, status_code, response_body), one row per batch in the order given by
     ``order_by``; a batch that got no answer is a row with status -1 and the reason.
     """
     size = batch_size_of(batch_size)
-    request_headers(headers, "")
+    request_headers(headers)
+    run = run_id or uuid.uuid4().hex
     with scratch(df.sparkSession) as keep:
-        bodies = batch_bodies(df, payload_col, order_by, size)
+        bodies = batch_bodies(df, payload_col, order_by, size, unique)
+        bodies = bodies.withColumn("key", F.concat_ws("-", F.lit(run), "batch_id"))
         posted = post_rows(
-            bodies, url, "body", headers=headers, on_error="row", tasks=tasks, once=False, **options
+            bodies, url, "body", headers=headers, on_error="row", tasks=tasks, once=False,
+            key_col="key", **options,
         )
         outcomes = pinned(
             posted.select(
@@ -318,14 +362,15 @@ def post_batches(
 
 
 def batch_bodies(
-    df: DataFrame, payload_col: str, order_by: list[str], batch_size: int | str
+    df: DataFrame, payload_col: str, order_by: list[str], batch_size: int | str, unique: bool = False
 ) -> DataFrame:
     """(batch_id, row_count, body): the JSON arrays that :func:`post_batches` sends.
 
-    A group holds ``batch_size`` rows at most, whatever the keys of the data.
+    A group holds ``batch_size`` rows at most, whatever the keys of the data. ``unique`` as for
+    :func:`corpusloom.operators.batches.dense_positions`.
     """
     needed = list(dict.fromkeys([*order_by, payload_col]))
-    numbered = dense_batches(df.select(*needed), order_by, batch_size)
+    numbered = dense_batches(df.select(*needed), order_by, batch_size, unique)
     members = F.sort_array(
         F.collect_list(F.struct("position", F.col(f"`{payload_col}`").alias("payload")))
     )
@@ -335,31 +380,52 @@ def batch_bodies(
     )
 
 
-def _payload_text(value) -> str:
+def payload_text(value) -> str:
+    """A payload as it is sent: a text as it is, any other JSON value in compact form with sorted keys."""
     if isinstance(value, str):
         return value
     return json.dumps(value, ensure_ascii=False, sort_keys=True, separators=(",", ":"))
 
 
-def payloads_from_json(spark: SparkSession, payloads: str) -> DataFrame:
-    """(position, payload) of a JSON array given as text; other values keep their JSON form."""
+def payload_list(payloads: str) -> list[str]:
+    """The payloads of a JSON array given as text."""
     try:
         values = json.loads(payloads)
     except json.JSONDecodeError as error:
         raise ValueError(f"Invalid payloads JSON: {error}") from error
     if not isinstance(values, list):
         raise ValueError("Payloads must be a JSON array")
-    rows = [(i, _payload_text(v)) for i, v in enumerate(values)]
-    return spark.createDataFrame(rows, "position long, payload string")
+    return [payload_text(value) for value in values]
+
+
+def payloads_from_json(spark: SparkSession, payloads: str) -> DataFrame:
+    """(position, payload) of a JSON array given as text; other values keep their JSON form."""
+    return spark.createDataFrame(list(enumerate(payload_list(payloads))), "position long, payload string")
 
 
 def payloads_from_file(spark: SparkSession, path: str) -> DataFrame:
-    """(position, payload) of a file that holds one JSON array.
+    """(position, payload) of a file that holds one JSON array, read in one task.
 
-    Large payload sets belong in a table or in JSON lines, which Spark reads in parallel.
+    An empty file and one that holds something else fail the query. Payload sets beyond the
+    memory of a task belong in lines, see :func:`payloads_from_lines`.
     """
-    text = spark.read.text(path, wholetext=True)
-    values = F.from_json("value", "array<string>", {"mode": "FAILFAST"})
-    return text.select(F.posexplode(values).alias("position", "payload")).select(
+    def listed(texts: pa.Array) -> pa.Array:
+        return pa.array([payload_list(text or "") for text in texts.to_pylist()], pa.list_(pa.string()))
+
+    content = spark.read.text(path, wholetext=True)
+    if content.isEmpty():
+        raise ValueError("Invalid payloads JSON: the file is empty")
+    values = F.arrow_udf(listed, ArrayType(StringType()))("value")
+    return content.select(F.posexplode(values).alias("position", "payload")).select(
         F.col("position").cast("long").alias("position"), "payload"
     )
+
+
+def payloads_from_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(position, payload) of files with one payload a line, read in parallel.
+
+    A payload is sent as the line stands. Positions follow the files and lines in the order Spark
+    splits them and have gaps between splits.
+    """
+    lines = spark.read.text(path)
+    return lines.select(F.monotonically_increasing_id().alias("position"), F.col("value").alias("payload"))

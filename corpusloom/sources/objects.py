@@ -1,28 +1,39 @@
 """Reading, writing and probing objects whose addresses stand in a column.
 
 The calls are made inside the tasks that hold the rows and only the addresses (and contents)
-pass to Python, so no content is ever shuffled. An address that many rows share is asked for
-once per Arrow batch, and a bounded store in each task keeps small objects that recur.
+pass to Python, so no content is ever shuffled. A bounded store in each task keeps small objects
+that recur; what a task reads ahead is bounded by number and by bytes.
 """
 
 from __future__ import annotations
 
+import os
+import sys
 import uuid
 from collections import OrderedDict
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from itertools import groupby
 
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import BooleanType, StringType
 
-from corpusloom.functions.retry import DEFAULT_IN_FLIGHT
+from corpusloom.functions.retry import DEFAULT_IN_FLIGHT, InFlight
 from corpusloom.functions.text import as_column, fill_nulls, strip_newlines, text_mode
 from corpusloom.operators.scripts import transform_text, transform_text_per_row
 
 SCHEMES = ("s3", "s3a", "file", "hdfs", "gs")
 _PATH = r"^([a-z0-9]+)://([^/]*)/(.*)$"
+# Messages.
+WRONG_SCHEME = "S3 path must start with s3://"
+WRONG_FORMAT = "Invalid S3 path format. Expected s3://bucket/key"
+FETCH_FAILED = "Failed to fetch S3 object"
+PUT_FAILED = "Failed to put S3 object"
+# contents held by a task: read ahead, and before they go on as one array
+AHEAD_BYTES = 64 << 20
+HELD_BYTES = 16 << 20
 # objects up to this size may be kept for rows that name them again, this much in all per task
 KEEP_OBJECT_BYTES = 1 << 20
 KEEP_TOTAL_BYTES = 64 << 20
@@ -32,24 +43,34 @@ class ObjectError(ValueError):
     """An address is malformed or an object cannot be read or written."""
 
 
-def parse_path(path: Column | str) -> Column:
-    """struct(scheme, bucket, key) of an address, split at the first ``/`` after the bucket."""
+def parse_path(path: Column | str, strict: bool = False) -> Column:
+    """struct(scheme, bucket, key) of an address, split at the first ``/`` after the bucket.
+
+    What is no address gives empty texts, or with ``strict`` the error that a fetch would give.
+    """
     column = as_column(path)
-    return F.struct(
+    parts = F.struct(
         *[
             F.regexp_extract(column, _PATH, i).alias(name)
             for i, name in enumerate(("scheme", "bucket", "key"), 1)
         ]
     )
+    if not strict:
+        return parts
+    known = parts.scheme.isin(*SCHEMES)
+    named = column.rlike("^(" + "|".join(SCHEMES) + ")://")
+    message = F.when(named, F.lit(f"{WRONG_FORMAT}: ")).otherwise(F.lit(f"{WRONG_SCHEME}: "))
+    wrong = F.raise_error(F.concat(message, column)).cast("struct<scheme:string,bucket:string,key:string>")
+    return F.when(known | column.isNull(), parts).otherwise(wrong)
 
 
 def split_path(path: str) -> tuple[str, str, str]:
     scheme, found, rest = path.partition("://")
     if not found or scheme not in SCHEMES:
-        raise ObjectError(f"object path must start with s3:// (or {', '.join(SCHEMES[1:])}): {path}")
+        raise ObjectError(f"{WRONG_SCHEME} (or another of {', '.join(SCHEMES[1:])}): {path}")
     bucket, slash, key = rest.partition("/")
     if not slash:
-        raise ObjectError(f"Invalid object path format. Expected s3://bucket/key: {path}")
+        raise ObjectError(f"{WRONG_FORMAT}: {path}")
     return scheme, bucket, key
 
 
@@ -85,31 +106,34 @@ class _Recent:
     """Contents seen lately, up to a number of bytes."""
 
     def __init__(self) -> None:
-        self._texts: OrderedDict[str, str] = OrderedDict()
+        self._texts: OrderedDict[str, tuple[str, int]] = OrderedDict()
         self._bytes = 0
 
     def get(self, path: str) -> str | None:
-        text = self._texts.get(path)
-        if text is not None:
-            self._texts.move_to_end(path)
-        return text
+        if path not in self._texts:
+            return None
+        self._texts.move_to_end(path)
+        return self._texts[path][0]
 
     def put(self, path: str, text: str) -> None:
-        if len(text) > KEEP_OBJECT_BYTES or path in self._texts:
+        size = sys.getsizeof(text)
+        if size > KEEP_OBJECT_BYTES or path in self._texts:
             return
-        self._texts[path] = text
-        self._bytes += len(text)
+        self._texts[path] = text, size
+        self._bytes += size
         while self._bytes > KEEP_TOTAL_BYTES:
-            self._bytes -= len(self._texts.popitem(last=False)[1])
+            self._bytes -= self._texts.popitem(last=False)[1][1]
 
 
-def _read(resolve: Resolver, path: str) -> str:
+def _read(resolve: Resolver, path: str, claim: Callable[[int], None] = lambda size: None) -> str:
+    """The object as text; ``claim`` is told its size before it is read."""
     system, inner = resolve(path)
     try:
-        with system.open_input_stream(inner) as stream:
+        with system.open_input_file(inner) as stream:
+            claim(stream.size())
             data = stream.read()
     except (OSError, pa.ArrowException) as error:
-        raise ObjectError(f"Failed to fetch object: {path}: {error}") from error
+        raise ObjectError(f"{FETCH_FAILED}: {path}: {error}") from error
     try:
         return data.decode("utf-8")
     except UnicodeDecodeError as error:
@@ -132,7 +156,7 @@ def _write(resolve: Resolver, path: str, content: str) -> str:
             with system.open_output_stream(inner) as stream:
                 stream.write(data)
     except (OSError, pa.ArrowException) as error:
-        raise ObjectError(f"Failed to put object '{path}': {error}") from error
+        raise ObjectError(f"{PUT_FAILED} '{path}': {error}") from error
     return path
 
 
@@ -141,7 +165,7 @@ def _exists(resolve: Resolver, path: str) -> bool:
     try:
         return system.get_file_info(inner).type == fs.FileType.File
     except (OSError, pa.ArrowException) as error:
-        raise ObjectError(f"Failed to fetch object: {path}: {error}") from error
+        raise ObjectError(f"{FETCH_FAILED}: {path}: {error}") from error
 
 
 def _settle(call: Callable, on_error: str) -> Callable:
@@ -160,24 +184,34 @@ def _settle(call: Callable, on_error: str) -> Callable:
     return lenient
 
 
-def fetch_udf(resolver: Resolver, max_in_flight: int, on_error: str):
+def fetch_udf(resolver: Resolver, max_in_flight: int, on_error: str, max_bytes: int = AHEAD_BYTES):
     read = _settle(_read, on_error)
 
     @F.arrow_udf(StringType())
     def fetch(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         recent = _Recent()
-        with ThreadPoolExecutor(max_in_flight) as pool:
+
+        def one(path: str | None, claim: Callable[[int], None]) -> str | None:
+            known = None if path is None else recent.get(path)
+            return known if path is None or known is not None else read(resolver, path, claim)
+
+        with InFlight(max_in_flight, max_bytes) as flight:
             for batch in batches:
-                # whole objects are held for one slice of the batch at a time
-                for at in range(0, len(batch), max_in_flight * 2):
-                    paths = batch[at : at + max_in_flight * 2].to_pylist()
-                    texts = {p: recent.get(p) for p in paths if p is not None}
-                    wanted = [p for p, text in texts.items() if text is None]
-                    for p, text in zip(wanted, pool.map(lambda p: read(resolver, p), wanted)):
-                        texts[p] = text
-                        if text is not None:
-                            recent.put(p, text)
-                    yield pa.array([texts.get(p) for p in paths], pa.string())
+                paths, texts, held = batch.to_pylist(), [], 0
+                # rows side by side that share an address are one call
+                runs = [(path, len(list(rows))) for path, rows in groupby(paths)]
+                found = flight.map(one, [path for path, _ in runs], claims=True)
+                for (path, rows), text in zip(runs, found, strict=True):
+                    if text is not None:
+                        recent.put(path, text)
+                    for _ in range(rows):
+                        texts.append(text)
+                        held += len(text or "")
+                        if held > HELD_BYTES:
+                            yield pa.array(texts, pa.string())
+                            texts, held = [], 0
+                if texts or not paths:
+                    yield pa.array(texts, pa.string())
 
     return fetch.asNondeterministic()
 
@@ -188,9 +222,14 @@ def fetch_text(
     max_in_flight: int = DEFAULT_IN_FLIGHT,
     on_error: str = "fail",
     null_compat: bool = False,
+    max_bytes: int = AHEAD_BYTES,
 ) -> Column:
-    """The whole object as UTF-8 text."""
-    fetch = fetch_udf(resolver or DefaultResolver(), max_in_flight, on_error)
+    """The whole object as UTF-8 text.
+
+    A task reads ahead up to ``max_in_flight`` objects that have ``max_bytes`` together; one
+    larger object is read alone.
+    """
+    fetch = fetch_udf(resolver or DefaultResolver(), max_in_flight, on_error, max_bytes)
     return fill_nulls(fetch(as_column(path)), "", null_compat)
 
 
@@ -254,6 +293,18 @@ def object_exists(
     return fill_nulls(exists(as_column(path)), False, null_compat)
 
 
+def payload_source(text: str, resolver: Resolver) -> str:
+    """The text itself if it could be JSON, else the content of the file that it names."""
+    if not text.strip() or text.lstrip()[0] in "[{\"" or "\n" in text:
+        return text
+    if "://" not in text:
+        path = os.path.abspath(text)
+        if not os.path.isfile(path):
+            return text  # no file: it is judged as JSON
+        text = f"file://{path}"
+    return _read(resolver, text)
+
+
 # --- operators over tables -------------------------------------------------------------------
 
 
@@ -305,10 +356,11 @@ def fetch_with_script(
     script: str | list[str] | None = None,
     script_col: str | None = None,
     out: str = "content",
+    scripts: list[str] | DataFrame = (),
     **options,
 ) -> DataFrame:
-    """Fetch, then apply a script given for all rows or held by ``script_col``."""
+    """Fetch, then apply a script given for all rows, or the one of ``scripts`` that ``script_col`` holds."""
     fetched = fetch_objects(df, path_col, out, **options)
     if script_col:
-        return transform_text_per_row(fetched, out, script_col)
+        return transform_text_per_row(fetched, out, script_col, scripts)
     return transform_text(fetched, out, script)

@@ -6,8 +6,10 @@ operators remain the way for large jobs: they take keys, options and clients.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import (
+    ArrayType,
     IntegerType,
     StringType,
     StructField,
@@ -15,6 +17,7 @@ from pyspark.sql.types import (
 )
 from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult
 
+from corpusloom.catalog import functions_catalog
 from corpusloom.functions.retry import DEFAULT_IN_FLIGHT, RetryPolicy
 from corpusloom.functions.markup import page_elements, with_headings
 from corpusloom.functions.text import WHITE_SPACE, register_sql
@@ -30,12 +33,20 @@ from corpusloom.operators.html import (
     skips_class,
 )
 from corpusloom.operators.language import language_judge
-from corpusloom.sources.http import HTTP_RETRY, RESPONSE, Transport, UrlTransport, post_udf
+from corpusloom.sources.http import (
+    HTTP_RETRY,
+    RESPONSE,
+    Transport,
+    UrlTransport,
+    payload_list,
+    post_udf,
+)
 from corpusloom.sources.objects import (
     DefaultResolver,
     Resolver,
     exists_udf,
     fetch_udf,
+    payload_source,
     put_udf,
 )
 
@@ -117,7 +128,7 @@ _SCALAR_SQL = {
     "http_post": (
         "url STRING, body STRING, headers STRING DEFAULT NULL",
         RESPONSE.simpleString(),
-        "http_post_or_fail(url, body, headers)",
+        "http_post_or_fail(url, body, headers, cast(NULL AS STRING))",
     ),
 }
 _LETTERS_SQL = r"concat(' ', trim(regexp_replace(lower(text), r'[^\p{L}]+', ' ')), ' ')"
@@ -129,7 +140,7 @@ RETURNS TABLE(batch_id INT, row_count INT, status_code INT, response_body STRING
 RETURN
   SELECT batch_id, size(part), answer.status_code, answer.body
   FROM (
-    SELECT batch_id, part, http_post_or_row(url, to_json(part), nullif(headers, '')) AS answer
+    SELECT batch_id, part, http_post_or_row(url, to_json(part), nullif(headers, ''), cast(NULL AS STRING)) AS answer
     FROM (
       SELECT posexplode(transform(
         CASE WHEN size(list) = 0 THEN cast(array() AS ARRAY<INT>)
@@ -141,14 +152,23 @@ RETURN
                     WHEN cast(batch_size AS INT) = 0
                       THEN raise_error('batch_size must be greater than 0')
                     ELSE cast(batch_size AS INT) END AS n,
-               CASE WHEN json_array_length(payloads) IS NULL
-                      THEN raise_error('Invalid payloads JSON: not a JSON array')
-                    ELSE from_json(payloads, 'array<string>') END AS list
+               payload_list(payloads) AS list
       )
     )
   )"""
 
 
+def payloads_udf(resolver: Resolver):
+    """The Arrow function from a JSON array, or the address or path of a file with one, to its payloads."""
+
+    @F.arrow_udf(ArrayType(StringType()))
+    def listed(texts: pa.Array) -> pa.Array:
+        found = [None if t is None else payload_list(payload_source(t, resolver)) for t in texts.to_pylist()]
+        return pa.array(found, pa.list_(pa.string()))
+
+    return listed.asNondeterministic()
+
+
 def register_functions(
     spark: SparkSession,
     profiles: DataFrame | None = None,
@@ -174,6 +194,7 @@ def register_functions(
         "s3_fetch": fetch_udf(resolver, max_in_flight, "fail"),
         "s3_put": put_udf(resolver, max_in_flight, "fail"),
         "s3_exists": exists_udf(resolver, max_in_flight, "fail"),
+        "payload_list": payloads_udf(resolver),
         "http_post_or_fail": post_udf(transport, retry, max_in_flight, "fail"),
         "http_post_or_row": post_udf(transport, retry, max_in_flight, "row"),
     }
@@ -198,11 +219,12 @@ def register_functions(
         )
     if profiles is not None:
         found = f"language_of_letters({_LETTERS_SQL})"
+        literal = english.replace("\\", "\\\\").replace("'", "\\'")
         scalar["is_english"] = (
             "text STRING",
             "BOOLEAN",
             f"CASE WHEN text IS NOT NULL "
-            f"THEN coalesce({found}.lang = '{english}' AND {found}.reliable, false) END",
+            f"THEN coalesce({found}.lang = '{literal}' AND {found}.reliable, false) END",
         )
     for name, function in arrow.items():
         spark.udf.register(name, function)
@@ -213,4 +235,5 @@ def register_functions(
         )
     spark.sql(_POST_BATCH_SQL)
     spark.udtf.register("html_extract", F.udtf(HtmlExtract, useArrow=True))
+    functions_catalog(spark)
     return sorted([*arrow, *scalar, "http_post_batch", "html_extract"])

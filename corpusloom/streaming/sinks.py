@@ -3,11 +3,13 @@
 Column functions and :func:`corpusloom.operators.html.extract_html` keep no state, so they run
 on streams as they are; only what reaches outside goes through ``foreachBatch``. The outcomes
 of a micro-batch are written under its number, replacing what an interrupted attempt left, and
-requests carry an idempotency key, so a restart from the checkpoint is safe.
+batches carry a key made of checkpoint, micro-batch and number, so a restart from the checkpoint
+repeats the same keys. Rows carry the key that ``key_col`` names.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -20,7 +22,7 @@ from corpusloom.sources.objects import write_objects
 
 def per_batch(
     stream: DataFrame,
-    step: Callable[[DataFrame], DataFrame],
+    step: Callable[[DataFrame, int], DataFrame],
     outcomes: str,
     checkpoint: str,
 ) -> DataStreamWriter:
@@ -28,7 +30,7 @@ def per_batch(
 
     def store(rows: DataFrame, number: int) -> None:
         with scratch(rows.sparkSession):
-            step(rows).write.mode("overwrite").parquet(f"{outcomes}/micro_batch={number}")
+            step(rows, number).write.mode("overwrite").parquet(f"{outcomes}/micro_batch={number}")
 
     return stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
 
@@ -38,7 +40,10 @@ def post_stream(
 ) -> DataStreamWriter:
     """POST one request per row; options as for :func:`corpusloom.sources.http.post_rows`."""
     return per_batch(
-        stream, lambda rows: post_rows(rows, url, body_col, once=False, **options), outcomes, checkpoint
+        stream,
+        lambda rows, _: post_rows(rows, url, body_col, once=False, **options),
+        outcomes,
+        checkpoint,
     )
 
 
@@ -53,9 +58,12 @@ def post_batches_stream(
     **options,
 ) -> DataStreamWriter:
     """POST batches of payloads; batch numbers start at 0 in every micro-batch."""
+    run = hashlib.sha256(checkpoint.encode()).hexdigest()[:32]
     return per_batch(
         stream,
-        lambda rows: post_batches(rows, payload_col, order_by, url, batch_size, **options),
+        lambda rows, number: post_batches(
+            rows, payload_col, order_by, url, batch_size, run_id=f"{run}-{number}", **options
+        ),
         outcomes,
         checkpoint,
     )
@@ -72,7 +80,7 @@ def write_objects_stream(
     """Write one object per row; the outcomes hold the addresses, not the contents."""
     return per_batch(
         stream,
-        lambda rows: write_objects(rows, path_col, content_col, **options).drop(content_col),
+        lambda rows, _: write_objects(rows, path_col, content_col, **options).drop(content_col),
         outcomes,
         checkpoint,
     )

@@ -64,7 +64,7 @@ def test_many_parts_are_joined_without_broadcast(spark, monkeypatch):
     "value, message",
     [
         ("0", "must be greater than 0"), (0, "must be greater than 0"),
-        ("not_a_number", "Invalid batch_size"), (-1, "Invalid batch_size"),
+        ("not_a_number", "Invalid batch_size"), (2.7, "Invalid batch_size"), ("1_0", "Invalid batch_size"), (-1, "Invalid batch_size"),
     ],
 )
 def test_batch_size(value, message):

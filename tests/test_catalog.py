@@ -15,7 +15,7 @@ INTERNAL = {
     "skips_class", "size_error", "input_error", "mode_named", "letters_only", "language_of",
     "language_judge", "request_headers", "retryable_status", "post_once", "post_udf",
     "response_headers", "fetch_udf", "put_udf", "exists_udf", "fetch_text", "put_text",
-    "object_exists", "split_path",
+    "object_exists", "split_path", "library_pattern", "payload_text", "payload_list", "payload_source",
 }
 
 
@@ -24,6 +24,7 @@ def test_rows(spark):
     rows = frame.collect()
     assert frame.columns == list(COLUMNS) and len(rows) >= 16
     assert all(value for row in rows for value in row)
+    assert set(catalog.SQL_NAMES) < {r.name for r in rows}
     assert {r.kind for r in rows} == {"scalar", "table"}
     assert len({r.name for r in rows}) == len(rows)
     assert [r.kind for r in rows if r.name == "extract_html"] == ["table"]
@@ -36,7 +37,7 @@ def test_what_needs_a_service_says_so(spark):
         "module in ('http', 'objects', 'embedding') and example not like '%-- requires%'"
     )
     assert {r.name for r in outside.collect()} == {
-        "payloads_from_json", "payloads_from_file", "parse_path",
+        "payloads_from_json", "payloads_from_file", "payloads_from_lines", "parse_path",
     }
 
 

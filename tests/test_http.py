@@ -11,6 +11,9 @@ from corpusloom.sources.http import (
     Request,
     Response,
     UrlTransport,
+    payloads_from_file,
+    payloads_from_json,
+    payloads_from_lines,
     post_batches,
     post_once,
     post_rows,
@@ -53,7 +56,7 @@ def test_retries(answers, status, waits):
     assert answer.status_code == status
     assert slept == pytest.approx(waits)
     assert [r.attempt for r in transport.requests] == list(range(len(answers)))
-    assert len({r.headers["Idempotency-Key"] for r in transport.requests}) == 1
+    assert not any("Idempotency-Key" in r.headers for r in transport.requests)
 
 
 def test_no_connection_raises_after_the_retries():
@@ -72,6 +75,7 @@ def test_other_errors_are_not_retried():
 
 def test_request_headers():
     plain = {"Content-Type": "application/json", "Idempotency-Key": "k"}
+    assert request_headers(None) == {"Content-Type": "application/json"}
     assert request_headers(None, "k") == request_headers("", "k") == plain
     assert request_headers('["a"]', "k") == plain
     assert request_headers('{"A": "1", "B": 2}', "k") == {"A": "1", **plain}
@@ -106,7 +110,7 @@ def test_rows(df):
     parsed = post_rows(df.where("id = 1"), URL, "body", transport=echo).select(
         response_headers("response.headers")
     )
-    assert parsed.first()[0] == {"A": "", "B": "2"}
+    assert parsed.first()[0] == {"a": "", "b": "2"}
 
 
 def test_errors(df):
@@ -163,6 +167,7 @@ class FakeConnection:
     """Stands in for the standard library's connection; no port is opened."""
 
     sent: list = []
+    headers: list = []
     answers: list = []
 
     def __init__(self, host, port=None, timeout=None):
@@ -170,6 +175,7 @@ class FakeConnection:
 
     def request(self, method, target, body, headers):
         self.sent.append((self.place, method, target, body))
+        self.headers.append(headers)
 
     def getresponse(self):
         status, headers, text = self.answers.pop(0)
@@ -204,6 +210,54 @@ def test_redirects(monkeypatch, status, method, body):
     ]
 
 
+@pytest.mark.parametrize("target, kept", [("/b", True), ("http://other/b", False), ("http://host:82/b", False), ("https://host/b", False)])
+def test_credentials_stay_with_the_host(monkeypatch, target, kept):
+    for kind in ("HTTPConnection", "HTTPSConnection"):
+        monkeypatch.setattr(f"corpusloom.sources.http.http.client.{kind}", FakeConnection)
+    FakeConnection.headers, FakeConnection.answers = [], [(307, [("location", target)], ""), (200, [], "")]
+    sent = {"Authorization": "a", "cookie": "c", "X": "1", "Idempotency-Key": "k"}
+    UrlTransport()(Request("http://host/a", "x", sent))
+    assert FakeConnection.headers[1] == (sent if kept else {"X": "1", "Idempotency-Key": "k"})
+    FakeConnection.headers, FakeConnection.answers = [], [(303, [("location", "/b")], ""), (200, [], "")]
+    UrlTransport(max_redirects=1)(Request("http://host/a", "x", {**sent, "Content-Type": "t"}))
+    assert FakeConnection.headers[1] == {"Authorization": "a", "cookie": "c", "X": "1"}
+
+
+def key_of(request: Request) -> Response:
+    return Response(200, request.headers.get("Idempotency-Key", ""), (("Set-Cookie", "a=1"), ("set-cookie", "b: 2"), ("X", "")))
+
+
+def test_keys_tell_rows_and_batches_apart(spark):
+    df = spark.createDataFrame([(i, "same") for i in range(6)], "id int, body string")
+    keys = [r.response.body for r in post_rows(df, URL, "body", transport=key_of, key_col="id").collect()]
+    assert sorted(keys) == [str(i) for i in range(6)]
+    assert {r.response.body for r in post_rows(df, URL, "body", transport=key_of).collect()} == {""}
+    runs = [post_batches(df, "body", ["id"], URL, 2, transport=key_of, run_id=run) for run in ("r", "r", None)]
+    first, again, other = ([r.response_body for r in run.orderBy("batch_id").collect()] for run in runs)
+    assert first == again == ["r-0", "r-1", "r-2"] and len(set(other) - set(first)) == 3
+
+
+def test_repeated_response_headers(spark):
+    df = spark.createDataFrame([(1, "x")], "id int, body string")
+    posted = post_rows(df, URL, "body", transport=key_of).select(response_headers("response.headers"))
+    assert posted.first()[0] == {"set-cookie": "a=1, b: 2", "x": ""}
+
+
+def test_payload_texts(spark, tmp_path):
+    wanted = ["a", '{"a":2,"b":1}', "null", "1.0"]
+    text = '["a", {"b": 1, "a": 2}, null, 1.0]'
+    assert [r.payload for r in payloads_from_json(spark, text).collect()] == wanted
+    (tmp_path / "p.json").write_text(text)
+    assert [r.payload for r in payloads_from_file(spark, f"{tmp_path}/p.json").orderBy("position").collect()] == wanted
+    for bad, said in (("", "Invalid payloads JSON"), ("{}", "must be a JSON array"), ("[1", "Invalid payloads JSON")):
+        (tmp_path / "bad.json").write_text(bad)
+        with pytest.raises(Exception, match=said):
+            payloads_from_file(spark, f"{tmp_path}/bad.json").collect()
+    (tmp_path / "lines").mkdir()
+    (tmp_path / "lines/a.txt").write_text("x\n[1]\n")
+    assert [r.payload for r in payloads_from_lines(spark, f"{tmp_path}/lines").orderBy("position").collect()] == ["x", "[1]"]
+
+
 def test_endless_redirects(monkeypatch):
     monkeypatch.setattr("corpusloom.sources.http.http.client.HTTPConnection", FakeConnection)
     FakeConnection.sent, FakeConnection.answers = [], [(307, [("Location", "/")], "")] * 20

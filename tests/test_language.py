@@ -112,6 +112,19 @@ def test_too_many_profiles_raise(profiles, monkeypatch):
         is_english("text", profiles)
 
 
+def test_larger_profiles_are_joined(spark, sf_dir, profiles, monkeypatch):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    odd = spark.createDataFrame([(-1, None), (-2, ""), (-3, "12345 !!")], "doc_id long, text string")
+    docs = docs.unionByName(odd)
+    wanted = {r.doc_id: tuple(r) for r in detect_language(docs, "text", profiles).collect()}
+    monkeypatch.setattr(language, "MAX_PROFILE_ROWS", 10)
+    got = {r.doc_id: tuple(r) for r in detect_language(docs, "text", profiles).collect()}
+    assert got.keys() == wanted.keys()
+    for key, row in wanted.items():
+        assert got[key][2] == row[2] and got[key][4] == row[4]
+        assert got[key][3] == (row[3] if row[3] is None else pytest.approx(row[3]))
+
+
 def test_detection_is_narrow(spark, sf_dir, profiles):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     plan = detect_language(docs, "text", profiles)._jdf.queryExecution().executedPlan().toString()

@@ -60,7 +60,7 @@ def test_transforms(stored):
     assert by_id(fetch_with_mode(known, "path", modes), "content") == ["one Two", "zwei é"]
     assert by_id(fetch_with_script(known, "path", "take_lines(text, 1)"), "content") == ["one", " zwei é "]
     scripted = known.withColumn("script", F.when(F.col("id") == 1, "lower(text)"))
-    assert by_id(fetch_with_script(scripted, "path", script_col="script"), "content") == [
+    assert by_id(fetch_with_script(scripted, "path", script_col="script", scripts=["lower(text)"]), "content") == [
         "one\r\ntwo", " zwei é ",
     ]
 
@@ -92,8 +92,8 @@ def test_scan_form(spark, stored, root):
 @pytest.mark.parametrize(
     "path, message",
     [
-        ("invalid_path", "must start with s3://"), ("s3://bucket-only", "Invalid object path format"),
-        ("file:///no/such/object", "Failed to fetch object"),
+        ("invalid_path", "must start with s3://"), ("s3://bucket-only", "Invalid S3 path format"),
+        ("file:///no/such/object", "Failed to fetch S3 object"),
     ],
 )
 def test_errors(spark, path, message):
@@ -103,7 +103,7 @@ def test_errors(spark, path, message):
     assert by_id(fetch_objects(df, "path", on_error="null"), "content") == [None]
     with pytest.raises(Exception, match=message):
         fetch_stripped(df, "path").collect()
-    if message != "Failed to fetch object":
+    if message != "Failed to fetch S3 object":
         with pytest.raises(Exception, match=message):
             df.select(put_text("path", F.lit("x"))).collect()
         with pytest.raises(Exception, match=message):
@@ -114,7 +114,7 @@ def test_errors(spark, path, message):
 
 def test_put_failure(spark):
     df = spark.createDataFrame([("file:///proc/no/such/place",)], "path string")
-    with pytest.raises(Exception, match="Failed to put object"):
+    with pytest.raises(Exception, match="Failed to put S3 object"):
         df.select(put_text("path", F.lit("x"))).collect()
 
 
@@ -139,3 +139,39 @@ def test_paths(spark):
 def test_contents_are_not_shuffled(stored):
     plan = fetch_with_mode(stored, "path", "trim")._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_large_objects_are_read_one_by_one(spark, tmp_path):
+    from corpusloom.functions.retry import InFlight
+
+    rows = []
+    for k in range(40):
+        (tmp_path / f"{k}").write_text(f"{k}" * (1000 if k % 3 else 60_000))
+        rows += [(k, f"file://{tmp_path}/{k}")] * (1 + k % 2)
+    df = spark.createDataFrame(rows, "k int, path string").coalesce(1)
+    found = fetch_objects(df, "path", max_bytes=50_000, max_in_flight=8).collect()
+    assert [r.content for r in found] == [f"{k}" * (1000 if k % 3 else 60_000) for k, _ in rows]
+
+    running, most = [0], [0]
+
+    def call(size, claim):
+        claim(size)
+        running[0] += size
+        most[0] = max(most[0], running[0])
+        return size
+
+    with InFlight(8, 100) as flight:
+        for size in flight.map(call, [60] * 30, claims=True):
+            running[0] -= size
+    assert most[0] <= 180
+
+
+def test_strict_paths(spark):
+    from corpusloom.sources.objects import parse_path
+
+    df = spark.createDataFrame([("s3://b/k/x",), (None,)], "path string")
+    first, none = df.select(parse_path("path", strict=True).alias("p")).collect()
+    assert tuple(first.p) == ("s3", "b", "k/x") and none.p.key is None
+    for bad, said in (("http://b/k", "must start with s3://"), ("s3://bucket", "Invalid S3 path format")):
+        with pytest.raises(Exception, match=said):
+            spark.createDataFrame([(bad,)], "path string").select(parse_path("path", strict=True)).collect()

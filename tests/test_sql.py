@@ -74,6 +74,13 @@ def test_http(sql):
     assert sql("SELECT * FROM http_post_batch('http://x', '[]', '2', '')") == []
 
 
+def test_payload_files(sql, tmp_path):
+    (tmp_path / "p.json").write_text('["a", {"b": 1, "a": 2}, null, 1.0]')
+    for path in (f"{tmp_path}/p.json", f"file://{tmp_path}/p.json"):
+        rows = sql(f"SELECT * FROM http_post_batch('http://x', '{path}', '10', '')")
+        assert rows == [(0, 4, 200, '["A","{\\"A\\":2,\\"B\\":1}","NULL","1.0"]')]
+
+
 @pytest.mark.parametrize(
     "query, message",
     [
