@@ -54,6 +54,14 @@ SELECT doc_id,
        regexp_replace(text, '([0-9])([0-9]*)', '<\2>', 'g') AS out
 FROM documents"""
 
+ORACLES["text_regex_posix"] = r"""
+SELECT doc_id, regexp_replace(text, '[0-9]+', '#', 'g') AS digits, regexp_matches(text, '[A-Z]{2}') AS upper,
+       md5(regexp_replace(text, '[^0-9A-Za-z \t\n\x0B\f\r]', '', 'g')) AS others
+FROM documents"""
+
+ORACLES["script_named_group"] = r"""
+SELECT doc_id, regexp_replace(text, '([A-Za-z]+)[ \t\n\x0B\f\r]+([0-9])', '\2<\1>', 'g') AS out FROM documents"""
+
 ORACLES["text_regex_match"] = r"""
 SELECT doc_id, regexp_matches(text, '[0-9]') AS has_digit, text LIKE '%.' AS ends
 FROM documents"""
@@ -115,6 +123,7 @@ FROM folded, range({dim}) AS t(j)"""
 
 ORACLES["embed_fake_vectors"] = vector_rows(8)
 ORACLES["embed_dedup_join"] = vector_rows(4)
+ORACLES["embed_fetched_texts"] = vector_rows(4)
 ORACLES["embed_in_place"] = vector_rows(4)
 
 ORACLES["token_count_words"] = (
@@ -129,7 +138,12 @@ ORACLES["token_count_service"] = (
 )
 
 
-def chunk_rows(table: str, keys: str, budget: int) -> str:
+ORACLES["token_count_retried"] = ORACLES["token_count_service"]
+
+POSIX_TOKENS = "len(regexp_extract_all({0}, '[A-Za-z]+|[0-9]'))"
+
+
+def chunk_rows(table: str, keys: str, budget: int, count: str = WORDS) -> str:
     """Halving as a recursive query: open pieces are split or closed, a piece per row."""
     return rf"""
 WITH RECURSIVE pieces AS (
@@ -162,7 +176,7 @@ WITH RECURSIVE pieces AS (
                         FROM (
                             SELECT {keys}, path, text, hex(encode(text)) AS h,
                                    strlen(text) // 2 AS m,
-                                   {WORDS.format("text")} <= {budget} AS fits
+                                   {count.format("text")} <= {budget} AS fits
                             FROM pieces WHERE NOT closed
                         )
                     )
@@ -172,20 +186,30 @@ WITH RECURSIVE pieces AS (
     )
 )
 SELECT {keys}, CAST(row_number() OVER (PARTITION BY {keys} ORDER BY path) - 1 AS INTEGER) AS chunk_id,
-       text, CAST({WORDS.format("text")} AS BIGINT) AS n_tokens
+       text, CAST({count.format("text")} AS BIGINT) AS n_tokens
 FROM pieces WHERE closed"""
 
 
 ORACLES["document_chunks"] = chunk_rows("documents", "doc_id", 100)
+ORACLES["chunks_by_regex"] = f"""
+SELECT *, n_tokens AS counted FROM ({chunk_rows("documents", "doc_id", 60, POSIX_TOKENS)})"""
 ORACLES["conversation_chunks"] = chunk_rows("conversations", "conv_id, turn", 20)
 
 # --- HTML ---------------------------------------------------------------------------------
 
 
+# the last heading of a level; one above it clears it
+LEVELS = ", ".join(
+    f"coalesce(last_value(CASE WHEN tag = 'h{level}' THEN text WHEN tag < 'h{level}' THEN '' END IGNORE NULLS) "
+    f"OVER (PARTITION BY page_id ORDER BY i), '') AS h{level}"
+    for level in range(1, 7)
+)
+
+
 def html_elements(html: str = "html", skip: str = "FALSE", min_words: int = 10) -> str:
-    """CTEs up to ``kept`` (page_id, pos, tag, text, words, classes, h1), pos from 1.
+    """CTEs up to ``kept`` (page_id, pos, tag, text, words, classes, h1 to h6), pos from 1.
 
-    The pages hold h1 and p only, a p ends at the next p or at an end tag of p, h1 or article.
+    The pages hold headings and p only, each ends at the next or at an end tag of one or of article.
     A character reference may lack its semicolon, where a heading was cut off in it.
     """
     return rf"""
@@ -194,15 +218,15 @@ WITH bare AS (
         '(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->|<title.*?</title>', '', 'g') AS h
     FROM pages
 ), split AS (
-    SELECT page_id, string_split(regexp_replace(h, '<(p|h1)( [^>]*)?>', chr(1) || '\1\2>', 'g'), chr(1)) AS parts
+    SELECT page_id, string_split(regexp_replace(h, '<(p|h[1-6])( [^>]*)?>', chr(1) || '\1\2>', 'g'), chr(1)) AS parts
     FROM bare
 ), parts AS (
     SELECT page_id, i, parts[i] AS part
     FROM (SELECT page_id, parts, unnest(range(2, len(parts) + 1)) AS i FROM split)
 ), cut AS (
-    SELECT page_id, i, regexp_extract(part, '^(p|h1)', 1) AS tag,
-           regexp_extract(part, '^(?:p|h1) class="([^"]*)"', 1) AS classes,
-           regexp_extract(regexp_replace(part, '^[^>]*>', ''), '(?s)^(.*?)(?:</(?:p|h1|article)>|$)', 1) AS body
+    SELECT page_id, i, regexp_extract(part, '^(p|h[1-6])', 1) AS tag,
+           regexp_extract(part, '^(?:p|h[1-6]) class="([^"]*)"', 1) AS classes,
+           regexp_extract(regexp_replace(part, '^[^>]*>', ''), '(?s)^(.*?)(?:</(?:p|h[1-6]|article)>|$)', 1) AS body
     FROM parts
 ), plain AS (
     SELECT page_id, i, tag, classes,
@@ -217,9 +241,7 @@ WITH bare AS (
              '^\s+', ''), '\s+$', '') AS text
     FROM cut
 ), counted AS (
-    SELECT *, {words("text")} AS words,
-           coalesce(last_value(CASE WHEN tag = 'h1' THEN text END IGNORE NULLS)
-             OVER (PARTITION BY page_id ORDER BY i), '') AS h1
+    SELECT *, {words("text")} AS words, {LEVELS}
     FROM plain
 ), kept AS (
     SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY i) AS pos
@@ -231,7 +253,7 @@ NO_DEEPER = "'' AS h2, '' AS h3, '' AS h4, '' AS h5, '' AS h6"
 
 RAW_ROWS = f"""
 SELECT page_id, CAST(pos - 1 AS INTEGER) AS position, tag AS element_type, text,
-       words AS word_count, h1, {NO_DEEPER}, classes, '' AS error
+       words AS word_count, h1, h2, h3, h4, h5, h6, classes, '' AS error
 FROM kept"""
 
 ORACLES["html_raw"] = html_elements() + RAW_ROWS
@@ -248,18 +270,18 @@ ORACLES["html_paragraph"] = (
     html_elements()
     + f"""
 SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS INTEGER) AS chunk_id,
-       text, h1, {NO_DEEPER}, words AS word_count, CAST(1 AS INTEGER) AS paragraph_count, '' AS error
+       text, h1, h2, h3, h4, h5, h6, words AS word_count, CAST(1 AS INTEGER) AS paragraph_count, '' AS error
 FROM kept WHERE tag = 'p'"""
 )
 
 
-def semantic_rows(low: int, high: int, min_words: int) -> str:
+def semantic_rows(low: int, high: int, min_words: int, html: str = "html") -> str:
     """Chunk numbers by walking the paragraphs of all pages one place at a time."""
-    start = html_elements(min_words=min_words).replace("WITH bare", "WITH RECURSIVE bare", 1)
+    start = html_elements(html, min_words=min_words).replace("WITH bare", "WITH RECURSIVE bare", 1)
     return (
         start
         + f""", paragraphs AS (
-    SELECT page_id, text, words, h1, row_number() OVER (PARTITION BY page_id ORDER BY i) AS n
+    SELECT page_id, text, words, h1, h2, h3, h4, h5, h6, row_number() OVER (PARTITION BY page_id ORDER BY i) AS n
     FROM kept WHERE tag = 'p'
 ), walk AS (
     SELECT page_id, n, CASE WHEN words > {high} AND 0 >= {low} THEN 1 ELSE 0 END AS chunk,
@@ -273,12 +295,12 @@ def semantic_rows(low: int, high: int, min_words: int) -> str:
     FROM walk w JOIN paragraphs p ON p.page_id = w.page_id AND p.n = w.n + 1
 ), chunks AS (
     SELECT page_id, chunk AS chunk_id, string_agg(text, chr(10) || chr(10) ORDER BY n) AS text,
-           arg_min(h1, n) AS h1, sum(words) AS word_count, count(*) AS paragraph_count
+           {", ".join(f"arg_min(h{k}, n) AS h{k}" for k in range(1, 7))}, sum(words) AS word_count, count(*) AS paragraph_count
     FROM walk JOIN paragraphs USING (page_id, n) GROUP BY page_id, chunk
     UNION ALL
-    SELECT page_id, 0, '', '', 0, 0 FROM walk WHERE n = 1 AND chunk = 1
+    SELECT page_id, 0, '', '', '', '', '', '', '', 0, 0 FROM walk WHERE n = 1 AND chunk = 1
 )
-SELECT page_id, CAST(chunk_id AS INTEGER) AS chunk_id, text, h1, {NO_DEEPER},
+SELECT page_id, CAST(chunk_id AS INTEGER) AS chunk_id, text, h1, h2, h3, h4, h5, h6,
        CAST(word_count AS INTEGER) AS word_count, CAST(paragraph_count AS INTEGER) AS paragraph_count,
        '' AS error
 FROM chunks"""
@@ -294,6 +316,23 @@ SELECT page_id, CAST(0 AS INTEGER) AS chunk_id, '' AS text, '' AS h1, {NO_DEEPER
        'extract_html expects HTML content, not URL. Fetch the object first.' AS error
 FROM pages"""
 
+LEVELED = """array_to_string(list_transform(string_split(html, '<p>'), lambda x, i:
+    CASE WHEN i = 1 THEN x
+         WHEN i % 3 = 2 AND contains(x, '</p>')
+           THEN '<h' || ((page_id + i - 1) % 5 + 2) || '>' || replace(x, '</p>', '</h' || ((page_id + i - 1) % 5 + 2) || '>')
+         ELSE '<p>' || x END), '')"""
+ORACLES["html_heading_levels"] = html_elements(LEVELED) + RAW_ROWS
+ORACLES["html_heading_levels_semantic"] = semantic_rows(100, 500, 10, LEVELED)
+
+ORACLES["html_size_guard"] = (
+    ORACLES["html_paragraph"].replace("FROM pages", "FROM pages WHERE strlen(html) <= 4000")
+    + f"""
+UNION ALL
+SELECT page_id, CAST(0 AS INTEGER), '', '', {NO_DEEPER}, CAST(0 AS INTEGER), CAST(0 AS INTEGER),
+       'Document too large: ' || strlen(html) || ' bytes (max 4000). Split into chapters.'
+FROM pages WHERE strlen(html) > 4000"""
+)
+
 # --- language -----------------------------------------------------------------------------
 
 
@@ -401,6 +440,14 @@ SELECT event_id,
        CASE WHEN event_id % 10 IN (7, 8) THEN NULL ELSE CAST(event_id AS VARCHAR) END AS echo
 FROM events"""
 
+ORACLES["post_keys"] = """
+SELECT event_type, count(*) AS events, count(DISTINCT event_id) AS keys FROM events GROUP BY event_type"""
+ORACLES["post_repeated_headers"] = "SELECT event_id, event_type || ', ' || event_id AS cookies FROM events"
+ORACLES["payload_lines"] = """
+SELECT batch_id, CAST(count(*) AS INTEGER) AS row_count,
+       md5(string_agg(concat_ws(chr(9), event_id, props), '|' ORDER BY event_id)) AS digest
+FROM (SELECT event_id, props, (row_number() OVER (ORDER BY event_id) - 1) // 50 AS batch_id FROM events)
+GROUP BY batch_id"""
 ORACLES["post_scripted"] = (
     "SELECT event_id, upper(event_type) || ' ' || event_type AS response_body FROM events"
 )

