@@ -34,7 +34,7 @@ from corpusloom.llm.bytewords import buffers, mix
 from corpusloom.llm.common import LARGE_JOIN, drop_folders, keyed, release, saved, slices, texts_of
 
 ANCHOR = 20
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 COMBINE_BYTES = 32 << 20
 RANGE_WINDOWS = 1 << 19
 _PRIME = 0x9E3779B97F4A7C15
@@ -52,7 +52,6 @@ def _powers(base: int, count: int) -> np.ndarray:
 def runs_of(raw: np.ndarray, offsets: np.ndarray, length: int, tables: dict) -> tuple[np.ndarray, ...]:
     """The runs of the texts in ``raw``: first window, windows, anchor's distance, hash of anchor, of run."""
     reach = length - ANCHOR + 1  # anchors that fit into a window
-    stops = np.repeat(offsets[1:], np.diff(offsets)) if len(offsets) > 1 else np.zeros(0, np.int64)
     found: list[tuple[np.ndarray, ...]] = []
     for low in range(0, len(raw), BLOCK):
         high = min(low + BLOCK, len(raw))  # of the first bytes of windows
@@ -74,7 +73,10 @@ def runs_of(raw: np.ndarray, offsets: np.ndarray, length: int, tables: dict) ->
         if width < reach:
             least = np.minimum(least[: len(least) - (reach - width)], least[reach - width :])
         anchor = (least[: high - low] & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        window = np.flatnonzero(np.arange(low, low + len(anchor)) + length <= stops[low : low + len(anchor)])
+        # a window ends in the text in which it starts
+        texts = np.arange(np.searchsorted(offsets, low, side="right") - 1, np.searchsorted(offsets, low + len(anchor)))
+        inside = np.minimum(offsets[texts + 1], low + len(anchor)) - np.maximum(offsets[texts], low)
+        window = np.flatnonzero(np.arange(low + length, low + length + len(anchor)) <= np.repeat(offsets[texts + 1], inside))
         if not len(window):
             continue
         anchor = anchor[window]
