@@ -112,7 +112,9 @@ SQL_NAMES = {
     "s3_transform_with": objects.fetch_with_mode,
     "http_post": http.post_column,
     "http_post_batch": http.post_batches,
-    "html_extract": html.extract_html,
+    "html_raw": html.extract_html,
+    "html_paragraphs": html.extract_html,
+    "html_chunks": html.extract_html,
 }
 _SQL_EXAMPLES = {
     "s3_fetch": f"SELECT s3_fetch(path) FROM files {STORE}",
@@ -122,7 +124,10 @@ _SQL_EXAMPLES = {
     "s3_transform_with": f"SELECT s3_transform_with(path, 'trim') FROM files {STORE}",
     "http_post": f"SELECT http_post(url, body).status_code FROM rows {SERVICE}",
     "http_post_batch": f"SELECT * FROM http_post_batch(url, 'payloads.json', '100', '') {SERVICE}",
-    "html_extract": "SELECT e.* FROM pages, LATERAL html_extract(html) AS e",
+    **{
+        name: f"SELECT e.* FROM (SELECT {name}(html) AS rows FROM pages), LATERAL inline(rows) AS e"
+        for name in ("html_raw", "html_paragraphs", "html_chunks")
+    },
 }
 
 # The columns of the catalog.
@@ -132,7 +137,7 @@ COLUMNS = ("name", "kind", "module", "category", "signature", "description", "ex
 def functions_catalog(spark: SparkSession, view: str | None = "corpus_functions") -> DataFrame:
     """The operators as a table of seven text columns, also as a temporary view."""
     rows = [tuple(getattr(entry, column) for column in COLUMNS) for entry in ENTRIES]
-    tables = ("http_post_batch", "html_extract")
+    tables = ("http_post_batch",)
     for name, operator in SQL_NAMES.items():
         entry = Entry(operator, "table" if name in tables else "scalar", "SQL", _SQL_EXAMPLES[name])
         signature = entry.signature.replace(operator.__name__, name, 1)

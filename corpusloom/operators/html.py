@@ -117,8 +117,8 @@ class ExtractConfig:
         )
 
 
-def html_elements(html: Column | str) -> Column:
-    """All headings and paragraphs of a page as an array in document order."""
+def elements_udf():
+    """The Arrow function behind :func:`html_elements`."""
     arrow_fields = [
         pa.field(f.name, pa.int32() if isinstance(f.dataType, IntegerType) else pa.string())
         for f in ELEMENT
@@ -141,23 +141,28 @@ def html_elements(html: Column | str) -> Column:
             pa.array(offsets, pa.int32()), struct, mask=pa.array(missing) if any(missing) else None
         )
 
-    return scan(as_column(html))
+    return scan
 
 
-def skips_class(classes: str, skip_classes: Sequence[str]) -> bool:
-    """Whether a class token contains a skip word, ignoring case."""
-    tokens = classes.lower().split()
-    return any(skip.lower() in token for token in tokens for skip in skip_classes)
+def html_elements(html: Column | str) -> Column:
+    """All headings and paragraphs of a page as an array in document order."""
+    return elements_udf()(as_column(html))
 
 
-def _has_skipped_class(classes: Column, skip_classes: Sequence[str]) -> Column:
-    """True where a class token contains a skip word. Tokens hold no white space, so a word
-    without white space is looked for in the whole attribute, one with any never matches."""
+def skip_pattern(skip_classes: Sequence[str]) -> str | None:
+    """A pattern for class attributes in lower case with a token that contains a skip word.
+
+    Tokens hold no white space, so a word without white space is looked for in the whole
+    attribute, one with any never matches.
+    """
     words = [w.lower() for w in skip_classes if w and not re.search(r"\s", w)]
     patterns = [re.escape(w) for w in words] + [r"\S" for w in skip_classes if w == ""]
-    if not patterns:
-        return F.lit(False)
-    return (classes != "") & F.lower(classes).rlike("(?U)" + "|".join(patterns))
+    return "(?U)" + "|".join(patterns) if patterns else None
+
+
+def _has_skipped_class(classes: Column, skip_classes: Sequence[str]) -> Column:
+    pattern = skip_pattern(skip_classes)
+    return F.lit(False) if pattern is None else (classes != "") & F.lower(classes).rlike(pattern)
 
 
 def is_kept(element: Column, config: ExtractConfig) -> Column:
@@ -183,23 +188,19 @@ def chunk_bounds(counts: list[int], min_words: int, max_words: int) -> list[tupl
     return bounds
 
 
-def pack_bounds(word_counts: Column, min_words: int, max_words: int) -> Column:
-    """Where chunks start when pieces are packed in order.
-
-    A chunk closes before a piece that would take it over ``max_words``, once it has
-    ``min_words``. The scan over counts is linear; a fold in SQL would copy its result list
-    at every step.
-    """
+def pack_udf():
+    """The Arrow function behind :func:`pack_bounds`."""
 
     @F.arrow_udf(ArrayType(BOUND))
-    def pack(lists: pa.Array) -> pa.Array:
+    def pack(lists: pa.Array, low: pa.Array, high: pa.Array) -> pa.Array:
         flat = lists.values.to_numpy(zero_copy_only=False)
         starts = lists.offsets.to_numpy()
+        limits = zip(low.to_pylist(), high.to_pylist())
         packed = [
             None if not lists[i].is_valid else chunk_bounds(
-                flat[starts[i] : starts[i + 1]].tolist(), min_words, max_words
+                flat[starts[i] : starts[i + 1]].tolist(), *limit
             )
-            for i in range(len(lists))
+            for i, limit in enumerate(limits)
         ]
         kind = pa.list_(pa.struct([(f.name, pa.int32()) for f in BOUND]))
         names = [f.name for f in BOUND]
@@ -207,9 +208,21 @@ def pack_bounds(word_counts: Column, min_words: int, max_words: int) -> Column:
             [None if b is None else [dict(zip(names, x)) for x in b] for b in packed], kind
         )
 
-    return pack(word_counts)
+    # not deterministic for the optimizer: it would run the scan again to drop pages without chunks
+    return pack.asNondeterministic()
+
+
+def pack_bounds(word_counts: Column, min_words: int, max_words: int) -> Column:
+    """Where chunks start when pieces are packed in order.
+
+    A chunk closes before a piece that would take it over ``max_words``, once it has
+    ``min_words``. The scan over counts is linear; a fold in SQL would copy its result list
+    at every step.
+    """
+    return pack_udf()(word_counts, F.lit(min_words), F.lit(max_words))
 
 
+# Addresses that are no pages, and messages.
 URL_STARTS = ("s3://", "http://", "https://")
 URL_ERROR = "extract_html expects HTML content, not URL. Fetch the object first."
 
@@ -218,13 +231,6 @@ def size_error(size: str, max_bytes: int) -> str:
     return f"Document too large: {size} bytes (max {max_bytes}). Split into chapters."
 
 
-def input_error(html: str, max_bytes: int = MAX_HTML_BYTES) -> str | None:
-    """Why a page must not be parsed, for one page at hand."""
-    if len(html) * 4 > max_bytes and (size := len(html.encode())) > max_bytes:
-        return size_error(str(size), max_bytes)
-    return URL_ERROR if html.startswith(URL_STARTS) else None
-
-
 def _guard(html: Column, max_bytes: int) -> Column:
     """A message for input that must not be parsed, else NULL."""
     size = F.octet_length(html)

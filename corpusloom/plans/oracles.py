@@ -474,6 +474,8 @@ FROM pages"""
 # --- SQL names ----------------------------------------------------------------------------
 
 ORACLES["sql_html_paragraph"] = ORACLES["html_paragraph"]
+ORACLES["sql_html_semantic"] = ORACLES["html_semantic"]
+ORACLES["sql_html_raw"] = ORACLES["html_raw"]
 ORACLES["sql_text_functions"] = f"""
 SELECT doc_id, squeezed, lowered, rest, tokens, value
 FROM (SELECT doc_id, regexp_replace(regexp_replace(text, '[0-9]+', 'NUM', 'g'), '\\s+', ' ', 'g') AS squeezed,

@@ -562,15 +562,30 @@ def object_paths(spark, sf_dir):
 # --- SQL names ----------------------------------------------------------------------------
 
 
-@query
-def sql_html_paragraph(spark, sf_dir):
+def _spread_rows(spark: SparkSession, sf_dir: str, function: str) -> DataFrame:
     register_functions(spark)
     return spark.sql(
-        "SELECT page_id, e.* FROM {pages}, LATERAL html_extract(html, 'paragraph') AS e",
+        f"SELECT page_id, e.* FROM (SELECT page_id, {function}(html) AS rows FROM {{pages}}), "
+        "LATERAL inline(rows) AS e",
         pages=pages(spark, sf_dir),
     )
 
 
+@query
+def sql_html_paragraph(spark, sf_dir):
+    return _spread_rows(spark, sf_dir, "html_paragraphs")
+
+
+@query
+def sql_html_semantic(spark, sf_dir):
+    return _spread_rows(spark, sf_dir, "html_chunks")
+
+
+@query
+def sql_html_raw(spark, sf_dir):
+    return _spread_rows(spark, sf_dir, "html_raw")
+
+
 @query
 def sql_text_functions(spark, sf_dir):
     register_functions(spark)

@@ -1,36 +1,33 @@
 """The operators under SQL names, for sessions that work in SQL text.
 
-Scalar functions and table functions (with ``LATERAL`` for tables of documents). The DataFrame
-operators remain the way for large jobs: they take keys, options and clients.
+Pages give arrays of rows; spread them with ``LATERAL inline``. The DataFrame operators remain the
+way for large jobs: they take keys, options and clients.
 """
 
 from __future__ import annotations
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import (
-    ArrayType,
-    IntegerType,
-    StringType,
-    StructField,
-    StructType,
-)
-from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult
+from pyspark.sql.types import ArrayType, StringType
 
 from corpusloom.catalog import functions_catalog
 from corpusloom.functions.retry import DEFAULT_IN_FLIGHT, RetryPolicy
-from corpusloom.functions.markup import page_elements, with_headings
-from corpusloom.functions.text import WHITE_SPACE, register_sql
+from corpusloom.functions.text import SQL_FUNCTIONS, register_sql
 from corpusloom.functions.tokens import Tokenizer, chunks_udf, counter_udf
 from corpusloom.functions.vectors import fake_udf
 from corpusloom.operators.embedding import ClientFactory, embed_udf
 from corpusloom.operators.html import (
-    ELEMENT,
     HEADINGS,
-    ExtractConfig,
-    chunk_bounds,
-    input_error,
-    skips_class,
+    MAX_CHUNK_WORDS,
+    MAX_HTML_BYTES,
+    MIN_CHUNK_WORDS,
+    SKIP_CLASSES,
+    URL_ERROR,
+    URL_STARTS,
+    elements_udf,
+    pack_udf,
+    size_error,
+    skip_pattern,
 )
 from corpusloom.operators.language import language_judge
 from corpusloom.sources.http import (
@@ -51,68 +48,90 @@ from corpusloom.sources.objects import (
 )
 
 
-_HEADINGS = [StructField(h, StringType()) for h in HEADINGS]
-_ERROR = StructField("error", StringType())
-_RAW_COLUMNS = StructType([StructField("position", IntegerType()), *ELEMENT, _ERROR])
-_CHUNK_COLUMNS = StructType(
-    [
-        StructField("chunk_id", IntegerType()),
-        StructField("text", StringType()),
-        *_HEADINGS,
-        StructField("word_count", IntegerType()),
-        StructField("paragraph_count", IntegerType()),
-        _ERROR,
-    ]
+# pages by default rules, as arrays of rows: a table of pages goes through LATERAL inline(...)
+_PAGE_ERROR = (
+    f"CASE WHEN octet_length(html) > {MAX_HTML_BYTES} "
+    f"THEN printf('{size_error('%d', MAX_HTML_BYTES)}', octet_length(html)) WHEN "
+    + " OR ".join(f"startswith(html, '{start}')" for start in URL_STARTS)
+    + f" THEN '{URL_ERROR}' END"
+)
+_PAGE = f"CASE WHEN {_PAGE_ERROR} IS NULL THEN html END"
+_KEPT = (
+    "e.word_count >= min_paragraph AND NOT (e.classes <> '' "
+    f"AND lower(e.classes) RLIKE '{skip_pattern(SKIP_CLASSES)}')"
+)
+_HEADING_FIELDS = ", ".join(f"{h} STRING" for h in HEADINGS)
+_RAW_TYPE = (
+    f"ARRAY<STRUCT<position INT, element_type STRING, text STRING, word_count INT, {_HEADING_FIELDS}, "
+    "classes STRING, error STRING>>"
+)
+_CHUNK_TYPE = (
+    f"ARRAY<STRUCT<chunk_id INT, text STRING, {_HEADING_FIELDS}, word_count INT, paragraph_count INT, "
+    "error STRING>>"
 )
 
 
-class HtmlExtract:
-    """html_extract(html [, config]): the config, a literal, decides the columns."""
-
-    @staticmethod
-    def analyze(html: AnalyzeArgument, config: AnalyzeArgument | None = None) -> AnalyzeResult:
-        if config is not None and not config.isConstantExpression:
-            raise ValueError("the config of html_extract must be a literal")
-        parsed = ExtractConfig.from_any(config.value if config is not None else None)
-        return AnalyzeResult(_RAW_COLUMNS if parsed.mode == "raw" else _CHUNK_COLUMNS)
-
-    def __init__(self) -> None:
-        self._configs: dict[str | None, ExtractConfig] = {}
-
-    def eval(self, html: str, config: str | None = None):
-        if html is None:
-            return
-        if config not in self._configs:
-            self._configs[config] = ExtractConfig.from_any(config)
-        parsed = self._configs[config]
-        blank = ("",) * len(HEADINGS)
-        error = input_error(html)
-        if error:
-            raw = parsed.mode == "raw"
-            yield (0, "", "", 0, *blank, "", error) if raw else (0, "", *blank, 0, 0, error)
-            return
-        kept = [
-            e
-            for e in with_headings(page_elements(html))
-            if e[0] != "p"
-            or not parsed.filter_enabled
-            or (e[2] >= parsed.filter_min_words and not skips_class(e[-1], parsed.skip_classes))
-        ]
-        if parsed.mode == "raw":
-            for position, element in enumerate(kept):
-                yield (position, *element, "")
-            return
-        paragraphs = [e for e in kept if e[0] == "p"]
-        if parsed.mode == "paragraph":
-            bounds = [(i, 1, e[2]) for i, e in enumerate(paragraphs)]
-        else:
-            bounds = chunk_bounds([e[2] for e in paragraphs], parsed.min_words, parsed.max_words)
-        for chunk_id, (start, size, words) in enumerate(bounds):
-            members = paragraphs[start : start + size]
-            headings = members[0][3:9] if members else blank
-            text = "\n\n".join(e[1] for e in members).strip(WHITE_SPACE)
-            yield (chunk_id, text, *headings, words, size, "")
+def _struct(**fields: str) -> str:
+    return "named_struct(" + ", ".join(f"'{name}', {value}" for name, value in fields.items()) + ")"
+
+
+def _headings(value: str) -> dict[str, str]:
+    return {h: value.format(h) for h in HEADINGS}
+
 
+def _or_error(rows: str, **blank: str) -> str:
+    return f"CASE WHEN {_PAGE_ERROR} IS NULL THEN {rows} ELSE array({_struct(**blank, error=_PAGE_ERROR)}) END"
+
+
+_BLANK_CHUNK = dict(chunk_id="0", text="''", **_headings("''"), word_count="0", paragraph_count="0")
+_CHUNK_TEXT = SQL_FUNCTIONS["trim_text"][2].replace(
+    "FROM text", "FROM array_join(transform(slice(x.p, b.start + 1, b.size), e -> e.text), '\\n\\n')"
+)
+_PARAGRAPHS = f"filter(html_scan({_PAGE}), e -> e.element_type = 'p' AND {_KEPT})"
+_PAGE_SQL = {
+    "html_raw": (
+        "html STRING, min_paragraph INT DEFAULT 10",
+        _RAW_TYPE,
+        _or_error(
+            f"transform(filter(html_scan_once({_PAGE}), e -> e.element_type <> 'p' OR {_KEPT}), (e, i) -> "
+            + _struct(
+                position="i", element_type="e.element_type", text="e.text", word_count="e.word_count",
+                **_headings("e.{0}"), classes="e.classes", error="''",
+            )
+            + ")",
+            position="0", element_type="''", text="''", word_count="0", **_headings("''"), classes="''",
+        ),
+    ),
+    "html_paragraphs": (
+        "html STRING, min_paragraph INT DEFAULT 10",
+        _CHUNK_TYPE,
+        _or_error(
+            f"transform({_PARAGRAPHS.replace('html_scan', 'html_scan_once')}, (e, i) -> "
+            + _struct(
+                chunk_id="i", text="e.text", **_headings("e.{0}"), word_count="e.word_count",
+                paragraph_count="1", error="''",
+            )
+            + ")",
+            **_BLANK_CHUNK,
+        ),
+    ),
+    "html_chunks": (
+        f"html STRING, min_words INT DEFAULT {MIN_CHUNK_WORDS}, max_words INT DEFAULT {MAX_CHUNK_WORDS}, "
+        "min_paragraph INT DEFAULT 10",
+        _CHUNK_TYPE,
+        _or_error(
+            f"transform(array(named_struct('p', {_PARAGRAPHS}, 'b', html_pack(transform({_PARAGRAPHS}, "
+            "e -> e.word_count), min_words, max_words))), x -> transform(x.b, (b, i) -> "
+            + _struct(
+                chunk_id="i", text=_CHUNK_TEXT,
+                **_headings("coalesce(CASE WHEN b.size > 0 THEN get(x.p, b.start).{0} END, '')"),
+                word_count="b.words", paragraph_count="b.size", error="''",
+            )
+            + "))[0]",
+            **_BLANK_CHUNK,
+        ),
+    ),
+}
 
 # SQL bodies over the registered Arrow functions
 _SCALAR_SQL = {
@@ -191,6 +210,9 @@ def register_functions(
     arrow = {
         "embed_fake": fake_udf(),
         "chunks_at_endpoint": chunks_udf(tokenizer),
+        "html_scan": elements_udf(),
+        "html_scan_once": elements_udf().asNondeterministic(),
+        "html_pack": pack_udf(),
         "s3_fetch": fetch_udf(resolver, max_in_flight, "fail"),
         "s3_put": put_udf(resolver, max_in_flight, "fail"),
         "s3_exists": exists_udf(resolver, max_in_flight, "fail"),
@@ -202,7 +224,7 @@ def register_functions(
         arrow["embed_at_endpoint"] = embed_udf(embedder)
     if profiles is not None:
         arrow["language_of_letters"] = language_judge(profiles)
-    scalar = dict(_SCALAR_SQL)
+    scalar = _SCALAR_SQL | _PAGE_SQL
     if callable(tokenizer):
         arrow["count_at_endpoint"] = counter_udf(tokenizer)
         counted = "count_at_endpoint(text, endpoint)"
@@ -234,6 +256,5 @@ def register_functions(
             f"RETURNS {result} RETURN {body}"
         )
     spark.sql(_POST_BATCH_SQL)
-    spark.udtf.register("html_extract", F.udtf(HtmlExtract, useArrow=True))
     functions_catalog(spark)
-    return sorted([*arrow, *scalar, "http_post_batch", "html_extract"])
+    return sorted([*arrow, *scalar, "http_post_batch"])

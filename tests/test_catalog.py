@@ -12,7 +12,7 @@ INTERNAL = {
     "vectors_of", "vectors_of_dims", "fake_udf", "counter_udf", "chunks_udf", "endpoint_column",
     "halves", "split_to_budget", "split_words", "batch_size_of", "dense_positions", "batch_bodies",
     "embed_udf", "fake_client", "html_elements", "is_kept", "pack_bounds", "chunk_bounds",
-    "skips_class", "size_error", "input_error", "mode_named", "letters_only", "language_of",
+    "skip_pattern", "elements_udf", "pack_udf", "size_error", "mode_named", "letters_only", "language_of",
     "language_judge", "request_headers", "retryable_status", "post_once", "post_udf",
     "response_headers", "fetch_udf", "put_udf", "exists_udf", "fetch_text", "put_text",
     "object_exists", "split_path", "library_pattern", "payload_text", "payload_list", "payload_source",

@@ -24,7 +24,7 @@ def sql(spark, sf_dir):
     names = register_functions(
         spark, profiles, embedder=fake_client(3), transport=upper, retry=RetryPolicy(3, 0.0)
     )
-    assert "is_english" in names and "html_extract" in names
+    assert "is_english" in names and "html_chunks" in names
     return lambda text: [tuple(r) for r in spark.sql(text).collect()]
 
 
@@ -50,19 +50,24 @@ def test_is_english(sql):
 
 def test_html_over_a_literal(sql):
     page = "<h1>T</h1><p>body of the text</p>"
-    config = '{"mode": "paragraph", "filters": {"min_words": 1}}'
-    assert sql(f"SELECT chunk_id, text, h1 FROM html_extract('{page}', '{config}')") == [
+    assert sql(f"SELECT e.chunk_id, e.text, e.h1 FROM (SELECT html_paragraphs('{page}', 1) AS rows), LATERAL inline(rows) AS e") == [
         (0, "body of the text", "T")
     ]
-    assert sql(f"SELECT position, element_type FROM html_extract('{page}', 'raw')") == [(0, "h1")]
-    assert "expects HTML content" in sql("SELECT error FROM html_extract('s3://b/k')")[0][0]
+    assert sql(f"SELECT html_raw('{page}')[0].element_type, html_chunks('{page}')") == [("h1", [])]
+    for name in ("html_raw", "html_paragraphs", "html_chunks"):
+        assert "expects HTML content" in sql(f"SELECT {name}('s3://b/k')[0].error")[0][0]
+        assert sql(f"SELECT {name}(NULL)") == [(None,)]
 
 
-@pytest.mark.parametrize("config", ["raw", "paragraph", '{"min_words": 0, "max_words": 30}'])
-def test_html_over_a_table_agrees_with_the_operator(spark, sql, config):
+@pytest.mark.parametrize("function, config", [
+    ("html_raw(html)", "raw"), ("html_paragraphs(html)", "paragraph"), ("html_chunks(html, 0, 30)", '{"min_words": 0, "max_words": 30}'),
+])
+def test_html_over_a_table_agrees_with_the_operator(spark, sql, function, config):
     frame = extract_html(spark.table("pages"), "html", ["page_id"], config)
-    rows = sql(f"SELECT page_id, e.* FROM pages, LATERAL html_extract(html, '{config}') AS e")
-    assert sorted(rows) == sorted(tuple(r) for r in frame.collect())
+    text = f"SELECT page_id, e.* FROM (SELECT page_id, {function} AS rows FROM pages), LATERAL inline(rows) AS e"
+    assert sorted(sql(text)) == sorted(tuple(r) for r in frame.collect())
+    plan = spark.sql(text)._jdf.queryExecution().executedPlan().toString()
+    assert "UDTF" not in plan and "Exchange" not in plan and plan.count("ArrowEvalPython") <= 2
 
 
 def test_http(sql):
