@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.bytewords import Words, buffers, words
-from corpusloom.llm.common import release, slices, texts_of
+from corpusloom.llm.common import LARGE_JOIN, release, slices, texts_of
 
 VOCABULARY = 1024
 PRIOR = 50.0
@@ -123,7 +123,8 @@ def language_models(df: DataFrame, targets: DataFrame, vocabulary: int = VOCABUL
     sent = spark.sparkContext.broadcast(known)
     chosen = targets.select(F.col("doc_id").cast("long").alias("target_id")).where("target_id IS NOT NULL").distinct()
     rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), text)
-    rows = rows.join(chosen, F.col("doc_id") == F.col("target_id"), "left").select("text", F.col("target_id").isNotNull().alias("target"))
+    # the same plan at every size: the ids are hashed, the texts need no sort
+    rows = rows.join(chosen.hint(LARGE_JOIN), F.col("doc_id") == F.col("target_id"), "left").select("text", F.col("target_id").isNotNull().alias("target"))
     cells = rows.mapInArrow(_bigrams(sent), "cell long, n long, n_target long").groupBy("cell").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
     summed = cells.toArrow()
     release(spark)
