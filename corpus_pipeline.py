@@ -8,12 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import LARGE_JOIN, drop_folders, saved
+from corpusloom.llm.common import LARGE_JOIN
 from corpusloom.llm.decontamination import decontaminate
 from corpusloom.llm.language_id import UNKNOWN, held_out, identify, train_languages
 from corpusloom.llm.near_dedup import near_duplicates
 from corpusloom.llm.packing import pack_documents
 from corpusloom.llm.suffix_dedup import remove_repeats
+from corpusloom.session import pinned, scratch
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,12 +66,13 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order over ``documents``; each reads what the one before wrote."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    folder = None
+    """All stages in order over ``documents``; each reads what the one before wrote.
+
+    What a stage writes for itself is dropped once its result is written, and that when the next one is.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs, written = saved(stage(spark, docs, sf_dir), name.replace(" ", "-"))
-        if folder:
-            drop_folders(spark, folder)
-        folder = written
+        with scratch(spark) as keep:
+            before = docs = pinned(stage(spark, docs, sf_dir), name.replace(" ", "-"), source=before)
+            keep(docs)
     return STAGES[-1][1](spark, docs, sf_dir)
