@@ -115,11 +115,14 @@ def pinned(df: DataFrame, label: str, source: DataFrame | None = None) -> DataFr
 _pinned_at: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
+SPREAD_KEY = "corpusloom.spread"
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """One part per core for a table that Spark reads in fewer parts than there are cores.
+    """``df`` dealt anew to as many parts as the session's ``corpusloom.spread`` says, else as it is.
 
-    For costly row functions over a file with few row groups. A table with as many parts as
-    cores, so any large one, passes unchanged and is not shuffled.
+    For costly row functions over a file with fewer row groups than there are cores. Nothing is
+    decided by size: a large table is read in enough parts, and the setting is left out.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    parts = df.sparkSession.conf.get(SPREAD_KEY, None)
+    return df.repartition(int(parts)) if parts else df

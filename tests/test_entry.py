@@ -73,8 +73,11 @@ def test_scratch_keeps_what_it_is_told(spark):
         kept.collect()
 
 
-def test_spread_leaves_large_tables_alone(spark):
-    many = spark.range(0, 100, numPartitions=50)
-    assert spread(many) is many
+def test_spread_is_asked_for(spark):
     few = spark.range(0, 100, numPartitions=1)
-    assert spread(few).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert spread(few) is few
+    spark.conf.set("corpusloom.spread", "3")
+    try:
+        assert spread(few).rdd.getNumPartitions() == 3
+    finally:
+        spark.conf.unset("corpusloom.spread")
