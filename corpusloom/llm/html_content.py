@@ -43,6 +43,8 @@ OTHER_WORDS = frozenset(
     "promoted promotion related replies respond search share sharing sidebar signup skyscraper social sponsor sponsored subscribe "
     "subscription teaser toolbar widget widgets".split()
 )
+# a class that begins so states how the page is laid out, not what the element is
+LAYOUT_STARTS = frozenset("has no with without is not js supports show hide".split())
 HEADER_NAMES = frozenset(("header", "site-header", "page-header", "main-header", "top-header", "global-header"))
 
 _SPLIT = re.compile(r"[^a-z0-9]+")
@@ -94,7 +96,8 @@ class LineParser(HTMLParser):
             if name == "style" and "display:none" in value.replace(" ", ""):
                 return True
             if name in ("class", "id") and tag not in ("html", "body", "main"):
-                words = _SPLIT.split(value)
+                split = (_SPLIT.split(v) for v in value.split())
+                words = [w for own in split if own[0] not in LAYOUT_STARTS for w in own]
                 if tag == "article":
                     words = [w for w in words if w in ("comment", "teaser", "ad", "advert", "sponsored")]
                 if not OTHER_WORDS.isdisjoint(words) or not inside and not HEADER_NAMES.isdisjoint(value.split()):

@@ -306,7 +306,7 @@ def test_main_text(spark, sf_dir):
 def test_main_text_without_article():
     page = """<html><head><title>T</title></head><body class="has-sidebar"><header><h1>Site</h1></header>
     <div class="cookie-notice">We use cookies, accept them please, all of you, today.</div><div id="menu"><a href=x>A</a></div>
-    <div class="content"><h2>Title &amp; more</h2><p>First paragraph, long enough to be content, yes it is long enough.<p>Second   one with
+    <div class="content has-sidebar"><h2>Title &amp; more</h2><p>First paragraph, long enough to be content, yes it is long enough.<p>Second   one with
     <a href=y>a link</a> and <b>bold</b> text, and quite long too.<div class="share">Share this</div><blockquote>A quote that
     belongs to it, and is also long.</blockquote><p>Short.</div><aside>Side text that is rather long and not part of it at all.</aside>
     <section class="comments"><p>I like this, says a reader, and goes on for a while.</section><form><p>Sign up</form><footer>f</footer></body></html>"""
