@@ -51,11 +51,12 @@ _SPLIT = re.compile(r"[^a-z0-9]+")
 
 
 class _Line:
-    __slots__ = ("text", "ratio", "linked", "path")
+    __slots__ = ("text", "ratio", "links", "path", "heading")
 
-    def __init__(self, text: str, tags: int, linked: int, path: tuple[int, ...]) -> None:
-        self.text, self.linked, self.path = text, linked, path
+    def __init__(self, text: str, tags: int, linked: int, path: tuple[int, ...], heading: bool) -> None:
+        self.text, self.path, self.heading = text, path, heading
         self.ratio = len(text) / max(1, tags)
+        self.links = 2 * linked > len(text)  # mostly links
 
 
 class LineParser(HTMLParser):
@@ -70,16 +71,17 @@ class LineParser(HTMLParser):
         self._path: list[int] = [0]
         self._skip: int | None = None  # open elements before the one that is left out
         self._parts: list[str] = []
-        self._tags = self._linked = 0
-        self._link = False
+        self._tags = self._linked = self._headings = 0
+        self._link = self._heading = False
 
     def _flush(self) -> None:
         if self._parts:
             text = " ".join("".join(self._parts).split())
             if text:
-                self.lines.append(_Line(text, self._tags, self._linked, tuple(self._path)))
+                self.lines.append(_Line(text, self._tags, self._linked, tuple(self._path), self._heading))
                 self._tags = self._linked = 0
             self._parts = []
+        self._heading = False
 
     def _other(self, tag: str, attributes: list[tuple[str, str | None]]) -> bool:
         if tag in LEFT_OUT:
@@ -109,6 +111,7 @@ class LineParser(HTMLParser):
         while len(self._open) > keep:
             tag, container = self._open.pop()
             self._count[tag] -= 1
+            self._headings -= tag in HEADINGS
             if container is not None:
                 self._path.pop()
         if self._skip is not None and len(self._open) <= self._skip:
@@ -123,6 +126,8 @@ class LineParser(HTMLParser):
                 self._link = True
         if tag in VOID:
             return
+        if tag in ("article", "main") and self._skip is not None and self._open[self._skip][0] in ("nav", "header", "menu"):
+            self._close(self._skip)  # it was never closed
         other = self._skip is None and (bool(attrs) or tag in LEFT_OUT or tag == "header") and self._other(tag, attrs)
         if tag in INLINE and not other:
             if self._skip is not None and self._open and self._open[-1][0] == tag and len(self._open) == self._skip + 1:
@@ -148,6 +153,7 @@ class LineParser(HTMLParser):
             self._path.append(number)
         self._open.append((tag, number))
         self._count[tag] += 1
+        self._headings += tag in HEADINGS
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)  # as browsers do, the slash is passed over
@@ -171,9 +177,10 @@ class LineParser(HTMLParser):
     def handle_data(self, data: str) -> None:
         if self._skip is None:
             # a header inside an article keeps its headings
-            if self._count["header"] and not any(self._count[h] for h in HEADINGS):
+            if self._count["header"] and not self._headings:
                 return
             self._parts.append(data)
+            self._heading = self._heading or self._headings > 0
             if self._link:
                 self._linked += len(data)
 
@@ -200,24 +207,25 @@ def main_text(html: str) -> str:
     if not lines:
         return ""
     level = smoothed(np.array([x.ratio for x in lines]))
-    content = [bool(a) and 2 * x.linked <= len(x.text) for a, x in zip(level > level.std(), lines, strict=True)]
-    if not any(content):
-        content = [2 * x.linked <= len(x.text) for x in lines]
+    content = [x for x, a in zip(lines, level > level.std(), strict=True) if a and not x.links]
+    content = content or [x for x in lines if not x.links]
     held: Counter[int] = Counter()
-    for line, own in zip(lines, content, strict=True):
-        if own:
-            for container in line.path:
-                held[container] += len(line.text)
+    for line in content:
+        for container in line.path:
+            held[container] += len(line.text)
     if not held:
         return ""
     # articles side by side are one region: the container around them is found by its share
     region = max((c for c in held if held[c] >= SHARE * held[0]), key=lambda c: (parser.names[c] in ("article", "main"), c))
-    inside = [region in x.path for x in lines]
     if parser.names[region] in ("article", "main"):
-        return "\n".join(x.text for x, own in zip(lines, inside, strict=True) if own)
-    # elsewhere a part without any content line, or made of links, is not content
-    filled = {x.path[-1] for x, own in zip(lines, content, strict=True) if own} | {region}
-    return "\n".join(x.text for x, own in zip(lines, inside, strict=True) if own and x.path[-1] in filled and 2 * x.linked <= len(x.text))
+        return "\n".join(x.text for x in lines if region in x.path)
+    # elsewhere a region grows by what holds nothing more than its heading, and parts made of links,
+    # or without any content line or heading, are not content
+    path = next(x.path for x in content if region in x.path)
+    while (at := path.index(region)) > 0 and all(x.heading or x.links or region in x.path for x in lines if path[at - 1] in x.path):
+        region = path[at - 1]
+    filled = {x.path[-1] for x in content} | {region}
+    return "\n".join(x.text for x in lines if region in x.path and not x.links and (x.heading or x.path[-1] in filled))
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

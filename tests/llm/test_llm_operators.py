@@ -316,6 +316,19 @@ def test_main_text_without_article():
     assert html_content.main_text("<script>bad(") == "" and html_content.main_text("<p>a<p>b") == "a\nb"
 
 
+@pytest.mark.parametrize(
+    "page, wanted",
+    [
+        ("<body><div id=main><div class=post><h2>T</h2><div><p>Body text that is long enough here.</p><ul><li>one</li></ul></div></div></div>", "T\nBody text that is long enough here.\none"),
+        ("<body><nav><a>m</a><article><h1>T</h1><p>One &mdash; long &amp; fine.<p>Two<br>after", "T\nOne — long & fine.\nTwo after"),
+        ("<body><ul><li><a href=1>Home</a></li></ul><h1>T</h1><p>Long enough text begins here.</p><p>Tiny.</p><p><a>Terms</a></p>", "T\nLong enough text begins here.\nTiny."),
+        ("<main><article><p>Story that is long enough.</p></article><article class=comment><p>What a reader says about it.</p></article></main>", "Story that is long enough."),
+    ],
+)
+def test_main_text_of_other_pages(page, wanted):
+    assert html_content.main_text(page) == wanted
+
+
 def test_fingerprints(spark, documents, sf_dir):
     rows = {r.doc_id: r for r in queries.op9_fingerprints(spark, sf_dir).collect()}
     ids = sorted(documents)
