@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from corpusloom.llm.bytewords import buffers
 from corpusloom.llm.common import slices, texts_of
 
-SAMPLE_ROWS = 2048
+SAMPLE_ROWS = 1024
 FEATURES = 1 << 14
 UNKNOWN = "und"
 
@@ -85,23 +85,24 @@ def grams(texts: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
     return out.ravel(), np.searchsorted(at, offsets) * 3
 
 
-def train_machine(left: str, right: str, x: np.ndarray, side: np.ndarray, rounds: int = 12, cost: float = 10.0) -> Machine:
-    """Dual coordinate descent for the squared hinge loss; ``side`` is 1 for left and -1 for right."""
-    weights, alpha = np.zeros(x.shape[1], np.float32), np.zeros(len(x))
-    diagonal = (x.astype(np.float64) ** 2).sum(axis=1) + 0.5 / cost
+def train_machine(left: str, right: str, x: np.ndarray, rows: np.ndarray, side: np.ndarray, rounds: int = 12, cost: float = 10.0) -> Machine:
+    """Dual coordinate descent for the squared hinge loss on some rows of ``x``; ``side`` is 1 for left and -1 for right."""
+    weights, alpha = np.zeros(x.shape[1], np.float32), np.zeros(len(rows))
+    diagonal = np.einsum("ij,ij->i", x, x)[rows] + 0.5 / cost
     order = np.random.default_rng(7)
     for _ in range(rounds):
         moved = 0.0
-        for i in order.permutation(len(x)):
-            slope = side[i] * (x[i] @ weights) - 1 + 0.5 / cost * alpha[i]
+        for i in order.permutation(len(rows)):
+            own = x[rows[i]]
+            slope = side[i] * (own @ weights) - 1 + 0.5 / cost * alpha[i]
             after = max(alpha[i] - slope / diagonal[i], 0.0)
             if after != alpha[i]:
-                weights += np.float32((after - alpha[i]) * side[i]) * x[i]
+                weights += np.float32((after - alpha[i]) * side[i]) * own
                 moved = max(moved, abs(after - alpha[i]))
                 alpha[i] = after
         if moved < 1e-3:
             break
-    margin, slope, shift = x @ weights, 4.0, 0.0
+    margin, slope, shift = (x @ weights)[rows].astype(np.float64), 4.0, 0.0
     wanted = (side > 0).astype(float)
     for _ in range(30):  # Newton steps of a damped logistic fit
         p = 1 / (1 + np.exp(-np.clip(slope * margin + shift, -30, 30)))
@@ -132,24 +133,25 @@ def train_languages(df: DataFrame, sample_rows: int = SAMPLE_ROWS, families: dic
     ranked = known.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= max(1, sample_rows // languages))
     chosen = [r.hash for r in ranked.select("hash").collect()]
     texts = rows.where(F.col("hash").isin(chosen)).groupBy("lang", "hash").agg(F.first("text").alias("text"))
-    found = texts.mapInArrow(_sampled_counts, "lang string, hash long, feature array<int>, n array<int>").collect()
-    found.sort(key=lambda r: (r.lang, r.hash))
-    found = [r for r in found if r.feature]
-    x = np.zeros((len(found), FEATURES), np.float32)
-    for k, r in enumerate(found):
-        x[k, r.feature] = r.n
-        x[k] /= sum(r.n)
+    found = texts.mapInArrow(_sampled_counts, "lang string, hash long, feature array<int>, n array<int>").toArrow()
+    found = found.sort_by([("lang", "ascending"), ("hash", "ascending")]).combine_chunks()
+    found = found.filter(pc.greater(pc.list_value_length(found.column("feature")), 0))
+    lang = np.array(found.column("lang").to_pylist(), dtype=object)
+    x = np.zeros((len(lang), FEATURES), np.float32)
+    for k in range(len(lang)):
+        counts = found.column("n")[k].values.to_numpy()
+        x[k, found.column("feature")[k].values.to_numpy()] = counts / counts.sum()
     # shares of runs are small numbers: bring them to length one on average, and the weights back below
-    scale = np.float32(1 / max(1e-9, float(np.sqrt((x**2).sum(axis=1)).mean()))) if len(x) else np.float32(1)
-    lang = np.array([r.lang for r in found], dtype=object)
-    family = np.array([family_of.get(r.lang, r.lang) for r in found], dtype=object)
+    scale = np.float32(1 / max(1e-9, float(np.sqrt(np.einsum("ij,ij->i", x, x)).mean()))) if len(x) else np.float32(1)
+    x *= scale
+    family = np.array([family_of.get(name, name) for name in lang], dtype=object)
     names = {f: sorted(set(lang[family == f])) for f in sorted(set(family))}
 
     def machines(label: np.ndarray, values: list[str]) -> list[Machine]:
         out = []
         for a, b in combinations(values, 2):
-            own = (label == a) | (label == b)
-            trained = train_machine(a, b, x[own] * scale, np.where(label[own] == a, 1.0, -1.0))
+            own = np.flatnonzero((label == a) | (label == b))
+            trained = train_machine(a, b, x, own, np.where(label[own] == a, 1.0, -1.0))
             out.append(trained._replace(weights=trained.weights * scale))
         return out
 
