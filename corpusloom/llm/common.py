@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from corpusloom.operators.batches import dense_positions
 from corpusloom.session import drop_folders, new_folder, scratch  # noqa: F401 - part of this module's surface
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 LARGE_JOIN = "shuffle_hash"
 
 
