@@ -107,11 +107,20 @@ class InFlight:
     def map(self, call: Callable, items: Iterator | list, claims: bool = False) -> Iterator:
         """The results of ``call(item)``, or ``call(item, claim)``, in the order of the items."""
         running: deque = deque()
+        if not claims:
+            for item in items:
+                running.append(self._pool.submit(call, item))
+                if len(running) >= 2 * self._calls:
+                    yield running.popleft().result()
+            while running:
+                yield running.popleft().result()
+            return
         first = self._oldest
         for count, item in enumerate(items):
             number = first + count
-            extra = (lambda size, number=number: self._claim(number, size),) if claims else ()
-            running.append(self._pool.submit(call, item, *extra))
+            running.append(
+                self._pool.submit(call, item, lambda size, number=number: self._claim(number, size))
+            )
             if len(running) >= self._calls:
                 yield self._take(running)
         while running:

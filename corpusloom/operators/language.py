@@ -169,18 +169,23 @@ class _Profiles:
         return self.languages[order[0]], confidence, confidence > RELIABLE_ABOVE
 
 
-def _profile_rows(profiles: DataFrame) -> list[tuple[str, str, int]]:
+def _profile_rows(profiles: DataFrame) -> list[tuple[str, str, int]] | None:
+    """The rows of the profiles, or None if they are too many to travel."""
     rows = profiles.select("lang", "trigram", "rank").limit(MAX_PROFILE_ROWS + 1).collect()
-    if len(rows) > MAX_PROFILE_ROWS:
-        raise ValueError(
-            f"language profiles exceed {MAX_PROFILE_ROWS} rows; detect_language joins larger ones"
-        )
-    return [tuple(row) for row in rows]
+    return None if len(rows) > MAX_PROFILE_ROWS else [tuple(row) for row in rows]
 
 
 def language_judge(profiles: DataFrame):
     """The Arrow function behind :func:`language_of`, for texts of letters and single spaces."""
     rows = _profile_rows(profiles)
+    if rows is None:
+        raise ValueError(
+            f"language profiles exceed {MAX_PROFILE_ROWS} rows; detect_language joins larger ones"
+        )
+    return _judge(rows)
+
+
+def _judge(rows: list[tuple[str, str, int]]):
 
     @F.arrow_udf(RESULT)
     def detect(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -213,9 +218,10 @@ def detect_language(df: DataFrame, text_col: str, profiles: DataFrame) -> DataFr
 
     Profiles of up to 500 languages travel to the rows; larger ones are joined on the trigram.
     """
-    if profiles.limit(MAX_PROFILE_ROWS + 1).count() > MAX_PROFILE_ROWS:
+    rows = _profile_rows(profiles)
+    if rows is None:
         return _detect_by_join(df, text_col, profiles)
-    judged = df.withColumn("__language", language_of(F.col(f"`{text_col}`"), profiles))
+    judged = df.withColumn("__language", _judge(rows)(letters_only(F.col(f"`{text_col}`"))))
     return judged.select(
         *[F.col(f"`{c}`") for c in df.columns],
         F.col("__language.lang").alias("detected_lang"),
