@@ -1,12 +1,18 @@
 """Scores by cross-entropy difference between a target and a background language model.
 
-Both are bigram models over one vocabulary: the ``vocabulary`` most frequent words of the whole
-corpus, and 64 classes by length and kind of letters for all other words. The background counts every
-document, the target those named as target. Both are smoothed alike: a bigram's count is filled up
-with ``prior`` draws from the model's own unigrams, and these with one draw of each word.
+Both are bigram models over all words of the corpus. The background counts every document, the target
+those named as target. Both are smoothed alike: a bigram's count is filled up with ``prior`` draws
+from the model's own unigrams, and these with one draw of each word of the corpus and ``CLASSES`` for
+words that it lacks.
 
 A document's score is the mean over its tokens of the target model's loss minus the background's: the
 lower, the more it resembles the target.
+
+No table of all words or bigrams is gathered. The most frequent words, few at every size, are sent to
+the tasks, and so are the counts of bigrams of two such words; they would else be hot keys. Every
+other token moves to the bucket of its word, with its neighbours: there the counts of the word, and
+of the bigrams that it ends or that lead from it to a frequent word, are complete, and each document
+gets its sum of losses back. How the work is divided so changes no score.
 """
 
 from __future__ import annotations
@@ -20,12 +26,41 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.bytewords import Words, buffers, words
-from corpusloom.llm.common import LARGE_JOIN, release, slices, texts_of
+from corpusloom.llm.common import LARGE_JOIN, drop_folders, keyed, release, saved, slices, texts_of
 
-VOCABULARY = 1024
+VOCABULARY = None  # every word of the corpus
 PRIOR = 50.0
 CLASSES = 64
-START = 0  # stands before the first word of a document
+FREQUENT = 1024  # words whose bigrams are counted in the tasks
+BUCKET_TOKENS = 1 << 19
+SLICE_BYTES = 16 << 20
+START, OTHER, FIRST = 0, 1, 2  # what stands before a document's first word, a word not frequent, the first that is
+UNIT = float(1 << 28)  # losses are summed as integers, in any order alike
+
+_PACKED = "bucket long, distinct binary, word binary, before binary, before_word binary, after binary, rid binary, size binary, target binary"
+
+
+def _small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The texts compressed, for the way through a shuffle."""
+    for batch in batches:
+        for part in slices(batch, "text"):
+            small = [pa.compress((x or "").encode(), "zstd", asbytes=True) for x in part.column("text").to_pylist()]
+            sizes = pa.array(np.diff(buffers(texts_of(part.column("text")))[1]))
+            yield pa.record_batch([part.column("rid"), part.column("doc_id"), sizes, pa.array(small, pa.binary())], names=["rid", "doc_id", "n_bytes", "small"])
+
+
+def _parts(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[pa.RecordBatch, pa.LargeStringArray]]:
+    """Runs of rows whose texts have at most ``limit`` bytes together, one row at least, and the texts."""
+    for batch in batches:
+        sizes = batch.column("n_bytes").to_pylist()
+        start = total = 0
+        for stop in range(1, len(sizes) + 1):
+            total += sizes[stop - 1]
+            if stop == len(sizes) or total + sizes[stop] > limit:
+                part = batch.slice(start, stop - start)
+                texts = [pa.decompress(x, n, "zstd", asbytes=True) if n else b"" for x, n in zip(part.column("small").to_pylist(), sizes[start:stop], strict=True)]
+                yield part, pa.array(texts, pa.large_binary()).cast(pa.large_string())
+                start, total = stop, 0
 
 
 def word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -36,18 +71,14 @@ def word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([pa.array(word.view(np.int64)), pa.array(count.astype(np.int64))], names=["word", "n"])
 
 
-def token_ids(texts: pa.LargeStringArray, vocabulary: np.ndarray) -> tuple[np.ndarray, Words]:
-    """The model's token of each word: 1 to 64 for the classes, then the (sorted) vocabulary."""
+def token_ids(texts: pa.LargeStringArray, frequent: np.ndarray) -> tuple[np.ndarray, Words]:
+    """The number of each word: from FIRST on the (sorted) frequent words, else OTHER."""
     found = words(texts)
-    raw, _ = buffers(texts)
-    letter = ((raw | 32) >= 97) & ((raw | 32) <= 122) | (raw >= 128)
-    other = np.concatenate(([0], np.cumsum(~letter, dtype=np.int64)))
-    size = np.minimum(found.ends - found.starts, CLASSES // 2) - 1
-    token = 1 + size + (CLASSES // 2) * (other[found.ends] > other[found.starts])
-    if len(vocabulary):
-        at = np.minimum(np.searchsorted(vocabulary, found.hashes), len(vocabulary) - 1)
-        known = vocabulary[at] == found.hashes
-        token[known] = 1 + CLASSES + at[known]
+    token = np.full(len(found.hashes), OTHER, np.int64)
+    if len(frequent):
+        at = np.minimum(np.searchsorted(frequent, found.hashes), len(frequent) - 1)
+        known = frequent[at] == found.hashes
+        token[known] = FIRST + at[known]
     return token, found
 
 
@@ -62,15 +93,14 @@ def _bigrams(sent: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
     """The bigram counts of a whole task, of all documents and of the target's."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        width = 1 + CLASSES + len(sent.value)
+        width = FIRST + len(sent.value)
         every, target = np.zeros(width * width, np.int64), np.zeros(width * width, np.int64)
-        for batch in batches:
-            for part in slices(batch, "text"):
-                token, found = token_ids(texts_of(part.column("text")), sent.value)
-                cells = cells_of(token, found.first, width)
-                chosen = np.repeat(part.column("target").to_numpy(zero_copy_only=False).astype(bool), np.diff(found.first))
-                every += np.bincount(cells, minlength=width * width)
-                target += np.bincount(cells[chosen], minlength=width * width)
+        for part, texts in _parts(batches, SLICE_BYTES):
+            token, found = token_ids(texts, sent.value)
+            cells = cells_of(token, found.first, width)
+            chosen = np.repeat(part.column("target").to_numpy(zero_copy_only=False).astype(bool), np.diff(found.first))
+            every += np.bincount(cells, minlength=width * width)
+            target += np.bincount(cells[chosen], minlength=width * width)
         cell = np.flatnonzero(every)
         for start in range(0, len(cell), 1 << 16):
             c = cell[start : start + (1 << 16)]
@@ -79,76 +109,153 @@ def _bigrams(sent: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
     return run
 
 
-def losses(counts: np.ndarray, prior: float) -> np.ndarray:
-    """The loss in nats of each bigram of a table of counts (word before, word)."""
-    single = counts.sum(axis=0) + 1.0
-    single[START] = 0
-    single /= single.sum()
-    out = (counts + prior * single) / (counts.sum(axis=1, keepdims=True) + prior)
-    out[:, START] = 1
-    return -np.log(out).astype(np.float32)
+def _units(losses: np.ndarray) -> np.ndarray:
+    return np.rint(losses * UNIT).astype(np.int64)
+
 
+def shares(counts: np.ndarray, distinct: int) -> tuple[np.ndarray, float]:
+    """How often each frequent word occurs, and the draws of all words, by a table of counts (word before, word)."""
+    return counts.sum(axis=0), float(counts.sum() + distinct + CLASSES)
+
+
+def frequent_losses(counts: np.ndarray, distinct: int, prior: float) -> np.ndarray:
+    """What each bigram of the table adds to a document's loss, as far as the frequent words tell."""
+    single, draws = shares(counts, distinct)
+    out = -np.log(counts + prior * (single + 1) / draws)
+    out[:, [START, OTHER]] = 0
+    out += np.log(counts.sum(axis=1, keepdims=True) + prior)
+    out[OTHER] = 0
+    return out
+
+
+def _frequent(sent: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The tokens of each document and what its frequent words add to its losses."""
 
-def _scores(sent: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, target, background = sent.value
-        width = 1 + CLASSES + len(vocabulary)
+        frequent, *tables = sent.value
         for batch in batches:
             for part in slices(batch, "text"):
-                token, found = token_ids(texts_of(part.column("text")), vocabulary)
-                cells = cells_of(token, found.first, width)
-                many = np.diff(found.first)
-                mean = []
-                for table in (target, background):
-                    sums = np.concatenate(([0.0], np.cumsum(table[cells], dtype=np.float64)))
-                    mean.append((sums[found.first[1:]] - sums[found.first[:-1]]) / np.maximum(many, 1))
-                empty = many == 0
-                columns = [part.column("doc_id"), pa.array(many)] + [pa.array(x, mask=empty) for x in (*mean, mean[0] - mean[1])]
-                yield pa.record_batch(columns, names=["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
+                token, found = token_ids(texts_of(part.column("text")), frequent)
+                cells = cells_of(token, found.first, FIRST + len(frequent))
+                sums = []
+                for table in tables:
+                    total = np.concatenate((np.zeros(1, np.int64), np.cumsum(table[cells])))
+                    sums.append(pa.array(total[found.first[1:]] - total[found.first[:-1]]))
+                yield pa.record_batch([part.column("rid"), part.column("doc_id"), pa.array(np.diff(found.first)), *sums], names=["rid", "doc_id", "n", "t", "b"])
 
     return run
 
 
-def language_models(df: DataFrame, targets: DataFrame, vocabulary: int = VOCABULARY, prior: float = PRIOR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The vocabulary (hashes of words, in order) and the losses of the target and the background model.
+def _dealt(sent: Broadcast, buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The tokens that are not frequent, packed for each bucket of words, in the order of the documents."""
 
-    All three are bounded by ``vocabulary``; the counts behind them are summed by Spark over all rows.
-    """
-    spark = df.sparkSession
-    text = F.col("text").cast("string").alias("text")
-    counted = df.select(text).mapInArrow(word_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counted.orderBy(F.desc("n"), "word").limit(vocabulary).collect()
-    known = np.sort(np.array([r.word for r in top], np.int64).view(np.uint64))
-    release(spark)
-    sent = spark.sparkContext.broadcast(known)
-    chosen = targets.select(F.col("doc_id").cast("long").alias("target_id")).where("target_id IS NOT NULL").distinct()
-    rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), text)
-    # the same plan at every size: the ids are hashed, the texts need no sort
-    rows = rows.join(chosen.hint(LARGE_JOIN), F.col("doc_id") == F.col("target_id"), "left").select("text", F.col("target_id").isNotNull().alias("target"))
-    cells = rows.mapInArrow(_bigrams(sent), "cell long, n long, n_target long").groupBy("cell").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
-    summed = cells.toArrow()
-    release(spark)
-    width = 1 + CLASSES + len(known)
-    tables = []
-    for name in ("n_target", "n"):
-        counts = np.zeros(width * width, np.float64)
-        counts[summed.column("cell").to_numpy()] = summed.column(name).to_numpy()
-        tables.append(losses(counts.reshape(width, width), prior).ravel())
-    return known, tables[0], tables[1]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in _parts(batches, SLICE_BYTES):
+            token, found = token_ids(texts, sent.value)
+            at = np.flatnonzero(token == OTHER)
+            if not len(at):
+                continue
+            bucket = ((found.hashes[at] >> np.uint64(16)) % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            at, bucket = at[order], bucket[order]
+            begins = np.zeros(len(token) + 1, bool)
+            begins[found.first] = True
+            before = np.where(begins[at], START, token[at - 1]).astype(np.uint16)
+            after = np.where(begins[at + 1], START, token[np.minimum(at + 1, len(token) - 1)]).astype(np.uint16)
+            row = np.searchsorted(found.first, at, side="right") - 1
+            rid = part.column("rid").to_numpy()
+            target = part.column("target").to_numpy(zero_copy_only=False).astype(np.uint8)
+            borders = np.flatnonzero(np.diff(bucket, prepend=-1, append=buckets))
+            packed: list[list] = [[] for _ in range(9)]
+            for low, high in zip(borders[:-1].tolist(), borders[1:].tolist(), strict=True):
+                own, prior = at[low:high], before[low:high]
+                docs = np.flatnonzero(np.diff(row[low:high], prepend=-1))
+                which = row[low:high][docs]
+                distinct, index = np.unique(found.hashes[own], return_inverse=True)
+                arrays = (distinct, index.astype(np.uint32), prior, found.hashes[own[prior == OTHER] - 1], after[low:high], rid[which])
+                values = [x.tobytes() for x in (*arrays, np.diff(docs, append=high - low).astype(np.int32), target[which])]
+                for column, value in zip(packed, [int(bucket[low]), *values], strict=True):
+                    column.append(value)
+            yield pa.record_batch([pa.array(packed[0], pa.int64()), *(pa.array(x, pa.binary()) for x in packed[1:])], names=[x.split()[0] for x in _PACKED.split(", ")])
+
+    return run
+
+
+def _bucket_sums(sent: Broadcast, prior: float) -> Callable[[pa.Table], pa.Table]:
+    """What the words of a bucket add to the losses of each document."""
+
+    def run(table: pa.Table) -> pa.Table:
+        def column(name: str, kind: type) -> np.ndarray:
+            return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
+
+        many = [len(x) // 8 for x in table.column("distinct").to_pylist()]
+        runs = [len(x) // 4 for x in table.column("word").to_pylist()]
+        word = column("distinct", np.uint64)[column("word", np.uint32) + np.repeat(np.cumsum([0, *many[:-1]]), runs)]
+        before, after, size = column("before", np.uint16), column("after", np.uint16), column("size", np.int32)
+        target, rid = np.repeat(column("target", np.uint8).astype(bool), size), np.repeat(column("rid", np.int64), size)
+        key = before.astype(np.uint64)
+        key[before == OTHER] = column("before_word", np.uint64)
+        word = np.unique(word, return_inverse=True)[1]
+        key = np.unique(key, return_inverse=True)[1]
+        pair = np.unique(word * (int(key.max()) + 1) + key, return_inverse=True)[1]
+        goes, leads = after != START, after >= FIRST
+        onward = np.unique(word[leads] * (1 << 16) + after[leads], return_inverse=True)[1]
+        rids, doc = np.unique(rid, return_inverse=True)
+        sums = []
+        for chosen, (single, draws) in zip((target, np.ones(len(word), bool)), sent.value, strict=True):
+            count = lambda of, mask, all_of: np.bincount(of[mask], minlength=len(all_of))[all_of]
+            loss = _units(-np.log(count(pair, chosen, pair) + prior * (count(word, chosen, word) + 1) / draws))
+            loss[goes] += _units(np.log(count(word, chosen & goes, word) + prior))[goes]
+            loss[leads] += _units(-np.log(count(onward, chosen[leads], onward) + prior * (single[after[leads]] + 1) / draws))
+            order = np.argsort(doc, kind="stable")
+            sums.append(np.add.reduceat(loss[order], np.flatnonzero(np.diff(doc[order], prepend=-1))))
+        return pa.table([pa.array(rids), *map(pa.array, sums)], names=["rid", "t", "b"])
+
+    return run
 
 
-def score_documents(df: DataFrame, targets: DataFrame, vocabulary: int = VOCABULARY, prior: float = PRIOR) -> DataFrame:
+def score_documents(df: DataFrame, targets: DataFrame, prior: float = PRIOR) -> DataFrame:
     """Score every whole text of (doc_id, text) with models of all of them and of those in ``targets`` (doc_id).
 
     Returns doc_id, n_tokens, target_loss and background_loss (nats a token) and score, their
     difference. A null or empty text has no tokens and null losses and score. Ids in ``targets`` that
     no document has, and repeated ones, change nothing; without any target document the target model
     is uniform. Each row is counted and scored, also where ids are missing or repeated. An empty table
-    gives no rows. Further columns are ignored. ``vocabulary`` is from 1 to 4096: the models go to
-    all executors, two tables of (vocabulary + 65) squared numbers.
+    gives no rows. Further columns are ignored. Every word counts as itself, however rare. Words are
+    told apart by 64-bit hashes.
     """
-    if not 1 <= vocabulary <= 4096 or prior <= 0:
-        raise ValueError("vocabulary must be from 1 to 4096 and prior positive")
-    sent = df.sparkSession.sparkContext.broadcast(language_models(df, targets, vocabulary, prior))
-    rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_scores(sent), "doc_id long, n_tokens long, target_loss double, background_loss double, score double")
+    if prior <= 0:
+        raise ValueError("prior must be positive")
+    spark = df.sparkSession
+    rows = keyed(df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), "text")
+    counted, folder = saved(rows.select("text").mapInArrow(word_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
+    distinct = counted.count()
+    top = counted.orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
+    drop_folders(spark, folder)
+    frequent = np.sort(np.array([r.word for r in top], np.int64).view(np.uint64))
+    release(spark)
+    sent = spark.sparkContext.broadcast(frequent)
+    chosen = targets.select(F.col("doc_id").cast("long").alias("target_id")).where("target_id IS NOT NULL").distinct()
+    # the same plan at every size: the ids are hashed, the texts need no sort
+    small = rows.select("rid", "doc_id", "text").mapInArrow(_small, "rid long, doc_id long, n_bytes long, small binary")
+    marked = small.join(chosen.hint(LARGE_JOIN), F.col("doc_id") == F.col("target_id"), "left").select("rid", "n_bytes", "small", F.col("target_id").isNotNull().alias("target"))
+    cells = marked.mapInArrow(_bigrams(sent), "cell long, n long, n_target long")
+    summed = cells.groupBy("cell").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target")).toArrow()
+    release(spark)
+    width = FIRST + len(frequent)
+    tables = []
+    for name in ("n_target", "n"):
+        counts = np.zeros(width * width)
+        counts[summed.column("cell").to_numpy()] = summed.column(name).to_numpy()
+        tables.append(counts.reshape(width, width))
+    buckets = 1 + int(tables[1][:, OTHER].sum()) // BUCKET_TOKENS
+    losses = spark.sparkContext.broadcast((frequent, *(_units(frequent_losses(x, distinct, prior)).ravel() for x in tables)))
+    known = spark.sparkContext.broadcast([shares(x, distinct) for x in tables])
+    common = rows.select("rid", "doc_id", "text").mapInArrow(_frequent(losses), "rid long, doc_id long, n long, t long, b long")
+    others = marked.mapInArrow(_dealt(sent, buckets), _PACKED).groupBy("bucket").applyInArrow(_bucket_sums(known, prior), "rid long, t long, b long")
+    added = common.unionByName(others, allowMissingColumns=True).groupBy("rid")
+    sums = added.agg(F.max("doc_id").alias("doc_id"), F.sum("n").alias("n"), F.sum("t").alias("t"), F.sum("b").alias("b"))
+    mean = lambda x: F.when(F.col("n") > 0, x / F.col("n") / F.lit(UNIT))
+    return sums.select(
+        "doc_id", F.col("n").alias("n_tokens"), mean(F.col("t")).alias("target_loss"), mean(F.col("b")).alias("background_loss"), mean(F.col("t") - F.col("b")).alias("score")
+    )
