@@ -3,14 +3,17 @@
 A mask looks at some of the words of a window and ignores the others, so that a substituted word at
 an ignored place does not break the match. The hashes of all masked windows of the test items are
 joined with those of every training document; around each hit the item is laid over the document and
-the longest stretch that agrees in enough words is taken. The two masks below meet every stretch of
-13 words with up to two substitutions (checked in the tests by trying all).
+the longest stretch that agrees in enough words is taken. The masks below meet every stretch of 13
+words or more of which four fifths agree: one of 26 words or more holds such a stretch of half its
+length, and the tests try all placements of substitutions in 13 to 25 words. An item that must agree
+as a whole is cut into two parts more than words may differ; each choice of two parts is a mask.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from functools import reduce
+from itertools import combinations
 from typing import NamedTuple
 
 import numpy as np
@@ -22,7 +25,7 @@ from pyspark.sql import functions as F
 from corpusloom.llm.bytewords import mix, words
 from corpusloom.llm.common import slices, texts_of
 
-MASKS = ("11001111", "11101011")
+MASKS = ("1101111", "11010001011", "1110001000101")
 MIN_WORDS = 13
 AGREE = 0.8
 BLOCK_BYTES = 8 << 20
@@ -40,6 +43,28 @@ def seeds(hashes: np.ndarray, mask: str, salt: int) -> np.ndarray:
     return mix(out + np.uint64(salt))
 
 
+def may_differ(n: int, agree: float) -> int:
+    """How many of ``n`` words may differ where ``agree`` of them must be equal."""
+    return int(n - np.ceil(round(agree * n, 9)))
+
+
+def stretch_masks(min_words: int, agree: float) -> tuple[str, ...]:
+    """Masks that meet every stretch of at least ``min_words`` words of which ``agree`` are equal."""
+    if min_words >= MIN_WORDS and agree >= AGREE:
+        return MASKS
+    # a longer stretch holds one of less than twice min_words; k differing words leave a run of so many
+    lengths = range(max(1, min_words), 2 * max(1, min_words))
+    return ("1" * min(64, *(-(-(n - k) // (k + 1)) for n, k in ((n, may_differ(n, agree)) for n in lengths)), 64),)
+
+
+def whole_masks(n: int, agree: float) -> list[str]:
+    """Masks of ``n`` words that meet any text of ``n`` words of which ``agree`` are equal."""
+    parts = min(may_differ(n, agree) + 2, n)
+    need = max(1, parts - may_differ(n, agree))  # parts that are left whole
+    border = [n * k // parts for k in range(parts + 1)]
+    return ["".join(("1" if k in chosen else "0") * (border[k + 1] - border[k]) for k in range(parts)) for chosen in combinations(range(parts), need)]
+
+
 class Items(NamedTuple):
     """Test items, and their seeds in order with the item and the place of each."""
 
@@ -51,23 +76,25 @@ class Items(NamedTuple):
     place: np.ndarray
 
 
-def items_of(ids: list, texts: list[str | None], masks: tuple[str, ...]) -> Items:
+def items_of(ids: list, texts: list[str | None], masks: tuple[str, ...], min_words: int = MIN_WORDS, agree: float = AGREE) -> Items:
     found = words(texts_of(pa.array(texts, pa.string())))
     own = [found.hashes[a:b] for a, b in zip(found.first[:-1], found.first[1:], strict=True)]
-    span = max(map(len, masks))
-    # an item too short for a mask is one seed of all its words
-    used = [(m, i) for i, m in enumerate(masks)] + [("1" * n, 1000 + n) for n in sorted({len(w) for w in own if 0 < len(w) < span})]
+    # an item that must agree as a whole has masks of its own length, each with one place
+    lengths = [(len(w) if len(w) <= min_words else 0) for w in own]
+    used = [(m, i, 0) for i, m in enumerate(masks)]
+    for n in sorted({len(w) for w in own if 0 < len(w) <= min_words}):
+        used += [(m, 1000 + len(used) + k, n) for k, m in enumerate(whole_masks(n, agree))]
     all_seeds, item, place = [], [], []
-    for mask, salt in used:
+    for mask, salt, length in used:
         for k, w in enumerate(own):
-            if (len(w) < span) == (salt >= 1000) and (salt < 1000 or len(w) == len(mask)):
+            if len(w) and lengths[k] == length:
                 s = seeds(w, mask, salt)
                 all_seeds.append(s)
                 item.append(np.full(len(s), k))
                 place.append(np.arange(len(s)))
     joined = [np.concatenate(x) if x else np.zeros(0, t) for x, t in ((all_seeds, np.uint64), (item, np.int64), (place, np.int64))]
     order = np.argsort(joined[0], kind="stable")
-    return Items(ids, own, used, *(x[order] for x in joined))
+    return Items(ids, own, [(m, salt) for m, salt, _ in used], *(x[order] for x in joined))
 
 
 def longest_stretch(same: np.ndarray, agree: float) -> tuple[int, int]:
@@ -129,7 +156,7 @@ def _overlaps(sent: Broadcast, min_words: int, agree: float) -> Callable[[Iterat
     return run
 
 
-def _items(df: DataFrame, benchmark: DataFrame, masks: tuple[str, ...]) -> Iterator[Broadcast]:
+def _items(df: DataFrame, benchmark: DataFrame, masks: tuple[str, ...], min_words: int, agree: float) -> Iterator[Broadcast]:
     """The test items in blocks of bounded size, each sent to all executors."""
     tests = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     size = tests.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
@@ -137,7 +164,7 @@ def _items(df: DataFrame, benchmark: DataFrame, masks: tuple[str, ...]) -> Itera
     for block in range(blocks):
         own = tests.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
         own.sort(key=lambda r: (r.item_id is None, r.item_id or 0, r.text or ""))
-        yield df.sparkSession.sparkContext.broadcast(items_of([r.item_id for r in own], [r.text for r in own], masks))
+        yield df.sparkSession.sparkContext.broadcast(items_of([r.item_id for r in own], [r.text for r in own], masks, min_words, agree))
 
 
 def _limits(masks: tuple[str, ...], agree: float) -> None:
@@ -145,19 +172,21 @@ def _limits(masks: tuple[str, ...], agree: float) -> None:
         raise ValueError("agree must be in (0, 1] and masks strings of 0 and 1")
 
 
-def benchmark_overlaps(df: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS, min_words: int = MIN_WORDS, agree: float = AGREE) -> DataFrame:
+def benchmark_overlaps(df: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] | None = None, min_words: int = MIN_WORDS, agree: float = AGREE) -> DataFrame:
     """Where documents (doc_id, text) repeat test items (item_id, text).
 
     A row per document and item that overlap in a stretch of at least ``min_words`` words (all words
     of a shorter item), of which at least ``agree`` are equal, lying over each other word for word:
     doc_id, item_id, first_word (of the stretch in the document), n_words and n_equal (of the longest
-    such stretch) and item_words. Words are runs without white space, A-Z as a-z.
+    such stretch) and item_words. Words are runs without white space, A-Z as a-z. All such overlaps are
+    found, unless other ``masks`` are given for items over ``min_words``.
 
     Null or empty texts overlap with nothing. Each row of documents is judged by itself, also where
     ids are missing or repeated; repeated items are each reported. Empty tables give no rows. Further
     columns are ignored. The items go to the executors in blocks of at most 8 MB of text on average,
     one pass over the documents for each block; documents are not shuffled.
     """
+    masks = stretch_masks(min_words, agree) if masks is None else masks
     _limits(masks, agree)
     rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = "doc_id long, item_id long, first_word long, n_words long, n_equal long, item_words long"
@@ -171,13 +200,14 @@ def benchmark_overlaps(df: DataFrame, benchmark: DataFrame, masks: tuple[str, ..
 
         return rows.mapInArrow(only_hits, schema)
 
-    return reduce(DataFrame.unionByName, [found(sent) for sent in _items(df, benchmark, masks)])
+    return reduce(DataFrame.unionByName, [found(sent) for sent in _items(df, benchmark, masks, min_words, agree)])
 
 
-def decontaminate(df: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS, min_words: int = MIN_WORDS, agree: float = AGREE) -> DataFrame:
+def decontaminate(df: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] | None = None, min_words: int = MIN_WORDS, agree: float = AGREE) -> DataFrame:
     """The rows of ``df``, with all their columns, that overlap with no test item (see above)."""
+    masks = stretch_masks(min_words, agree) if masks is None else masks
     _limits(masks, agree)
-    for sent in _items(df, benchmark, masks):
+    for sent in _items(df, benchmark, masks, min_words, agree):
         inner = _overlaps(sent, min_words, agree)
 
         def clean(batches: Iterator[pa.RecordBatch], inner=inner) -> Iterator[pa.RecordBatch]:

@@ -418,3 +418,50 @@ def test_pipeline_stages(spark):
         tokens[r.doc_id] += len(r.ids)
     encode = encoder(BYTE_BPE)
     assert tokens == Counter({d: len(encode(t)) + 1 for d, t in left.items() if d not in hit})
+
+
+def _unmet(masks, n, bad):
+    """The placements of ``bad`` substitutions in ``n`` words that no mask meets."""
+    taken = np.array([sum(1 << k for k in c) for c in itertools.combinations(range(n), bad)], np.int64)
+    met = np.zeros(len(taken), bool)
+    for mask in masks:
+        for place in range(n - len(mask) + 1):
+            met |= taken & sum(1 << place + k for k, bit in enumerate(mask) if bit == "1") == 0
+    return int((~met).sum())
+
+
+def test_masks_meet_every_stretch():
+    # a stretch of 26 words or more holds one of half its length
+    for n in range(13, 26):
+        assert _unmet(decontamination.MASKS, n, decontamination.may_differ(n, 0.8)) == 0, n
+    for n in range(1, 14):
+        assert _unmet(decontamination.whole_masks(n, 0.8), n, decontamination.may_differ(n, 0.8)) == 0, n
+    for least, agree in ((5, 0.8), (13, 0.6), (8, 0.9)):
+        for n in range(least, min(2 * least, 19)):
+            assert _unmet(decontamination.stretch_masks(least, agree), n, decontamination.may_differ(n, agree)) == 0, (n, agree)
+
+
+def test_overlaps_are_those_of_all_shifts(spark):
+    rng = random.Random(11)
+    items = [(n, " ".join("w%d" % rng.randrange(900) for _ in range(n))) for n in [*range(1, 27), 40]]
+    docs = []
+    for item, text in items:
+        for bad in range(decontamination.may_differ(item, 0.8) + 2):
+            for _ in range(4):
+                changed = text.split()
+                for k in rng.sample(range(item), min(bad, item)):
+                    changed[k] = "other"
+                docs.append((len(docs), " ".join(["pre"] * rng.randrange(5) + changed + ["post"] * rng.randrange(5))))
+    wanted = {}
+    for doc, text in docs:
+        words = text.split()
+        for item, test in items:
+            test, best = test.split(), 0
+            for shift in range(1 - len(test), len(words)):
+                low, high = max(0, -shift), min(len(test), len(words) - shift)
+                start, stop = decontamination.longest_stretch(np.array([test[k] == words[shift + k] for k in range(low, high)], float), 0.8)
+                best = max(best, stop - start)
+            if best >= min(13, len(test)):
+                wanted[doc, item] = best
+    found = decontamination.benchmark_overlaps(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id): r.n_words for r in found.collect()} == wanted
