@@ -2,9 +2,10 @@
 
 Parser events cut a page into lines, one for each block of text. A line's ratio is the length of its
 text to the number of tags that came with it. The ratios are smoothed with a Gaussian, and lines above
-one standard deviation are the content cluster. The smallest part of the page that holds most of that
+one standard deviation are the content cluster. The smallest part of the page that holds all of that
 text is the content region; its lines are the result, without the elements that markup names as
-something else (menus, headers, footers, sidebars, notices, adverts, forms, comments).
+something else (menus, headers, footers, sidebars, notices, adverts, forms, comments), unless such an
+element lies around the text itself.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from corpusloom.llm.common import slices
 
 FEED_CHARS = 1 << 16
 SIGMA = 1.0
-SHARE = 0.8  # of the content cluster's text that the region holds
+SHARE = 0.8  # of the page's text, around which an element is a wrapper
 
 # Names from the HTML standard and words that mark other parts of a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -51,10 +52,12 @@ _SPLIT = re.compile(r"[^a-z0-9]+")
 
 
 class _Line:
-    __slots__ = ("text", "ratio", "links", "path", "heading")
+    __slots__ = ("text", "ratio", "links", "path", "heading", "marks", "around")
 
-    def __init__(self, text: str, tags: int, linked: int, path: tuple[int, ...], heading: bool) -> None:
+    def __init__(self, text: str, tags: int, linked: int, path: tuple[int, ...], heading: bool, marks: tuple[int, ...], around: int) -> None:
         self.text, self.path, self.heading = text, path, heading
+        self.marks = marks  # the elements around it whose name is one of something else
+        self.around = around  # how many of them lie around its article or main; -1: it has none
         self.ratio = len(text) / max(1, tags)
         self.links = 2 * linked > len(text)  # mostly links
 
@@ -70,6 +73,9 @@ class LineParser(HTMLParser):
         self._count: Counter[str] = Counter()
         self._path: list[int] = [0]
         self._skip: int | None = None  # open elements before the one that is left out
+        self.marked = 0
+        self._marks: list[tuple[int, int, int]] = []  # of each marked element: open elements before it, its number, tags before it
+        self._inner: list[tuple[int, int]] = []  # of each article or main: open elements before it, marked elements around it
         self._parts: list[str] = []
         self._tags = self._linked = self._headings = 0
         self._link = self._heading = False
@@ -78,33 +84,35 @@ class LineParser(HTMLParser):
         if self._parts:
             text = " ".join("".join(self._parts).split())
             if text:
-                self.lines.append(_Line(text, self._tags, self._linked, tuple(self._path), self._heading))
+                self.lines.append(_Line(text, self._tags, self._linked, tuple(self._path), self._heading, tuple(m for _, m, _ in self._marks), self._inner[-1][1] if self._inner else -1))
                 self._tags = self._linked = 0
             self._parts = []
         self._heading = False
 
-    def _other(self, tag: str, attributes: list[tuple[str, str | None]]) -> bool:
-        if tag in LEFT_OUT:
-            return True
+    def _other(self, tag: str, attributes: list[tuple[str, str | None]]) -> int:
+        """2 for an element that is left out, 1 for one whose name says so, which may yet lie around the content."""
+        if tag in LEFT_OUT and tag != "form":
+            return 2
         inside = self._count["article"] or self._count["main"]
         if tag == "header" and not inside:
-            return True
+            return 2
+        named = tag == "form"
         for name, value in attributes:
             if name == "hidden":
-                return True
+                return 2
             value = (value or "").lower()
             if name == "role" and value.strip() in OTHER_ROLES:
-                return True
+                named = True
             if name == "style" and "display:none" in value.replace(" ", ""):
-                return True
+                return 2
             if name in ("class", "id") and tag not in ("html", "body", "main"):
                 split = (_SPLIT.split(v) for v in value.split())
                 words = [w for own in split if own[0] not in LAYOUT_STARTS for w in own]
                 if tag == "article":
                     words = [w for w in words if w in ("comment", "teaser", "ad", "advert", "sponsored")]
                 if not OTHER_WORDS.isdisjoint(words) or not inside and not HEADER_NAMES.isdisjoint(value.split()):
-                    return True
-        return False
+                    named = True
+        return (2 if tag in INLINE else 1) if named else 0
 
     def _close(self, keep: int) -> None:
         """Close the open elements beyond the first ``keep``."""
@@ -114,6 +122,10 @@ class LineParser(HTMLParser):
             self._headings -= tag in HEADINGS
             if container is not None:
                 self._path.pop()
+            if self._inner and self._inner[-1][0] == len(self._open):
+                self._inner.pop()
+            if self._marks and self._marks[-1][0] == len(self._open):
+                self._tags = self._marks.pop()[2]
         if self._skip is not None and len(self._open) <= self._skip:
             self._skip = None
 
@@ -128,7 +140,7 @@ class LineParser(HTMLParser):
             return
         if tag in ("article", "main") and self._skip is not None and self._open[self._skip][0] in ("nav", "header", "menu"):
             self._close(self._skip)  # it was never closed
-        other = self._skip is None and (bool(attrs) or tag in LEFT_OUT or tag == "header") and self._other(tag, attrs)
+        other = self._other(tag, attrs) if self._skip is None and (attrs or tag in LEFT_OUT or tag == "header") else 0
         if tag in INLINE and not other:
             if self._skip is not None and self._open and self._open[-1][0] == tag and len(self._open) == self._skip + 1:
                 self._push(tag)  # the same inline element inside one that is left out
@@ -140,9 +152,15 @@ class LineParser(HTMLParser):
             last = self._open[-1][0] if self._open else ""
             if last == "p" or last == tag and tag in ("li", "dt", "dd", "option", "tr", "td", "th"):
                 self._close(len(self._open) - 1)
-        if other and self._skip is None:
+        if other == 2:
             self._flush()
             self._skip = len(self._open)
+        elif other == 1:
+            self._flush()
+            self._marks.append((len(self._open), self.marked, self._tags))
+            self.marked += 1
+        elif tag in ("article", "main") and self._skip is None:
+            self._inner.append((len(self._open), len(self._marks)))
         self._push(tag)
 
     def _push(self, tag: str) -> None:
@@ -171,7 +189,8 @@ class LineParser(HTMLParser):
             while self._open[at][0] != tag:
                 at -= 1
             # a stray end of an inner element does not close what is left out
-            if self._skip is None or at >= self._skip or tag in CONTAINERS:
+            bound = self._skip if self._skip is not None else self._marks[-1][0] if self._marks else 0
+            if at >= bound or tag in CONTAINERS:
                 self._close(at)
 
     def handle_data(self, data: str) -> None:
@@ -197,13 +216,33 @@ def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     return np.convolve(padded, kernel / kernel.sum(), mode="valid")
 
 
+def kept_lines(parser: LineParser) -> list[_Line]:
+    """The lines without the parts that are named as something else.
+
+    An element that lies around most of the text in articles and main, or around most text of the
+    page, is a wrapper whatever it is called. If nothing else is left, all lines stay.
+    """
+    lines = parser.lines
+    if not parser.marked:
+        return lines
+    held, around = np.zeros(parser.marked), np.zeros(parser.marked)
+    size = inner = 0
+    for line in lines:
+        size += len(line.text)
+        inner += len(line.text) * (line.around >= 0)
+        held[list(line.marks)] += len(line.text)
+        around[list(line.marks[: max(0, line.around)])] += len(line.text)
+    wrapper = (held >= SHARE * size) | (2 * around > inner)
+    return [x for x in lines if all(wrapper[m] for m in x.marks)] or lines
+
+
 def main_text(html: str) -> str:
     """The blocks of the content region, joined by line ends."""
     parser = LineParser()
     for start in range(0, len(html), FEED_CHARS):
         parser.feed(html[start : start + FEED_CHARS])
     parser.close()
-    lines = parser.lines
+    lines = kept_lines(parser)
     if not lines:
         return ""
     level = smoothed(np.array([x.ratio for x in lines]))

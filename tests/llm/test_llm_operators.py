@@ -465,3 +465,15 @@ def test_overlaps_are_those_of_all_shifts(spark):
                 wanted[doc, item] = best
     found = decontamination.benchmark_overlaps(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
     assert {(r.doc_id, r.item_id): r.n_words for r in found.collect()} == wanted
+
+
+LONG_PARTS = [" ".join(f"{name} sentence {k} goes on for a while here." for k in range(n)) for name, n in (("first", 18), ("second", 4), ("third", 3))]
+A, B, C = LONG_PARTS
+
+
+@pytest.mark.parametrize("open_, close", [("<div class='content-sidebar-wrap'>", "</div>"), ("<div id=page-with-sidebar>", "</div>"), ("<div class=layout-sidebar-right>", "</div>"), ("<form id=aspnetForm>", "</form>")])
+def test_a_wrapper_is_no_part_that_is_left_out(open_, close):
+    side = "<div class=sidebar><p>Side text that is long enough to look like content, but is not.</p></div>"
+    for inner in (f"<main><article><p>{A}</p></article></main>", f"<article><p>{A}</p></article>", f"<div><p>{A}</p></div>"):
+        assert html_content.main_text(f"<body>{open_}{inner}{side}{close}<div class=footer>The end of it.</div>") == A
+        assert html_content.main_text(f"<body>{inner}{open_}<p>{C}</p>{close}") == A
