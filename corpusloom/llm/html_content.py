@@ -246,25 +246,28 @@ def main_text(html: str) -> str:
     if not lines:
         return ""
     level = smoothed(np.array([x.ratio for x in lines]))
-    content = [x for x, a in zip(lines, level > level.std(), strict=True) if a and not x.links]
+    limit = level.std()
+    content = [x for x, a in zip(lines, level > limit, strict=True) if a and not x.links]
     content = content or [x for x in lines if not x.links]
-    held: Counter[int] = Counter()
-    for line in content:
-        for container in line.path:
-            held[container] += len(line.text)
-    if not held:
-        return ""
-    # articles side by side are one region: the container around them is found by its share
-    region = max((c for c in held if held[c] >= SHARE * held[0]), key=lambda c: (parser.names[c] in ("article", "main"), c))
-    if parser.names[region] in ("article", "main"):
-        return "\n".join(x.text for x in lines if region in x.path)
-    # elsewhere a region grows by what holds nothing more than its heading, and parts made of links,
-    # or without any content line or heading, are not content
-    path = next(x.path for x in content if region in x.path)
-    while (at := path.index(region)) > 0 and all(x.heading or x.links or region in x.path for x in lines if path[at - 1] in x.path):
-        region = path[at - 1]
-    filled = {x.path[-1] for x in content} | {region}
-    return "\n".join(x.text for x in lines if region in x.path and not x.links and (x.heading or x.path[-1] in filled))
+    if not content:
+        # a page of nothing but links has text only where markup says so
+        return "\n".join(x.text for x in lines if x.around >= 0)
+    # what main holds is the page's own text, where it holds most of it
+    main = [x for x in content if any(parser.names[c] == "main" for c in x.path)]
+    if 2 * sum(len(x.text) for x in main) > sum(len(x.text) for x in content):
+        content = main
+    # the smallest container around all of it
+    path = content[0].path
+    at = min(next((k for k, (a, b) in enumerate(zip(path, x.path, strict=False)) if a != b), min(len(path), len(x.path))) for x in content) - 1
+    # it grows by what holds nothing more than its heading, but not beyond main, nor beyond an article without main
+    names = [parser.names[c] for c in path]
+    stop = next((k for k in range(at, -1, -1) if names[k] == "main"), next((k for k in range(at, -1, -1) if names[k] == "article"), 0))
+    while at > stop and all(x.heading or x.links or path[at] in x.path for x in lines if path[at - 1] in x.path):
+        at -= 1
+    inside = [x for x in lines if path[at] in x.path]
+    # links before and after the text are menus, unless an article or main holds them
+    text = [k for k, x in enumerate(inside) if x.around >= 0 or not x.links]
+    return "\n".join(x.text for x in inside[text[0] : text[-1] + 1])
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -471,6 +471,20 @@ LONG_PARTS = [" ".join(f"{name} sentence {k} goes on for a while here." for k in
 A, B, C = LONG_PARTS
 
 
+@pytest.mark.parametrize(
+    "page, wanted",
+    [
+        (f"<body><div><section><p>{A}</p></section><section><p>{B}</p></section></div>", f"{A}\n{B}"),
+        (f"<body><main><div><p>{C}</p></div><article><p>{A}</p></article></main>", f"{C}\n{A}"),
+        (f"<body><div><article><p>{A}</p></article><article><p>{C}</p></article></div>", f"{A}\n{C}"),
+        (f"<body><div><p>{C}</p></div><article><p>{A}</p></article>", f"{C}\n{A}"),
+        (f"<body><div><p>{A}</p><div><p>Ok.</p><p>No.</p><p>So.</p><p>End.</p></div><div><p><a href=x>See also this</a></p></div><p>{B}</p></div>", f"{A}\nOk.\nNo.\nSo.\nEnd.\nSee also this\n{B}"),
+    ],
+)
+def test_uneven_parts_of_the_main_text_all_stay(page, wanted):
+    assert html_content.main_text(page) == wanted
+
+
 @pytest.mark.parametrize("open_, close", [("<div class='content-sidebar-wrap'>", "</div>"), ("<div id=page-with-sidebar>", "</div>"), ("<div class=layout-sidebar-right>", "</div>"), ("<form id=aspnetForm>", "</form>")])
 def test_a_wrapper_is_no_part_that_is_left_out(open_, close):
     side = "<div class=sidebar><p>Side text that is long enough to look like content, but is not.</p></div>"
