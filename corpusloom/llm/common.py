@@ -46,6 +46,23 @@ def keyed(df: DataFrame, *columns: str) -> DataFrame:
     return dense_positions(df, ["doc_id", *columns]).withColumnRenamed("position", "rid")
 
 
+HOT_SHARE = 1000
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, key: str, total: int) -> DataFrame:
+    """``rows`` with the other columns of their group; ``groups`` has one row for each ``key``, of ``n`` rows.
+
+    Groups with a thousandth of the ``total`` rows or more, a thousand at most, are sent to the tasks,
+    so that no task gets all rows of a large group; the other rows are shuffled to their group.
+    ``key`` must not be null.
+    """
+    large = F.col("n") * HOT_SHARE >= total
+    hot = groups.where(large)
+    often = rows.join(F.broadcast(hot), key)
+    rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti")
+    return often.unionByName(rest.join(groups.where(~large).hint(LARGE_JOIN), key))
+
+
 def texts_of(column: pa.Array) -> pa.LargeStringArray:
     """The column as large strings without nulls (null: empty)."""
     return pc.fill_null(column.cast(pa.large_string()), "")

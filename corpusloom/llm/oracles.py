@@ -54,8 +54,15 @@ SELECT w.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, coalesce(root.r
 FROM w LEFT JOIN n USING (doc_id) LEFT JOIN c USING (k) LEFT JOIN root ON root.node = c.rep
 """
 
+EXACT_DEDUP = """
+WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') AS s FROM documents)
+SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = min(doc_id) OVER w AS kept, sha256(s) AS text_sha256
+FROM t WINDOW w AS (PARTITION BY s)
+"""
+
 ORACLES: dict[str, str] = {
     "op4_suffix_dedup": SUFFIX_DEDUP,
     "op7_warc": WARC,
     "op10_near_duplicates": NEAR_DUPLICATES,
+    "op12_exact_dedup": EXACT_DEDUP,
 }

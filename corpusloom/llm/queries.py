@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.common import drop_folders, new_folder, saved, table
 from corpusloom.llm.decontamination import benchmark_overlaps
+from corpusloom.llm.exact_dedup import exact_duplicates
 from corpusloom.llm.fingerprints import compare_with_next
 from corpusloom.llm.html_content import extract_main_text
 from corpusloom.llm.language_id import held_out, identify, train_languages
@@ -85,6 +86,10 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
 
 
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_token_counts": op2_token_counts,
@@ -96,4 +101,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_extraction": op8_html_extraction,
     "op9_fingerprints": op9_fingerprints,
     "op10_near_duplicates": op10_near_duplicates,
+    "op12_exact_dedup": op12_exact_dedup,
 }
