@@ -60,9 +60,40 @@ SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc
 FROM t WINDOW w AS (PARTITION BY s)
 """
 
+_NEAREST = """
+a{k} AS MATERIALIZED (
+    SELECT vec_id, part, any_value(x) AS x, min(dist) AS dist, arg_min(entry, dist * 16 + entry) AS entry
+    FROM (SELECT vec_id, p.part, b.entry, p.x, list_sum(list_transform(range(1, len(p.x) + 1), lambda i: (p.x[i] - b.x[i]) * (p.x[i] - b.x[i])))::BIGINT AS dist
+          FROM p JOIN b{k} b ON b.part = p.part)
+    GROUP BY vec_id, part)"""
+
+_MOVED = """
+s{k} AS (SELECT part, entry, i, sum(x[i]) AS s, count(*) AS n FROM a{k}, (SELECT unnest(range(1, (SELECT max(len(x)) + 1 FROM p))) AS i) GROUP BY part, entry, i),
+m{k} AS (SELECT part, entry, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS x FROM s{k} GROUP BY part, entry),
+b{n} AS MATERIALIZED (SELECT b.part, b.entry, coalesce(m.x, b.x) AS x FROM b{k} b LEFT JOIN m{k} m USING (part, entry))"""
+
+VECTOR_CODES = (
+    """
+WITH v AS MATERIALIZED (
+    SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS q, row_number() OVER (ORDER BY vec_id) - 1 AS r
+    FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS MATERIALIZED (SELECT vec_id, r, part, q[part * len(q) // 8 + 1 : (part + 1) * len(q) // 8] AS x FROM (SELECT *, unnest(range(8)) AS part FROM v)),
+b0 AS (SELECT part, r AS entry, x FROM p WHERE r < 16),"""
+    + ",".join(_NEAREST.format(k=k) + "," + _MOVED.format(k=k, n=k + 1) for k in range(6))
+    + ","
+    + _NEAREST.format(k=6)
+    + """,
+c AS (SELECT vec_id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(dist) AS BIGINT) AS error FROM a6 GROUP BY vec_id),
+d AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM b6)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM c JOIN v USING (vec_id), d
+"""
+)
+
 ORACLES: dict[str, str] = {
     "op4_suffix_dedup": SUFFIX_DEDUP,
     "op7_warc": WARC,
     "op10_near_duplicates": NEAR_DUPLICATES,
     "op12_exact_dedup": EXACT_DEDUP,
+    "op13_vector_codes": VECTOR_CODES,
 }

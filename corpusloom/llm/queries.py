@@ -20,6 +20,7 @@ from corpusloom.llm.oracles import ORACLES  # noqa: F401 - part of this module's
 from corpusloom.llm.packing import pack_documents
 from corpusloom.llm.suffix_dedup import remove_repeats
 from corpusloom.llm.token_counts import count_tokens
+from corpusloom.llm.vector_codes import codebooks_digest, compress_vectors, with_label_errors
 from corpusloom.llm.warc import page_of, read_warc, write_warc
 
 
@@ -90,6 +91,14 @@ def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = compress_vectors(table(spark, sf_dir, "embeddings"))
+    digits = F.array_join(F.transform("code", lambda x: F.lower(F.lpad(F.hex(x.cast("long")), 2, "0"))), "")
+    return with_label_errors(coded.rows).select(
+        F.col("key").alias("vec_id"), digits.alias("code"), "error", "label_error", F.lit(codebooks_digest(coded.codebooks)).alias("codebooks_sha256")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_token_counts": op2_token_counts,
@@ -102,4 +111,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_fingerprints": op9_fingerprints,
     "op10_near_duplicates": op10_near_duplicates,
     "op12_exact_dedup": op12_exact_dedup,
+    "op13_vector_codes": op13_vector_codes,
 }
