@@ -18,6 +18,7 @@ from corpusloom.llm.lm_scoring import score_documents
 from corpusloom.llm.near_dedup import near_duplicates
 from corpusloom.llm.oracles import ORACLES  # noqa: F401 - part of this module's surface
 from corpusloom.llm.packing import pack_documents
+from corpusloom.llm.spelling import spelling_variants
 from corpusloom.llm.suffix_dedup import remove_repeats
 from corpusloom.llm.token_counts import count_tokens
 from corpusloom.llm.vector_codes import codebooks_digest, compress_vectors, with_label_errors
@@ -87,6 +88,10 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -110,6 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_extraction": op8_html_extraction,
     "op9_fingerprints": op9_fingerprints,
     "op10_near_duplicates": op10_near_duplicates,
+    "op11_spelling_variants": op11_spelling_variants,
     "op12_exact_dedup": op12_exact_dedup,
     "op13_vector_codes": op13_vector_codes,
 }

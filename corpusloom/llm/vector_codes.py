@@ -228,6 +228,12 @@ def _blocks(parts: int, scale: int) -> Callable[[Iterator[pa.RecordBatch]], Iter
     return run
 
 
+def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
+    """The rows of a batch, one at a time."""
+    for k in range(batch.num_rows):
+        yield batch.slice(k, 1).to_pylist()[0]
+
+
 def _read(row: dict, parts: int) -> Trees:
     """The trees of a block."""
     borders = borders_of(row["size"], LEAF)
@@ -251,7 +257,7 @@ def _round(books: Books) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
         parts, entries, width = books.entries.shape
         sums, counts = np.zeros(books.entries.shape, np.int64), np.zeros((parts, entries), np.int64)
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 trees = _read(row, parts)
                 found = assign(trees, books)
                 for level, part, node, entry in found.nodes:
@@ -272,7 +278,7 @@ def _coded(books: Books) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
         parts = len(books.entries)
         lane = np.arange(parts)[:, None]
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 trees = _read(row, parts)
                 found = assign(trees, books)
                 entry = np.zeros((parts, row["size"]), np.int64)
