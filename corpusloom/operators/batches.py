@@ -31,7 +31,7 @@ _PLACE_BITS = 33
 MAX_BROADCAST_PARTS = 1 << 20
 
 
-def _numbered_parts(df: DataFrame, order_by: Sequence[str], unique: bool = False) -> DataFrame:
+def numbered_parts(df: DataFrame, order_by: Sequence[str], unique: bool = False) -> DataFrame:
     """The rows pinned in order, with ``__part`` and ``__place`` in it."""
     names = [F.col(f"`{c}`") for c in df.columns]
     row_id = F.monotonically_increasing_id().alias("__row")
@@ -64,7 +64,7 @@ def dense_positions(df: DataFrame, order_by: Sequence[str] = (), unique: bool =
     With ``unique`` the caller says that no two rows are equal in ``order_by`` and that ``df``
     gives the same rows each time; then they are sorted and pinned once, without the id.
     """
-    rows = _numbered_parts(df, order_by, unique)
+    rows = numbered_parts(df, order_by, unique)
     sizes = rows.groupBy("__part").agg(F.count(F.lit(1)).alias("__size"))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(

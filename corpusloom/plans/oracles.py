@@ -310,6 +310,25 @@ FROM chunks"""
 ORACLES["html_semantic"] = semantic_rows(100, 500, 10)
 ORACLES["html_semantic_small"] = semantic_rows(0, 40, 3)
 
+ORACLES["heading_context_rows"] = ORACLES["html_raw"]
+ORACLES["semantic_pack_elements"] = ORACLES["html_semantic"]
+ORACLES["semantic_pack_lines"] = f"""
+WITH RECURSIVE split AS (SELECT doc_id, {lines()} AS l FROM documents),
+cut AS (SELECT doc_id, l[i] AS line, i AS n FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM split)),
+counted AS (SELECT *, {words("line")} AS words FROM cut),
+walk AS (
+    SELECT doc_id, n, 0 AS chunk, CAST(words AS BIGINT) AS filled FROM counted WHERE n = 1
+    UNION ALL
+    SELECT c.doc_id, c.n, CASE WHEN filled + words > 50 AND filled >= 10 THEN chunk + 1 ELSE chunk END,
+           CASE WHEN filled + words > 50 AND filled >= 10 THEN words ELSE filled + words END
+    FROM walk w JOIN counted c ON c.doc_id = w.doc_id AND c.n = w.n + 1),
+packed AS (
+    SELECT doc_id, chunk, string_agg(line, chr(10) || chr(10) ORDER BY n) AS text, sum(words) AS words, count(*) AS rows
+    FROM walk JOIN counted USING (doc_id, n) GROUP BY doc_id, chunk)
+SELECT doc_id, chunk AS chunk_id, regexp_replace(regexp_replace(text, '^\\s+', ''), '\\s+$', '') AS text,
+       CAST(words AS INTEGER) AS word_count, CAST(rows AS INTEGER) AS paragraph_count
+FROM packed WHERE words > 0"""
+
 ORACLES["html_guards"] = f"""
 SELECT page_id, CAST(0 AS INTEGER) AS chunk_id, '' AS text, '' AS h1, {NO_DEEPER},
        CAST(0 AS INTEGER) AS word_count, CAST(0 AS INTEGER) AS paragraph_count,

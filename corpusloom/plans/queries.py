@@ -15,6 +15,7 @@ from corpusloom.functions.vectors import embed_fake
 from corpusloom.operators.embedding import embed_column, fake_client
 from corpusloom.operators.html import extract_html
 from corpusloom.operators.language import detect_language, is_english, train_language_profiles
+from corpusloom.operators.ordered import heading_context, pack_lines
 from corpusloom.operators.scripts import transform_text, transform_text_per_row
 from corpusloom.session import new_folder, spread
 from corpusloom.sources.http import (
@@ -286,6 +287,27 @@ def html_raw(spark, sf_dir):
     return extract_html(pages(spark, sf_dir), "html", ["page_id"], "raw")
 
 
+@query
+def heading_context_rows(spark, sf_dir):
+    """The context that extraction gives, worked out again over its exploded rows."""
+    rows = html_raw(spark, sf_dir).drop("h1", "h2", "h3", "h4", "h5", "h6")
+    level = F.try_element_at(F.regexp_extract_all("element_type", F.lit("^h([1-6])$")), F.lit(1))
+    return heading_context(rows, ["page_id"], "position", level.cast("int"), F.col("text"))
+
+
+@query
+def semantic_pack_lines(spark, sf_dir):
+    return pack_lines(text_lines(spark, sf_dir), ["doc_id"], "line_no", "line", 10, 50)
+
+
+@query
+def semantic_pack_elements(spark, sf_dir):
+    """Chunks with their headings from a table of elements, as extraction makes them from pages."""
+    rows = html_raw(spark, sf_dir).where("element_type = 'p'")
+    headings = ["h1", "h2", "h3", "h4", "h5", "h6"]
+    return pack_lines(rows, ["page_id"], "position", "text", context=headings).withColumn("error", F.lit(""))
+
+
 @query
 def html_raw_unfiltered(spark, sf_dir):
     config = '{"mode": "elements", "filters": {"enabled": false}}'

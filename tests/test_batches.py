@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.operators import batches
 from corpusloom.operators.batches import (
-    _numbered_parts,
+    numbered_parts,
     batch_size_of,
     dense_batches,
     dense_positions,
@@ -36,7 +36,7 @@ def test_a_value_with_many_rows_is_split_over_parts(spark):
     df = spark.range(0, 4000, numPartitions=8).select(F.lit(1).alias("k"), "id")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        parts = _numbered_parts(df, ["k"]).groupBy("__part").count().collect()
+        parts = numbered_parts(df, ["k"]).groupBy("__part").count().collect()
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert len(parts) > 1 and max(r["count"] for r in parts) < 3000
