@@ -9,8 +9,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from corpusloom.functions import text, tokens, vectors
-from corpusloom.operators import batches, embedding, html, language, scripts
-from corpusloom.sources import http, objects
+from corpusloom.operators import batches, embedding, html, language, ordered, scripts
+from corpusloom.sources import arrays, http, objects
 
 SERVICE = "-- requires network"
 STORE = "-- requires object storage"
@@ -81,6 +81,8 @@ ENTRIES = (
     Entry(embedding.embed, "scalar", "AI", f"df.select(embed('text', client)) {CLIENT}"),
     Entry(embedding.embed_column, "table", "AI", f"embed_column(df, 'text', client) {CLIENT}"),
     Entry(batches.dense_batches, "table", "Batching", "dense_batches(df, ['event_id'], 100)"),
+    Entry(ordered.heading_context, "table", "HTML", "heading_context(df, ['page_id'], 'position', df.level, df.text)"),
+    Entry(ordered.pack_lines, "table", "HTML", "pack_lines(df, ['doc_id'], 'line_no', 'line')"),
     Entry(http.post_column, "scalar", "HTTP", f"df.select(post_column(url, df.body)) {SERVICE}"),
     Entry(http.post_rows, "table", "HTTP", f"post_rows(df, url, 'body') {SERVICE}"),
     Entry(
@@ -88,7 +90,7 @@ ENTRIES = (
         f"post_batches(df, 'payload', ['event_id'], url, 100) {SERVICE}",
     ),
     Entry(http.payloads_from_json, "table", "HTTP", "payloads_from_json(spark, '[\"a\", \"b\"]')"),
-    Entry(http.payloads_from_file, "table", "HTTP", "payloads_from_file(spark, 'payloads.json')"),
+    Entry(arrays.payloads_from_file, "table", "HTTP", "payloads_from_file(spark, 'payloads.json')"),
     Entry(http.payloads_from_lines, "table", "HTTP", "payloads_from_lines(spark, 'payloads')"),
     Entry(objects.parse_path, "scalar", "Objects", "df.select(parse_path('path'))"),
     Entry(objects.read_objects, "table", "Objects", f"read_objects(spark, 's3a://bucket/docs') {STORE}"),
@@ -112,6 +114,7 @@ SQL_NAMES = {
     "s3_transform_with": objects.fetch_with_mode,
     "http_post": http.post_column,
     "http_post_batch": http.post_batches,
+    "http_post_batch_object": http.post_batches,
     "html_raw": html.extract_html,
     "html_paragraphs": html.extract_html,
     "html_chunks": html.extract_html,
@@ -123,7 +126,8 @@ _SQL_EXAMPLES = {
     "s3_transform": f"SELECT s3_transform(path) FROM files {STORE}",
     "s3_transform_with": f"SELECT s3_transform_with(path, 'trim') FROM files {STORE}",
     "http_post": f"SELECT http_post(url, body).status_code FROM rows {SERVICE}",
-    "http_post_batch": f"SELECT * FROM http_post_batch(url, 'payloads.json', '100', '') {SERVICE}",
+    "http_post_batch": f"SELECT * FROM http_post_batch(url, '[\"a\"]', '100', '') {SERVICE}",
+    "http_post_batch_object": f"SELECT * FROM http_post_batch_object(url, 's3://bucket/payloads.json', '100', '') {SERVICE}",
     **{
         name: f"SELECT e.* FROM (SELECT {name}(html) AS rows FROM pages), LATERAL inline(rows) AS e"
         for name in ("html_raw", "html_paragraphs", "html_chunks")
@@ -137,7 +141,7 @@ COLUMNS = ("name", "kind", "module", "category", "signature", "description", "ex
 def functions_catalog(spark: SparkSession, view: str | None = "corpus_functions") -> DataFrame:
     """The operators as a table of seven text columns, also as a temporary view."""
     rows = [tuple(getattr(entry, column) for column in COLUMNS) for entry in ENTRIES]
-    tables = ("http_post_batch",)
+    tables = ("http_post_batch", "http_post_batch_object")
     for name, operator in SQL_NAMES.items():
         entry = Entry(operator, "table" if name in tables else "scalar", "SQL", _SQL_EXAMPLES[name])
         signature = entry.signature.replace(operator.__name__, name, 1)

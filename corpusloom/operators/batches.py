@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from corpusloom.session import pinned
 
@@ -89,3 +92,63 @@ def dense_batches(
     size = batch_size_of(batch_size)
     placed = dense_positions(df, order_by, unique)
     return placed.withColumn("batch_id", F.expr(f"position div {size}"))
+
+
+def _batch_runs(size: int, total: int, whole: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Of rows (position, payload), those of whole batches (or of all others) as (batch_id, first, payloads).
+
+    A batch is whole if all its rows follow each other here. Tasks read sorted files in runs of
+    consecutive positions, so all batches but those at the ends of a run are whole.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.RecordBatch] = []  # the rows so far of the batch that is not complete yet
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([*waiting, batch]).combine_chunks()
+            position = rows.column("position").to_numpy()
+            number = position // size
+            # a new run also begins where positions do not follow each other
+            starts = np.flatnonzero((np.diff(number, prepend=-1) != 0) | (np.diff(position, prepend=position[0] - 1) != 1))
+            last = int(starts[-1])
+            waiting = rows.slice(last).to_batches()
+            yield from _runs(rows, position, starts, last)
+        if waiting:
+            rows = pa.Table.from_batches(waiting).combine_chunks()
+            yield from _runs(rows, rows.column("position").to_numpy(), np.zeros(1, np.int64), rows.num_rows)
+
+    def _runs(rows: pa.Table, position: np.ndarray, starts: np.ndarray, end: int) -> Iterator[pa.RecordBatch]:
+        starts = starts[starts < end]
+        if not len(starts):
+            return
+        sizes = np.diff(starts, append=end)
+        number = position[starts] // size
+        complete = sizes == np.minimum(size, total - number * size)
+        chosen = np.flatnonzero(complete if whole else ~complete)
+        if not len(chosen):
+            return
+        take = np.concatenate([np.arange(starts[k], starts[k] + sizes[k]) for k in chosen])
+        payload = rows.column("payload").combine_chunks().take(pa.array(take))
+        offsets = np.concatenate(([0], np.cumsum(sizes[chosen]))).astype(np.int32)
+        yield pa.record_batch([pa.array(number[chosen]), pa.array(position[starts[chosen]]), pa.ListArray.from_arrays(pa.array(offsets), payload)], names=["batch_id", "first", "payloads"])
+
+    return run
+
+
+def batch_arrays(df: DataFrame, column: str, order_by: Sequence[str], batch_size: int | str, unique: bool = False) -> DataFrame:
+    """(batch_id, payloads): the values of ``column`` in dense batches, as :func:`dense_batches` numbers them.
+
+    After the range sort the values stay where they are: batches that lie in one run of the sorted
+    files are made there, and only the rows of batches at the ends of runs are moved. NULL values stay.
+    """
+    size = batch_size_of(batch_size)
+    needed = list(dict.fromkeys([*order_by, column]))
+    placed = dense_positions(df.select(*[F.col(f"`{c}`") for c in needed]), order_by, unique)
+    rows = placed.select("position", F.col(f"`{column}`").alias("payload"))
+    total = rows.count()
+    schema = StructType([StructField("batch_id", LongType()), StructField("first", LongType()), StructField("payloads", ArrayType(rows.schema["payload"].dataType))])
+    whole = rows.mapInArrow(_batch_runs(size, total, whole=True), schema).select("batch_id", "payloads")
+    ends = rows.mapInArrow(_batch_runs(size, total, whole=False), schema)
+    pieces = F.sort_array(F.collect_list(F.struct("first", "payloads")))
+    return whole.unionByName(ends.groupBy("batch_id").agg(F.flatten(F.transform(pieces, lambda p: p["payloads"])).alias("payloads")))

@@ -467,6 +467,12 @@ SELECT batch_id, CAST(count(*) AS INTEGER) AS row_count,
        md5(string_agg(concat_ws(chr(9), event_id, props), '|' ORDER BY event_id)) AS digest
 FROM (SELECT event_id, props, (row_number() OVER (ORDER BY event_id) - 1) // 50 AS batch_id FROM events)
 GROUP BY batch_id"""
+ORACLES["payload_array_file"] = """
+SELECT batch_id, CAST(count(*) AS INTEGER) AS row_count, md5(string_agg(payload, '|' ORDER BY event_id)) AS digest
+FROM (SELECT event_id, (row_number() OVER (ORDER BY event_id) - 1) // 100 AS batch_id,
+             concat('{"event_id":', event_id, ',"event_type":', to_json(event_type), ',"props":', to_json(props), '}') AS payload
+      FROM events)
+GROUP BY batch_id"""
 ORACLES["post_scripted"] = (
     "SELECT event_id, upper(event_type) || ' ' || event_type AS response_body FROM events"
 )

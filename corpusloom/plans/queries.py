@@ -6,6 +6,7 @@ import hashlib
 import json
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from corpusloom.functions import text as T
@@ -18,6 +19,7 @@ from corpusloom.operators.language import detect_language, is_english, train_lan
 from corpusloom.operators.ordered import heading_context, pack_lines
 from corpusloom.operators.scripts import transform_text, transform_text_per_row
 from corpusloom.session import new_folder, spread
+from corpusloom.sources.arrays import payloads_from_file
 from corpusloom.sources.http import (
     Request,
     Response,
@@ -512,6 +514,31 @@ def payload_lines(spark, sf_dir):
     return bodies.select("batch_id", "row_count", F.md5(joined).alias("digest"))
 
 
+def _as_array(batches):
+    """The rows of a task as the lines of one JSON array."""
+    start = "["
+    for batch in batches:
+        values = batch.column("value").to_pylist()
+        if values:
+            yield pa.record_batch([pa.array([start + values[0], *("," + v for v in values[1:])])], names=["value"])
+            start = ","
+    yield pa.record_batch([pa.array(["[]" if start == "[" else "]"])], names=["value"])
+
+
+@query
+def payload_array_file(spark, sf_dir):
+    """Events to files that hold one JSON array each, a file for each sorted part, and those to batches."""
+    folder = new_folder(spark, "array")
+    events = table(spark, sf_dir, "events").orderBy("event_id")
+    lines = events.select(F.to_json(F.struct("props", "event_type", "event_id")).alias("value"))
+    lines.mapInArrow(_as_array, "value string").write.text(folder)
+    event_id = F.get_json_object("payload", "$.event_id").cast("long")
+    payloads = payloads_from_file(spark, folder).withColumn("event_id", event_id)
+    bodies = batch_bodies(payloads, "payload", ["event_id"], 100, unique=True)
+    joined = F.array_join(F.from_json("body", "array<string>"), "|")
+    return bodies.select("batch_id", "row_count", F.md5(joined).alias("digest"))
+
+
 # --- objects ------------------------------------------------------------------------------
 
 

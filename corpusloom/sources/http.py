@@ -24,12 +24,13 @@ from urllib.parse import urljoin, urlsplit
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from corpusloom.functions.retry import CONNECT_ERRORS, DEFAULT_IN_FLIGHT, InFlight, RetryPolicy
 from corpusloom.functions.text import as_column, fill_nulls
-from corpusloom.operators.batches import batch_size_of, dense_batches
+from corpusloom.operators.batches import batch_arrays, batch_size_of
 from corpusloom.session import pinned, scratch
+from corpusloom.sources.arrays import INVALID, payload_text
 
 RESPONSE = StructType(
     [
@@ -369,22 +370,10 @@ def batch_bodies(
     A group holds ``batch_size`` rows at most, whatever the keys of the data. ``unique`` as for
     :func:`corpusloom.operators.batches.dense_positions`.
     """
-    needed = list(dict.fromkeys([*order_by, payload_col]))
-    numbered = dense_batches(df.select(*needed), order_by, batch_size, unique)
-    members = F.sort_array(
-        F.collect_list(F.struct("position", F.col(f"`{payload_col}`").alias("payload")))
+    arrays = batch_arrays(df, payload_col, order_by, batch_size, unique)
+    return arrays.select(
+        "batch_id", F.size("payloads").alias("row_count"), F.to_json("payloads").alias("body")
     )
-    return numbered.groupBy("batch_id").agg(
-        F.count(F.lit(1)).cast("int").alias("row_count"),
-        F.to_json(F.transform(members, lambda m: m.payload)).alias("body"),
-    )
-
-
-def payload_text(value) -> str:
-    """A payload as it is sent: a text as it is, any other JSON value in compact form with sorted keys."""
-    if isinstance(value, str):
-        return value
-    return json.dumps(value, ensure_ascii=False, sort_keys=True, separators=(",", ":"))
 
 
 def payload_list(payloads: str) -> list[str]:
@@ -392,7 +381,7 @@ def payload_list(payloads: str) -> list[str]:
     try:
         values = json.loads(payloads)
     except json.JSONDecodeError as error:
-        raise ValueError(f"Invalid payloads JSON: {error}") from error
+        raise ValueError(f"{INVALID}: {error}") from error
     if not isinstance(values, list):
         raise ValueError("Payloads must be a JSON array")
     return [payload_text(value) for value in values]
@@ -403,24 +392,6 @@ def payloads_from_json(spark: SparkSession, payloads: str) -> DataFrame:
     return spark.createDataFrame(list(enumerate(payload_list(payloads))), "position long, payload string")
 
 
-def payloads_from_file(spark: SparkSession, path: str) -> DataFrame:
-    """(position, payload) of a file that holds one JSON array, read in one task.
-
-    An empty file and one that holds something else fail the query. Payload sets beyond the
-    memory of a task belong in lines, see :func:`payloads_from_lines`.
-    """
-    def listed(texts: pa.Array) -> pa.Array:
-        return pa.array([payload_list(text or "") for text in texts.to_pylist()], pa.list_(pa.string()))
-
-    content = spark.read.text(path, wholetext=True)
-    if content.isEmpty():
-        raise ValueError("Invalid payloads JSON: the file is empty")
-    values = F.arrow_udf(listed, ArrayType(StringType()))("value")
-    return content.select(F.posexplode(values).alias("position", "payload")).select(
-        F.col("position").cast("long").alias("position"), "payload"
-    )
-
-
 def payloads_from_lines(spark: SparkSession, path: str) -> DataFrame:
     """(position, payload) of files with one payload a line, read in parallel.
 

@@ -7,7 +7,6 @@ that recur; what a task reads ahead is bounded by number and by bytes.
 
 from __future__ import annotations
 
-import os
 import sys
 import uuid
 from collections import OrderedDict
@@ -206,7 +205,7 @@ def fetch_udf(resolver: Resolver, max_in_flight: int, on_error: str, max_bytes:
                         recent.put(path, text)
                     for _ in range(rows):
                         texts.append(text)
-                        held += len(text or "")
+                        held += len((text or "").encode())
                         if held > HELD_BYTES:
                             yield pa.array(texts, pa.string())
                             texts, held = [], 0
@@ -293,18 +292,6 @@ def object_exists(
     return fill_nulls(exists(as_column(path)), False, null_compat)
 
 
-def payload_source(text: str, resolver: Resolver) -> str:
-    """The text itself if it could be JSON, else the content of the file that it names."""
-    if not text.strip() or text.lstrip()[0] in "[{\"" or "\n" in text:
-        return text
-    if "://" not in text:
-        path = os.path.abspath(text)
-        if not os.path.isfile(path):
-            return text  # no file: it is judged as JSON
-        text = f"file://{path}"
-    return _read(resolver, text)
-
-
 # --- operators over tables -------------------------------------------------------------------
 
 

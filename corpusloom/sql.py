@@ -43,7 +43,6 @@ from corpusloom.sources.objects import (
     Resolver,
     exists_udf,
     fetch_udf,
-    payload_source,
     put_udf,
 )
 
@@ -153,8 +152,8 @@ _SCALAR_SQL = {
 _LETTERS_SQL = r"concat(' ', trim(regexp_replace(lower(text), r'[^\p{L}]+', ' ')), ' ')"
 
 _POST_BATCH_SQL = """
-CREATE OR REPLACE TEMPORARY FUNCTION http_post_batch(
-    url STRING, payloads STRING, batch_size STRING, headers STRING)
+CREATE OR REPLACE TEMPORARY FUNCTION {name}(
+    url STRING, {source} STRING, batch_size STRING, headers STRING)
 RETURNS TABLE(batch_id INT, row_count INT, status_code INT, response_body STRING)
 RETURN
   SELECT batch_id, size(part), answer.status_code, answer.body
@@ -171,19 +170,25 @@ RETURN
                     WHEN cast(batch_size AS INT) = 0
                       THEN raise_error('batch_size must be greater than 0')
                     ELSE cast(batch_size AS INT) END AS n,
-               payload_list(payloads) AS list
+               {listed} AS list
       )
     )
   )"""
 
 
-def payloads_udf(resolver: Resolver):
-    """The Arrow function from a JSON array, or the address or path of a file with one, to its payloads."""
+# a JSON array as a value, or the address of an object that holds one; never guessed from the value
+_POST_BATCH = {
+    "http_post_batch": ("payloads", "payload_list(payloads)"),
+    "http_post_batch_object": ("path", "payload_list(s3_fetch(path))"),
+}
+
+
+def payloads_udf():
+    """The Arrow function from a JSON array to its payloads."""
 
     @F.arrow_udf(ArrayType(StringType()))
     def listed(texts: pa.Array) -> pa.Array:
-        found = [None if t is None else payload_list(payload_source(t, resolver)) for t in texts.to_pylist()]
-        return pa.array(found, pa.list_(pa.string()))
+        return pa.array([None if t is None else payload_list(t) for t in texts.to_pylist()], pa.list_(pa.string()))
 
     return listed.asNondeterministic()
 
@@ -216,7 +221,7 @@ def register_functions(
         "s3_fetch": fetch_udf(resolver, max_in_flight, "fail"),
         "s3_put": put_udf(resolver, max_in_flight, "fail"),
         "s3_exists": exists_udf(resolver, max_in_flight, "fail"),
-        "payload_list": payloads_udf(resolver),
+        "payload_list": payloads_udf(),
         "http_post_or_fail": post_udf(transport, retry, max_in_flight, "fail"),
         "http_post_or_row": post_udf(transport, retry, max_in_flight, "row"),
     }
@@ -255,6 +260,7 @@ def register_functions(
             f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({parameters}) "
             f"RETURNS {result} RETURN {body}"
         )
-    spark.sql(_POST_BATCH_SQL)
+    for name, (source, listed) in _POST_BATCH.items():
+        spark.sql(_POST_BATCH_SQL.format(name=name, source=source, listed=listed))
     functions_catalog(spark)
-    return sorted([*arrow, *scalar, "http_post_batch"])
+    return sorted([*arrow, *scalar, *_POST_BATCH])

@@ -5,12 +5,14 @@ from pyspark.sql import functions as F
 
 from corpusloom.operators import batches
 from corpusloom.operators.batches import (
-    numbered_parts,
+    batch_arrays,
     batch_size_of,
     dense_batches,
     dense_positions,
+    numbered_parts,
 )
-from corpusloom.sources.http import batch_bodies, payloads_from_file, payloads_from_json
+from corpusloom.sources.arrays import payloads_from_file
+from corpusloom.sources.http import batch_bodies, payloads_from_json
 
 
 def test_positions_are_dense_and_ordered(spark):
@@ -95,3 +97,17 @@ def test_payload_file(spark, tmp_path):
     path.write_text('["payload1",\n "payload2", {"a": 1}]')
     rows = payloads_from_file(spark, str(path)).orderBy("position").collect()
     assert [tuple(r) for r in rows] == [(0, "payload1"), (1, "payload2"), (2, '{"a":1}')]
+
+
+@pytest.mark.parametrize("size", [1, 3, 50, 333, 5000])
+def test_batches_are_made_where_their_rows_lie(spark, size):
+    rows = [(k * 7 % 1000, None if k % 11 == 0 else f"p{k}") for k in range(1000)]
+    df = spark.createDataFrame(rows, "id int, payload string").repartition(9)
+    kept = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+        found = batch_arrays(df, "payload", ["id"], size).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", kept)
+    values = [p for _, p in sorted(rows)]
+    assert sorted((r.batch_id, r.payloads) for r in found) == [(b, values[b * size : (b + 1) * size]) for b in range(-(-1000 // size))]

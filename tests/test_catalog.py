@@ -3,8 +3,8 @@ import inspect
 from corpusloom import catalog
 from corpusloom.catalog import COLUMNS, ENTRIES, functions_catalog
 from corpusloom.functions import text, tokens, vectors
-from corpusloom.operators import batches, embedding, html, language, scripts
-from corpusloom.sources import http, objects
+from corpusloom.operators import batches, embedding, html, language, ordered, scripts
+from corpusloom.sources import arrays, http, objects
 
 # helpers and building blocks of the operators above them
 INTERNAL = {
@@ -15,7 +15,8 @@ INTERNAL = {
     "skip_pattern", "elements_udf", "pack_udf", "size_error", "mode_named", "letters_only", "language_of",
     "language_judge", "request_headers", "retryable_status", "post_once", "post_udf",
     "response_headers", "fetch_udf", "put_udf", "exists_udf", "fetch_text", "put_text",
-    "object_exists", "split_path", "library_pattern", "payload_text", "payload_list", "payload_source",
+    "object_exists", "split_path", "library_pattern", "payload_text", "payload_list", "depth_steps",
+    "numbered_parts", "batch_arrays", "next_starts", "carry_table", "carried_on",
 }
 
 
@@ -34,7 +35,7 @@ def test_rows(spark):
 
 def test_what_needs_a_service_says_so(spark):
     outside = functions_catalog(spark).where(
-        "module in ('http', 'objects', 'embedding') and example not like '%-- requires%'"
+        "module in ('arrays', 'http', 'objects', 'embedding') and example not like '%-- requires%'"
     )
     assert {r.name for r in outside.collect()} == {
         "payloads_from_json", "payloads_from_file", "payloads_from_lines", "parse_path",
@@ -42,7 +43,7 @@ def test_what_needs_a_service_says_so(spark):
 
 
 def test_no_operator_is_missing():
-    modules = (text, tokens, vectors, batches, embedding, html, language, scripts, http, objects)
+    modules = (text, tokens, vectors, batches, embedding, html, language, ordered, scripts, arrays, http, objects)
     public = {
         name
         for module in modules

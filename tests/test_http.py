@@ -5,13 +5,13 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.retry import RetryPolicy
 from corpusloom.operators.scripts import ScriptError, transform_text
+from corpusloom.sources.arrays import payloads_from_file
 from corpusloom.sources.http import (
     HTTP_RETRY,
     PostError,
     Request,
     Response,
     UrlTransport,
-    payloads_from_file,
     payloads_from_json,
     payloads_from_lines,
     post_batches,

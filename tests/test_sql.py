@@ -81,9 +81,12 @@ def test_http(sql):
 
 def test_payload_files(sql, tmp_path):
     (tmp_path / "p.json").write_text('["a", {"b": 1, "a": 2}, null, 1.0]')
+    rows = sql(f"SELECT * FROM http_post_batch_object('http://x', 'file://{tmp_path}/p.json', '10', '')")
+    assert rows == [(0, 4, 200, '["A","{\\"A\\":2,\\"B\\":1}","NULL","1.0"]')]
+    # a value is never taken for a path
     for path in (f"{tmp_path}/p.json", f"file://{tmp_path}/p.json"):
-        rows = sql(f"SELECT * FROM http_post_batch('http://x', '{path}', '10', '')")
-        assert rows == [(0, 4, 200, '["A","{\\"A\\":2,\\"B\\":1}","NULL","1.0"]')]
+        with pytest.raises(Exception, match="Invalid payloads JSON"):
+            sql(f"SELECT * FROM http_post_batch('http://x', '{path}', '10', '')")
 
 
 @pytest.mark.parametrize(
