@@ -8,11 +8,11 @@ words that it lacks.
 A document's score is the mean over its tokens of the target model's loss minus the background's: the
 lower, the more it resembles the target.
 
-No table of all words or bigrams is gathered. The most frequent words, few at every size, are sent to
-the tasks, and so are the counts of bigrams of two such words; they would else be hot keys. Every
-other token moves to the bucket of its word, with its neighbours: there the counts of the word, and
-of the bigrams that it ends or that lead from it to a frequent word, are complete, and each document
-gets its sum of losses back. How the work is divided so changes no score.
+No table of all words or bigrams is gathered. The documents are dealt into blocks of 16 MB of text. A
+block sends one row for each distinct bigram, word and word before another, with its counts; a window
+over each of them adds the counts of all blocks, and the sums go back to the blocks whose own counts
+fall short. Then every block has all counts of its own words, and scores its documents in one task.
+So what moves grows with the text, and a frequent word or bigram is one row for each block.
 """
 
 from __future__ import annotations
@@ -21,23 +21,21 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm.bytewords import Words, buffers, words
-from corpusloom.llm.common import LARGE_JOIN, drop_folders, keyed, release, saved, slices, texts_of
+from corpusloom.llm.bytewords import Words, buffers, mix, words
+from corpusloom.llm.common import LARGE_JOIN, keyed, release, saved, slices, texts_of
 
-VOCABULARY = None  # every word of the corpus
 PRIOR = 50.0
 CLASSES = 64
-FREQUENT = 1024  # words whose bigrams are counted in the tasks
-BUCKET_TOKENS = 1 << 19
-SLICE_BYTES = 16 << 20
-START, OTHER, FIRST = 0, 1, 2  # what stands before a document's first word, a word not frequent, the first that is
-UNIT = float(1 << 28)  # losses are summed as integers, in any order alike
+BLOCK_BYTES = 16 << 20
+START = np.uint64(0x3C6EF372FE94F82B)  # what stands before a document's first word
+_WORD, _LEAD, _PAIR = np.uint64(0xA54FF53A5F1D36F1), np.uint64(0x510E527FADE682D1), np.uint64(0x9B05688C2B3E6C1F)
 
-_PACKED = "bucket long, distinct binary, word binary, before binary, before_word binary, after binary, rid binary, size binary, target binary"
+_SMALL = "rid long, doc_id long, n_bytes long, small binary"
+_COUNTS = "block long, key long, n long, n_target long"
+_SCORES = "doc_id long, n_tokens long, target_loss double, background_loss double"
 
 
 def _small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -49,167 +47,106 @@ def _small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([part.column("rid"), part.column("doc_id"), sizes, pa.array(small, pa.binary())], names=["rid", "doc_id", "n_bytes", "small"])
 
 
-def _parts(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[pa.RecordBatch, pa.LargeStringArray]]:
-    """Runs of rows whose texts have at most ``limit`` bytes together, one row at least, and the texts."""
-    for batch in batches:
-        sizes = batch.column("n_bytes").to_pylist()
-        start = total = 0
-        for stop in range(1, len(sizes) + 1):
-            total += sizes[stop - 1]
-            if stop == len(sizes) or total + sizes[stop] > limit:
-                part = batch.slice(start, stop - start)
-                texts = [pa.decompress(x, n, "zstd", asbytes=True) if n else b"" for x, n in zip(part.column("small").to_pylist(), sizes[start:stop], strict=True)]
-                yield part, pa.array(texts, pa.large_binary()).cast(pa.large_string())
-                start, total = stop, 0
+def _texts(small: pa.Array, sizes: list[int]) -> pa.LargeStringArray:
+    found = [pa.decompress(x, n, "zstd", asbytes=True) if n else b"" for x, n in zip(small.to_pylist(), sizes, strict=True)]
+    return pa.array(found, pa.large_binary()).cast(pa.large_string())
 
 
 def word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct words of each slice and how often they occur there."""
-    for batch in batches:
-        for part in slices(batch, "text", 32 << 20):
-            word, count = np.unique(words(texts_of(part.column("text"))).hashes, return_counts=True)
-            yield pa.record_batch([pa.array(word.view(np.int64)), pa.array(count.astype(np.int64))], names=["word", "n"])
-
-
-def token_ids(texts: pa.LargeStringArray, frequent: np.ndarray) -> tuple[np.ndarray, Words]:
-    """The number of each word: from FIRST on the (sorted) frequent words, else OTHER."""
-    found = words(texts)
-    token = np.full(len(found.hashes), OTHER, np.int64)
-    if len(frequent):
-        at = np.minimum(np.searchsorted(frequent, found.hashes), len(frequent) - 1)
-        known = frequent[at] == found.hashes
-        token[known] = FIRST + at[known]
-    return token, found
-
-
-def cells_of(token: np.ndarray, first: np.ndarray, width: int) -> np.ndarray:
-    """The place of each token's bigram in a ``width`` x ``width`` table."""
-    before = np.concatenate(([START], token[:-1]))[: len(token)]
-    before[first[:-1][np.diff(first) > 0]] = START
-    return before * width + token
-
-
-def _bigrams(sent: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """The bigram counts of a whole task, of all documents and of the target's."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        width = FIRST + len(sent.value)
-        every, target = np.zeros(width * width, np.int64), np.zeros(width * width, np.int64)
-        for part, texts in _parts(batches, SLICE_BYTES):
-            token, found = token_ids(texts, sent.value)
-            cells = cells_of(token, found.first, width)
-            chosen = np.repeat(part.column("target").to_numpy(zero_copy_only=False).astype(bool), np.diff(found.first))
-            every += np.bincount(cells, minlength=width * width)
-            target += np.bincount(cells[chosen], minlength=width * width)
-        cell = np.flatnonzero(every)
-        for start in range(0, len(cell), 1 << 16):
-            c = cell[start : start + (1 << 16)]
-            yield pa.record_batch([pa.array(c), pa.array(every[c]), pa.array(target[c])], names=["cell", "n", "n_target"])
-
-    return run
-
-
-def _units(losses: np.ndarray) -> np.ndarray:
-    return np.rint(losses * UNIT).astype(np.int64)
-
-
-def shares(counts: np.ndarray, distinct: int) -> tuple[np.ndarray, float]:
-    """How often each frequent word occurs, and the draws of all words, by a table of counts (word before, word)."""
-    return counts.sum(axis=0), float(counts.sum() + distinct + CLASSES)
-
-
-def frequent_losses(counts: np.ndarray, distinct: int, prior: float) -> np.ndarray:
-    """What each bigram of the table adds to a document's loss, as far as the frequent words tell."""
-    single, draws = shares(counts, distinct)
-    out = -np.log(counts + prior * (single + 1) / draws)
-    out[:, [START, OTHER]] = 0
-    out += np.log(counts.sum(axis=1, keepdims=True) + prior)
-    out[OTHER] = 0
-    return out
+    """Distinct words of each slice and how often they occur there, in all documents and in those of the target."""
+    for block, target, found in _blocks(batches):
+        del block
+        word, at = np.unique(found.hashes, return_inverse=True)
+        own = np.repeat(target, np.diff(found.first))
+        columns = (word.view(np.int64), np.bincount(at, minlength=len(word)), np.bincount(at[own], minlength=len(word)))
+        yield pa.record_batch([pa.array(c.astype(np.int64)) for c in columns], names=["word", "n", "n_target"])
 
 
-def _frequent(sent: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """The tokens of each document and what its frequent words add to its losses."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, *tables = sent.value
-        for batch in batches:
-            for part in slices(batch, "text"):
-                token, found = token_ids(texts_of(part.column("text")), frequent)
-                cells = cells_of(token, found.first, FIRST + len(frequent))
-                sums = []
-                for table in tables:
-                    total = np.concatenate((np.zeros(1, np.int64), np.cumsum(table[cells])))
-                    sums.append(pa.array(total[found.first[1:]] - total[found.first[:-1]]))
-                yield pa.record_batch([part.column("rid"), part.column("doc_id"), pa.array(np.diff(found.first)), *sums], names=["rid", "doc_id", "n", "t", "b"])
-
-    return run
-
-
-def _dealt(sent: Broadcast, buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """The tokens that are not frequent, packed for each bucket of words, in the order of the documents."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in _parts(batches, SLICE_BYTES):
-            token, found = token_ids(texts, sent.value)
-            at = np.flatnonzero(token == OTHER)
-            if not len(at):
-                continue
-            bucket = ((found.hashes[at] >> np.uint64(16)) % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            at, bucket = at[order], bucket[order]
-            begins = np.zeros(len(token) + 1, bool)
-            begins[found.first] = True
-            before = np.where(begins[at], START, token[at - 1]).astype(np.uint16)
-            after = np.where(begins[at + 1], START, token[np.minimum(at + 1, len(token) - 1)]).astype(np.uint16)
-            row = np.searchsorted(found.first, at, side="right") - 1
-            rid = part.column("rid").to_numpy()
-            target = part.column("target").to_numpy(zero_copy_only=False).astype(np.uint8)
-            borders = np.flatnonzero(np.diff(bucket, prepend=-1, append=buckets))
-            packed: list[list] = [[] for _ in range(9)]
-            for low, high in zip(borders[:-1].tolist(), borders[1:].tolist(), strict=True):
-                own, prior = at[low:high], before[low:high]
-                docs = np.flatnonzero(np.diff(row[low:high], prepend=-1))
-                which = row[low:high][docs]
-                distinct, index = np.unique(found.hashes[own], return_inverse=True)
-                arrays = (distinct, index.astype(np.uint32), prior, found.hashes[own[prior == OTHER] - 1], after[low:high], rid[which])
-                values = [x.tobytes() for x in (*arrays, np.diff(docs, append=high - low).astype(np.int32), target[which])]
-                for column, value in zip(packed, [int(bucket[low]), *values], strict=True):
-                    column.append(value)
-            yield pa.record_batch([pa.array(packed[0], pa.int64()), *(pa.array(x, pa.binary()) for x in packed[1:])], names=[x.split()[0] for x in _PACKED.split(", ")])
-
-    return run
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, Words]]:
+    """Runs of documents of one block: the block, which belong to the target, and their words."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        block = batch.column("block").to_numpy()
+        sizes = batch.column("n_bytes").to_numpy()
+        target = batch.column("target").to_numpy(zero_copy_only=False).astype(bool)
+        start = total = 0
+        for stop in range(1, len(block) + 1):
+            total += int(sizes[stop - 1])
+            if stop == len(block) or block[stop] != block[start] or total + sizes[stop] > 2 * BLOCK_BYTES:
+                texts = _texts(batch.column("small").slice(start, stop - start), sizes[start:stop].tolist())
+                yield int(block[start]), target[start:stop], words(texts)
+                start, total = stop, 0
 
 
-def _bucket_sums(sent: Broadcast, prior: float) -> Callable[[pa.Table], pa.Table]:
-    """What the words of a bucket add to the losses of each document."""
-
-    def run(table: pa.Table) -> pa.Table:
-        def column(name: str, kind: type) -> np.ndarray:
-            return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
-
-        many = [len(x) // 8 for x in table.column("distinct").to_pylist()]
-        runs = [len(x) // 4 for x in table.column("word").to_pylist()]
-        word = column("distinct", np.uint64)[column("word", np.uint32) + np.repeat(np.cumsum([0, *many[:-1]]), runs)]
-        before, after, size = column("before", np.uint16), column("after", np.uint16), column("size", np.int32)
-        target, rid = np.repeat(column("target", np.uint8).astype(bool), size), np.repeat(column("rid", np.int64), size)
-        key = before.astype(np.uint64)
-        key[before == OTHER] = column("before_word", np.uint64)
-        word = np.unique(word, return_inverse=True)[1]
-        key = np.unique(key, return_inverse=True)[1]
-        pair = np.unique(word * (int(key.max()) + 1) + key, return_inverse=True)[1]
-        goes, leads = after != START, after >= FIRST
-        onward = np.unique(word[leads] * (1 << 16) + after[leads], return_inverse=True)[1]
-        rids, doc = np.unique(rid, return_inverse=True)
-        sums = []
-        for chosen, (single, draws) in zip((target, np.ones(len(word), bool)), sent.value, strict=True):
-            count = lambda of, mask, all_of: np.bincount(of[mask], minlength=len(all_of))[all_of]
-            loss = _units(-np.log(count(pair, chosen, pair) + prior * (count(word, chosen, word) + 1) / draws))
-            loss[goes] += _units(np.log(count(word, chosen & goes, word) + prior))[goes]
-            loss[leads] += _units(-np.log(count(onward, chosen[leads], onward) + prior * (single[after[leads]] + 1) / draws))
-            order = np.argsort(doc, kind="stable")
-            sums.append(np.add.reduceat(loss[order], np.flatnonzero(np.diff(doc[order], prepend=-1))))
-        return pa.table([pa.array(rids), *map(pa.array, sums)], names=["rid", "t", "b"])
+def before_each(found: Words) -> np.ndarray:
+    """The word before each word, START for the first of a text."""
+    before = np.concatenate(([START], found.hashes[:-1]))[: len(found.hashes)]
+    before[found.first[:-1][np.diff(found.first) > 0]] = START
+    return before
+
+
+def keys_of(found: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each word: the keys of the word, of the word before it as such, and of both together."""
+    before = before_each(found)
+    return mix(found.hashes ^ _WORD), mix(before ^ _LEAD), mix(mix(before ^ _PAIR) + found.hashes)
+
+
+def _counted(key: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys, how often they occur, and how often in the documents of the target (``own``)."""
+    distinct, n = np.unique(key, return_counts=True)
+    some, m = np.unique(key[own], return_counts=True)
+    n_target = np.zeros(len(distinct), np.int64)
+    n_target[np.searchsorted(distinct, some)] = m
+    return distinct, n.astype(np.int64), n_target
+
+
+def _block_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each distinct key of each block."""
+    for block, target, found in _blocks(batches):
+        own = np.repeat(target, np.diff(found.first))
+        for key in keys_of(found):
+            distinct, n, n_target = _counted(key, own)
+            for start in range(0, len(distinct), 1 << 16):
+                part = slice(start, start + (1 << 16))
+                columns = (np.full(len(distinct[part]), block), distinct[part].view(np.int64), n[part], n_target[part])
+                yield pa.record_batch([pa.array(c) for c in columns], names=["block", "key", "n", "n_target"])
+
+
+def _scored(distinct: int, draws: tuple[float, float], prior: float) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """The losses of the documents of a block, by its own counts and the sums over all blocks."""
+
+    def run(docs: pa.Table, sums: pa.Table) -> pa.Table:
+        docs = docs.combine_chunks()
+        ids = docs.column("doc_id")
+        # rows come in any order; the losses of a document do not depend on it
+        target = docs.column("target").to_numpy(zero_copy_only=False).astype(bool)
+        column = docs.column("small").combine_chunks() if docs.num_rows else pa.array([], pa.binary())
+        found = words(_texts(column, docs.column("n_bytes").to_pylist()))
+        own = np.repeat(target, np.diff(found.first))
+        order = np.argsort(sums.column("key").to_numpy().view(np.uint64), kind="stable")
+        known = sums.column("key").to_numpy().view(np.uint64)[order]
+        known_n = [sums.column(name).to_numpy()[order] for name in ("n", "n_target")]
+
+        counts = []
+        for key in keys_of(found):
+            distinct_keys, *local = _counted(key, own)
+            if len(known) and len(distinct_keys):
+                at = np.minimum(np.searchsorted(known, distinct_keys), len(known) - 1)
+                added = known[at] == distinct_keys
+                local = [np.where(added, sum_[at], n) for n, sum_ in zip(local, known_n, strict=True)]
+            place = np.searchsorted(distinct_keys, key)
+            counts.append([n[place] for n in local])
+        (word_n, word_t), (lead_n, lead_t), (pair_n, pair_t) = counts
+        filled = np.flatnonzero(np.diff(found.first))
+        means = []
+        for word, lead, pair, total in ((word_t, lead_t, pair_t, draws[1]), (word_n, lead_n, pair_n, draws[0])):
+            loss = np.log(lead + prior) - np.log(pair + prior * (word + 1) / (total + distinct + CLASSES))
+            mean = np.full(docs.num_rows, np.nan)
+            if len(filled):
+                mean[filled] = np.add.reduceat(loss, found.first[filled]) / np.diff(found.first)[filled]
+            means.append(pa.array(mean, from_pandas=True))
+        return pa.table([ids, pa.array(np.diff(found.first).astype(np.int64)), *means], names=["doc_id", "n_tokens", "target_loss", "background_loss"])
 
     return run
 
@@ -221,41 +158,28 @@ def score_documents(df: DataFrame, targets: DataFrame, prior: float = PRIOR) ->
     difference. A null or empty text has no tokens and null losses and score. Ids in ``targets`` that
     no document has, and repeated ones, change nothing; without any target document the target model
     is uniform. Each row is counted and scored, also where ids are missing or repeated. An empty table
-    gives no rows. Further columns are ignored. Every word counts as itself, however rare. Words are
-    told apart by 64-bit hashes.
+    gives no rows. Further columns are ignored. Every word counts as itself, however rare. Words and
+    bigrams are told apart by 64-bit hashes. A text is scored in one task, whatever its length.
     """
     if prior <= 0:
         raise ValueError("prior must be positive")
     spark = df.sparkSession
     rows = keyed(df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), "text")
-    counted, folder = saved(rows.select("text").mapInArrow(word_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
-    distinct = counted.count()
-    top = counted.orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
-    drop_folders(spark, folder)
-    frequent = np.sort(np.array([r.word for r in top], np.int64).view(np.uint64))
-    release(spark)
-    sent = spark.sparkContext.broadcast(frequent)
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = 1 + size // BLOCK_BYTES
     chosen = targets.select(F.col("doc_id").cast("long").alias("target_id")).where("target_id IS NOT NULL").distinct()
-    # the same plan at every size: the ids are hashed, the texts need no sort
-    small = rows.select("rid", "doc_id", "text").mapInArrow(_small, "rid long, doc_id long, n_bytes long, small binary")
-    marked = small.join(chosen.hint(LARGE_JOIN), F.col("doc_id") == F.col("target_id"), "left").select("rid", "n_bytes", "small", F.col("target_id").isNotNull().alias("target"))
-    cells = marked.mapInArrow(_bigrams(sent), "cell long, n long, n_target long")
-    summed = cells.groupBy("cell").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target")).toArrow()
+    small = rows.select("rid", "doc_id", "text").mapInArrow(_small, _SMALL)
+    marked = small.join(chosen.hint(LARGE_JOIN), F.col("doc_id") == F.col("target_id"), "left")
+    marked = marked.select(F.pmod(F.xxhash64("rid"), F.lit(blocks)).alias("block"), "doc_id", "n_bytes", "small", F.col("target_id").isNotNull().alias("target"))
+    docs, _ = saved(marked.repartition("block").sortWithinPartitions("block"), "blocks")
+    release(spark)
+    each = docs.mapInArrow(word_counts, "word long, n long, n_target long").groupBy("word").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
+    facts = each.agg(F.count("*").alias("distinct"), F.sum("n").alias("n"), F.sum("n_target").alias("n_target")).first()
     release(spark)
-    width = FIRST + len(frequent)
-    tables = []
-    for name in ("n_target", "n"):
-        counts = np.zeros(width * width)
-        counts[summed.column("cell").to_numpy()] = summed.column(name).to_numpy()
-        tables.append(counts.reshape(width, width))
-    buckets = 1 + int(tables[1][:, OTHER].sum()) // BUCKET_TOKENS
-    losses = spark.sparkContext.broadcast((frequent, *(_units(frequent_losses(x, distinct, prior)).ravel() for x in tables)))
-    known = spark.sparkContext.broadcast([shares(x, distinct) for x in tables])
-    common = rows.select("rid", "doc_id", "text").mapInArrow(_frequent(losses), "rid long, doc_id long, n long, t long, b long")
-    others = marked.mapInArrow(_dealt(sent, buckets), _PACKED).groupBy("bucket").applyInArrow(_bucket_sums(known, prior), "rid long, t long, b long")
-    added = common.unionByName(others, allowMissingColumns=True).groupBy("rid")
-    sums = added.agg(F.max("doc_id").alias("doc_id"), F.sum("n").alias("n"), F.sum("t").alias("t"), F.sum("b").alias("b"))
-    mean = lambda x: F.when(F.col("n") > 0, x / F.col("n") / F.lit(UNIT))
-    return sums.select(
-        "doc_id", F.col("n").alias("n_tokens"), mean(F.col("t")).alias("target_loss"), mean(F.col("b")).alias("background_loss"), mean(F.col("t") - F.col("b")).alias("score")
-    )
+    counts = docs.mapInArrow(_block_counts, _COUNTS)
+    every = Window.partitionBy("key")
+    summed = counts.select("block", "key", F.col("n").alias("own"), F.col("n_target").alias("own_target"), F.sum("n").over(every).alias("n"), F.sum("n_target").over(every).alias("n_target"))
+    # where a block has all there is, its own counts will do
+    summed = summed.where("n <> own OR n_target <> own_target").select("block", "key", "n", "n_target")
+    scored = docs.groupBy("block").cogroup(summed.groupBy("block")).applyInArrow(_scored(facts.distinct, (float(facts.n or 0), float(facts.n_target or 0)), prior), _SCORES)
+    return scored.withColumn("score", F.col("target_loss") - F.col("background_loss"))

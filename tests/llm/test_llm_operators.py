@@ -168,37 +168,34 @@ def test_repeats_across_ranges(spark, monkeypatch, windows):
         assert len(found[doc].removed) == len([x for x in bytes(gone).split(b"\0") if x])
 
 
-def test_language_model_scores(spark, sf_dir, documents):
+@pytest.mark.parametrize("block_bytes", [lm_scoring.BLOCK_BYTES, 20_000])
+def test_language_model_scores(spark, sf_dir, documents, monkeypatch, block_bytes):
+    # in one block, and in many
+    monkeypatch.setattr(lm_scoring, "BLOCK_BYTES", block_bytes)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where("quality = 1")
     targets = {r.doc_id for r in labels.collect()}
     words = {d: plain_words(t) for d, t in documents.items()}
-    count = Counter(w for ws in words.values() for w in ws)
-    known = list(count)
-    hashes = bytewords.words(texts_of(pa.array([w.decode() for w in known]))).hashes.view(np.int64).tolist()
-    ranked = sorted(zip(known, hashes, strict=True), key=lambda x: (-count[x[0]], x[1]))
-    top = {w for w, _ in ranked[: lm_scoring.VOCABULARY]}
-
-    def token(w):
-        return w if w in top else (min(len(w), 32), any(not (97 <= (b | 32) <= 122 or b >= 128) for b in w))
-
-    tokens = {d: [token(w) for w in ws] for d, ws in words.items()}
+    distinct = len({w for own in words.values() for w in own})
 
     def model(docs):
-        pairs = Counter(p for d in docs for p in zip(["<s>", *tokens[d]], tokens[d], strict=False))
+        pairs = Counter(p for d in docs for p in zip(["<s>", *words[d]], words[d], strict=False))
         single, before = Counter(), Counter()
         for (a, b), n in pairs.items():
             single[b] += n
             before[a] += n
-        size = sum(single.values()) + len(top) + lm_scoring.CLASSES
+        size = sum(single.values()) + distinct + lm_scoring.CLASSES
         return lambda a, b: -math.log((pairs[a, b] + lm_scoring.PRIOR * (single[b] + 1) / size) / (before[a] + lm_scoring.PRIOR))
 
     target, background = model([d for d in documents if d in targets]), model(list(documents))
-    for r in lm_scoring.score_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"), labels).collect():
-        pairs = list(zip(["<s>", *tokens[r.doc_id]], tokens[r.doc_id], strict=False))
+    rows = lm_scoring.score_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"), labels).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(documents)
+    for r in rows:
+        pairs = list(zip(["<s>", *words[r.doc_id]], words[r.doc_id], strict=False))
         assert r.n_tokens == len(pairs)
         if pairs:
-            wanted = sum(target(*p) - background(*p) for p in pairs) / len(pairs)
-            assert r.score == pytest.approx(wanted, abs=1e-4)
+            assert r.target_loss == pytest.approx(sum(target(*p) for p in pairs) / len(pairs), rel=1e-9)
+            assert r.background_loss == pytest.approx(sum(background(*p) for p in pairs) / len(pairs), rel=1e-9)
+            assert r.score == r.target_loss - r.background_loss
 
 
 def test_masks_meet_any_two_substitutions():
