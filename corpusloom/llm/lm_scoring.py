@@ -9,19 +9,22 @@ A document's score is the mean over its tokens of the target model's loss minus
 lower, the more it resembles the target.
 
 No table of all words or bigrams is gathered. The documents are dealt into blocks of 16 MB of text. A
-block sends one row for each distinct bigram, word and word before another, with its counts; a window
-over each of them adds the counts of all blocks, and the sums go back to the blocks whose own counts
-fall short. Then every block has all counts of its own words, and scores its documents in one task.
-So what moves grows with the text, and a frequent word or bigram is one row for each block.
+block counts its distinct bigrams and words and sends the counts to ranges of their hashes, packed: a
+row holds all keys of one block in one range. A range of ``RANGE_TOKENS`` tokens sums the counts of
+all blocks and sends the sums back to the blocks whose own counts fall short. Then every block has
+all counts of its own words and scores its documents in one task. What moves grows with the text: a
+row for each block and range as long as that is less than one for each distinct key of a block, and a
+frequent word or bigram is one entry of each block.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.bytewords import Words, buffers, mix, words
@@ -30,11 +33,13 @@ from corpusloom.llm.common import LARGE_JOIN, keyed, release, saved, slices, tex
 PRIOR = 50.0
 CLASSES = 64
 BLOCK_BYTES = 16 << 20
+RANGE_TOKENS = 2 << 20
 START = np.uint64(0x3C6EF372FE94F82B)  # what stands before a document's first word
-_WORD, _LEAD, _PAIR = np.uint64(0xA54FF53A5F1D36F1), np.uint64(0x510E527FADE682D1), np.uint64(0x9B05688C2B3E6C1F)
+_WORD, _PAIR = np.uint64(0xA54FF53A5F1D36F1), np.uint64(0x9B05688C2B3E6C1F)
 
 _SMALL = "rid long, doc_id long, n_bytes long, small binary"
-_COUNTS = "block long, key long, n long, n_target long"
+_PACKED = "block long, part long, size int, keys binary, counts binary"
+COUNTS = 4  # of a key: as word or bigram, and as word before another (less the former); of all and of the target
 _SCORES = "doc_id long, n_tokens long, target_loss double, background_loss double"
 
 
@@ -86,31 +91,89 @@ def before_each(found: Words) -> np.ndarray:
     return before
 
 
-def keys_of(found: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each word: the keys of the word, of the word before it as such, and of both together."""
-    before = before_each(found)
-    return mix(found.hashes ^ _WORD), mix(before ^ _LEAD), mix(mix(before ^ _PAIR) + found.hashes)
+class Keys(NamedTuple):
+    """The distinct words and bigrams of some documents, sorted, and where those of each token stand."""
 
+    keys: np.ndarray
+    counts: np.ndarray  # (COUNTS, keys)
+    word: np.ndarray
+    lead: np.ndarray
+    pair: np.ndarray
 
-def _counted(key: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys, how often they occur, and how often in the documents of the target (``own``)."""
-    distinct, n = np.unique(key, return_counts=True)
-    some, m = np.unique(key[own], return_counts=True)
-    n_target = np.zeros(len(distinct), np.int64)
-    n_target[np.searchsorted(distinct, some)] = m
-    return distinct, n.astype(np.int64), n_target
 
+def keys_of(found: Words, target: np.ndarray) -> Keys:
+    before = before_each(found)
+    own = np.repeat(target, np.diff(found.first))
+    word, pair = mix(found.hashes ^ _WORD), mix(mix(before ^ _PAIR) + found.hashes)
+    lead = mix(before ^ _WORD)
+    keys = np.unique(np.concatenate((word, lead, pair)))
+    word, lead, pair = (np.searchsorted(keys, x) for x in (word, lead, pair))
+    counts = np.zeros((COUNTS, len(keys)), np.int64)
+    for k, chosen in enumerate((slice(None), own)):
+        words_, leads = (np.bincount(x[chosen], minlength=len(keys)) for x in (word, lead))
+        counts[k] = words_ + np.bincount(pair[chosen], minlength=len(keys))
+        counts[2 + k] = leads - words_
+    return Keys(keys, counts, word, lead, pair)
+
+
+def _zip(values: np.ndarray) -> bytes:
+    """Numbers of 64 bits, compressed byte by byte of all of them, as most of the higher bytes are equal."""
+    return pa.compress(np.ascontiguousarray(values.reshape(-1, 1).view(np.uint8).T), "zstd", asbytes=True)
+
+
+def _unzip(packed: bytes, size: int) -> np.ndarray:
+    flat = np.frombuffer(pa.decompress(packed, 8 * size, "zstd", asbytes=True), np.uint8) if size else np.zeros(0, np.uint8)
+    return np.ascontiguousarray(flat.reshape(8, -1).T).view(np.int64).ravel()
+
+
+def _parts_of(keys: np.ndarray, parts: int) -> np.ndarray:
+    """Where the keys of each of ``parts`` equal ranges begin, and the end."""
+    step = (1 << 64) // parts + 1
+    borders = np.array([k * step for k in range(1, parts)], np.uint64)
+    return np.concatenate(([0], np.searchsorted(keys, borders), [len(keys)]))
+
+
+def _block_counts(parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The counts of each block, a row for each range in which it has keys."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, target, found in _blocks(batches):
+            own = keys_of(found, target)
+            borders = _parts_of(own.keys, parts)
+            filled = np.flatnonzero(np.diff(borders))
+            rows = []
+            for k in filled.tolist():
+                part = slice(int(borders[k]), int(borders[k + 1]))
+                step = np.diff(own.keys[part], prepend=np.uint64(0))
+                rows.append((block, k, part.stop - part.start, _zip(step.view(np.int64)), _zip(own.counts[:, part])))
+            columns = list(zip(*rows, strict=True)) if rows else [()] * 5
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=[c.split()[0] for c in _PACKED.split(", ")])
+
+    return run
 
-def _block_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row for each distinct key of each block."""
-    for block, target, found in _blocks(batches):
-        own = np.repeat(target, np.diff(found.first))
-        for key in keys_of(found):
-            distinct, n, n_target = _counted(key, own)
-            for start in range(0, len(distinct), 1 << 16):
-                part = slice(start, start + (1 << 16))
-                columns = (np.full(len(distinct[part]), block), distinct[part].view(np.int64), n[part], n_target[part])
-                yield pa.record_batch([pa.array(c) for c in columns], names=["block", "key", "n", "n_target"])
+
+def _range_sums(table: pa.Table) -> pa.Table:
+    """For each block of a range: the keys of which other blocks have more, and the sums of their counts."""
+    blocks, sizes = table.column("block").to_pylist(), table.column("size").to_pylist()
+    keys = [np.cumsum(_unzip(x, n).view(np.uint64), dtype=np.uint64) for x, n in zip(table.column("keys").to_pylist(), sizes, strict=True)]
+    distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
+    own = [_unzip(x, COUNTS * n).reshape(COUNTS, n) for x, n in zip(table.column("counts").to_pylist(), sizes, strict=True)]
+    total = np.zeros((COUNTS, len(distinct)), np.int64)
+    borders = np.concatenate(([0], np.cumsum(sizes)))
+    for k, counts in enumerate(own):
+        # a block has a key once in a row, but may have several rows
+        total[:, at[borders[k] : borders[k + 1]]] += counts
+    rows = []
+    for k, counts in enumerate(own):
+        sums = total[:, at[borders[k] : borders[k + 1]]]
+        less = np.flatnonzero((sums != counts).any(axis=0))
+        # the keys themselves: a block is not always read again in the same runs
+        step = np.diff(keys[k][less], prepend=np.uint64(0)).view(np.int64)
+        rows.append((blocks[k], table.column("part")[0].as_py(), len(less), _zip(step), _zip(sums[:, less])))
+    columns = list(zip(*rows, strict=True))
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
+    return pa.table([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=[c.split()[0] for c in _PACKED.split(", ")])
 
 
 def _scored(distinct: int, draws: tuple[float, float], prior: float) -> Callable[[pa.Table, pa.Table], pa.Table]:
@@ -118,35 +181,22 @@ def _scored(distinct: int, draws: tuple[float, float], prior: float) -> Callable
 
     def run(docs: pa.Table, sums: pa.Table) -> pa.Table:
         docs = docs.combine_chunks()
-        ids = docs.column("doc_id")
-        # rows come in any order; the losses of a document do not depend on it
-        target = docs.column("target").to_numpy(zero_copy_only=False).astype(bool)
         column = docs.column("small").combine_chunks() if docs.num_rows else pa.array([], pa.binary())
         found = words(_texts(column, docs.column("n_bytes").to_pylist()))
-        own = np.repeat(target, np.diff(found.first))
-        order = np.argsort(sums.column("key").to_numpy().view(np.uint64), kind="stable")
-        known = sums.column("key").to_numpy().view(np.uint64)[order]
-        known_n = [sums.column(name).to_numpy()[order] for name in ("n", "n_target")]
-
-        counts = []
-        for key in keys_of(found):
-            distinct_keys, *local = _counted(key, own)
-            if len(known) and len(distinct_keys):
-                at = np.minimum(np.searchsorted(known, distinct_keys), len(known) - 1)
-                added = known[at] == distinct_keys
-                local = [np.where(added, sum_[at], n) for n, sum_ in zip(local, known_n, strict=True)]
-            place = np.searchsorted(distinct_keys, key)
-            counts.append([n[place] for n in local])
-        (word_n, word_t), (lead_n, lead_t), (pair_n, pair_t) = counts
+        own = keys_of(found, docs.column("target").to_numpy(zero_copy_only=False).astype(bool))
+        for size, keys, counts in zip(*(sums.column(c).to_pylist() for c in ("size", "keys", "counts")), strict=True):
+            known = np.cumsum(_unzip(keys, size).view(np.uint64), dtype=np.uint64)
+            own.counts[:, np.searchsorted(own.keys, known)] = _unzip(counts, COUNTS * size).reshape(COUNTS, size)
         filled = np.flatnonzero(np.diff(found.first))
         means = []
-        for word, lead, pair, total in ((word_t, lead_t, pair_t, draws[1]), (word_n, lead_n, pair_n, draws[0])):
-            loss = np.log(lead + prior) - np.log(pair + prior * (word + 1) / (total + distinct + CLASSES))
+        for k in (1, 0):  # the target, then all
+            n, more = own.counts[k], own.counts[2 + k]
+            loss = np.log((n + more)[own.lead] + prior) - np.log(n[own.pair] + prior * (n[own.word] + 1) / (draws[k] + distinct + CLASSES))
             mean = np.full(docs.num_rows, np.nan)
             if len(filled):
                 mean[filled] = np.add.reduceat(loss, found.first[filled]) / np.diff(found.first)[filled]
             means.append(pa.array(mean, from_pandas=True))
-        return pa.table([ids, pa.array(np.diff(found.first).astype(np.int64)), *means], names=["doc_id", "n_tokens", "target_loss", "background_loss"])
+        return pa.table([docs.column("doc_id"), pa.array(np.diff(found.first).astype(np.int64)), *means], names=["doc_id", "n_tokens", "target_loss", "background_loss"])
 
     return run
 
@@ -176,10 +226,8 @@ def score_documents(df: DataFrame, targets: DataFrame, prior: float = PRIOR) ->
     each = docs.mapInArrow(word_counts, "word long, n long, n_target long").groupBy("word").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
     facts = each.agg(F.count("*").alias("distinct"), F.sum("n").alias("n"), F.sum("n_target").alias("n_target")).first()
     release(spark)
-    counts = docs.mapInArrow(_block_counts, _COUNTS)
-    every = Window.partitionBy("key")
-    summed = counts.select("block", "key", F.col("n").alias("own"), F.col("n_target").alias("own_target"), F.sum("n").over(every).alias("n"), F.sum("n_target").over(every).alias("n_target"))
-    # where a block has all there is, its own counts will do
-    summed = summed.where("n <> own OR n_target <> own_target").select("block", "key", "n", "n_target")
-    scored = docs.groupBy("block").cogroup(summed.groupBy("block")).applyInArrow(_scored(facts.distinct, (float(facts.n or 0), float(facts.n_target or 0)), prior), _SCORES)
+    parts = 1 + int(facts.n or 0) // RANGE_TOKENS
+    packed = docs.mapInArrow(_block_counts(parts), _PACKED)
+    sums = packed.groupBy("part").applyInArrow(_range_sums, _PACKED)
+    scored = docs.groupBy("block").cogroup(sums.groupBy("block")).applyInArrow(_scored(facts.distinct, (float(facts.n or 0), float(facts.n_target or 0)), prior), _SCORES)
     return scored.withColumn("score", F.col("target_loss") - F.col("background_loss"))

@@ -172,6 +172,7 @@ def test_repeats_across_ranges(spark, monkeypatch, windows):
 def test_language_model_scores(spark, sf_dir, documents, monkeypatch, block_bytes):
     # in one block, and in many
     monkeypatch.setattr(lm_scoring, "BLOCK_BYTES", block_bytes)
+    monkeypatch.setattr(lm_scoring, "RANGE_TOKENS", block_bytes)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where("quality = 1")
     targets = {r.doc_id for r in labels.collect()}
     words = {d: plain_words(t) for d, t in documents.items()}
