@@ -23,6 +23,7 @@ from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -58,29 +59,18 @@ def _texts(small: pa.Array, sizes: list[int]) -> pa.LargeStringArray:
 
 
 def word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct words of each slice and how often they occur there, in all documents and in those of the target."""
-    for block, target, found in _blocks(batches):
-        del block
-        word, at = np.unique(found.hashes, return_inverse=True)
-        own = np.repeat(target, np.diff(found.first))
-        columns = (word.view(np.int64), np.bincount(at, minlength=len(word)), np.bincount(at[own], minlength=len(word)))
-        yield pa.record_batch([pa.array(c.astype(np.int64)) for c in columns], names=["word", "n", "n_target"])
-
-
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, Words]]:
-    """Runs of documents of one block: the block, which belong to the target, and their words."""
+    """Distinct words of each run of documents and how often they occur there, in all and in those of the target."""
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        block = batch.column("block").to_numpy()
-        sizes = batch.column("n_bytes").to_numpy()
-        target = batch.column("target").to_numpy(zero_copy_only=False).astype(bool)
+        sizes = batch.column("n_bytes").to_pylist()
         start = total = 0
-        for stop in range(1, len(block) + 1):
-            total += int(sizes[stop - 1])
-            if stop == len(block) or block[stop] != block[start] or total + sizes[stop] > 2 * BLOCK_BYTES:
-                texts = _texts(batch.column("small").slice(start, stop - start), sizes[start:stop].tolist())
-                yield int(block[start]), target[start:stop], words(texts)
+        for stop in range(1, len(sizes) + 1):
+            total += sizes[stop - 1]
+            if stop == len(sizes) or total + sizes[stop] > BLOCK_BYTES:
+                found, target = _documents(pa.Table.from_batches([batch.slice(start, stop - start)]))
+                at, word = pd.factorize(found.hashes)
+                own = np.repeat(target, np.diff(found.first))
+                columns = (word.view(np.int64), np.bincount(at, minlength=len(word)), np.bincount(at[own], minlength=len(word)))
+                yield pa.record_batch([pa.array(c.astype(np.int64)) for c in columns], names=["word", "n", "n_target"])
                 start, total = stop, 0
 
 
@@ -92,28 +82,42 @@ def before_each(found: Words) -> np.ndarray:
 
 
 class Keys(NamedTuple):
-    """The distinct words and bigrams of some documents, sorted, and where those of each token stand."""
+    """The distinct words and bigrams of some documents, their counts, and those of each token."""
 
-    keys: np.ndarray
+    keys: np.ndarray  # sorted; a word is its own key, START is one of them
     counts: np.ndarray  # (COUNTS, keys)
-    word: np.ndarray
-    lead: np.ndarray
-    pair: np.ndarray
+    words: np.ndarray  # where the words stand among the keys
+    word: np.ndarray  # of each token: its word, as a place in ``words``
+    pair: np.ndarray  # of each token: the key of its bigram
 
 
 def keys_of(found: Words, target: np.ndarray) -> Keys:
-    before = before_each(found)
     own = np.repeat(target, np.diff(found.first))
-    word, pair = mix(found.hashes ^ _WORD), mix(mix(before ^ _PAIR) + found.hashes)
-    lead = mix(before ^ _WORD)
-    keys = np.unique(np.concatenate((word, lead, pair)))
-    word, lead, pair = (np.searchsorted(keys, x) for x in (word, lead, pair))
-    counts = np.zeros((COUNTS, len(keys)), np.int64)
-    for k, chosen in enumerate((slice(None), own)):
-        words_, leads = (np.bincount(x[chosen], minlength=len(keys)) for x in (word, lead))
-        counts[k] = words_ + np.bincount(pair[chosen], minlength=len(keys))
-        counts[2 + k] = leads - words_
-    return Keys(keys, counts, word, lead, pair)
+    filled = np.flatnonzero(np.diff(found.first))
+    before = before_each(found)
+    pair = mix(mix(before ^ _PAIR) + found.hashes)
+    pairs, n = np.unique(pair, return_counts=True)
+    some, m = np.unique(pair[own], return_counts=True)
+    word, distinct = pd.factorize(np.append(found.hashes, START))
+    order = np.argsort(distinct)
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    word = rank[word]
+    places = np.searchsorted(pairs, distinct[order]) + np.arange(len(order))
+    keys, counts = np.empty(len(pairs) + len(order), np.uint64), np.zeros((COUNTS, len(pairs) + len(order)), np.int64)
+    rest = np.ones(len(keys), bool)
+    rest[places] = False
+    keys[places], keys[rest] = distinct[order], pairs
+    counts[0, rest], (at,) = n, np.nonzero(rest)
+    counts[1, at[np.searchsorted(pairs, some)]] = m
+    start, word = word[-1], word[:-1]
+    ends = found.first[1:][filled] - 1
+    for k, (tokens, last) in enumerate(((word, word[ends]), (word[own], word[ends[target[filled]]]))):
+        counts[k, places] = np.bincount(tokens, minlength=len(order))
+        # a word leads as often as it occurs, but at the end of a text; START leads once in each text
+        counts[2 + k, places] = -np.bincount(last, minlength=len(order))
+        counts[2 + k, places[start]] += len(last)
+    return Keys(keys, counts, places, word, pair)
 
 
 def _zip(values: np.ndarray) -> bytes:
@@ -133,68 +137,80 @@ def _parts_of(keys: np.ndarray, parts: int) -> np.ndarray:
     return np.concatenate(([0], np.searchsorted(keys, borders), [len(keys)]))
 
 
-def _block_counts(parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """The counts of each block, a row for each range in which it has keys."""
+def _documents(docs: pa.Table) -> tuple[Words, np.ndarray]:
+    """The words of the documents of a block, and which belong to the target."""
+    docs = docs.combine_chunks()
+    column = docs.column("small").combine_chunks() if docs.num_rows else pa.array([], pa.binary())
+    return words(_texts(column, docs.column("n_bytes").to_pylist())), docs.column("target").to_numpy(zero_copy_only=False).astype(bool)
+
+
+def _sent(rows: list[tuple]) -> pa.Table:
+    columns = list(zip(*rows, strict=True)) if rows else [()] * 5
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
+    return pa.table([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=[c.split()[0] for c in _PACKED.split(", ")])
+
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, target, found in _blocks(batches):
-            own = keys_of(found, target)
-            borders = _parts_of(own.keys, parts)
-            filled = np.flatnonzero(np.diff(borders))
-            rows = []
-            for k in filled.tolist():
-                part = slice(int(borders[k]), int(borders[k + 1]))
-                step = np.diff(own.keys[part], prepend=np.uint64(0))
-                rows.append((block, k, part.stop - part.start, _zip(step.view(np.int64)), _zip(own.counts[:, part])))
-            columns = list(zip(*rows, strict=True)) if rows else [()] * 5
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=[c.split()[0] for c in _PACKED.split(", ")])
+def _block_counts(parts: int) -> Callable[[pa.Table], pa.Table]:
+    """The counts of a block, a row for each range in which it has keys."""
+
+    def run(docs: pa.Table) -> pa.Table:
+        own = keys_of(*_documents(docs))
+        borders = _parts_of(own.keys, parts)
+        block, rows = docs.column("block")[0].as_py(), []
+        for k in np.flatnonzero(np.diff(borders)).tolist():
+            part = slice(int(borders[k]), int(borders[k + 1]))
+            step = np.diff(own.keys[part], prepend=np.uint64(0))
+            rows.append((block, k, part.stop - part.start, _zip(step.view(np.int64)), _zip(own.counts[:, part])))
+        return _sent(rows)
 
     return run
 
 
 def _range_sums(table: pa.Table) -> pa.Table:
-    """For each block of a range: the keys of which other blocks have more, and the sums of their counts."""
-    blocks, sizes = table.column("block").to_pylist(), table.column("size").to_pylist()
+    """For each block of a range: the keys of which other blocks have more, by their places, and the sums of their counts."""
+    blocks, sizes, part = table.column("block").to_pylist(), table.column("size").to_pylist(), table.column("part")[0].as_py()
     keys = [np.cumsum(_unzip(x, n).view(np.uint64), dtype=np.uint64) for x, n in zip(table.column("keys").to_pylist(), sizes, strict=True)]
     distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
-    own = [_unzip(x, COUNTS * n).reshape(COUNTS, n) for x, n in zip(table.column("counts").to_pylist(), sizes, strict=True)]
+    del keys
+    packed, borders = table.column("counts").to_pylist(), np.concatenate(([0], np.cumsum(sizes)))
     total = np.zeros((COUNTS, len(distinct)), np.int64)
-    borders = np.concatenate(([0], np.cumsum(sizes)))
-    for k, counts in enumerate(own):
-        # a block has a key once in a row, but may have several rows
-        total[:, at[borders[k] : borders[k + 1]]] += counts
+    for k, (x, n) in enumerate(zip(packed, sizes, strict=True)):
+        total[:, at[borders[k] : borders[k + 1]]] += _unzip(x, COUNTS * n).reshape(COUNTS, n)
     rows = []
-    for k, counts in enumerate(own):
+    for k, (x, n) in enumerate(zip(packed, sizes, strict=True)):
         sums = total[:, at[borders[k] : borders[k + 1]]]
-        less = np.flatnonzero((sums != counts).any(axis=0))
-        # the keys themselves: a block is not always read again in the same runs
-        step = np.diff(keys[k][less], prepend=np.uint64(0)).view(np.int64)
-        rows.append((blocks[k], table.column("part")[0].as_py(), len(less), _zip(step), _zip(sums[:, less])))
-    columns = list(zip(*rows, strict=True))
-    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
-    return pa.table([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=[c.split()[0] for c in _PACKED.split(", ")])
+        less = np.flatnonzero((sums != _unzip(x, COUNTS * n).reshape(COUNTS, n)).any(axis=0))
+        rows.append((blocks[k], part, len(less), _zip(np.diff(less, prepend=0)), _zip(sums[:, less])))
+    return _sent(rows)
 
 
-def _scored(distinct: int, draws: tuple[float, float], prior: float) -> Callable[[pa.Table, pa.Table], pa.Table]:
+def _scored(parts: int, distinct: int, draws: tuple[float, float], prior: float) -> Callable[[pa.Table, pa.Table], pa.Table]:
     """The losses of the documents of a block, by its own counts and the sums over all blocks."""
 
     def run(docs: pa.Table, sums: pa.Table) -> pa.Table:
-        docs = docs.combine_chunks()
-        column = docs.column("small").combine_chunks() if docs.num_rows else pa.array([], pa.binary())
-        found = words(_texts(column, docs.column("n_bytes").to_pylist()))
-        own = keys_of(found, docs.column("target").to_numpy(zero_copy_only=False).astype(bool))
-        for size, keys, counts in zip(*(sums.column(c).to_pylist() for c in ("size", "keys", "counts")), strict=True):
-            known = np.cumsum(_unzip(keys, size).view(np.uint64), dtype=np.uint64)
-            own.counts[:, np.searchsorted(own.keys, known)] = _unzip(counts, COUNTS * size).reshape(COUNTS, size)
+        found, target = _documents(docs)
+        own = keys_of(found, target)
+        borders = _parts_of(own.keys, parts)
+        for part, size, places, counts in zip(*(sums.column(c).to_pylist() for c in ("part", "size", "keys", "counts")), strict=True):
+            own.counts[:, borders[part] + np.cumsum(_unzip(places, size))] = _unzip(counts, COUNTS * size).reshape(COUNTS, size)
+        rest = np.ones(len(own.keys), bool)
+        rest[own.words] = False
+        order = np.argsort(own.pair)
+        runs = np.diff(np.flatnonzero(np.concatenate(([True], np.diff(own.pair[order]) != 0))), append=len(order)) if len(order) else order
         filled = np.flatnonzero(np.diff(found.first))
+        first = found.first[filled]
+        start = np.searchsorted(own.keys[own.words], START)
+        lead = np.concatenate(([start], own.word[:-1]))[: len(own.word)]
+        lead[first] = start
         means = []
         for k in (1, 0):  # the target, then all
-            n, more = own.counts[k], own.counts[2 + k]
-            loss = np.log((n + more)[own.lead] + prior) - np.log(n[own.pair] + prior * (n[own.word] + 1) / (draws[k] + distinct + CLASSES))
+            n, more = own.counts[k][own.words], own.counts[2 + k][own.words]
+            pair = np.empty(len(order), np.int64)
+            pair[order] = np.repeat(own.counts[k][rest], runs)
+            loss = np.log((n + more)[lead] + prior) - np.log(pair + prior * (n[own.word] + 1) / (draws[k] + distinct + CLASSES))
             mean = np.full(docs.num_rows, np.nan)
             if len(filled):
-                mean[filled] = np.add.reduceat(loss, found.first[filled]) / np.diff(found.first)[filled]
+                mean[filled] = np.add.reduceat(loss, first) / np.diff(found.first)[filled]
             means.append(pa.array(mean, from_pandas=True))
         return pa.table([docs.column("doc_id"), pa.array(np.diff(found.first).astype(np.int64)), *means], names=["doc_id", "n_tokens", "target_loss", "background_loss"])
 
@@ -221,13 +237,13 @@ def score_documents(df: DataFrame, targets: DataFrame, prior: float = PRIOR) ->
     small = rows.select("rid", "doc_id", "text").mapInArrow(_small, _SMALL)
     marked = small.join(chosen.hint(LARGE_JOIN), F.col("doc_id") == F.col("target_id"), "left")
     marked = marked.select(F.pmod(F.xxhash64("rid"), F.lit(blocks)).alias("block"), "doc_id", "n_bytes", "small", F.col("target_id").isNotNull().alias("target"))
-    docs, _ = saved(marked.repartition("block").sortWithinPartitions("block"), "blocks")
+    docs, _ = saved(marked, "blocks")
     release(spark)
     each = docs.mapInArrow(word_counts, "word long, n long, n_target long").groupBy("word").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
     facts = each.agg(F.count("*").alias("distinct"), F.sum("n").alias("n"), F.sum("n_target").alias("n_target")).first()
     release(spark)
     parts = 1 + int(facts.n or 0) // RANGE_TOKENS
-    packed = docs.mapInArrow(_block_counts(parts), _PACKED)
+    packed = docs.groupBy("block").applyInArrow(_block_counts(parts), _PACKED)
     sums = packed.groupBy("part").applyInArrow(_range_sums, _PACKED)
-    scored = docs.groupBy("block").cogroup(sums.groupBy("block")).applyInArrow(_scored(facts.distinct, (float(facts.n or 0), float(facts.n_target or 0)), prior), _SCORES)
+    scored = docs.groupBy("block").cogroup(sums.groupBy("block")).applyInArrow(_scored(parts, facts.distinct, (float(facts.n or 0), float(facts.n_target or 0)), prior), _SCORES)
     return scored.withColumn("score", F.col("target_loss") - F.col("background_loss"))
