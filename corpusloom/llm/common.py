@@ -34,15 +34,17 @@ def release(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
-def keyed(df: DataFrame, *columns: str) -> DataFrame:
+def keyed(df: DataFrame, *columns: str, nulls_last: bool = False) -> DataFrame:
     """``df`` with ``rid``, a number that no other row has and that orders rows as doc_id does.
 
     That is doc_id itself unless ids are missing or repeated; then the rows are numbered in the
-    order of doc_id (null first) and ``columns``, in the shared folder.
+    order of doc_id (null first, or last) and ``columns``, in the shared folder.
     """
     ids = df.select("doc_id").groupBy("doc_id").agg(F.count("*").alias("n"))
     if ids.where("doc_id IS NULL OR n > 1").limit(1).count() == 0:
         return df.withColumn("rid", F.col("doc_id"))
+    if nulls_last:
+        return dense_positions(df.withColumn("no_id", F.col("doc_id").isNull()), ["no_id", "doc_id", *columns]).drop("no_id").withColumnRenamed("position", "rid")
     return dense_positions(df, ["doc_id", *columns]).withColumnRenamed("position", "rid")
 
 

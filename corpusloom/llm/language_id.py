@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from corpusloom.llm.bytewords import buffers
 from corpusloom.llm.common import slices, texts_of
 
+MACHINES = 4096
 SAMPLE_ROWS = 1024
 FEATURES = 1 << 14
 UNKNOWN = "und"
@@ -123,14 +124,21 @@ def _sampled_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def train_languages(df: DataFrame, sample_rows: int = SAMPLE_ROWS, families: dict[str, str] | None = None) -> Model:
-    """Learn from rows (text, lang); rows without text or lang are left out. ``families`` names the family of a language."""
+    """Learn from rows (text, lang); rows without text or lang are left out. ``families`` names the family of a language.
+
+    A language without family is one of its own. There is a machine for each pair of families and of
+    languages in one; more than ``MACHINES`` (64 KB each, they are sent to all tasks) raise a ValueError.
+    """
     family_of = FAMILY_OF if families is None else families
     rows = df.where("lang IS NOT NULL AND text IS NOT NULL").select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     rows = rows.withColumn("hash", F.xxhash64("text"))
     known = rows.groupBy("lang", "hash").agg(F.lit(1).alias("one"))
     languages = max(1, rows.select("lang").distinct().count())
-    order = Window.partitionBy("lang").orderBy("hash")
-    ranked = known.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= max(1, sample_rows // languages))
+    many = max(1, sample_rows // languages)
+    # of a common language each of 64 tasks passes on the first texts by hash, then these are ranked
+    dealt = Window.partitionBy("lang", F.pmod("hash", F.lit(64))).orderBy("hash")
+    first = known.withColumn("rank", F.row_number().over(dealt)).where(F.col("rank") <= many)
+    ranked = first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("hash"))).where(F.col("rank") <= many)
     chosen = [r.hash for r in ranked.select("hash").collect()]
     texts = rows.where(F.col("hash").isin(chosen)).groupBy("lang", "hash").agg(F.first("text").alias("text"))
     found = texts.mapInArrow(_sampled_counts, "lang string, hash long, feature array<int>, n array<int>").toArrow()
@@ -147,6 +155,10 @@ def train_languages(df: DataFrame, sample_rows: int = SAMPLE_ROWS, families: dic
     family = np.array([family_of.get(name, name) for name in lang], dtype=object)
     names = {f: sorted(set(lang[family == f])) for f in sorted(set(family))}
 
+    pairs = sum(len(own) * (len(own) - 1) // 2 for own in (names, *names.values()))
+    if pairs > MACHINES:
+        raise ValueError(f"{pairs} pairs of languages or families need a machine each; name families so that there are at most {MACHINES}")
+
     def machines(label: np.ndarray, values: list[str]) -> list[Machine]:
         out = []
         for a, b in combinations(values, 2):
@@ -173,7 +185,7 @@ def _vote(rows: int, names: list[str], machines: list[Machine], margins: dict[tu
     return best, least[np.arange(rows), best]
 
 
-def _predict(sent: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _predict(sent: Broadcast, pred: str, level: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = sent.value
         names = list(model.families)
@@ -200,20 +212,22 @@ def _predict(sent: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
                     for k, text in enumerate(texts):
                         if not lettered[k] and not any(c.isalpha() for c in text.as_py()):
                             lang[k], score[k] = UNKNOWN, 0.0
-                yield pa.record_batch([*part.columns, pa.array(lang.tolist(), pa.string()), pa.array(score)], names=[*part.schema.names, "lang_pred", "lang_score"])
+                yield pa.record_batch([*part.columns, pa.array(lang.tolist(), pa.string()), pa.array(score)], names=[*part.schema.names, pred, level])
 
     return run
 
 
-def identify(df: DataFrame, model: Model) -> DataFrame:
+def identify(df: DataFrame, model: Model, pred: str = "lang_pred", score: str = "lang_score") -> DataFrame:
     """Add lang_pred and lang_score (0 to 1) to rows with ``text``; every other column passes as it is.
 
-    lang_pred is a learned language, or ``und`` with score 0 where the text is null or has no letters,
+    ``pred`` and ``score`` give the two columns other names; columns that have these names already are
+    replaced. lang_pred is a learned language, or ``und`` with score 0 where the text is null or has no letters,
     or where nothing was learned. Prediction looks at the text alone. An empty table gives no rows.
     """
     sent = df.sparkSession.sparkContext.broadcast(model)
+    df = df.drop(pred, score)
     fields = ", ".join(f"`{n}` {f.dataType.simpleString()}" for n, f in zip(df.columns, df.schema.fields, strict=True))
-    return df.mapInArrow(_predict(sent), f"{fields}, lang_pred string, lang_score double")
+    return df.mapInArrow(_predict(sent, pred, score), f"{fields}, `{pred}` string, `{score}` double")
 
 
 def held_out() -> Column:

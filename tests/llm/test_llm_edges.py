@@ -27,7 +27,8 @@ WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 @pytest.fixture(scope="module")
 def nasty(spark):
     """The rows with columns whose names the operators use inside."""
-    names = ("rid", "spans", "places", "word", "hash", "node", "set_key", "bins", "n", "ids", "row", "target", "carried", "position", "n_bytes", "kept")
+    names = ("rid", "spans", "places", "word", "hash", "node", "set_key", "bins", "n", "ids", "row", "target", "carried", "position", "n_bytes", "kept",
+             "lang_pred", "lang_score", "predicted", "sure", "no_id", "block", "key", "part", "counts", "removed", "component_id")
     df = spark.createDataFrame(ROWS, SCHEMA)
     return df.withColumns({name: F.lit(7) for name in names})
 
@@ -68,7 +69,7 @@ def test_counts(nasty):
 def test_language(nasty):
     rows = OPERATORS["language"](nasty, None).collect()
     assert sorted(r.doc_id for r in rows if r.lang_pred == "und" and r.doc_id) == [1, 2, 3]
-    assert set(nasty.columns) < set(rows[0].asDict()) and all(r.rid == 7 for r in rows)
+    assert set(nasty.columns) == set(rows[0].asDict()) and all(r.rid == 7 for r in rows)
 
 
 def test_repeats(nasty):
@@ -136,6 +137,13 @@ def test_pipeline(spark, nasty, tests, tmp_path):
         assert stage(spark, empty, str(tmp_path)).collect() == []
 
 
+def test_one_row_of_each_group_stays(spark, tmp_path):
+    copies = [(None, "a b c d e f g"), (None, "a b c d e f g"), (3, "a b c d e f g"), (3, "a b c d e f g"), (9, "A b c d e f g"), (None, "x"), (None, "x"), (7, "x y")]
+    docs = spark.createDataFrame(copies, "doc_id long, text string").withColumn("rid", F.lit(1))
+    left = corpus_pipeline.one_of_each_group(spark, docs, str(tmp_path)).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in left) == [(0, "x"), (3, "a b c d e f g"), (7, "x y")]
+
+
 def test_scores_tell_rare_words_apart(spark):
     # the rare words have one length and kind
     filler = " ".join(f"f{k:04d} the of f{k:04d}" for k in range(1500))
