@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import LARGE_JOIN
+from corpusloom.llm.common import LARGE_JOIN, keyed
 from corpusloom.llm.decontamination import decontaminate
 from corpusloom.llm.language_id import UNKNOWN, held_out, identify, train_languages
 from corpusloom.llm.near_dedup import near_duplicates
@@ -20,13 +20,21 @@ from corpusloom.session import pinned, scratch
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which a language is recognised stay; those without letters, or without text, go."""
     model = train_languages(docs.where(~held_out()))
-    return identify(docs, model).where(F.col("lang_pred") != UNKNOWN).select(docs.columns)
+    names = []
+    for name in ("predicted", "sure"):
+        while name in docs.columns:
+            name = f"_{name}"
+        names.append(name)
+    return identify(docs, model, *names).where(F.col(names[0]) != UNKNOWN).select(docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of near duplicates, the document with the smallest doc_id stays."""
-    kept = near_duplicates(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept.hint(LARGE_JOIN), docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    """Of near duplicates, the row with the smallest doc_id stays, also of rows with one id or without (these come last)."""
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.struct(*columns).alias("row"))
+    rows = keyed(rows, "text", nulls_last=True)
+    kept = near_duplicates(rows.select(F.col("rid").alias("doc_id"), "text")).where("kept").select(F.col("doc_id").alias("rid"))
+    return rows.join(kept.hint(LARGE_JOIN), "rid", "left_semi").select("row.*")
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
