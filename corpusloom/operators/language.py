@@ -1,7 +1,8 @@
 """Language identification from trigram profiles learned on a corpus.
 
 Rank-order profiles after Cavnar and Trenkle, "N-Gram-Based Text Categorization" (1994).
-Training is a distributed count; detection is narrow and reads the profiles as a small table.
+Training is a distributed count; detection is narrow. The profiles travel as inverted indexes of some
+hundred languages each, and a text skips those whose best language could not be among its best two.
 """
 
 from __future__ import annotations
@@ -14,14 +15,15 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
 from corpusloom.functions.text import as_column, fill_nulls
-from corpusloom.session import pinned
 
 # Fixed by the method: ranks from 600 on can earn nothing, so leaving them out loses nothing.
 PROFILE_SIZE = 300
 DOCUMENT_SIZE = 600
 RELIABLE_ABOVE = 0.9
-# 300 rows per language: the table handed to every task stays below a few megabytes
-MAX_PROFILE_ROWS = PROFILE_SIZE * 500
+# from this rank on a profile trigram can earn nothing either
+LAST_RANK = DOCUMENT_SIZE + PROFILE_SIZE
+# languages in one index: at most a few megabytes are sent at once
+BLOCK_LANGUAGES = 500
 # characters whose trigrams a task sorts together
 COUNTED_AT_ONCE = 1 << 21
 _POINT = (1 << 21) - 1
@@ -128,68 +130,98 @@ def train_language_profiles(df: DataFrame, text_col: str, lang_col: str) -> Data
     )
 
 
-class _Profiles:
-    """Profile trigrams sorted by code, for lookup of a document's ranked trigrams."""
+class _Block:
+    """The profile trigrams of some languages as an inverted index."""
 
     def __init__(self, rows: list[tuple[str, str, int]]) -> None:
         self.languages = sorted({lang for lang, _, _ in rows})
         index = {lang: i for i, lang in enumerate(self.languages)}
         codes = np.array([_codes(_code_points(t))[0] for _, t, _ in rows], dtype=np.int64)
         order = np.argsort(codes, kind="stable")
-        self.codes = codes[order]
-        self.langs = np.array([index[lang] for lang, _, _ in rows], dtype=np.int64)[order]
-        self.ranks = np.array([rank for _, _, rank in rows], dtype=np.int64)[order]
+        self.codes, starts = np.unique(codes[order], return_index=True)
+        self.starts = np.append(starts, len(rows))
+        self.langs = np.array([index[lang] for lang, _, _ in rows], dtype=np.int32)[order]
+        self.ranks = np.array([rank for _, _, rank in rows], dtype=np.int32)[order]
+
+    def best(self, ranked: np.ndarray, needed: int) -> list[tuple[int, str]]:
+        """The best two languages for a document's ranked trigrams, as (-score, language).
+
+        Nothing where no language of the block can reach ``needed``.
+        """
+        at = np.minimum(np.searchsorted(self.codes, ranked), len(self.codes) - 1)
+        places = np.flatnonzero(self.codes[at] == ranked)
+        if not len(places) or PROFILE_SIZE * len(places) < needed:
+            return []
+        first = self.starts[at[places]]
+        sizes = self.starts[at[places] + 1] - first
+        # the postings of all known trigrams, one run after another
+        ends = np.cumsum(sizes)
+        postings = np.arange(ends[-1]) + np.repeat(first - ends + sizes, sizes)
+        away = np.abs(np.repeat(places, sizes) - self.ranks[postings])
+        gains = PROFILE_SIZE - np.minimum(away, PROFILE_SIZE)
+        scores = np.bincount(self.langs[postings], weights=gains, minlength=len(self.languages))
+        found = []
+        for _ in range(min(2, len(scores))):
+            top = int(np.argmax(scores))
+            if scores[top] > 0:
+                found.append((-int(scores[top]), self.languages[top]))
+            scores[top] = 0
+        return found
+
+
+class _Profiles:
+    """Profiles in blocks, for lookup of a document's ranked trigrams."""
+
+    def __init__(self, blocks: list[_Block]) -> None:
+        self.blocks = blocks
 
     def judge(self, text: str) -> tuple[str | None, float, bool]:
         """The best language, how clear the choice is, and whether it can be relied on."""
         points = _code_points(text)
-        if len(points) < 3 or not len(self.codes):
+        if len(points) < 3:
             return None, 0.0, False
         trigrams, counts = _counted(points)
         ranked = trigrams[np.argsort(-counts, kind="stable")[:DOCUMENT_SIZE]]
-        # where each profile trigram stands in the document, if it does
-        by_code = np.argsort(ranked)
-        place = np.searchsorted(ranked, self.codes, sorter=by_code)
-        place = by_code[np.minimum(place, len(ranked) - 1)]
-        known = ranked[place] == self.codes
-        gains = PROFILE_SIZE - np.minimum(np.abs(place - self.ranks), PROFILE_SIZE)
-        scores = np.bincount(
-            self.langs[known], weights=gains[known], minlength=len(self.languages)
-        )
-        order = np.argsort(-scores, kind="stable")
-        best = float(scores[order[0]])
-        if best <= 0:
+        best: list[tuple[int, str]] = []
+        for block in self.blocks:
+            needed = -best[1][0] if len(best) > 1 else 1
+            best = sorted(best + block.best(ranked, needed))[:2]
+        if not best:
             return None, 0.0, False
-        second = float(scores[order[1]]) if len(order) > 1 else 0.0
-        if second <= 0:
+        if len(best) == 1:
             confidence = 1.0
         else:
+            first, second = -best[0][0], -best[1][0]
             wanted = 12.0 / len(trigrams) + 0.05
-            confidence = min(1.0, (best - second) / second / wanted)
-        return self.languages[order[0]], confidence, confidence > RELIABLE_ABOVE
-
-
-def _profile_rows(profiles: DataFrame) -> list[tuple[str, str, int]] | None:
-    """The rows of the profiles, or None if they are too many to travel."""
-    rows = profiles.select("lang", "trigram", "rank").limit(MAX_PROFILE_ROWS + 1).collect()
-    return None if len(rows) > MAX_PROFILE_ROWS else [tuple(row) for row in rows]
+            confidence = min(1.0, (first - second) / second / wanted)
+        return best[0][1], confidence, confidence > RELIABLE_ABOVE
+
+
+def _profile_blocks(profiles: DataFrame) -> Iterator[_Block]:
+    """The profiles in blocks of languages; the driver holds one block and one part at a time."""
+    known = profiles.where(F.col("lang").isNotNull() & (F.col("rank") < LAST_RANK))
+    # the ranking left the languages together: no further shuffle
+    grouped = known.groupBy("lang").agg(F.collect_list(F.struct("trigram", "rank")).alias("rows"))
+    waiting: list[tuple[str, str, int]] = []
+    languages = 0
+    for lang, rows in grouped.toLocalIterator():
+        waiting += [(lang, trigram, rank) for trigram, rank in rows]
+        languages += 1
+        if languages == BLOCK_LANGUAGES:
+            yield _Block(waiting)
+            waiting, languages = [], 0
+    if waiting:
+        yield _Block(waiting)
 
 
 def language_judge(profiles: DataFrame):
     """The Arrow function behind :func:`language_of`, for texts of letters and single spaces."""
-    rows = _profile_rows(profiles)
-    if rows is None:
-        raise ValueError(
-            f"language profiles exceed {MAX_PROFILE_ROWS} rows; detect_language joins larger ones"
-        )
-    return _judge(rows)
-
-
-def _judge(rows: list[tuple[str, str, int]]):
+    context = profiles.sparkSession.sparkContext
+    sent = [context.broadcast(block) for block in _profile_blocks(profiles)]
 
     @F.arrow_udf(RESULT)
     def detect(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        known = _Profiles(rows)
+        known = _Profiles([block.value for block in sent])
         kind = pa.struct(
             [("lang", pa.string()), ("confidence", pa.float64()), ("reliable", pa.bool_())]
         )
@@ -207,21 +239,18 @@ def _judge(rows: list[tuple[str, str, int]]):
 def language_of(text: Column | str, profiles: DataFrame) -> Column:
     """struct(lang, confidence, reliable) per text; NULL for NULL.
 
-    ``profiles`` (300 rows per language, checked) is read once and travels with the function,
-    so the text is neither shuffled nor exploded.
+    ``profiles`` is read once and sent in blocks of 500 languages (at most 900 rows each), some 5 MB
+    of memory for each thousand languages in a task. The text is neither shuffled nor exploded.
     """
     return language_judge(profiles)(letters_only(as_column(text)))
 
 
 def detect_language(df: DataFrame, text_col: str, profiles: DataFrame) -> DataFrame:
-    """Add detected_lang, confidence and reliable.
+    """Add detected_lang, confidence and reliable, for any number of languages.
 
-    Profiles of up to 500 languages travel to the rows; larger ones are joined on the trigram.
+    See :func:`language_of`; of languages with one score the first in code-point order is taken.
     """
-    rows = _profile_rows(profiles)
-    if rows is None:
-        return _detect_by_join(df, text_col, profiles)
-    judged = df.withColumn("__language", _judge(rows)(letters_only(F.col(f"`{text_col}`"))))
+    judged = df.withColumn("__language", language_of(F.col(f"`{text_col}`"), profiles))
     return judged.select(
         *[F.col(f"`{c}`") for c in df.columns],
         F.col("__language.lang").alias("detected_lang"),
@@ -230,54 +259,6 @@ def detect_language(df: DataFrame, text_col: str, profiles: DataFrame) -> DataFr
     )
 
 
-def _ranked_trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The ranked trigrams of each text, and how many different ones it has."""
-    for batch in batches:
-        rows, trigrams, places, sizes = [], [], [], []
-        for row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            points = _code_points(text or "")
-            if len(points) < 3:
-                continue
-            codes, counts = _counted(points)
-            ranked = codes[np.argsort(-counts, kind="stable")[:DOCUMENT_SIZE]].tolist()
-            trigrams += [chr(c >> 42) + chr((c >> 21) & _POINT) + chr(c & _POINT) for c in ranked]
-            rows += [row] * len(ranked)
-            places += range(len(ranked))
-            sizes += [len(codes)] * len(ranked)
-        arrays = [pa.array(rows, pa.int64()), pa.array(trigrams, pa.string()), pa.array(places, pa.int32()), pa.array(sizes, pa.int64())]
-        yield pa.RecordBatch.from_arrays(arrays, names=["row", "trigram", "place", "size"])
-
-
-def _detect_by_join(df: DataFrame, text_col: str, profiles: DataFrame) -> DataFrame:
-    """As :func:`detect_language`, with the profiles as a table of any size."""
-    rows = pinned(df.withColumn("__row", F.monotonically_increasing_id()), "texts")
-    texts = rows.select("__row", letters_only(F.col(f"`{text_col}`")).alias("text"))
-    ranked = texts.mapInArrow(_ranked_trigrams, "row long, trigram string, place int, size long")
-    gain = PROFILE_SIZE - F.least(F.abs(F.col("place") - F.col("rank")), F.lit(PROFILE_SIZE))
-    scores = ranked.join(profiles, "trigram").groupBy("row", "lang").agg(
-        F.sum(gain).alias("score"), F.first("size").alias("size")
-    )
-    # the best two of each row: a first by language, then the next
-    best = scores.groupBy("row").agg(
-        F.first("size").alias("size"),
-        F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("minus"), "lang"))).alias("found"),
-    )
-    first, second = -F.col("found")[0]["minus"], F.coalesce(-F.get("found", F.lit(1))["minus"], F.lit(0))
-    wanted = F.lit(12.0) / F.col("size") + 0.05
-    clear = F.when(second <= 0, 1.0).otherwise(F.least(F.lit(1.0), (first - second) / second / wanted))
-    judged = best.where(first > 0).select(
-        F.col("row").alias("__row"), F.col("found")[0]["lang"].alias("__lang"), clear.alias("__clear")
-    )
-    known = F.col(f"`{text_col}`").isNotNull()
-    confidence = F.when(known, F.coalesce("__clear", F.lit(0.0)))
-    return rows.join(judged, "__row", "left").select(
-        *[F.col(f"`{c}`") for c in df.columns],
-        F.col("__lang").alias("detected_lang"),
-        confidence.alias("confidence"),
-        (confidence > RELIABLE_ABOVE).alias("reliable"),
-    )
-
-
 def is_english(
     text: Column | str, profiles: DataFrame, english: str = "en", null_compat: bool = False
 ) -> Column:

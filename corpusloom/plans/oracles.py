@@ -413,6 +413,14 @@ SELECT doc_id, d.lang, j.lang AS detected_lang, round(coalesce(confidence, 0), 6
 FROM documents d LEFT JOIN judged j USING (doc_id)"""
 )
 
+ORACLES["detected_many_languages"] = f"""
+WITH labelled AS (SELECT doc_id, text, lang || '-' || (doc_id % 300) AS lang FROM documents),
+{PROFILES.replace("FROM documents", "FROM labelled").lstrip()[len("WITH "):]}
+{judged("documents", "doc_id")}
+SELECT doc_id, d.lang AS label, j.lang AS detected_lang, round(coalesce(confidence, 0), 6) AS confidence,
+       coalesce(confidence > 0.9, FALSE) AS reliable
+FROM labelled d LEFT JOIN judged j USING (doc_id)"""
+
 ORACLES["english_turns"] = (
     PROFILES
     + judged("conversations", "conv_id, turn")

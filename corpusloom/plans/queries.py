@@ -400,6 +400,17 @@ def detected_languages(spark, sf_dir):
     )
 
 
+@query
+def detected_many_languages(spark, sf_dir):
+    label = F.concat("lang", F.lit("-"), F.col("doc_id") % 300)
+    docs = spread_documents(spark, sf_dir).withColumn("label", label)
+    profiles = train_language_profiles(docs, "text", "label")
+    found = detect_language(docs.select("doc_id", "label", "text"), "text", profiles)
+    return found.select(
+        "doc_id", "label", "detected_lang", F.round("confidence", 6).alias("confidence"), "reliable"
+    )
+
+
 @query
 def english_turns(spark, sf_dir):
     profiles = train_language_profiles(spread_documents(spark, sf_dir), "text", "lang")

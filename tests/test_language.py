@@ -9,6 +9,7 @@ from corpusloom.operators.language import (
     _counted,
     _code_points,
     _codes,
+    _Block,
     _Profiles,
     _trigram_counts,
     detect_language,
@@ -65,7 +66,7 @@ def test_held_out_documents(spark, sf_dir, profiles):
 
 def test_judging_agrees_with_the_plain_rules(profiles):
     rows = [tuple(r) for r in profiles.select("lang", "trigram", "rank").collect()]
-    known, rng = _Profiles(rows), random.Random(3)
+    known, rng = _Profiles([_Block(rows)]), random.Random(3)
     grams = [g for _, g, _ in rows]
     for size in (1, 2, 5, 40, 400):
         text = " " + "".join(rng.choice(grams) for _ in range(size)) + " "
@@ -106,23 +107,46 @@ def test_english_or_not(spark, profiles):
     assert (row.detected_lang, row.confidence, row.reliable) == (None, 0.0, False)
 
 
-def test_too_many_profiles_raise(profiles, monkeypatch):
-    monkeypatch.setattr(language, "MAX_PROFILE_ROWS", 10)
-    with pytest.raises(ValueError, match="exceed 10 rows"):
-        is_english("text", profiles)
-
-
-def test_larger_profiles_are_joined(spark, sf_dir, profiles, monkeypatch):
+def test_blocks_of_languages_give_one_result(spark, sf_dir, profiles, monkeypatch):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     odd = spark.createDataFrame([(-1, None), (-2, ""), (-3, "12345 !!")], "doc_id long, text string")
     docs = docs.unionByName(odd)
-    wanted = {r.doc_id: tuple(r) for r in detect_language(docs, "text", profiles).collect()}
-    monkeypatch.setattr(language, "MAX_PROFILE_ROWS", 10)
-    got = {r.doc_id: tuple(r) for r in detect_language(docs, "text", profiles).collect()}
-    assert got.keys() == wanted.keys()
-    for key, row in wanted.items():
-        assert got[key][2] == row[2] and got[key][4] == row[4]
-        assert got[key][3] == (row[3] if row[3] is None else pytest.approx(row[3]))
+    english = docs.select("doc_id", is_english("text", profiles).alias("e"))
+    wanted = sorted(map(tuple, detect_language(docs, "text", profiles).collect()))
+    turns = sorted(map(tuple, english.collect()))
+    for size in (1, 3):
+        monkeypatch.setattr(language, "BLOCK_LANGUAGES", size)
+        assert sorted(map(tuple, detect_language(docs, "text", profiles).collect())) == wanted
+        again = docs.select("doc_id", is_english("text", profiles).alias("e"))
+        assert sorted(map(tuple, again.collect())) == turns
+
+
+@pytest.mark.parametrize("size", [1, 7, 1000])
+def test_many_languages_agree_with_the_plain_rules(size):
+    """Equal profiles under several names, so that ties and skipped blocks occur."""
+    rng = random.Random(5)
+    grams = [a + b + c for a in "abcd" for b in "abcd" for c in "abcd"]
+    rows = []
+    for number in range(40):
+        order = random.Random(number % 13).sample(grams, 30)
+        rows += [(f"l{number:02}", gram, rank) for rank, gram in enumerate(order)]
+    names = sorted({lang for lang, _, _ in rows}, key=lambda n: n[::-1])  # not in order over blocks
+    parts = [names[at : at + size] for at in range(0, len(names), size)]
+    known = _Profiles([_Block([r for r in rows if r[0] in part]) for part in parts])
+    for length in (3, 4, 9, 60):
+        for _ in range(20):
+            text = "".join(rng.choice("abcd") for _ in range(length))
+            lang, confidence, reliable = known.judge(text)
+            expected = naive_judge(rows, text)
+            assert (lang, reliable) == (expected[0], expected[2])
+            assert confidence == pytest.approx(expected[1])
+
+
+def test_a_block_out_of_reach_is_skipped():
+    block = _Block([("x", "abc", 0), ("y", "abd", 1)])
+    ranked = _codes(_code_points("abcd"))
+    assert block.best(ranked, 301) == [] and block.best(ranked, 300) == [(-300, "x")]
+    assert _Profiles([]).judge(" abc ") == (None, 0.0, False)
 
 
 def test_detection_is_narrow(spark, sf_dir, profiles):
