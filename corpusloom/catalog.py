@@ -74,6 +74,7 @@ ENTRIES = (
     Entry(language.detect_language, "table", "Language", "detect_language(df, 'text', profiles)"),
     Entry(language.is_english, "scalar", "Language", "df.select(is_english('text', profiles))"),
     Entry(html.extract_html, "table", "HTML", "extract_html(pages, 'html', ['page_id'], 'paragraph')"),
+    Entry(html.extract_html_per_row, "table", "HTML", "extract_html_per_row(pages, 'html', 'config', ['page_id'])"),
     Entry(vectors.embed_fake, "scalar", "AI", "df.select(embed_fake('text', 768))"),
     Entry(tokens.token_count, "scalar", "AI", "df.select(token_count('text'))"),
     Entry(tokens.chunk_text, "scalar", "AI", "df.select(chunk_text('text', 512))"),
@@ -118,6 +119,7 @@ SQL_NAMES = {
     "html_raw": html.extract_html,
     "html_paragraphs": html.extract_html,
     "html_chunks": html.extract_html,
+    "html_extract": html.extract_html_per_row,
 }
 _SQL_EXAMPLES = {
     "s3_fetch": f"SELECT s3_fetch(path) FROM files {STORE}",
@@ -132,6 +134,7 @@ _SQL_EXAMPLES = {
         name: f"SELECT e.* FROM (SELECT {name}(html) AS rows FROM pages), LATERAL inline(rows) AS e"
         for name in ("html_raw", "html_paragraphs", "html_chunks")
     },
+    "html_extract": "SELECT e.* FROM (SELECT html_extract(html, config) AS rows FROM pages), LATERAL inline(rows) AS e",
 }
 
 # The columns of the catalog.

@@ -11,21 +11,23 @@ import json
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import lru_cache, reduce
 from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import (
     ArrayType,
+    BooleanType,
     IntegerType,
+    LongType,
     StringType,
     StructField,
     StructType,
 )
 
 from corpusloom.functions.markup import page_elements, with_headings
-from corpusloom.functions.text import as_column, trim_text
+from corpusloom.functions.text import SQL_FUNCTIONS, as_column, trim_text
 
 # Size guard, filter defaults, chunk defaults and mode names.
 MAX_HTML_BYTES = 50 * 1024 * 1024
@@ -61,6 +63,30 @@ BOUND = StructType(
         StructField("words", IntegerType()),
     ]
 )
+CONFIG = StructType(
+    [
+        StructField("mode", StringType()),
+        StructField("min_words", LongType()),
+        StructField("max_words", LongType()),
+        StructField("filtered", BooleanType()),
+        StructField("skip", ArrayType(StringType())),
+        StructField("min_paragraph", LongType()),
+    ]
+)
+# rows of any mode; element_type and classes are of elements, paragraph_count is of chunks
+ROW = StructType(
+    [
+        StructField("mode", StringType()),
+        StructField("position", IntegerType()),
+        StructField("element_type", StringType()),
+        StructField("text", StringType()),
+        StructField("word_count", IntegerType()),
+        *_TEXTS,
+        StructField("classes", StringType()),
+        StructField("paragraph_count", IntegerType()),
+        StructField("error", StringType()),
+    ]
+)
 
 
 def _count(value: Any, default: int) -> int:
@@ -337,3 +363,124 @@ def extract_html(
         "__c.word_count", "__c.paragraph_count",
         F.coalesce("__error", F.lit("")).alias("error"),
     )
+
+
+# --- a config for each row ----------------------------------------------------------------
+
+_LONGEST = (1 << 62) - 1
+
+
+@lru_cache(maxsize=1024)
+def _config_values(text: str | None) -> dict[str, Any]:
+    config = ExtractConfig.from_any(text)
+    return {
+        "mode": config.mode,
+        "min_words": min(config.min_words, _LONGEST),
+        "max_words": min(config.max_words, _LONGEST),
+        "filtered": config.filter_enabled,
+        "skip": [w.lower() for w in config.skip_classes if not re.search(r"\s", w)],
+        "min_paragraph": min(config.filter_min_words, _LONGEST),
+    }
+
+
+def config_udf():
+    """The Arrow function from a config text or mode name to its values."""
+    types = {LongType(): pa.int64(), StringType(): pa.string(), BooleanType(): pa.bool_()}
+    kind = pa.struct([(f.name, types.get(f.dataType, pa.list_(pa.string()))) for f in CONFIG])
+
+    @F.arrow_udf(CONFIG)
+    def parse(configs: pa.Array) -> pa.Array:
+        return pa.array([_config_values(text) for text in configs.to_pylist()], kind)
+
+    # not deterministic for the optimizer: merged into the steps after it, it would stand in their lambdas
+    return parse.asNondeterministic()
+
+
+def kept_sql(elements: str, config: str) -> str:
+    """SQL for the elements that a row's config keeps; headings stay in mode raw only."""
+    skipped = (
+        f"e.classes RLIKE '(?U)\\\\S' AND exists({config}.skip, w -> contains(lower(e.classes), w))"
+    )
+    return (
+        f"filter({elements}, e -> CASE WHEN e.element_type <> 'p' THEN {config}.mode = 'raw' "
+        f"ELSE NOT {config}.filtered OR (e.word_count >= {config}.min_paragraph AND NOT ({skipped})) END)"
+    )
+
+
+def row_sql(**values: str) -> str:
+    """SQL for a row of :data:`ROW`; fields without a value are empty headings or NULL."""
+    empty = {h: "''" for h in HEADINGS} | {"error": "''"}
+    fields = (
+        f"'{f.name}', CAST({values.get(f.name) or empty.get(f.name, 'NULL')} AS {f.dataType.simpleString()})"
+        for f in ROW
+    )
+    return f"named_struct({', '.join(fields)})"
+
+
+def rows_sql(kept: str, bounds: str, mode: str) -> str:
+    """SQL for a page's rows from its kept elements and, in mode semantic, where chunks start."""
+    named = dict(mode=mode, position="i", text="e.text", word_count="e.word_count")
+    headings = {h: f"e.{h}" for h in HEADINGS}
+    element = row_sql(**named, **headings, element_type="e.element_type", classes="e.classes")
+    paragraph = row_sql(**named, **headings, paragraph_count="1")
+    joined = f"array_join(transform(slice({kept}, b.start + 1, b.size), e -> e.text), '\\n\\n')"
+    chunk = row_sql(
+        mode=mode, position="i",
+        text=SQL_FUNCTIONS["trim_text"][2].replace("FROM text", f"FROM {joined}"),
+        word_count="b.words", paragraph_count="b.size",
+        **{h: f"coalesce(CASE WHEN b.size > 0 THEN get({kept}, b.start).{h} END, '')" for h in HEADINGS},
+    )
+    return (
+        f"CASE {mode} WHEN 'raw' THEN transform({kept}, (e, i) -> {element}) "
+        f"WHEN 'paragraph' THEN transform({kept}, (e, i) -> {paragraph}) "
+        f"ELSE transform({bounds}, (b, i) -> {chunk}) END"
+    )
+
+
+def error_sql(mode: str, error: str) -> str:
+    """SQL for the one row of a page that must not be parsed."""
+    element = f"CASE WHEN {mode} = 'raw' THEN '' END"
+    chunk = f"CASE WHEN {mode} <> 'raw' THEN 0 END"
+    row = row_sql(
+        mode=mode, position="0", text="''", word_count="0", element_type=element, classes=element,
+        paragraph_count=chunk, error=error,
+    )
+    return f"array({row})"
+
+
+def extract_html_per_row(
+    df: DataFrame,
+    html_col: str,
+    config_col: str,
+    keys: Sequence[str] = (),
+    max_bytes: int = MAX_HTML_BYTES,
+) -> DataFrame:
+    """As :func:`extract_html`, by the config (JSON or a mode name) that each row holds.
+
+    Rows of all modes have the columns of :data:`ROW`: ``mode`` names the row's mode, ``position``
+    its place in the page. A NULL or empty config means the defaults, malformed JSON fails, a NULL
+    page gives no rows. There is no shuffle.
+    """
+    names = [F.col(f"`{k}`") for k in keys]
+    html = F.col(f"`{html_col}`")
+    error = _guard(html, max_bytes)
+    scan = elements_udf().asNondeterministic()  # for the reason given in config_udf
+    scanned = df.select(
+        *names,
+        error.alias("__error"),
+        scan(F.when(error.isNull(), html)).alias("__elements"),
+        config_udf()(F.col(f"`{config_col}`").cast("string")).alias("__config"),
+    )
+    kept = scanned.select(
+        *names, "__error", "__config", F.expr(kept_sql("__elements", "__config")).alias("__kept")
+    )
+    counts = F.when(
+        F.col("__config.mode") == "semantic", F.transform("__kept", lambda e: e.word_count)
+    )
+    packed = kept.withColumn(
+        "__bounds", pack_udf()(counts, F.col("__config.min_words"), F.col("__config.max_words"))
+    )
+    found = F.when(
+        F.col("__error").isNull(), F.expr(rows_sql("__kept", "__bounds", "__config.mode"))
+    ).otherwise(F.expr(error_sql("__config.mode", "__error")))
+    return packed.select(*names, F.inline(found))

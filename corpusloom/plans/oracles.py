@@ -266,18 +266,16 @@ ORACLES["html_class_filter"] = (
     + RAW_ROWS
 )
 
-ORACLES["html_paragraph"] = (
-    html_elements()
-    + f"""
+PARAGRAPH_ROWS = f"""
 SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS INTEGER) AS chunk_id,
        text, h1, h2, h3, h4, h5, h6, words AS word_count, CAST(1 AS INTEGER) AS paragraph_count, '' AS error
 FROM kept WHERE tag = 'p'"""
-)
+ORACLES["html_paragraph"] = html_elements() + PARAGRAPH_ROWS
 
 
-def semantic_rows(low: int, high: int, min_words: int, html: str = "html") -> str:
+def semantic_rows(low: int, high: int, min_words: int, html: str = "html", skip: str = "FALSE") -> str:
     """Chunk numbers by walking the paragraphs of all pages one place at a time."""
-    start = html_elements(html, min_words=min_words).replace("WITH bare", "WITH RECURSIVE bare", 1)
+    start = html_elements(html, skip, min_words).replace("WITH bare", "WITH RECURSIVE bare", 1)
     return (
         start
         + f""", paragraphs AS (
@@ -310,6 +308,22 @@ FROM chunks"""
 ORACLES["html_semantic"] = semantic_rows(100, 500, 10)
 ORACLES["html_semantic_small"] = semantic_rows(0, 40, 3)
 
+SKIPPED = "lower(classes) LIKE '%navbar%' OR lower(classes) LIKE '%footer%'"
+OF_ELEMENTS = "page_id, '{mode}' AS mode, position, element_type, text, word_count, {h}, classes, NULL::INTEGER AS paragraph_count, error"
+OF_CHUNKS = "page_id, '{mode}', chunk_id, NULL::VARCHAR, text, word_count, {h}, NULL::VARCHAR, paragraph_count, error"
+# the five configs, by page_id % 5; nav and footer are among the default skip words, so the first two filters are alike
+ORACLES["html_config_per_row"] = "\nUNION ALL\n".join(
+    f"SELECT {columns.format(mode=mode, h='h1, h2, h3, h4, h5, h6')} FROM ({rows}) WHERE page_id % 5 = {rest}"
+    for rest, mode, columns, rows in (
+        (1, "raw", OF_ELEMENTS, html_elements(MARKED, SKIPPED, 5) + RAW_ROWS),
+        (4, "raw", OF_ELEMENTS, html_elements(MARKED, min_words=0) + RAW_ROWS),
+        (0, "semantic", OF_CHUNKS, semantic_rows(100, 500, 10, MARKED, SKIPPED)),
+        (2, "paragraph", OF_CHUNKS, html_elements(MARKED, SKIPPED) + PARAGRAPH_ROWS),
+        (3, "semantic", OF_CHUNKS, semantic_rows(0, 40, 3, MARKED)),
+    )
+)
+ORACLES["sql_html_extract_config"] = ORACLES["html_config_per_row"]
+
 ORACLES["heading_context_rows"] = ORACLES["html_raw"]
 ORACLES["semantic_pack_elements"] = ORACLES["html_semantic"]
 ORACLES["semantic_pack_lines"] = f"""

@@ -14,7 +14,7 @@ from corpusloom.functions.retry import RetryPolicy, TransientError
 from corpusloom.functions.tokens import chunk_documents, token_count
 from corpusloom.functions.vectors import embed_fake
 from corpusloom.operators.embedding import embed_column, fake_client
-from corpusloom.operators.html import extract_html
+from corpusloom.operators.html import extract_html, extract_html_per_row
 from corpusloom.operators.language import detect_language, is_english, train_language_profiles
 from corpusloom.operators.ordered import heading_context, pack_lines
 from corpusloom.operators.scripts import transform_text, transform_text_per_row
@@ -332,19 +332,41 @@ def html_semantic_small(spark, sf_dir):
     return extract_html(pages(spark, sf_dir), "html", ["page_id"], config)
 
 
-@query
-def html_class_filter(spark, sf_dir):
+def _marked() -> Column:
     classes = F.element_at(
         F.array(*map(F.lit, ["body", "text NavBar-left", "site-Footer wide"])),
         (F.col("page_id") % 3 + 1).cast("int"),
     )
-    marked = F.replace("html", F.lit("<p>"), F.concat(F.lit('<p class="'), classes, F.lit('">')))
+    return F.replace("html", F.lit("<p>"), F.concat(F.lit('<p class="'), classes, F.lit('">')))
+
+
+@query
+def html_class_filter(spark, sf_dir):
     config = '{"mode": "raw", "filters": {"skip_classes": ["navbar", "FOOTER"], "min_words": 5}}'
     return extract_html(
-        pages(spark, sf_dir).select("page_id", marked.alias("html")), "html", ["page_id"], config
+        pages(spark, sf_dir).select("page_id", _marked().alias("html")), "html", ["page_id"], config
     )
 
 
+CONFIGS = [
+    None,
+    '{"mode": "raw", "filters": {"skip_classes": ["navbar", "FOOTER"], "min_words": 5}}',
+    "nlp",
+    '{"min_words": 0, "max_words": 40, "filters": {"skip_classes": [], "min_words": 3}}',
+    '{"mode": "elements", "filters": {"enabled": false}, "min_words": "many"}',
+]
+
+
+def _configured(spark: SparkSession, sf_dir: str) -> DataFrame:
+    config = F.get(F.array(*map(F.lit, CONFIGS)), (F.col("page_id") % len(CONFIGS)).cast("int"))
+    return pages(spark, sf_dir).select("page_id", _marked().alias("html"), config.alias("config"))
+
+
+@query
+def html_config_per_row(spark, sf_dir):
+    return extract_html_per_row(_configured(spark, sf_dir), "html", "config", ["page_id"])
+
+
 @query
 def html_guards(spark, sf_dir):
     return extract_html(table(spark, sf_dir, "pages"), "url", ["page_id"], "paragraph")
@@ -646,6 +668,16 @@ def sql_html_raw(spark, sf_dir):
     return _spread_rows(spark, sf_dir, "html_raw")
 
 
+@query
+def sql_html_extract_config(spark, sf_dir):
+    register_functions(spark)
+    return spark.sql(
+        "SELECT page_id, e.* FROM (SELECT page_id, html_extract(html, config) AS rows FROM {pages}), "
+        "LATERAL inline(rows) AS e",
+        pages=_configured(spark, sf_dir),
+    )
+
+
 @query
 def sql_text_functions(spark, sf_dir):
     register_functions(spark)

@@ -17,15 +17,23 @@ from corpusloom.functions.tokens import Tokenizer, chunks_udf, counter_udf
 from corpusloom.functions.vectors import fake_udf
 from corpusloom.operators.embedding import ClientFactory, embed_udf
 from corpusloom.operators.html import (
+    BOUND,
+    CONFIG,
+    ELEMENT,
     HEADINGS,
     MAX_CHUNK_WORDS,
     MAX_HTML_BYTES,
     MIN_CHUNK_WORDS,
+    ROW,
     SKIP_CLASSES,
     URL_ERROR,
     URL_STARTS,
+    config_udf,
     elements_udf,
+    error_sql,
+    kept_sql,
     pack_udf,
+    rows_sql,
     size_error,
     skip_pattern,
 )
@@ -132,6 +140,33 @@ _PAGE_SQL = {
     ),
 }
 
+# pages by a config for each row. What a function passes to the next is a column there, which lambdas may use
+_KEPT_TYPES = f"ARRAY<{ELEMENT.simpleString()}>"
+_ROWS = f"ARRAY<{ROW.simpleString()}>"
+_PAGE_SQL |= {
+    "html_rows_of_bounds": (
+        f"kept {_KEPT_TYPES}, bounds ARRAY<{BOUND.simpleString()}>, mode STRING, error STRING",
+        _ROWS,
+        f"CASE WHEN error IS NULL THEN {rows_sql('kept', 'bounds', 'mode')} ELSE {error_sql('mode', 'error')} END",
+    ),
+    "html_rows_of_kept": (
+        f"kept {_KEPT_TYPES}, chosen {CONFIG.simpleString()}, error STRING",
+        _ROWS,
+        "html_rows_of_bounds(kept, html_pack(CASE WHEN chosen.mode = 'semantic' THEN transform(kept, e -> e.word_count) END, "
+        "chosen.min_words, chosen.max_words), chosen.mode, error)",
+    ),
+    "html_rows_of_elements": (
+        f"elements {_KEPT_TYPES}, chosen {CONFIG.simpleString()}, error STRING",
+        _ROWS,
+        f"html_rows_of_kept({kept_sql('elements', 'chosen')}, chosen, error)",
+    ),
+    "html_extract": (
+        "html STRING, config STRING DEFAULT NULL",
+        _ROWS,
+        f"html_rows_of_elements(html_scan_once({_PAGE}), html_config(config), {_PAGE_ERROR})",
+    ),
+}
+
 # SQL bodies over the registered Arrow functions
 _SCALAR_SQL = {
     "s3_transform": ("path STRING", "STRING", "strip_newlines(s3_fetch(path))"),
@@ -218,6 +253,7 @@ def register_functions(
         "html_scan": elements_udf(),
         "html_scan_once": elements_udf().asNondeterministic(),
         "html_pack": pack_udf(),
+        "html_config": config_udf(),
         "s3_fetch": fetch_udf(resolver, max_in_flight, "fail"),
         "s3_put": put_udf(resolver, max_in_flight, "fail"),
         "s3_exists": exists_udf(resolver, max_in_flight, "fail"),

@@ -17,6 +17,7 @@ INTERNAL = {
     "response_headers", "fetch_udf", "put_udf", "exists_udf", "fetch_text", "put_text",
     "object_exists", "split_path", "library_pattern", "payload_text", "payload_list", "depth_steps",
     "numbered_parts", "batch_arrays", "next_starts", "carry_table", "carried_on",
+    "config_udf", "kept_sql", "row_sql", "rows_sql", "error_sql",
 }
 
 

@@ -70,6 +70,28 @@ def test_html_over_a_table_agrees_with_the_operator(spark, sql, function, config
     assert "UDTF" not in plan and "Exchange" not in plan and plan.count("ArrowEvalPython") <= 2
 
 
+def test_a_config_for_each_row(spark, sql):
+    page = "<h1>T</h1><p class=\"Side-bar x\">one two</p><p>three</p>"
+    rows = sql(f"""
+        SELECT k, e.mode, e.position, e.element_type, e.text, e.classes, e.paragraph_count, e.error
+        FROM (SELECT k, html_extract(h, c) AS rows FROM VALUES
+          (1, '{page}', 'raw'), (2, '{page}', '{{"mode": "elements", "filters": {{"min_words": 1, "skip_classes": ["BAR"]}}}}'),
+          (3, '{page}', '{{"filters": {{"min_words": 0, "skip_classes": ["", "x y"]}}, "min_words": 0}}'),
+          (4, '{page}', ''), (5, 's3://b/k', 'nlp'), (6, 'http://b', 'raw'), (7, NULL, 'raw'), (8, '{page}', NULL)
+          AS v(k, h, c)), LATERAL inline(rows) AS e""")
+    message = "extract_html expects HTML content, not URL. Fetch the object first."
+    assert sorted(rows, key=lambda r: r[:3]) == [
+        (1, "raw", 0, "h1", "T", "", None, ""),
+        (2, "raw", 0, "h1", "T", "", None, ""), (2, "raw", 1, "p", "three", "", None, ""),
+        (3, "semantic", 0, None, "three", None, 1, ""),
+        (5, "paragraph", 0, None, "", None, 0, message),
+        (6, "raw", 0, "", "", "", None, message),
+    ]
+    assert sql(f"SELECT html_extract('{page}') = html_extract('{page}', 'rag'), html_extract(NULL, 'raw')") == [(True, None)]
+    with pytest.raises(Exception, match="Invalid config JSON"):
+        sql(f"SELECT html_extract('{page}', '{{broken')")
+
+
 def test_http(sql):
     assert sql("SELECT http_post('http://x', 'abc').body") == [("ABC",)]
     assert sql("SELECT http_post('http://x', 'abc', '{\"a\": \"b\"}').status_code") == [(200,)]
