@@ -9,6 +9,8 @@ one states, and only then is the chunked framing undone. Single records need no
 from __future__ import annotations
 
 import gzip
+import io
+import zlib
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -168,6 +170,31 @@ def _bare(value: str | None) -> str | None:
     return None if value is None else value.strip("<>")
 
 
+def _inflated(data: bytes) -> tuple[bytes, str | None]:
+    """The content of a plain or gzip file as far as it can be read, and what stopped it."""
+    if data[:2] != b"\x1f\x8b":
+        return data, None
+    parts = []
+    with gzip.GzipFile(fileobj=io.BytesIO(data)) as stream:
+        try:
+            while part := stream.read(1 << 20):
+                parts.append(part)
+        except (EOFError, OSError, zlib.error) as error:
+            return b"".join(parts), f"damaged gzip file: {error}"
+    return b"".join(parts), None
+
+
+def _until_damage(data: bytes) -> Iterator[tuple[dict[str, str], bytes] | str]:
+    """The records of a file; where it is damaged, at last what is wrong with it."""
+    content, problem = _inflated(data)
+    try:
+        yield from parse_records(content)
+    except (ValueError, KeyError) as error:
+        problem = problem or f"damaged file: {error}"
+    if problem:
+        yield problem
+
+
 def _parsed(segmented: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Records that are whole, finished, or (``segmented``) parts of records."""
     names = ["record_id", "record_type", "target_uri", "refers_to", "payload_digest"]
@@ -182,10 +209,15 @@ def _parsed(segmented: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for content in batch.column("content"):
+            for path, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
                 data = content.as_buffer().to_pybytes()
                 rows, held = [], 0
-                for fields, block in parse_records(gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data):
+                for found in _until_damage(data):
+                    if isinstance(found, str):
+                        if not segmented:
+                            rows.append([None] * 6 + [f"{path}: {found}"])
+                        continue
+                    fields, block = found
                     number, kind = fields.get("warc-segment-number"), fields.get("warc-type")
                     if kind not in ("response", "revisit", "continuation") or (number is not None) != segmented:
                         continue
@@ -232,9 +264,10 @@ def read_warc(spark: SparkSession, folder: str) -> DataFrame:
     Returns record_id, record_type, target_uri, refers_to, payload_digest (as stated), payload (null
     for a revisit) and problem: null, or what is wrong with a record (a segment missing, another total
     length, broken framing), whose payload is then null. Records of other types are passed over.
-    Records written more than once come back as often.
+    Records written more than once come back as often. A file that is cut off or damaged gives its records
+    up to there, and a row with nothing but a problem that names it.
     """
-    files = spark.read.format("binaryFile").load(folder).select("content")
+    files = spark.read.format("binaryFile").load(folder).select("path", "content")
     whole = files.mapInArrow(_parsed(False), f"{_RECORD}, payload binary, problem string")
     parts = files.mapInArrow(_parsed(True), f"{_RECORD}, segment long, total long, block binary")
     fields = ("segment", "total", "block", "record_type", "target_uri", "refers_to", "payload_digest")
