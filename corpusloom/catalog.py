@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from corpusloom.functions import text, tokens, vectors
 from corpusloom.operators import batches, embedding, html, language, ordered, scripts
-from corpusloom.sources import arrays, http, objects
+from corpusloom.sources import arrays, http, lanes, ledger, listing, objects, ranges
 
 SERVICE = "-- requires network"
 STORE = "-- requires object storage"
@@ -85,6 +85,9 @@ ENTRIES = (
     Entry(ordered.heading_context, "table", "HTML", "heading_context(df, ['page_id'], 'position', df.level, df.text)"),
     Entry(ordered.pack_lines, "table", "HTML", "pack_lines(df, ['doc_id'], 'line_no', 'line')"),
     Entry(http.post_column, "scalar", "HTTP", f"df.select(post_column(url, df.body)) {SERVICE}"),
+    Entry(lanes.post_by_host, "table", "HTTP", f"post_by_host(df, F.col('url'), 'body', per_host=4) {SERVICE}"),
+    Entry(lanes.host_of, "scalar", "HTTP", "df.select(host_of('url'))"),
+    Entry(ledger.post_rows_once, "table", "HTTP", f"post_rows_once(df, url, 'body', 'key', 'ledger') {SERVICE}"),
     Entry(http.post_rows, "table", "HTTP", f"post_rows(df, url, 'body') {SERVICE}"),
     Entry(
         http.post_batches, "table", "HTTP",
@@ -97,6 +100,8 @@ ENTRIES = (
     Entry(objects.read_objects, "table", "Objects", f"read_objects(spark, 's3a://bucket/docs') {STORE}"),
     Entry(objects.fetch_objects, "table", "Objects", f"fetch_objects(df, 'path') {STORE}"),
     Entry(objects.write_objects, "table", "Objects", f"write_objects(df, 'path', 'text') {STORE}"),
+    Entry(ranges.read_lines, "table", "Objects", f"read_lines(df, 'path') {STORE}"),
+    Entry(listing.objects_exist_by_listing, "table", "Objects", f"objects_exist_by_listing(df, 'path') {STORE}"),
     Entry(objects.objects_exist, "table", "Objects", f"objects_exist(df, 'path') {STORE}"),
     Entry(objects.fetch_stripped, "table", "Objects", f"fetch_stripped(df, 'path') {STORE}"),
     Entry(objects.fetch_with_mode, "table", "Objects", f"fetch_with_mode(df, 'path', 'trim') {STORE}"),

@@ -472,6 +472,14 @@ SELECT batch_id, row_count,
 FROM batched"""
 )
 
+# one micro-batch reads all that is there
+ORACLES["stream_post_batches"] = ORACLES["batch_outcomes"]
+
+ORACLES["post_by_host"] = """
+SELECT page_id, lower(split_part(split_part(url, '://', 2), '/', 1)) AS host, CAST(200 AS INTEGER) AS status_code,
+       page_id || ' ' || url || ' after ' || CASE WHEN length(url) % 3 = 0 THEN 1 ELSE 0 END AS response_body
+FROM pages"""
+
 ORACLES["post_outcomes"] = f"""
 SELECT event_id,
        CAST(CASE event_id % 10 WHEN 7 THEN 500 WHEN 8 THEN -1 WHEN 9 THEN 404 ELSE 200 END AS INTEGER)
@@ -506,6 +514,9 @@ ORACLES["objects_scan"] = "SELECT doc_id, text FROM documents"
 ORACLES["objects_probe"] = """
 SELECT doc_id, suffix, suffix = 'txt' AS found
 FROM documents, (VALUES ('txt'), ('gone')) AS s(suffix)"""
+ORACLES["objects_probe_listing"] = """
+SELECT doc_id, kind, kind = 'here' AS found FROM documents, (VALUES ('here'), ('gone'), ('elsewhere')) AS k(kind)"""
+ORACLES["object_lines"] = ORACLES["text_lines"]
 ORACLES["objects_transformed"] = f"""
 SELECT doc_id, {ONE_LINE} AS one_line,
        CASE WHEN doc_id % 2 = 0 THEN lower(text) ELSE {ONE_LINE} END AS by_mode

@@ -20,6 +20,9 @@ from corpusloom.operators.ordered import heading_context, pack_lines
 from corpusloom.operators.scripts import transform_text, transform_text_per_row
 from corpusloom.session import new_folder, spread
 from corpusloom.sources.arrays import payloads_from_file
+from corpusloom.sources.lanes import host_of, post_by_host as post_in_lanes
+from corpusloom.sources.listing import objects_exist_by_listing
+from corpusloom.sources.ranges import read_lines
 from corpusloom.sources.http import (
     Request,
     Response,
@@ -30,6 +33,7 @@ from corpusloom.sources.http import (
     response_headers,
 )
 from corpusloom.sql import register_functions
+from corpusloom.streaming.sinks import post_batches_stream
 from corpusloom.sources.objects import (
     fetch_objects,
     fetch_stripped,
@@ -534,6 +538,39 @@ def post_repeated_headers(spark, sf_dir):
     return posted.select("event_id", cookies.alias("cookies"))
 
 
+def _echo_url(request: Request) -> Response:
+    if request.attempt == 0 and len(request.body) % 3 == 0:
+        return Response(503, "busy")
+    return Response(200, f"{request.headers['Idempotency-Key']} {request.body} after {request.attempt}")
+
+
+@query
+def post_by_host(spark, sf_dir):
+    """Every page's address to its host, which gets at most two requests at once."""
+    urls = spread(table(spark, sf_dir, "pages").select("page_id", "url"))
+    posted = post_in_lanes(urls, F.col("url"), "url", per_host=2, transport=_echo_url, retry=NO_WAIT, key_col="page_id")
+    response = F.col("response")
+    return posted.select(
+        "page_id", host_of("url").alias("host"), response.status_code.alias("status_code"), response.body.alias("response_body")
+    )
+
+
+@query
+def stream_post_batches(spark, sf_dir):
+    """Events as a stream, posted in batches with a ledger of answers."""
+    path = f"{sf_dir}/events.parquet"
+    # a pattern names a single file as well as a folder of files
+    events = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path + "*")
+    outcomes, checkpoint, ledger = (new_folder(spark, label) for label in ("outcomes", "stream", "ledger"))
+    writer = post_batches_stream(
+        events, "props", ["ts", "event_id"], SERVICE, 64, outcomes, checkpoint, ledger,
+        transport=_answer_batch, retry=NO_WAIT, tasks=int(spark.conf.get("spark.sql.shuffle.partitions")),
+    )
+    running = writer.trigger(availableNow=True).start()
+    running.awaitTermination()
+    return spark.read.parquet(outcomes).select("batch_id", "row_count", "status_code", "response_body")
+
+
 @query
 def payload_lines(spark, sf_dir):
     """Events to files of one payload a line, and those to batches."""
@@ -621,6 +658,35 @@ def objects_probe(spark, sf_dir):
     return objects_exist(both, "path").select("doc_id", "suffix", "found")
 
 
+@query
+def objects_probe_listing(spark, sf_dir):
+    """Objects written into folders by language, asked for by one listing a folder."""
+    root = _object_root(spark)
+    language = F.coalesce("lang", F.lit("none"))
+    docs = spread_documents(spark, sf_dir).select("doc_id", language.alias("lang"))
+    path = F.concat(F.lit(root + "/"), "lang", F.lit("/"), "doc_id", F.lit(".txt"))
+    docs = docs.withColumn("path", path)
+    write_objects(docs, "path", "lang").write.format("noop").mode("overwrite").save()
+    absent = F.replace("path", F.lit(".txt"), F.lit(".gone"))
+    elsewhere = F.replace("path", F.concat(F.lit("/"), "lang", F.lit("/")), F.lit("/no such folder/"))
+    asked = docs.select("doc_id", F.explode(F.map_from_arrays(
+        F.array(F.lit("here"), F.lit("gone"), F.lit("elsewhere")), F.array("path", absent, elsewhere)
+    )).alias("kind", "path"))
+    return objects_exist_by_listing(asked, "path").select("doc_id", "kind", "found")
+
+
+# far less than most documents have
+LINE_RANGE = 1 << 12
+
+
+@query
+def object_lines(spark, sf_dir):
+    """The lines of every document, read from an object by ranges."""
+    stored = _stored(spark, sf_dir, "text")
+    found = read_lines(stored, "path", range_bytes=LINE_RANGE)
+    return found.select("doc_id", F.col("line_no").cast("int").alias("line_no"), "line")
+
+
 @query
 def objects_transformed(spark, sf_dir):
     stored = _stored(spark, sf_dir, "text")

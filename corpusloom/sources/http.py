@@ -39,7 +39,7 @@ RESPONSE = StructType(
         StructField("headers", StringType()),
     ]
 )
-_ARROW_RESPONSE = pa.struct(
+ARROW_RESPONSE = pa.struct(
     [("status_code", pa.int32()), ("body", pa.string()), ("headers", pa.string())]
 )
 
@@ -197,8 +197,8 @@ def post_once(
 HELD_BYTES = 8 << 20
 
 
-def post_udf(transport: Transport, retry: RetryPolicy, max_in_flight: int, on_error: str):
-    """The Arrow function of (url, body, headers JSON, key)."""
+def outcome_of(transport: Transport, retry: RetryPolicy, on_error: str) -> Callable:
+    """The call that turns (url, body, headers JSON, key) into what :func:`post_column` gives for a row."""
 
     def outcome(request: tuple[str | None, str | None, str | None, str | None]) -> dict | None:
         url, body, headers, key = request
@@ -218,6 +218,13 @@ def post_udf(transport: Transport, retry: RetryPolicy, max_in_flight: int, on_er
             "headers": "\n".join(f"{name}: {value}" for name, value in answer.headers),
         }
 
+    return outcome
+
+
+def post_udf(transport: Transport, retry: RetryPolicy, max_in_flight: int, on_error: str):
+    """The Arrow function of (url, body, headers JSON, key)."""
+    outcome = outcome_of(transport, retry, on_error)
+
     def post(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         with InFlight(max_in_flight) as flight:
             for columns in batches:
@@ -226,14 +233,22 @@ def post_udf(transport: Transport, retry: RetryPolicy, max_in_flight: int, on_er
                     rows.append(row)
                     held += len(row["body"]) + len(row["headers"]) if row else 0
                     if held > HELD_BYTES:
-                        yield pa.array(rows, _ARROW_RESPONSE)
+                        yield pa.array(rows, ARROW_RESPONSE)
                         rows, held = [], 0
                 if rows or not len(columns[0]):
-                    yield pa.array(rows, _ARROW_RESPONSE)
+                    yield pa.array(rows, ARROW_RESPONSE)
 
     return F.arrow_udf(post, RESPONSE).asNondeterministic()
 
 
+def headers_column(headers: Column | dict[str, str] | str | None) -> Column:
+    """A column of header texts; wrong headers for all rows fail here, before any request."""
+    if isinstance(headers, Column):
+        return headers
+    request_headers(headers)
+    return F.lit(json.dumps(headers) if isinstance(headers, dict) else headers).cast("string")
+
+
 def post_column(
     url: Column | str,
     body: Column,
@@ -254,9 +269,7 @@ def post_column(
     """
     if on_error not in ("fail", "row", "null"):
         raise ValueError(f"on_error is fail, row or null, not {on_error!r}")
-    if not isinstance(headers, Column):
-        request_headers(headers)  # wrong headers fail here, before any request
-        headers = F.lit(json.dumps(headers) if isinstance(headers, dict) else headers).cast("string")
+    headers = headers_column(headers)
     address = url if isinstance(url, Column) else F.lit(url)
     mark = F.lit(None).cast("string") if key is None else key.cast("string")
     post = post_udf(transport or UrlTransport(), retry, max_in_flight, on_error)
@@ -330,11 +343,14 @@ def post_batches(
     tasks: int | None = None,
     run_id: str | None = None,
     unique: bool = False,
+    ledger: str | None = None,
     **options,
 ) -> DataFrame:
     """POST ``batch_size`` payloads at a time as one JSON array of strings, now.
 
-    A batch's Idempotency-Key is ``run_id`` (by default a new one) and its number.
+    A batch's Idempotency-Key is ``run_id`` (by default a new one) and its number. With a ``ledger``
+    (see :mod:`corpusloom.sources.ledger`) and the same ``run_id`` and rows, batches that were
+    answered before a run broke off are not sent again; ``order_by`` must then order all rows.
 
     (batch_id, row_count, status_code, response_body), one row per batch in the order given by
     ``order_by``; a batch that got no answer is a row with status -1 and the reason.
@@ -345,10 +361,19 @@ def post_batches(
     with scratch(df.sparkSession) as keep:
         bodies = batch_bodies(df, payload_col, order_by, size, unique)
         bodies = bodies.withColumn("key", F.concat_ws("-", F.lit(run), "batch_id"))
-        posted = post_rows(
-            bodies, url, "body", headers=headers, on_error="row", tasks=tasks, once=False,
-            key_col="key", **options,
-        )
+        if ledger:
+            from corpusloom.sources.ledger import post_rows_once
+
+            bodies = pinned(bodies, "bodies")
+            posted = post_rows_once(
+                bodies, url, "body", "key", ledger, headers=headers, on_error="row", tasks=tasks,
+                unique=True, **options,
+            )
+        else:
+            posted = post_rows(
+                bodies, url, "body", headers=headers, on_error="row", tasks=tasks, once=False,
+                key_col="key", **options,
+            )
         outcomes = pinned(
             posted.select(
                 "batch_id",

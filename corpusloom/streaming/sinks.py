@@ -4,7 +4,9 @@ Column functions and :func:`corpusloom.operators.html.extract_html` keep no stat
 on streams as they are; only what reaches outside goes through ``foreachBatch``. The outcomes
 of a micro-batch are written under its number, replacing what an interrupted attempt left, and
 batches carry a key made of checkpoint, micro-batch and number, so a restart from the checkpoint
-repeats the same keys. Rows carry the key that ``key_col`` names.
+repeats the same keys. Rows carry the key that ``key_col`` names. With a ``ledger`` folder, answers
+are entered there while a micro-batch runs (:mod:`corpusloom.sources.ledger`): when it is repeated, only
+what has no answer yet is sent. The entries of a micro-batch go when a later one begins.
 """
 
 from __future__ import annotations
@@ -12,11 +14,12 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import DataStreamWriter
 
 from corpusloom.session import scratch
 from corpusloom.sources.http import post_batches, post_rows
+from corpusloom.sources.ledger import post_rows_once, only_ledger
 from corpusloom.sources.objects import write_objects
 
 
@@ -36,15 +39,30 @@ def per_batch(
 
 
 def post_stream(
-    stream: DataFrame, url: str, body_col: str, outcomes: str, checkpoint: str, **options
+    stream: DataFrame,
+    url: Column | str,
+    body_col: str,
+    outcomes: str,
+    checkpoint: str,
+    ledger: str | None = None,
+    key_col: str | None = None,
+    **options,
 ) -> DataStreamWriter:
-    """POST one request per row; options as for :func:`corpusloom.sources.http.post_rows`."""
-    return per_batch(
-        stream,
-        lambda rows, _: post_rows(rows, url, body_col, once=False, **options),
-        outcomes,
-        checkpoint,
-    )
+    """POST one request per row; options as for :func:`corpusloom.sources.http.post_rows`.
+
+    A ``ledger`` needs a ``key_col``; options are then those of
+    :func:`corpusloom.sources.ledger.post_rows_once`.
+    """
+    if ledger and not key_col:
+        raise ValueError("a ledger needs key_col")
+
+    def step(rows: DataFrame, number: int) -> DataFrame:
+        if not ledger:
+            return post_rows(rows, url, body_col, once=False, key_col=key_col, **options)
+        entries = only_ledger(rows.sparkSession, ledger, number)
+        return post_rows_once(rows, url, body_col, key_col, entries, **options)
+
+    return per_batch(stream, step, outcomes, checkpoint)
 
 
 def post_batches_stream(
@@ -55,18 +73,22 @@ def post_batches_stream(
     batch_size: int | str,
     outcomes: str,
     checkpoint: str,
+    ledger: str | None = None,
     **options,
 ) -> DataStreamWriter:
-    """POST batches of payloads; batch numbers start at 0 in every micro-batch."""
+    """POST batches of payloads; batch numbers start at 0 in every micro-batch.
+
+    With a ``ledger``, ``order_by`` must order all rows, so that a repeated micro-batch has the same batches.
+    """
     run = hashlib.sha256(checkpoint.encode()).hexdigest()[:32]
-    return per_batch(
-        stream,
-        lambda rows, number: post_batches(
-            rows, payload_col, order_by, url, batch_size, run_id=f"{run}-{number}", **options
-        ),
-        outcomes,
-        checkpoint,
-    )
+
+    def step(rows: DataFrame, number: int) -> DataFrame:
+        entries = only_ledger(rows.sparkSession, ledger, number) if ledger else None
+        return post_batches(
+            rows, payload_col, order_by, url, batch_size, run_id=f"{run}-{number}", ledger=entries, **options
+        )
+
+    return per_batch(stream, step, outcomes, checkpoint)
 
 
 def write_objects_stream(

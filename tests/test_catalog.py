@@ -4,7 +4,7 @@ from corpusloom import catalog
 from corpusloom.catalog import COLUMNS, ENTRIES, functions_catalog
 from corpusloom.functions import text, tokens, vectors
 from corpusloom.operators import batches, embedding, html, language, ordered, scripts
-from corpusloom.sources import arrays, http, objects
+from corpusloom.sources import arrays, http, lanes, ledger, listing, objects, ranges
 
 # helpers and building blocks of the operators above them
 INTERNAL = {
@@ -18,6 +18,7 @@ INTERNAL = {
     "object_exists", "split_path", "library_pattern", "payload_text", "payload_list", "depth_steps",
     "numbered_parts", "batch_arrays", "next_starts", "carry_table", "carried_on",
     "config_udf", "kept_sql", "row_sql", "rows_sql", "error_sql",
+    "headers_column", "outcome_of", "ledger_answers", "drop_ledger", "only_ledger",
 }
 
 
@@ -36,15 +37,15 @@ def test_rows(spark):
 
 def test_what_needs_a_service_says_so(spark):
     outside = functions_catalog(spark).where(
-        "module in ('arrays', 'http', 'objects', 'embedding') and example not like '%-- requires%'"
+        "module in ('arrays', 'http', 'lanes', 'ledger', 'listing', 'objects', 'ranges', 'embedding') and example not like '%-- requires%'"
     )
     assert {r.name for r in outside.collect()} == {
-        "payloads_from_json", "payloads_from_file", "payloads_from_lines", "parse_path",
+        "payloads_from_json", "payloads_from_file", "payloads_from_lines", "parse_path", "host_of",
     }
 
 
 def test_no_operator_is_missing():
-    modules = (text, tokens, vectors, batches, embedding, html, language, ordered, scripts, arrays, http, objects)
+    modules = (text, tokens, vectors, batches, embedding, html, language, ordered, scripts, arrays, http, lanes, ledger, listing, objects, ranges)
     public = {
         name
         for module in modules
