@@ -22,7 +22,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.bytewords import mix, words
+from corpusloom.llm.bytewords import Words, mix, words
 from corpusloom.llm.common import slices, texts_of
 
 MASKS = ("1101111", "11010001011", "1110001000101")
@@ -31,6 +31,10 @@ AGREE = 0.8
 BLOCK_BYTES = 8 << 20
 _PLACES = mix(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
 _FILTER_BITS = 22
+_EXPANDED = 1 << 20  # hits held at once
+_COMPARED = 1 << 20  # words compared at once
+LEAST_ITEM = 3
+SPACE = r"[\x20\x09-\x0D]+"
 
 
 def seeds(hashes: np.ndarray, mask: str, salt: int) -> np.ndarray:
@@ -109,6 +113,78 @@ def longest_stretch(same: np.ndarray, agree: float) -> tuple[int, int]:
     return int(starts[best]), int(stops[best])
 
 
+def best_stretch(own: np.ndarray, test: np.ndarray, shifts: np.ndarray, agree: float, min_words: int) -> tuple[int, int, int] | None:
+    """(words, equal words, first word in ``own``) of the longest stretch over all ``shifts`` of ``test``; None if too short.
+
+    Where all that lies over each other agrees in enough words, as in texts that repeat themselves, that is
+    the stretch of a shift; others are looked at one by one, as long as they may hold a longer one.
+    """
+    least = min(min_words, len(test))
+    best: tuple[int, int, int] | None = None
+    step = max(1, _COMPARED // max(1, len(test)))
+    for at in range(0, len(shifts), step):
+        some = shifts[at : at + step]
+        places = some[:, None] + np.arange(len(test))
+        same = (places >= 0) & (places < len(own))
+        same &= own[np.clip(places, 0, len(own) - 1)] == test
+        equal = same.sum(axis=1)
+        left, right = np.maximum(0, -some), np.minimum(len(test), len(own) - some)
+        size = right - left
+        whole = (equal - agree * size).round(9) >= 0
+        fits = np.flatnonzero(whole & (size >= least))
+        if len(fits):
+            k = fits[np.lexsort((left[fits] + some[fits], equal[fits], size[fits]))[-1]]
+            hit = int(size[k]), int(equal[k]), int(left[k] + some[k])
+            best = hit if best is None else max(best, hit)
+        longest = np.floor(equal / agree + 1e-6)
+        rest = np.flatnonzero(~whole & (longest >= least))
+        for k in rest[np.argsort(-longest[rest], kind="stable")]:
+            if best and longest[k] < best[0]:
+                break
+            b, e = longest_stretch(same[k, left[k] : right[k]].astype(float), agree)
+            if e - b >= least:
+                hit = int(e - b), int(same[k, left[k] + b : left[k] + e].sum()), int(left[k] + b + some[k])
+                best = hit if best is None else max(best, hit)
+    return best
+
+
+def _laid_over(found: Words, items: Items, likely: np.ndarray) -> Iterator[tuple[tuple[int, int], np.ndarray]]:
+    """For each row and item that share a seed, where in the row the item's first word would lie.
+
+    Hits are expanded in blocks and each place is kept once, so a text that repeats itself holds no
+    more than its own words and those of the item, however many of their seeds are equal.
+    """
+    span = len(found.hashes) + max((len(w) for w in items.words), default=0) + 1
+    known, fresh, held = np.zeros(0, np.int64), [], 0
+    for mask, salt in items.masks:
+        own = seeds(found.hashes, mask, salt)
+        at = np.flatnonzero(likely[own >> np.uint64(64 - _FILTER_BITS)])
+        row = np.searchsorted(found.first, at, side="right") - 1
+        inside = at + len(mask) <= found.first[row + 1]
+        at, row = at[inside], row[inside]
+        low, high = (np.searchsorted(items.seeds, own[at], side=s) for s in ("left", "right"))
+        at, row, low, many = (x[high > low] for x in (at, row, low, high - low))
+        before = np.concatenate(([0], np.cumsum(many)))
+        start = 0
+        while start < len(at):
+            stop = max(start + 1, int(np.searchsorted(before, before[start] + _EXPANDED, side="right")) - 1)
+            each = many[start:stop]
+            k = np.repeat(low[start:stop] - (before[start:stop] - before[start]), each) + np.arange(before[stop] - before[start])
+            pair = np.repeat(row[start:stop], each) * len(items.words) + items.item[k]
+            fresh.append(np.unique(pair * span + np.repeat(at[start:stop], each) - items.place[k] + (span - len(found.hashes) - 1)))
+            held += len(fresh[-1])
+            if held > max(_EXPANDED, len(known)):
+                known, fresh, held = np.unique(np.concatenate([known, *fresh])), [], 0
+            start = stop
+    known = np.unique(np.concatenate([known, *fresh]))
+    pairs, place = np.divmod(known, span)
+    place -= span - len(found.hashes) - 1
+    border = np.flatnonzero(np.concatenate(([True], pairs[1:] != pairs[:-1], [True]))) if len(pairs) else np.zeros(1, np.int64)
+    for a, b in zip(border[:-1].tolist(), border[1:].tolist(), strict=True):
+        r, item = divmod(int(pairs[a]), len(items.words))
+        yield (r, item), place[a:b] - found.first[r]
+
+
 def _overlaps(sent: Broadcast, min_words: int, agree: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items: Items = sent.value
@@ -118,31 +194,10 @@ def _overlaps(sent: Broadcast, min_words: int, agree: float) -> Callable[[Iterat
             for part in slices(batch, "text"):
                 found = words(texts_of(part.column("text")))
                 best: dict[tuple[int, int], tuple[int, int, int]] = {}
-                tried: set[tuple[int, int, int]] = set()
-                for mask, salt in items.masks:
-                    own = seeds(found.hashes, mask, salt)
-                    at = np.flatnonzero(likely[own >> np.uint64(64 - _FILTER_BITS)])
-                    low, high = (np.searchsorted(items.seeds, own[at], side=s) for s in ("left", "right"))
-                    many = high - low
-                    at, low, many = at[many > 0], low[many > 0], many[many > 0]
-                    row = np.searchsorted(found.first, at, side="right") - 1
-                    for a, r, seed, count in zip(at.tolist(), row.tolist(), low.tolist(), many.tolist(), strict=True):
-                        start, stop = int(found.first[r]), int(found.first[r + 1])
-                        if a + len(mask) > stop:
-                            continue
-                        for k in range(seed, seed + count):
-                            item = int(items.item[k])
-                            shift = a - int(items.place[k])  # where the item's first word would lie
-                            if (r, item, shift) in tried:
-                                continue
-                            tried.add((r, item, shift))
-                            test = items.words[item]
-                            left, right = max(0, start - shift), min(len(test), stop - shift)
-                            same = test[left:right] == found.hashes[shift + left : shift + right]
-                            b, e = longest_stretch(same.astype(float), agree)
-                            if e - b >= min(min_words, len(test)):
-                                hit = (e - b, int(same[b:e].sum()), shift + left + b - start)
-                                best[r, item] = max(hit, best.get((r, item), hit))
+                for (r, item), shifts in _laid_over(found, items, likely):
+                    own = found.hashes[found.first[r] : found.first[r + 1]]
+                    if hit := best_stretch(own, items.words[item], shifts, agree, min_words):
+                        best[r, item] = hit
                 rows = sorted(best)
                 columns = [
                     part.column("doc_id").take(pa.array([r for r, _ in rows], pa.int64())),
@@ -183,7 +238,7 @@ def benchmark_overlaps(df: DataFrame, benchmark: DataFrame, masks: tuple[str, ..
 
     Null or empty texts overlap with nothing. Each row of documents is judged by itself, also where
     ids are missing or repeated; repeated items are each reported. Empty tables give no rows. Further
-    columns are ignored. The items go to the executors in blocks of at most 8 MB of text on average,
+    columns are ignored. Texts and items that repeat themselves are laid over each other once for each place. The items go to the executors in blocks of at most 8 MB of text on average,
     one pass over the documents for each block; documents are not shuffled.
     """
     masks = stretch_masks(min_words, agree) if masks is None else masks
@@ -203,8 +258,26 @@ def benchmark_overlaps(df: DataFrame, benchmark: DataFrame, masks: tuple[str, ..
     return reduce(DataFrame.unionByName, [found(sent) for sent in _items(df, benchmark, masks, min_words, agree)])
 
 
-def decontaminate(df: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] | None = None, min_words: int = MIN_WORDS, agree: float = AGREE) -> DataFrame:
-    """The rows of ``df``, with all their columns, that overlap with no test item (see above)."""
+def too_short(benchmark: DataFrame, least_item: int = LEAST_ITEM) -> DataFrame:
+    """(item_id, n_words) of the test items with fewer than ``least_item`` words, which :func:`decontaminate` passes over.
+
+    Words are runs without white space; null or empty texts have none. Repeated items are each reported.
+    """
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    n_words = F.size(F.filter(F.split(text, SPACE), lambda w: w != "")).cast("long")
+    return benchmark.select(F.col("item_id").cast("long").alias("item_id"), n_words.alias("n_words")).where(F.col("n_words") < least_item)
+
+
+def decontaminate(
+    df: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] | None = None, min_words: int = MIN_WORDS, agree: float = AGREE, least_item: int = LEAST_ITEM
+) -> DataFrame:
+    """The rows of ``df``, with all their columns, that overlap with no test item (see above).
+
+    Test items of fewer than ``least_item`` words condemn nothing, as any text may hold so few words;
+    :func:`too_short` names them.
+    """
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    benchmark = benchmark.where(F.size(F.filter(F.split(text, SPACE), lambda w: w != "")) >= least_item)
     masks = stretch_masks(min_words, agree) if masks is None else masks
     _limits(masks, agree)
     for sent in _items(df, benchmark, masks, min_words, agree):
