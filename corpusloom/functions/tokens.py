@@ -47,7 +47,8 @@ def _local_counter(tokenizer: Tokenizer) -> tuple[CounterFactory, bool]:
         return lambda _: lambda texts: [words_in(t) for t in texts], True
     if tokenizer.startswith("regex:"):
         pattern = library_pattern(tokenizer[len("regex:") :])
-        return lambda _: lambda texts: [sum(1 for _ in pattern.finditer(t)) for t in texts], True
+        # concurrent: the library would give up Python's lock for every match
+        return lambda _: lambda texts: [len(pattern.findall(t, concurrent=False)) for t in texts], True
     raise ValueError(f"unknown tokenizer {tokenizer!r}")
 
 
@@ -284,11 +285,13 @@ def chunks_udf(
                 parts = [None] * len(texts)
                 for endpoint, rows in rows_by_endpoint(texts, endpoints).items():
                     client = clients[endpoint]
+
+                    def ask(pieces, client=client):
+                        # threads are for calls that wait; counting here would only pass Python's lock around
+                        return client(pieces) if local else ask_all(flight, client, pieces, retry, call_size)
+
                     split = split_to_budget(
-                        [texts[row] for row in rows],
-                        [budgets[row] for row in rows],
-                        lambda pieces, client=client: ask_all(flight, client, pieces, retry, call_size),
-                        strict_budget,
+                        [texts[row] for row in rows], [budgets[row] for row in rows], ask, strict_budget
                     )
                     for row, pieces in zip(rows, split):
                         parts[row] = pieces
