@@ -4,11 +4,14 @@
 2. Every class has ``COORDINATES`` minwise values. Each of ``trees`` independent trees branches the
    classes: a node picks coordinates (one, and a second in so many nodes that a pair at the threshold
    is expected to share one child), and the value there names the child. Nodes with at most
-   ``SMALL`` classes are compared exhaustively; larger ones branch again, to ``depth`` and beyond it
-   as long as a child has at most three quarters of its node, so the rows shrink from level to level.
-   Nodes that stay whole hold mostly copies: each class is compared with the first of its node and
-   with its ``SMALL`` neighbours in the order of the minwise values, which begins at another
-   coordinate in every node. A node too large for one task is dealt into pieces that share its first.
+   ``SMALL`` classes are compared exhaustively. In a larger one each class is compared with the first
+   of the node and with its ``SMALL`` neighbours in the order of the minwise values, which begins at
+   another coordinate in every node; a node too large for one task is dealt into pieces that share
+   its first. Classes that this does not tie to the first are loose. A node with at most ``SMALL``
+   loose classes ends there: these meet all its classes, and all others are in one candidate group.
+   The rest branch again, to ``depth`` and beyond it as long as a child has at most three quarters
+   of its node, so the rows shrink from level to level. In nodes that stay whole all loose classes
+   meet all classes, in chunks and pieces of bounded size, so no node is compared in part.
 3. Classes that look alike (estimate, well below the threshold) form candidate groups. Texts of the
    candidates move once, to their group, and all pairs in a group are confirmed on full sets. A
    group too large for one task is dealt into blocks that share some pivots; classes which that does
@@ -32,13 +35,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm.bytewords import mix, shingles, words
-from corpusloom.llm.common import LARGE_JOIN, components, drop_folders, saved, slices, texts_of
+from corpusloom.llm.common import LARGE_JOIN, components, drop_folders, release, saved, slices, texts_of
 
 COORDINATES = 64
 SMALL = 24
 MISSED = 2e-5
 DEEPEST = 48
 PIECE = 2048  # classes of a node that one task compares
+CHUNK = 512  # loose classes that meet a piece at once
 BLOCK_CLASSES = 512
 BLOCK_SHINGLES = 1 << 20
 PIVOTS = 8
@@ -141,7 +145,10 @@ def _roots(count: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 
 
 def _alike(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Candidate links (a, b) of rows ordered by piece; what it holds is a batch and ``SMALL`` rows more."""
+    """Of rows ordered by piece: candidate links (node, a, b), and the loose classes a of large nodes (b null).
+
+    What it holds is a batch and ``SMALL`` rows more.
+    """
     equal = alike(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,13 +157,15 @@ def _alike(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
         for batch in batches:
             if not batch.num_rows:
                 continue
-            piece = batch.column("piece").to_numpy(zero_copy_only=False).astype(np.int64)
+            piece, node, size = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("piece", "node", "n_shingles"))
+            large = batch.column("large").to_numpy(zero_copy_only=False).astype(bool)
             keys = np.array(batch.column("set_key").to_pylist(), dtype=object)
-            size = batch.column("n_shingles").to_numpy(zero_copy_only=False).astype(np.int64)
             values = np.frombuffer(b"".join(batch.column("minwise").to_pylist()), np.uint16).reshape(-1, COORDINATES)
+            seen = 0
             if tail is not None:
                 # the first of the running piece stands before the rows kept of it
-                piece, keys, size, values = (np.concatenate(x) for x in zip(head, tail, (piece, keys, size, values), strict=True))
+                seen = len(head[0]) + len(tail[0])
+                piece, keys, size, values, node, large = (np.concatenate(x) for x in zip(head, tail, (piece, keys, size, values, node, large), strict=True))
             begins = np.concatenate(([True], piece[1:] != piece[:-1]))
             pivot = np.maximum.accumulate(np.where(begins, np.arange(len(piece)), 0))
             left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
@@ -172,11 +181,59 @@ def _alike(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
                     right.append(b[ok])
             root = _roots(len(piece), np.concatenate(left), np.concatenate(right))
             linked = np.flatnonzero(root != np.arange(len(piece)))
-            yield pa.record_batch([pa.array(keys[root[linked]].tolist(), pa.binary()), pa.array(keys[linked].tolist(), pa.binary())], names=["a", "b"])
+            loose = np.flatnonzero(large & (root != root[pivot]) & (np.arange(len(piece)) >= seen))
+            columns = (
+                pa.array(np.concatenate((node[linked], node[loose]))),
+                pa.array(keys[root[linked]].tolist() + keys[loose].tolist(), pa.binary()),
+                pa.array(keys[linked].tolist() + [None] * len(loose), pa.binary()),
+            )
+            yield pa.record_batch(list(columns), names=["node", "a", "b"])
             last = int(pivot[-1])
             keep = max(last + 1, len(piece) - SMALL)
-            head = (piece[last : last + 1], keys[last : last + 1], size[last : last + 1], values[last : last + 1])
-            tail = (piece[keep:], keys[keep:], size[keep:], values[keep:])
+            head = tuple(x[last : last + 1] for x in (piece, keys, size, values, node, large))
+            tail = tuple(x[keep:] for x in (piece, keys, size, values, node, large))
+
+    return run
+
+
+def _meet(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Candidate links (a, b) between the loose classes (``host`` 0) of each block and its others, which come after them."""
+    equal = alike(percent)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        running, held = None, ([], [], [])  # keys, sizes and minwise values of the loose classes of a block
+        for batch in batches:
+            a, b = [], []
+            block = batch.column("block").to_numpy(zero_copy_only=False).astype(np.int64)
+            begins = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1])))[: len(block)]
+            for low, high in zip(begins.tolist(), [*begins[1:].tolist(), len(block)], strict=True):
+                if block[low] != running:
+                    running, held = block[low], ([], [], [])
+                part = batch.slice(low, high - low)
+                host = part.column("host").to_numpy(zero_copy_only=False).astype(np.int64)
+                keys = part.column("set_key").to_pylist()
+                size = part.column("n_shingles").to_numpy(zero_copy_only=False).astype(np.int64)
+                values = np.frombuffer(b"".join(part.column("minwise").to_pylist()), np.uint16).reshape(-1, COORDINATES)
+                for k in np.flatnonzero(host == 0).tolist():
+                    for kept, one in zip(held, (keys[k], size[k], values[k]), strict=True):
+                        kept.append(one)
+                others = np.flatnonzero(host == 1)
+                first = len(held[0])
+                names = held[0] + [keys[k] for k in others.tolist()]
+                size, values = size[others], values[others]
+                left, right = np.zeros(0, np.int64), np.zeros(0, np.int64)
+                for k, (n, own) in enumerate(zip(*held[1:], strict=True)):
+                    near = np.flatnonzero(np.minimum(size, n) * 100 >= np.maximum(size, n) * percent)
+                    near = near[(values[near] == own).sum(axis=1) >= equal]
+                    left, right = np.concatenate((left, np.full(len(near), k))), np.concatenate((right, near + first))
+                    if len(left) > 1 << 18 or k == first - 1:
+                        # at most one link for each class goes on
+                        root = _roots(len(names), left, right)
+                        right = np.flatnonzero(root != np.arange(len(names)))
+                        left = root[right]
+                a += [names[k] for k in left.tolist()]
+                b += [names[k] for k in right.tolist()]
+            yield pa.record_batch([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
 
     return run
 
@@ -249,42 +306,82 @@ def _pieces(compared: DataFrame) -> DataFrame:
     # the order of the minwise values begins at another coordinate in every node
     at = F.pmod("node", F.lit(COORDINATES)) * 2
     turned = F.concat(F.expr(f"substring(minwise, cast(pmod(node, {COORDINATES}) * 2 + 1 as int))"), F.substring("minwise", F.lit(1), at.cast("int")))
-    rows = compared.withColumn("turned", turned).withColumn("pieces", F.ceil(F.col("size") / PIECE))
+    rows = compared.withColumn("turned", turned).withColumn("pieces", F.ceil(F.col("size") / PIECE)).withColumn("large", F.col("size") > SMALL)
     large = rows.where("pieces > 1")
     first = large.groupBy("node").agg(F.min(F.struct("turned", "set_key", "n_shingles", "minwise")).alias("first"), F.first("pieces").alias("pieces"))
-    shared = first.select("node", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)).alias("part"), "first.*")
-    dealt = rows.withColumn("part", F.pmod(F.xxhash64("set_key"), "pieces")).drop("pieces", "size", "parent")
+    shared = first.select("node", F.lit(True).alias("large"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)).alias("part"), "first.*")
+    dealt = rows.withColumn("part", F.pmod(F.xxhash64("set_key"), "pieces")).drop("pieces", "size")
     both = dealt.withColumn("rank", F.lit(1)).unionByName(shared.withColumn("rank", F.lit(0)))
-    return _ordered(both.withColumn("piece", F.xxhash64("node", "part")), "piece", "rank", "turned").select("piece", "set_key", "n_shingles", "minwise")
+    return _ordered(both.withColumn("piece", F.xxhash64("node", "part")), "piece", "rank", "turned").select("piece", "node", "large", "set_key", "n_shingles", "minwise")
+
+
+def _rest(ended: DataFrame, loose: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Links of the ``loose`` (node, set_key, n) classes, ``n`` in a node, with all classes of their nodes in ``ended``."""
+    chunks = F.ceil(F.col("n") / CHUNK)
+    whole = ended.join(loose.groupBy("node").agg(F.first("n").alias("n")), "node").join(classes, "set_key")
+    pieces = F.ceil(F.col("size") / PIECE)
+    part, chunk = F.pmod(F.xxhash64("set_key"), pieces), F.pmod(F.xxhash64("set_key", F.lit(1)), chunks)
+    every = F.sequence(F.lit(0).cast("long"), chunks - 1)
+    hosts = whole.select("node", "set_key", "n_shingles", "minwise", F.lit(1).alias("host"), part.alias("part"), F.explode(every).alias("chunk"))
+    asked = whole.join(loose.select("node", "set_key"), ["node", "set_key"], "left_semi")
+    every = F.sequence(F.lit(0).cast("long"), pieces - 1)
+    asked = asked.select("node", "set_key", "n_shingles", "minwise", F.lit(0).alias("host"), F.explode(every).alias("part"), chunk.alias("chunk"))
+    both = hosts.unionByName(asked).withColumn("block", F.xxhash64("node", "part", "chunk"))
+    rows = _ordered(both, "block", "host").select("block", "host", "set_key", "n_shingles", "minwise")
+    return rows.mapInArrow(_meet(percent), "a binary, b binary")
 
 
 def _candidates(classes: DataFrame, percent: int, trees: int, depth: int, folders: list[str]) -> DataFrame:
-    """Links between classes that share a small node and look alike."""
+    """Links between classes that share a node and look alike."""
+    spark = classes.sparkSession
 
     def keep(df: DataFrame, label: str) -> DataFrame:
         df, folder = saved(df, label)
         folders.append(folder)
         return df
 
+    def drop() -> None:
+        """Drop the tables of a level and, with ``release``, the shuffles that made them."""
+        drop_folders(spark, *folders[kept:])
+        del folders[kept:]
+        release(spark)
+
+    kept = len(folders)
     links = None
     branch = "node long, set_key binary, parent long"
     rows = keep(classes.select("set_key", "minwise").mapInArrow(_branch(trees, percent), branch), "nodes")
     for level in range(1, DEEPEST + 1):
         sizes = rows.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
-        sized = rows.join(sizes, "node").join(classes, "set_key")
-        sized = keep(sized.select("node", "size", "parent", "set_key", "n_shingles", "minwise"), "sized")
-        # up to depth every large node branches; beyond it those that are no longer mostly whole
-        further = F.col("size") > SMALL
+        sized, folder = saved(rows.join(sizes, "node").select("node", "size", "parent", "set_key"), "sized")
+        drop()
+        folders.append(folder)
+        full = sized.join(classes, "set_key")
+        compared = _pieces(full.drop("parent")).mapInArrow(_alike(percent), "node long, a binary, b binary")
+        compared = keep(compared, "compared")
+        release(spark)
+        loose = compared.where("b IS NULL").select("node", F.col("a").alias("set_key")).distinct()
+        many = loose.groupBy("node").agg(F.count("*").alias("n"))
+        # up to depth every node with many loose classes branches; beyond it those that are no longer mostly whole
+        further = F.col("n") > SMALL
         if level >= depth:
             further = further & (F.col("size") * 4 <= F.col("parent") * 3)
         if level == DEEPEST:
             further = F.lit(False)
-        found = _pieces(sized.where(~further)).mapInArrow(_alike(percent), "a binary, b binary").distinct()
+        large = sized.where(F.col("size") > SMALL).groupBy("node").agg(F.first("size").alias("size"), F.max("parent").alias("parent"))
+        state = keep(large.join(many, "node").select("node", "n", further.alias("further")), "state")
+        found = compared.where("b IS NOT NULL").join(state.where("further"), "node", "left_anti").select("a", "b")
+        rest = _rest(sized.drop("parent"), loose.join(state.where("NOT further").select("node", "n"), "node"), classes, percent)
+        found, folder = saved(found.unionByName(rest).distinct(), "found")
+        folders.insert(kept, folder)
+        kept += 1
         links = found if links is None else links.unionByName(found)
-        more = sized.where(further)
-        if level == DEEPEST or more.limit(1).count() == 0:
+        if state.where("further").limit(1).count() == 0:
             break
-        rows = keep(more.mapInArrow(_branch(None, percent), branch), "nodes")
+        on = full.join(state.where("further").select("node"), "node", "left_semi")
+        rows, folder = saved(on.select("node", "size", "set_key", "minwise").mapInArrow(_branch(None, percent), branch), "nodes")
+        drop()
+        folders.append(folder)
+    drop()
     return keep(links.distinct(), "alike")
 
 
@@ -350,6 +447,7 @@ def _tied(rows: DataFrame, features: DataFrame, shingle: int, percent: int, tree
         texts.join(member.hint(LARGE_JOIN), texts["id"].eqNullSafe(member["doc_id"])).select("root", "set_key", "blocks", "at", "n_shingles", "text"),
         "members",
     )
+    release(rows.sparkSession)
     large = member.where("blocks > 1")
     dealt = member.withColumn("part", F.pmod("at", "blocks")).select("root", "set_key", "part", "text")
     pivot_rows = large.join(_pivots(large), ["root", "set_key"])
@@ -358,6 +456,7 @@ def _tied(rows: DataFrame, features: DataFrame, shingle: int, percent: int, tree
     link = "a binary, b binary"
     ordered = dealt.select("block", "set_key", "text")
     edges = keep(_ordered(ordered, "block").mapInArrow(_confirm(shingle, percent), link), "links")
+    release(rows.sparkSession)
     if large.select(F.lit(1)).limit(1).count() == 0:
         return joined_up(edges)
     # classes of large groups that are not tied to the group's largest component meet every block
