@@ -618,10 +618,14 @@ def _object_root(spark: SparkSession) -> str:
     return root if path == root and not root.startswith("/") else "file:///" + path.lstrip("/")
 
 
+# a folder of a file system takes one new object at a time, so the documents go into many
+OBJECT_FOLDERS = 256
+
+
 def _stored(spark: SparkSession, sf_dir: str, content: str, root: str | None = None) -> DataFrame:
-    """(doc_id, path) after every document was written as one object below ``root``."""
+    """(doc_id, path) after every document was written as one object in a folder below ``root``."""
     root = root or _object_root(spark)
-    path = F.concat(F.lit(root + "/"), "doc_id", F.lit(".txt"))
+    path = F.concat(F.lit(root + "/"), F.pmod("doc_id", F.lit(OBJECT_FOLDERS)), F.lit("/"), "doc_id", F.lit(".txt"))
     docs = spread_documents(spark, sf_dir).select("doc_id", path.alias("path"), F.col(content).alias("content"))
     write_objects(docs, "path", "content").write.format("noop").mode("overwrite").save()
     return docs.select("doc_id", "path")

@@ -12,7 +12,7 @@ import uuid
 from collections import OrderedDict
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
-from itertools import groupby
+from itertools import chain, groupby
 
 import pyarrow as pa
 from pyarrow import fs
@@ -36,6 +36,8 @@ HELD_BYTES = 16 << 20
 # objects up to this size may be kept for rows that name them again, this much in all per task
 KEEP_OBJECT_BYTES = 1 << 20
 KEEP_TOTAL_BYTES = 64 << 20
+# objects asked for by one thread in one call
+PROBED_AT_ONCE = 64
 
 
 class ObjectError(ValueError):
@@ -147,8 +149,12 @@ def _write(resolve: Resolver, path: str, content: str) -> str:
             # readers see the old or the new object, also when a task runs twice at once
             parent = inner.rsplit("/", 1)[0]
             part = f"{parent}/.{uuid.uuid4().hex}.part"
-            system.create_dir(parent, recursive=True)
-            with system.open_output_stream(part) as stream:
+            try:
+                opened = system.open_output_stream(part)
+            except FileNotFoundError:
+                system.create_dir(parent, recursive=True)
+                opened = system.open_output_stream(part)
+            with opened as stream:
                 stream.write(data)
             system.move(part, inner)
         else:
@@ -167,6 +173,21 @@ def _exists(resolve: Resolver, path: str) -> bool:
         raise ObjectError(f"{FETCH_FAILED}: {path}: {error}") from error
 
 
+def _exist(resolve: Resolver, paths: list[str]) -> list[bool]:
+    """:func:`_exists` of several objects, one call for each file system."""
+    by_system: dict[int, tuple[fs.FileSystem, list[int], list[str]]] = {}
+    for k, path in enumerate(paths):
+        system, inner = resolve(path)
+        _, rows, inners = by_system.setdefault(id(system), (system, [], []))
+        rows.append(k)
+        inners.append(inner)
+    found = [False] * len(paths)
+    for system, rows, inners in by_system.values():
+        for k, info in zip(rows, system.get_file_info(inners), strict=True):
+            found[k] = info.type == fs.FileType.File
+    return found
+
+
 def _settle(call: Callable, on_error: str) -> Callable:
     """``call`` as it is, or with NULL in place of an error."""
     if on_error not in ("fail", "null"):
@@ -270,11 +291,20 @@ def exists_udf(resolver: Resolver, max_in_flight: int, on_error: str):
 
     @F.arrow_udf(BooleanType())
     def exists(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        def some(paths: list[str]) -> list[bool | None]:
+            try:
+                return _exist(resolver, paths)
+            except (ObjectError, OSError, pa.ArrowException):
+                # one by one, so that the error is that of its object
+                return [probe(resolver, p) for p in paths]
+
         with ThreadPoolExecutor(max_in_flight) as pool:
             for batch in batches:
                 paths = batch.to_pylist()
                 wanted = list({p for p in paths if p is not None})
-                found = dict(zip(wanted, pool.map(lambda p: probe(resolver, p), wanted)))
+                size = max(1, min(PROBED_AT_ONCE, len(wanted) // max_in_flight))
+                parts = [wanted[at : at + size] for at in range(0, len(wanted), size)]
+                found = dict(zip(wanted, chain.from_iterable(pool.map(some, parts))))
                 yield pa.array([found.get(p) for p in paths], pa.bool_())
 
     return exists.asNondeterministic()
