@@ -38,6 +38,9 @@ KEEP_OBJECT_BYTES = 1 << 20
 KEEP_TOTAL_BYTES = 64 << 20
 # objects asked for by one thread in one call
 PROBED_AT_ONCE = 64
+# the parts of a scan that one task reads, and the tasks for each core below which none are joined
+SCANNED_PARTS = 8
+SCAN_TASKS = 32
 
 
 class ObjectError(ValueError):
@@ -328,13 +331,17 @@ def object_exists(
 def read_objects(spark: SparkSession, folder: str, pattern: str | None = None) -> DataFrame:
     """(path, content) of all objects below a folder, by name pattern if given.
 
-    The scan form: Spark lists the folder once and splits the objects over its tasks. Content
-    that is not UTF-8 fails the query.
+    The scan form: Spark lists the folder once and splits the objects over its tasks. It counts each
+    object as 4 MB at least, so of many small ones a part has only 32: where there are many parts, a
+    task reads up to ``SCANNED_PARTS`` of them. Content that is not UTF-8 fails the query.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    return reader.load(folder).select("path", F.decode("content", "UTF-8").alias("content"))
+    found = reader.load(folder).select("path", F.decode("content", "UTF-8").alias("content"))
+    parts = found.rdd.getNumPartitions()
+    tasks = max(SCAN_TASKS * spark.sparkContext.defaultParallelism, -(-parts // SCANNED_PARTS))
+    return found.coalesce(tasks) if tasks < parts else found
 
 
 def fetch_objects(df: DataFrame, path_col: str, out: str = "content", **options) -> DataFrame:

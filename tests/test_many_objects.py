@@ -8,6 +8,16 @@ from pyarrow import fs
 from corpusloom.sources import objects
 
 
+def test_a_scan_joins_parts_of_small_objects(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(objects, "SCAN_TASKS", 1)
+    for k in range(1200):
+        (tmp_path / f"{k}.txt").write_text(str(k))
+    found = objects.read_objects(spark, f"file://{tmp_path}", "*.txt")
+    cores = spark.sparkContext.defaultParallelism
+    assert found.rdd.getNumPartitions() <= max(cores, 1200 // 32 // objects.SCANNED_PARTS + 1)
+    assert {int(r.content) for r in found.collect()} == set(range(1200))
+
+
 def test_objects_are_asked_for_together(tmp_path):
     calls = []
 
