@@ -8,7 +8,10 @@ from __future__ import annotations
 
 import re
 import weakref
+from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, SparkSession, functions as F
 
 # The Unicode White_Space characters, which decide trimming and word borders.
@@ -32,6 +35,17 @@ def as_column(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def _runs_of_texts(texts: pa.Array, limit: int) -> Iterator[pa.Array]:
+    """The array in runs of at most ``limit`` bytes, one text at least; an empty array as it is."""
+    start = held = 0
+    for at, size in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
+        if at > start and held + size > limit:
+            yield texts.slice(start, at - start)
+            start, held = at, 0
+        held += size
+    yield texts.slice(start)
+
+
 def fill_nulls(result: Column, fill: Column | str | int | bool, null_compat: bool) -> Column:
     """Replace NULL results by ``fill`` when a caller asks for filled instead of NULL rows."""
     if not null_compat:

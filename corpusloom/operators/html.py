@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 from functools import lru_cache, reduce
 from typing import Any
@@ -27,10 +27,12 @@ from pyspark.sql.types import (
 )
 
 from corpusloom.functions.markup import page_elements, with_headings
-from corpusloom.functions.text import SQL_FUNCTIONS, as_column, trim_text
+from corpusloom.functions.text import SQL_FUNCTIONS, _runs_of_texts, as_column, trim_text
 
 # Size guard, filter defaults, chunk defaults and mode names.
 MAX_HTML_BYTES = 50 * 1024 * 1024
+# pages scanned at once
+SCAN_BYTES = 2 << 20
 SKIP_CLASSES = (
     "nav", "navbar", "navigation", "menu", "sidebar", "sidenav",
     "footer", "copyright", "breadcrumb", "header", "advertisement",
@@ -150,8 +152,7 @@ def elements_udf():
         for f in ELEMENT
     ]
 
-    @F.arrow_udf(ArrayType(ELEMENT))
-    def scan(pages: pa.Array) -> pa.Array:
+    def elements(pages: pa.Array) -> pa.Array:
         rows, offsets, missing = [], [0], []
         for page in pages.to_pylist():
             missing.append(page is None)
@@ -167,6 +168,13 @@ def elements_udf():
             pa.array(offsets, pa.int32()), struct, mask=pa.array(missing) if any(missing) else None
         )
 
+    @F.arrow_udf(ArrayType(ELEMENT))
+    def scan(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for pages in batches:
+            # elements as Python values take many times the page, so a few pages at a time
+            for some in _runs_of_texts(pages, SCAN_BYTES):
+                yield elements(some)
+
     return scan
 
 
