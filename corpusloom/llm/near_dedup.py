@@ -3,9 +3,10 @@
 1. Texts become sets of word shingles. Equal sets are one class from here on, so copies cost nothing.
 2. Every class has ``COORDINATES`` minwise values. Each of ``trees`` independent trees branches the
    classes: a node picks coordinates (one, and a second in so many nodes that a pair at the threshold
-   is expected to share one child), and the value there names the child. Nodes with at most
+   is expected to share one child), and the value there names the child. Comparing begins at level
+   ``FIRST``, as most classes that meet above it do so by chance. Nodes with at most
    ``SMALL`` classes are compared exhaustively. In a larger one each class is compared with the first
-   of the node and with its ``SMALL`` neighbours in the order of the minwise values, which begins at
+   of the node and with its ``SMALL`` neighbours in the order of the values' low bytes, which begins at
    another coordinate in every node; a node too large for one task is dealt into pieces that share
    its first. Classes that this does not tie to the first are loose. A node with at most ``SMALL``
    loose classes ends there: these meet all its classes, and all others are in one candidate group.
@@ -28,6 +29,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +42,7 @@ from corpusloom.llm.common import LARGE_JOIN, components, drop_folders, release,
 COORDINATES = 64
 SMALL = 24
 MISSED = 2e-5
+FIRST = 2  # the level at which classes are compared first
 DEEPEST = 48
 PIECE = 2048  # classes of a node that one task compares
 CHUNK = 512  # loose classes that meet a piece at once
@@ -103,14 +106,15 @@ def _children(node: np.ndarray, values: np.ndarray, percent: int) -> tuple[np.nd
     rows = np.arange(len(node))
     first = (mix(node) % np.uint64(COORDINATES)).astype(np.int64)
     second = (mix(node + np.uint64(1)) % np.uint64(COORDINATES)).astype(np.int64)
-    twice = np.flatnonzero(mix(node + np.uint64(2)) % np.uint64(100) < often)
+    # the same coordinate again would only repeat the child
+    twice = np.flatnonzero((mix(node + np.uint64(2)) % np.uint64(100) < often) & (second != first))
     rows, coordinate = np.concatenate((rows, twice)), np.concatenate((first, second[twice]))
     value = values[rows, coordinate].astype(np.uint64)
     return rows, mix(node[rows] ^ (value + (coordinate.astype(np.uint64) << np.uint64(20))) * np.uint64(0x9FB21C651E98DF25))
 
 
-def _branch(trees: int | None, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """From the roots of all trees, or (None) from the column ``node``, to the children, with the size of the node."""
+def _branch(trees: int | None, percent: int, levels: int = 1) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """From the roots of all trees, or (None) from the column ``node``, to the nodes ``levels`` below, with the size of the node (of a root: 0)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -123,13 +127,24 @@ def _branch(trees: int | None, percent: int) -> Callable[[Iterator[pa.RecordBatc
             else:
                 starts = [np.full(len(values), mix(np.array([tree + 1], np.uint64))[0]) for tree in range(trees)]
             size = pa.array(np.zeros(len(values), np.int64)) if trees else batch.column("size")
-            for node in starts:
-                rows, child = _children(node, values, percent)
+            for child in starts:
+                rows = np.arange(len(values))
+                for _ in range(levels):
+                    taken, child = _children(child, values[rows], percent)
+                    rows = rows[taken]
                 yield pa.record_batch([pa.array(child.view(np.int64)), key.take(pa.array(rows)), size.take(pa.array(rows))], names=["node", "set_key", "parent"])
 
     return run
 
 
+def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The low bytes of the minwise values, which are enough to compare classes."""
+    for batch in batches:
+        values = batch.column("minwise")
+        marks = [np.frombuffer(v, np.uint16).astype(np.uint8).tobytes() for v in values.to_pylist()]
+        yield pa.record_batch([batch.column("set_key"), batch.column("n_shingles"), pa.array(marks, pa.binary())], names=["set_key", "n_shingles", "marks"])
+
+
 def _roots(count: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """The smallest row that each of ``count`` rows reaches over the links i-j."""
     root = np.arange(count)
@@ -145,7 +160,7 @@ def _roots(count: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 
 
 def _alike(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Of rows ordered by piece: candidate links (node, a, b), and the loose classes a of large nodes (b null).
+    """Of rows ordered by piece: candidate links (a, b), and the loose classes a of large nodes (b null) with node, size and parent.
 
     What it holds is a batch and ``SMALL`` rows more.
     """
@@ -157,15 +172,14 @@ def _alike(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
         for batch in batches:
             if not batch.num_rows:
                 continue
-            piece, node, size = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("piece", "node", "n_shingles"))
-            large = batch.column("large").to_numpy(zero_copy_only=False).astype(bool)
+            piece, node, total, parent, size = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("piece", "node", "size", "parent", "n_shingles"))
             keys = np.array(batch.column("set_key").to_pylist(), dtype=object)
-            values = np.frombuffer(b"".join(batch.column("minwise").to_pylist()), np.uint16).reshape(-1, COORDINATES)
+            values = np.frombuffer(b"".join(batch.column("marks").to_pylist()), np.uint8).reshape(-1, COORDINATES)
             seen = 0
             if tail is not None:
                 # the first of the running piece stands before the rows kept of it
                 seen = len(head[0]) + len(tail[0])
-                piece, keys, size, values, node, large = (np.concatenate(x) for x in zip(head, tail, (piece, keys, size, values, node, large), strict=True))
+                piece, keys, size, values, node, total, parent = (np.concatenate(x) for x in zip(head, tail, (piece, keys, size, values, node, total, parent), strict=True))
             begins = np.concatenate(([True], piece[1:] != piece[:-1]))
             pivot = np.maximum.accumulate(np.where(begins, np.arange(len(piece)), 0))
             left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
@@ -181,17 +195,18 @@ def _alike(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
                     right.append(b[ok])
             root = _roots(len(piece), np.concatenate(left), np.concatenate(right))
             linked = np.flatnonzero(root != np.arange(len(piece)))
-            loose = np.flatnonzero(large & (root != root[pivot]) & (np.arange(len(piece)) >= seen))
+            loose = np.flatnonzero((total > SMALL) & (root != root[pivot]) & (np.arange(len(piece)) >= seen))
+            both = np.concatenate((linked, loose))
             columns = (
-                pa.array(np.concatenate((node[linked], node[loose]))),
                 pa.array(keys[root[linked]].tolist() + keys[loose].tolist(), pa.binary()),
                 pa.array(keys[linked].tolist() + [None] * len(loose), pa.binary()),
+                *(pa.array(x[both], mask=np.arange(len(both)) < len(linked)) for x in (node, total, parent)),
             )
-            yield pa.record_batch(list(columns), names=["node", "a", "b"])
+            yield pa.record_batch(list(columns), names=["a", "b", "node", "size", "parent"])
             last = int(pivot[-1])
             keep = max(last + 1, len(piece) - SMALL)
-            head = tuple(x[last : last + 1] for x in (piece, keys, size, values, node, large))
-            tail = tuple(x[keep:] for x in (piece, keys, size, values, node, large))
+            head = tuple(x[last : last + 1] for x in (piece, keys, size, values, node, total, parent))
+            tail = tuple(x[keep:] for x in (piece, keys, size, values, node, total, parent))
 
     return run
 
@@ -201,7 +216,7 @@ def _meet(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
     equal = alike(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        running, held = None, ([], [], [])  # keys, sizes and minwise values of the loose classes of a block
+        running, held = None, ([], [], [])  # keys, sizes and marks of the loose classes of a block
         for batch in batches:
             a, b = [], []
             block = batch.column("block").to_numpy(zero_copy_only=False).astype(np.int64)
@@ -213,7 +228,7 @@ def _meet(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
                 host = part.column("host").to_numpy(zero_copy_only=False).astype(np.int64)
                 keys = part.column("set_key").to_pylist()
                 size = part.column("n_shingles").to_numpy(zero_copy_only=False).astype(np.int64)
-                values = np.frombuffer(b"".join(part.column("minwise").to_pylist()), np.uint16).reshape(-1, COORDINATES)
+                values = np.frombuffer(b"".join(part.column("marks").to_pylist()), np.uint8).reshape(-1, COORDINATES)
                 for k in np.flatnonzero(host == 0).tolist():
                     for kept, one in zip(held, (keys[k], size[k], values[k]), strict=True):
                         kept.append(one)
@@ -301,38 +316,41 @@ def _ordered(df: DataFrame, by: str, *more: str) -> DataFrame:
     return df.repartition(by).sortWithinPartitions(by, *more)
 
 
-def _pieces(compared: DataFrame) -> DataFrame:
-    """The rows to compare, dealt into pieces of bounded size, in the order in which they are compared."""
-    # the order of the minwise values begins at another coordinate in every node
-    at = F.pmod("node", F.lit(COORDINATES)) * 2
-    turned = F.concat(F.expr(f"substring(minwise, cast(pmod(node, {COORDINATES}) * 2 + 1 as int))"), F.substring("minwise", F.lit(1), at.cast("int")))
-    rows = compared.withColumn("turned", turned).withColumn("pieces", F.ceil(F.col("size") / PIECE)).withColumn("large", F.col("size") > SMALL)
-    large = rows.where("pieces > 1")
-    first = large.groupBy("node").agg(F.min(F.struct("turned", "set_key", "n_shingles", "minwise")).alias("first"), F.first("pieces").alias("pieces"))
-    shared = first.select("node", F.lit(True).alias("large"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)).alias("part"), "first.*")
-    dealt = rows.withColumn("part", F.pmod(F.xxhash64("set_key"), "pieces")).drop("pieces", "size")
-    both = dealt.withColumn("rank", F.lit(1)).unionByName(shared.withColumn("rank", F.lit(0)))
-    return _ordered(both.withColumn("piece", F.xxhash64("node", "part")), "piece", "rank", "turned").select("piece", "node", "large", "set_key", "n_shingles", "minwise")
+def _pieces(compared: DataFrame, cut: bool) -> DataFrame:
+    """The rows to compare, dealt into pieces of bounded size (``cut``: a node needs several), in the order in which they are compared."""
+    # the order of the marks begins at another coordinate in every node; it does not travel with the rows
+    at = F.pmod("node", F.lit(COORDINATES)).cast("int")
+    turned = F.concat(F.expr(f"substring(marks, cast(pmod(node, {COORDINATES}) + 1 as int))"), F.substring("marks", F.lit(1), at))
+    pieces = F.ceil(F.col("size") / PIECE)
+    columns = ["node", "size", "parent", "set_key", "n_shingles", "marks"]
+    both = compared.select(*columns, F.pmod(F.xxhash64("set_key"), pieces).alias("part"), F.lit(1).alias("rank"))
+    if cut:
+        large = compared.where(F.col("size") > PIECE)
+        first = large.groupBy("node", "size", "parent").agg(F.min(F.struct(turned.alias("turned"), "set_key", "n_shingles", "marks")).alias("first"))
+        every = F.explode(F.sequence(F.lit(0).cast("long"), pieces - 1)).alias("part")
+        both = both.unionByName(first.select("node", "size", "parent", "first.set_key", "first.n_shingles", "first.marks", every, F.lit(0).alias("rank")))
+    both = both.withColumn("piece", F.xxhash64("node", "part")).drop("part")
+    return both.repartition("piece").sortWithinPartitions("piece", "rank", turned).select("piece", *columns)
 
 
 def _rest(ended: DataFrame, loose: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Links of the ``loose`` (node, set_key, n) classes, ``n`` in a node, with all classes of their nodes in ``ended``."""
+    """Links of the ``loose`` (node, set_key) classes with all classes of their nodes in ``ended`` (node, size, n, set_key), of which ``n`` are loose."""
     chunks = F.ceil(F.col("n") / CHUNK)
-    whole = ended.join(loose.groupBy("node").agg(F.first("n").alias("n")), "node").join(classes, "set_key")
+    whole = ended.join(classes, "set_key")
     pieces = F.ceil(F.col("size") / PIECE)
     part, chunk = F.pmod(F.xxhash64("set_key"), pieces), F.pmod(F.xxhash64("set_key", F.lit(1)), chunks)
     every = F.sequence(F.lit(0).cast("long"), chunks - 1)
-    hosts = whole.select("node", "set_key", "n_shingles", "minwise", F.lit(1).alias("host"), part.alias("part"), F.explode(every).alias("chunk"))
-    asked = whole.join(loose.select("node", "set_key"), ["node", "set_key"], "left_semi")
+    hosts = whole.select("node", "set_key", "n_shingles", "marks", F.lit(1).alias("host"), part.alias("part"), F.explode(every).alias("chunk"))
+    asked = ended.join(loose, ["node", "set_key"], "left_semi").join(classes, "set_key")
     every = F.sequence(F.lit(0).cast("long"), pieces - 1)
-    asked = asked.select("node", "set_key", "n_shingles", "minwise", F.lit(0).alias("host"), F.explode(every).alias("part"), chunk.alias("chunk"))
+    asked = asked.select("node", "set_key", "n_shingles", "marks", F.lit(0).alias("host"), F.explode(every).alias("part"), chunk.alias("chunk"))
     both = hosts.unionByName(asked).withColumn("block", F.xxhash64("node", "part", "chunk"))
-    rows = _ordered(both, "block", "host").select("block", "host", "set_key", "n_shingles", "minwise")
+    rows = _ordered(both, "block", "host").select("block", "host", "set_key", "n_shingles", "marks")
     return rows.mapInArrow(_meet(percent), "a binary, b binary")
 
 
 def _candidates(classes: DataFrame, percent: int, trees: int, depth: int, folders: list[str]) -> DataFrame:
-    """Links between classes that share a node and look alike."""
+    """Links between classes that share a node and look alike; a link may come more than once."""
     spark = classes.sparkSession
 
     def keep(df: DataFrame, label: str) -> DataFrame:
@@ -340,49 +358,44 @@ def _candidates(classes: DataFrame, percent: int, trees: int, depth: int, folder
         folders.append(folder)
         return df
 
-    def drop() -> None:
-        """Drop the tables of a level and, with ``release``, the shuffles that made them."""
-        drop_folders(spark, *folders[kept:])
-        del folders[kept:]
-        release(spark)
-
-    kept = len(folders)
-    links = None
+    marked = classes.mapInArrow(_marks, "set_key binary, n_shingles long, marks binary")
     branch = "node long, set_key binary, parent long"
-    rows = keep(classes.select("set_key", "minwise").mapInArrow(_branch(trees, percent), branch), "nodes")
-    for level in range(1, DEEPEST + 1):
+    begin = min(FIRST, depth)
+    rows, folder = saved(classes.select("set_key", "minwise").mapInArrow(_branch(trees, percent, begin), branch), "nodes")
+    found, whole, open_classes = [], [], []
+    for level in range(begin, max(begin, DEEPEST) + 1):
         sizes = rows.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
-        sized, folder = saved(rows.join(sizes, "node").select("node", "size", "parent", "set_key"), "sized")
-        drop()
-        folders.append(folder)
-        full = sized.join(classes, "set_key")
-        compared = _pieces(full.drop("parent")).mapInArrow(_alike(percent), "node long, a binary, b binary")
-        compared = keep(compared, "compared")
+        sized = keep(rows.join(sizes, "node").select("node", "size", "parent", "set_key"), "sized")
+        drop_folders(spark, folder)
         release(spark)
-        loose = compared.where("b IS NULL").select("node", F.col("a").alias("set_key")).distinct()
-        many = loose.groupBy("node").agg(F.count("*").alias("n"))
+        cut = sized.where(F.col("size") > PIECE).limit(1).count() > 0
+        compared = _pieces(sized.join(marked, "set_key"), cut).mapInArrow(_alike(percent), "a binary, b binary, node long, size long, parent long")
+        compared = keep(compared, "compared")
+        found.append(compared.where("b IS NOT NULL").select("a", "b"))
+        loose = compared.where("b IS NULL")
         # up to depth every node with many loose classes branches; beyond it those that are no longer mostly whole
         further = F.col("n") > SMALL
         if level >= depth:
             further = further & (F.col("size") * 4 <= F.col("parent") * 3)
-        if level == DEEPEST:
+        if level >= DEEPEST:
             further = F.lit(False)
-        large = sized.where(F.col("size") > SMALL).groupBy("node").agg(F.first("size").alias("size"), F.max("parent").alias("parent"))
-        state = keep(large.join(many, "node").select("node", "n", further.alias("further")), "state")
-        found = compared.where("b IS NOT NULL").join(state.where("further"), "node", "left_anti").select("a", "b")
-        rest = _rest(sized.drop("parent"), loose.join(state.where("NOT further").select("node", "n"), "node"), classes, percent)
-        found, folder = saved(found.unionByName(rest).distinct(), "found")
-        folders.insert(kept, folder)
-        kept += 1
-        links = found if links is None else links.unionByName(found)
-        if state.where("further").limit(1).count() == 0:
+        state = loose.groupBy("node").agg(F.count("*").alias("n"), F.first("size").alias("size"), F.max("parent").alias("parent"))
+        state = keep(state.select("node", "n", further.alias("further")), "state")
+        ends, goes_on = state.agg(F.count_if(~F.col("further")), F.count_if("further")).first()
+        if ends:
+            ending = state.where("NOT further").select("node", "n")
+            whole.append(sized.drop("parent").join(ending, "node"))
+            open_classes.append(loose.select("node", F.col("a").alias("set_key")))
+        if not goes_on:
             break
-        on = full.join(state.where("further").select("node"), "node", "left_semi")
+        on = sized.join(state.where("further").select("node"), "node", "left_semi").join(classes, "set_key")
         rows, folder = saved(on.select("node", "size", "set_key", "minwise").mapInArrow(_branch(None, percent), branch), "nodes")
-        drop()
-        folders.append(folder)
-    drop()
-    return keep(links.distinct(), "alike")
+    if whole:
+        ended = keep(reduce(DataFrame.unionByName, whole).select("node", "size", "n", "set_key"), "ended")
+        rest = _rest(ended, reduce(DataFrame.unionByName, open_classes), marked, percent)
+        found.append(keep(rest, "rest"))
+        release(spark)
+    return reduce(DataFrame.unionByName, found)
 
 
 def near_duplicates(df: DataFrame, shingle: int = 5, percent: int = 80, trees: int | None = None, depth: int = 3) -> DataFrame:
@@ -435,7 +448,10 @@ def _tied(rows: DataFrame, features: DataFrame, shingle: int, percent: int, tree
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("minwise").alias("minwise")
     )
     classes = keep(classes, "classes")
+    before = len(folders)
     groups = joined_up(_candidates(classes.select("set_key", "n_shingles", "minwise"), percent, trees, depth, folders))
+    drop_folders(rows.sparkSession, *folders[before:-1])
+    del folders[before:-1]
     member = groups.withColumnRenamed("node", "set_key").join(classes.drop("minwise"), "set_key")
     # how many blocks a candidate group needs, and the classes that stand in all of them
     weight = member.groupBy("root").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("load"))
