@@ -96,14 +96,13 @@ def components(edges: DataFrame, label: str = "components", rounds: int = 60) ->
     current, folder = saved(pairs, label)
     for _ in range(rounds):
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v")
+        low = both.groupBy(F.col("u").alias("v")).agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        large = current.join(low, "v").select("u", F.col("m").alias("v"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(low, "u")
-        ends = F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))
-        small = joined.select(F.explode(ends).alias("link")).select("link.u", "link.v")
-        after, fresh = saved(small.where("u <> v").distinct(), label)
+        # a node's link to the smallest comes once, not with each of its links
+        others = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = others.unionByName(low.select("u", F.col("m").alias("v")))
+        after, fresh = saved(small.distinct(), label)
         drop_folders(spark, folder)
         current, folder = after, fresh
         # settled when every node with a smaller one has one only, and that has none

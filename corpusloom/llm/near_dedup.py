@@ -159,6 +159,17 @@ def _roots(count: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return root
 
 
+def _least(keys: np.ndarray, root: np.ndarray) -> np.ndarray:
+    """For each row the one with the smallest key of those with its root.
+
+    A class has the same links in most nodes if the smallest key of what it is tied to stands for it.
+    """
+    order = np.argsort(keys, kind="stable")[::-1]
+    low = np.empty(len(keys), np.int64)
+    low[root[order]] = order
+    return low[root]
+
+
 def _alike(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Of rows ordered by piece: candidate links (a, b), and the loose classes a of large nodes (b null) with node, size and parent.
 
@@ -194,11 +205,12 @@ def _alike(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
                     left.append(a[ok])
                     right.append(b[ok])
             root = _roots(len(piece), np.concatenate(left), np.concatenate(right))
-            linked = np.flatnonzero(root != np.arange(len(piece)))
+            least = _least(keys, root)
+            linked = np.flatnonzero(least != np.arange(len(piece)))
             loose = np.flatnonzero((total > SMALL) & (root != root[pivot]) & (np.arange(len(piece)) >= seen))
             both = np.concatenate((linked, loose))
             columns = (
-                pa.array(keys[root[linked]].tolist() + keys[loose].tolist(), pa.binary()),
+                pa.array(keys[least[linked]].tolist() + keys[loose].tolist(), pa.binary()),
                 pa.array(keys[linked].tolist() + [None] * len(loose), pa.binary()),
                 *(pa.array(x[both], mask=np.arange(len(both)) < len(linked)) for x in (node, total, parent)),
             )
@@ -243,9 +255,9 @@ def _meet(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
                     left, right = np.concatenate((left, np.full(len(near), k))), np.concatenate((right, near + first))
                     if len(left) > 1 << 18 or k == first - 1:
                         # at most one link for each class goes on
-                        root = _roots(len(names), left, right)
-                        right = np.flatnonzero(root != np.arange(len(names)))
-                        left = root[right]
+                        least = _least(np.array(names, dtype=object), _roots(len(names), left, right))
+                        right = np.flatnonzero(least != np.arange(len(names)))
+                        left = least[right]
                 a += [names[k] for k in left.tolist()]
                 b += [names[k] for k in right.tolist()]
             yield pa.record_batch([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
