@@ -14,6 +14,8 @@ from corpusloom.operators.batches import dense_positions
 from corpusloom.session import drop_folders, new_folder, scratch  # noqa: F401 - part of this module's surface
 
 SLICE_BYTES = 4 << 20
+BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 1 << 20
 LARGE_JOIN = "shuffle_hash"
 
 
@@ -34,6 +36,16 @@ def release(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
+def small_batches(spark: SparkSession) -> None:
+    """From now on the session's rows go to Python in Arrow batches of ``BATCH_BYTES``, or of the last row's more.
+
+    Spark bounds a batch by 10,000 rows, which may be 20 MB of texts and more, and an executor keeps the
+    memory of its largest batches. A session that has a limit of bytes of its own keeps that.
+    """
+    if spark.conf.get(BATCH_KEY, None) is None:
+        spark.conf.set(BATCH_KEY, str(BATCH_BYTES))
+
+
 def keyed(df: DataFrame, *columns: str, nulls_last: bool = False) -> DataFrame:
     """``df`` with ``rid``, a number that no other row has and that orders rows as doc_id does.
 

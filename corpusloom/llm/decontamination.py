@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.bytewords import Words, mix, words
-from corpusloom.llm.common import slices, texts_of
+from corpusloom.llm.common import slices, small_batches, texts_of
 
 MASKS = ("1101111", "11010001011", "1110001000101")
 MIN_WORDS = 13
@@ -213,6 +213,7 @@ def _overlaps(sent: Broadcast, min_words: int, agree: float) -> Callable[[Iterat
 
 def _items(df: DataFrame, benchmark: DataFrame, masks: tuple[str, ...], min_words: int, agree: float) -> Iterator[Broadcast]:
     """The test items in blocks of bounded size, each sent to all executors."""
+    small_batches(df.sparkSession)
     tests = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     size = tests.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
     blocks = size // BLOCK_BYTES + 1

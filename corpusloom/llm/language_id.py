@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm.bytewords import buffers
-from corpusloom.llm.common import slices, texts_of
+from corpusloom.llm.common import slices, small_batches, texts_of
 
 MACHINES = 4096
 SAMPLE_ROWS = 1024
@@ -129,6 +129,7 @@ def train_languages(df: DataFrame, sample_rows: int = SAMPLE_ROWS, families: dic
     A language without family is one of its own. There is a machine for each pair of families and of
     languages in one; more than ``MACHINES`` (64 KB each, they are sent to all tasks) raise a ValueError.
     """
+    small_batches(df.sparkSession)
     family_of = FAMILY_OF if families is None else families
     rows = df.where("lang IS NOT NULL AND text IS NOT NULL").select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     rows = rows.withColumn("hash", F.xxhash64("text"))
@@ -224,6 +225,7 @@ def identify(df: DataFrame, model: Model, pred: str = "lang_pred", score: str =
     replaced. lang_pred is a learned language, or ``und`` with score 0 where the text is null or has no letters,
     or where nothing was learned. Prediction looks at the text alone. An empty table gives no rows.
     """
+    small_batches(df.sparkSession)
     sent = df.sparkSession.sparkContext.broadcast(model)
     df = df.drop(pred, score)
     fields = ", ".join(f"`{n}` {f.dataType.simpleString()}" for n, f in zip(df.columns, df.schema.fields, strict=True))

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm.bytewords import mix, shingles, words
-from corpusloom.llm.common import LARGE_JOIN, components, drop_folders, release, saved, slices, texts_of
+from corpusloom.llm.common import LARGE_JOIN, components, drop_folders, release, saved, slices, small_batches, texts_of
 
 COORDINATES = 64
 SMALL = 24
@@ -425,6 +425,7 @@ def near_duplicates(df: DataFrame, shingle: int = 5, percent: int = 80, trees: i
     """
     if not 50 <= percent <= 100:
         raise ValueError("percent must be 50 to 100")
+    small_batches(df.sparkSession)
     trees = trees or trees_for(percent, depth)
     rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     folders: list[str] = []

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import slices, texts_of
+from corpusloom.llm.common import slices, small_batches, texts_of
 
 MAX_LENGTH = 1024
 END_ID = 0
@@ -148,6 +148,7 @@ def pack_documents(df: DataFrame, tokenizer: str, max_length: int = MAX_LENGTH,
     """
     if max_length < 1 or max_length & (max_length - 1):
         raise ValueError("max_length must be a power of two")
+    small_batches(df.sparkSession)
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, bucket long"
     rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(_pieces(tokenizer, max_length, end_id, with_ids), schema + ", ids array<int>" * with_ids)

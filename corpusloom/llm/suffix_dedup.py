@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.bytewords import buffers, mix
-from corpusloom.llm.common import LARGE_JOIN, drop_folders, keyed, release, saved, slices, texts_of
+from corpusloom.llm.common import LARGE_JOIN, drop_folders, keyed, release, saved, slices, small_batches, texts_of
 
 ANCHOR = 20
 BLOCK = 1 << 19
@@ -285,6 +285,7 @@ def remove_repeats(df: DataFrame, length: int = 100, carry: Sequence[str] = (),
     if not 40 <= length <= 1000:
         raise ValueError("length must be from 40 to 1000")
     spark = df.sparkSession
+    small_batches(spark)
     carried = F.struct(*(F.col(f"`{c}`") for c in carry), F.lit(None).cast("string").alias("__none")).alias("carried")
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     rows = keyed(df.select(F.col("doc_id").cast("long").alias("doc_id"), text, carried), "text")
