@@ -12,6 +12,7 @@ import uuid
 from collections import OrderedDict
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 from itertools import chain, groupby
 
 import pyarrow as pa
@@ -22,6 +23,7 @@ from pyspark.sql.types import BooleanType, StringType
 from corpusloom.functions.retry import DEFAULT_IN_FLIGHT, InFlight
 from corpusloom.functions.text import as_column, fill_nulls, strip_newlines, text_mode
 from corpusloom.operators.scripts import transform_text, transform_text_per_row
+from corpusloom.session import pinned
 
 SCHEMES = ("s3", "s3a", "file", "hdfs", "gs")
 _PATH = r"^([a-z0-9]+)://([^/]*)/(.*)$"
@@ -38,9 +40,14 @@ KEEP_OBJECT_BYTES = 1 << 20
 KEEP_TOTAL_BYTES = 64 << 20
 # objects asked for by one thread in one call
 PROBED_AT_ONCE = 64
-# the parts of a scan that one task reads, and the tasks for each core below which none are joined
-SCANNED_PARTS = 8
+# what one task of a scan reads at most, and the tasks for each core below which none are joined
+SCANNED_OBJECTS = 1 << 13
+SCANNED_BYTES = 128 << 20
 SCAN_TASKS = 32
+# where Spark makes the parts of a scan, those that one task reads
+SCANNED_PARTS = 8
+# rows of a listing that go on as one batch
+LISTED_ROWS = 1 << 16
 
 
 class ObjectError(ValueError):
@@ -328,12 +335,72 @@ def object_exists(
 # --- operators over tables -------------------------------------------------------------------
 
 
-def read_objects(spark: SparkSession, folder: str, pattern: str | None = None) -> DataFrame:
-    """(path, content) of all objects below a folder, by name pattern if given.
+def _left_out(name: str, folder: bool) -> bool:
+    """Whether Spark's scans of files leave out a name below the folder that they are given."""
+    if folder and name.startswith(("_metadata", "_common_metadata")):
+        return False
+    return name.startswith(".") or name.endswith("._COPYING_") or (name.startswith("_") and "=" not in name)
+
+
+# address, bytes, whether it is a folder
+_ENTRY = "path string, size long, folder boolean"
+
+
+def _entry(path: str, info: fs.FileInfo) -> tuple[str, int, bool] | None:
+    """The row of a folder or an object; none where an object is empty, as Spark's scans leave that out."""
+    if info.type == fs.FileType.Directory:
+        return path, 0, True
+    return (path, info.size, False) if info.type == fs.FileType.File and info.size else None
+
+
+def _below(folders: DataFrame, resolver: Resolver) -> DataFrame:
+    """What lies right in the folders, each listed by one call of a task."""
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for folder in batch.column("path").to_pylist():
+                system, inner = resolver(folder)
+                try:
+                    infos = system.get_file_info(fs.FileSelector(inner, allow_not_found=True))
+                except (OSError, pa.ArrowException) as error:
+                    raise ObjectError(f"{FETCH_FAILED}: {folder}: {error}") from error
+                for at in range(0, len(infos), LISTED_ROWS):
+                    some = [i for i in infos[at : at + LISTED_ROWS] if not _left_out(i.base_name, i.type == fs.FileType.Directory)]
+                    entries = [_entry(f"{folder.rstrip('/')}/{i.base_name}", i) for i in some]
+                    if rows := [entry for entry in entries if entry]:
+                        columns = map(pa.array, zip(*rows), (pa.string(), pa.int64(), pa.bool_()))
+                        yield pa.record_batch(list(columns), names=["path", "size", "folder"])
+
+    return folders.select("path").mapInArrow(listed, _ENTRY)
+
+
+def _roots(spark: SparkSession, folder: str, resolver: Resolver) -> tuple[str, list[tuple[str, int, bool]]]:
+    """The start of all addresses below ``folder`` and the entries it names; none if a task cannot list them."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    several = set("{}[]*?\\").intersection(path.toString())
+    paths = [status.getPath() for status in system.globStatus(path) or ()] if several else [path]
+    uris = [p.makeQualified(system.getUri(), system.getWorkingDirectory()).toUri() for p in paths]
+    if not uris or uris[0].getScheme() not in SCHEMES:
+        return "", []
+    start = f"{uris[0].getScheme()}://{uris[0].getAuthority() or ''}"
+    addresses = [f"{start}{uri.getPath()}" for uri in uris]
+    try:
+        infos = resolver(addresses[0])[0].get_file_info([resolver(address)[1] for address in addresses])
+    except (ObjectError, OSError, pa.ArrowException):
+        return "", []
+    if any(info.type == fs.FileType.NotFound for info in infos):
+        return "", []
+    # a folder that is named is read whatever its name
+    named = [(a, i) for a, i in zip(addresses, infos, strict=True) if i.type == fs.FileType.Directory or not _left_out(i.base_name, False)]
+    return start, [entry for entry in (_entry(*pair) for pair in named) if entry]
+
+
+def _scanned_by_spark(spark: SparkSession, folder: str, pattern: str | None) -> DataFrame:
+    """The rows of :func:`read_objects` where the driver lists all objects.
 
-    The scan form: Spark lists the folder once and splits the objects over its tasks. It counts each
-    object as 4 MB at least, so of many small ones a part has only 32: where there are many parts, a
-    task reads up to ``SCANNED_PARTS`` of them. Content that is not UTF-8 fails the query.
+    Spark counts each object as 4 MB at least, so of many small ones a part has only 32: where there
+    are many parts, a task reads up to ``SCANNED_PARTS`` of them.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if pattern:
@@ -344,6 +411,49 @@ def read_objects(spark: SparkSession, folder: str, pattern: str | None = None) -
     return found.coalesce(tasks) if tasks < parts else found
 
 
+def read_objects(spark: SparkSession, folder: str, pattern: str | None = None) -> DataFrame:
+    """(path, content) of all objects below a folder, by name pattern if given.
+
+    The scan form: the tasks list the folders once, now, a level of folders at a time, and the listing
+    is in the shared folder; the driver holds none of it, and a task that of one folder (some 260
+    bytes for each object). The objects are split over the tasks. Names, patterns and paths are those
+    of Spark's binaryFile, which also leaves out objects without content and names that begin with
+    ``.`` or ``_``. A folder that the storage client of the tasks does not reach is listed by Spark on
+    the driver. Content that is not UTF-8 fails the query.
+    """
+    resolver = DefaultResolver()
+    start, roots = _roots(spark, folder, resolver)
+    if not roots:
+        return _scanned_by_spark(spark, folder, pattern)
+    wanted = F.lit(True)
+    if pattern:
+        name = spark._jvm.org.apache.hadoop.fs.GlobPattern(pattern).compiled().pattern()
+        wanted = F.col("folder") | F.substring_index("path", "/", -1).rlike(f"(?s)\\A(?:{name})\\z")
+    lists = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    level, found, objects, size = spark.createDataFrame(roots, _ENTRY).where(wanted), [], 0, 0
+    while True:
+        counts = level.groupBy("folder").agg(F.count("*").alias("n"), F.sum("size").alias("size")).collect()
+        folders = sum(row.n for row in counts if row.folder)
+        if here := sum(row.n for row in counts if not row.folder):
+            found.append(level.where(~F.col("folder")).select("path"))
+            objects, size = objects + here, size + sum(row.size for row in counts)
+        if not folders:
+            break
+        # only the numbers come to the driver
+        below = _below(level.where("folder").repartition(min(lists, folders), "path"), resolver)
+        level = pinned(below.where(wanted), "listed")
+    if not found:
+        return spark.createDataFrame([], "path string, content string")
+    listed = reduce(DataFrame.unionByName, found)
+    if len(roots) > 1:
+        listed = listed.distinct()  # one may lie in another
+    tasks = max(SCAN_TASKS * spark.sparkContext.defaultParallelism, -(-objects // SCANNED_OBJECTS), -(-size // SCANNED_BYTES))
+    listed = listed.repartition(min(tasks, objects), "path")
+    # Hadoop spells an address that has no bucket without the slashes before it
+    spelled = F.regexp_replace("path", "^([a-z0-9]+:)//", "$1") if start.endswith("://") else F.col("path")
+    return listed.select(spelled.alias("path"), fetch_text("path", resolver).alias("content"))
+
+
 def fetch_objects(df: DataFrame, path_col: str, out: str = "content", **options) -> DataFrame:
     """Add ``out`` = the text of the object that ``path_col`` names."""
     return df.withColumn(out, fetch_text(F.col(f"`{path_col}`"), **options))
